@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The reference has no stream, watermark, event-time window, state or late data: every
+table is rebuilt per connection and every query is a batch. Nothing here is
+planned; scored outcomes are written as batch tables partitioned by run.
+"""
