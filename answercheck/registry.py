@@ -34,6 +34,7 @@ MODULES = (
     "answercheck.operators.fanout",
     "answercheck.operators.quality",
     "answercheck.operators.metrics",
+    "answercheck.operators.diff_queries",
 )
 
 

@@ -161,3 +161,15 @@ def register_shop_views(spark: SparkSession, sf_dir: str) -> None:
 def shop_cte() -> str:
     """The shop views as a WITH prefix, for engines that get only the raw tables."""
     return "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in SHOP_VIEWS_SQL.items()) + "\n"
+
+
+def sql_session(spark: SparkSession, sf_dir: str, shop: bool = True) -> SparkSession:
+    """A child session (same SparkContext, its own temp views) with the driver's tables
+    and, by default, the shop views registered. SQL text from a suite or a candidate
+    runs here, so the caller's own views are never shadowed."""
+    child = spark.newSession()
+    register_tables(child, sf_dir)
+    if shop:
+        for name, body in SHOP_VIEWS_SQL.items():
+            child.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS {body}")
+    return child
