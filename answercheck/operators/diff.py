@@ -190,14 +190,16 @@ def _rank_in_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     """0-based rank of each row within its ``keys`` group, ordered by ``order``.
 
     A global range sort spreads even a single huge group over many partitions; a
-    row's rank is its global position minus the position of its group's first row.
+    row's rank is its global position minus the position of its group's first row
+    (one small row per group, joined back on the group key).
     """
     sorted_df = df.orderBy(*[F.col(k).asc_nulls_first() for k in keys + order])
     pos = with_position(sorted_df, "_gpos")
-    first = pos.groupBy(*keys).agg(F.min("_gpos").alias("_first"))
-    cond = reduce(lambda x, y: x & y, [pos[k].eqNullSafe(first[k]) for k in keys])
+    renamed = {k: f"_k{i}" for i, k in enumerate(keys)}
+    first = pos.groupBy(*[F.col(k).alias(renamed[k]) for k in keys]).agg(F.min("_gpos").alias("_first"))
+    cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(renamed[k])) for k in keys])
     return (pos.join(first, cond)
-            .select(*[pos[c] for c in df.columns], (F.col("_gpos") - F.col("_first")).alias("_rank")))
+            .select(*[F.col(c) for c in df.columns], (F.col("_gpos") - F.col("_first")).alias("_rank")))
 
 
 def repair_unmatched(g: DataFrame, c: DataFrame, kinds: list[str], groups: DataFrame,

@@ -109,6 +109,9 @@ NORMALIZE_PAIR = Pair(
 # --- Spark side -------------------------------------------------------------------------
 
 def _value_text(v) -> str | None:
+    """A cell as text for an explanation; floats as the comparison sees them (6 places)."""
+    if isinstance(v, float):
+        return str(round(v, 6))
     return None if v is None else str(v)
 
 
@@ -125,6 +128,8 @@ FACT_SCHEMA = T.StructType([
     T.StructField("pair_id", T.StringType()),
     T.StructField("cand_ok", T.BooleanType()), T.StructField("gold_ok", T.BooleanType()),
     T.StructField("cand_error", T.StringType()), T.StructField("gold_error", T.StringType()),
+    T.StructField("cand_denied", T.BooleanType()), T.StructField("gold_denied", T.BooleanType()),
+    T.StructField("cand_condition", T.StringType()),
     T.StructField("gold_rows", T.LongType()), T.StructField("cand_rows", T.LongType()),
     T.StructField("unmatched_gold", T.LongType()), T.StructField("unmatched_cand", T.LongType()),
     T.StructField("bag_equal", T.BooleanType()), T.StructField("equal", T.BooleanType()),
@@ -135,10 +140,18 @@ FACT_SCHEMA = T.StructType([
 ])
 
 
-def compare_sql(spark: SparkSession, pair_id: str, gold_sql: str, cand_sql: str, ordered: bool) -> dict:
-    """All facts about one comparison of two SQL texts; failures are facts too."""
-    g, c = run_sql(spark, gold_sql), run_sql(spark, cand_sql)
+def compare_sql(spark: SparkSession, pair_id: str, gold_sql: str, cand_sql: str, ordered: bool,
+                runner=None) -> dict:
+    """All facts about one comparison of two SQL texts; failures are facts too.
+
+    ``runner(text) -> QueryOutcome`` decides where SQL runs (default: ``spark``
+    unrestricted; a ``GovernedSession.run`` for the analyst role). The candidate is
+    run first, as in the reference: a refused candidate is judged before the gold."""
+    run = runner or (lambda text: run_sql(spark, text))
+    c = run(cand_sql)
+    g = run(gold_sql)
     row = dict(pair_id=pair_id, cand_ok=c.ok, gold_ok=g.ok, cand_error=c.error, gold_error=g.error,
+               cand_denied=c.denied, gold_denied=g.denied, cand_condition=c.condition,
                gold_rows=None, cand_rows=None, unmatched_gold=None, unmatched_cand=None,
                bag_equal=False, equal=False, ordered=ordered, approximate=False, single_cell=False,
                gold_value=None, cand_value=None, gold_number=None, cand_number=None)
@@ -148,7 +161,7 @@ def compare_sql(spark: SparkSession, pair_id: str, gold_sql: str, cand_sql: str,
         d = compare(g.df, c.df, ordered=ordered)
     except Exception as exc:  # noqa: BLE001  run-time failure at the action
         from ..plans.execute import error_facts
-        _, msg = error_facts(exc)
+        cond, msg = error_facts(exc)
         # Which side failed is unknown from one joint job: rerun each side alone.
         for side, out in (("gold", g), ("cand", c)):
             try:
@@ -157,8 +170,10 @@ def compare_sql(spark: SparkSession, pair_id: str, gold_sql: str, cand_sql: str,
                     .agg(F.count_if(F.col("h").isNotNull())).collect()
             except Exception as e2:  # noqa: BLE001
                 row[f"{side}_ok"], row[f"{side}_error"] = False, error_facts(e2)[1]
+                if side == "cand":
+                    row["cand_condition"] = error_facts(e2)[0]
         if row["gold_ok"] and row["cand_ok"]:
-            row["cand_ok"], row["cand_error"] = False, msg
+            raise   # both sides run alone: the failure is the comparison's, not a verdict
         return row
     row.update(gold_rows=d.gold_rows, cand_rows=d.cand_rows, unmatched_gold=d.unmatched_gold,
                unmatched_cand=d.unmatched_cand, bag_equal=d.bag_equal, equal=d.equal,
