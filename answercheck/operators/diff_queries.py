@@ -178,10 +178,9 @@ def compare_sql(spark: SparkSession, pair_id: str, gold_sql: str, cand_sql: str,
     row.update(gold_rows=d.gold_rows, cand_rows=d.cand_rows, unmatched_gold=d.unmatched_gold,
                unmatched_cand=d.unmatched_cand, bag_equal=d.bag_equal, equal=d.equal,
                approximate=d.approximate)
-    if (not d.equal and d.gold_rows == 1 and d.cand_rows == 1
-            and d.gold_arity == 1 and d.cand_arity == 1):
+    if d.gold_rows == 1 and d.cand_rows == 1 and d.gold_arity == 1 and d.cand_arity == 1:
         gv, cv = scalar(g.df), scalar(c.df)
-        row.update(single_cell=True, gold_value=_value_text(gv), cand_value=_value_text(cv),
+        row.update(single_cell=not d.equal, gold_value=_value_text(gv), cand_value=_value_text(cv),
                    gold_number=_value_number(gv), cand_number=_value_number(cv))
     return row
 
@@ -227,11 +226,11 @@ def _oracle_pair(p: Pair) -> str:
         uc AS unmatched_cand, (ug = 0 AND uc = 0) AS bag_equal, (ug = 0 AND uc = 0 AND om = 0) AS equal,
         {str(p.ordered).upper()} AS ordered,
         (gr = 1 AND cr = 1 AND {len(p.kinds)} = 1 AND NOT (ug = 0 AND uc = 0 AND om = 0)) AS single_cell,
-        CASE WHEN gr = 1 AND {len(p.kinds)} = 1 THEN CAST({g1} AS VARCHAR) END AS gold_value,
-        CASE WHEN cr = 1 AND {len(p.kinds)} = 1 THEN CAST({c1} AS VARCHAR) END AS cand_value,
-        CASE WHEN gr = 1 AND {len(p.kinds)} = 1 AND '{p.kinds[0]}' IN ('exact', 'float')
+        CASE WHEN gr = 1 AND cr = 1 AND {len(p.kinds)} = 1 THEN CAST({g1} AS VARCHAR) END AS gold_value,
+        CASE WHEN gr = 1 AND cr = 1 AND {len(p.kinds)} = 1 THEN CAST({c1} AS VARCHAR) END AS cand_value,
+        CASE WHEN gr = 1 AND cr = 1 AND {len(p.kinds)} = 1 AND '{p.kinds[0]}' IN ('exact', 'float')
              THEN CAST({g1} AS DOUBLE) END AS gold_number,
-        CASE WHEN cr = 1 AND {len(p.kinds)} = 1 AND '{p.kinds[0]}' IN ('exact', 'float')
+        CASE WHEN gr = 1 AND cr = 1 AND {len(p.kinds)} = 1 AND '{p.kinds[0]}' IN ('exact', 'float')
              THEN CAST({c1} AS DOUBLE) END AS cand_number
     FROM (SELECT (SELECT COUNT(*) FROM ({p.gold}) t) AS gr, (SELECT COUNT(*) FROM ({p.cand}) t) AS cr,
                  (SELECT COUNT(*) FROM ({gn} EXCEPT ALL {cn}) t) AS ug,

@@ -35,6 +35,10 @@ MODULES = (
     "answercheck.operators.quality",
     "answercheck.operators.metrics",
     "answercheck.operators.diff_queries",
+    "answercheck.operators.scoring_queries",
+    "answercheck.functions.text_queries",
+    "answercheck.plans.catalog",
+    "answercheck.plans.governed_queries",
 )
 
 

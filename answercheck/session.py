@@ -34,7 +34,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.runSQLOnFiles", "false")
     )
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("FATAL")
     ensure_checkpoint_dir(spark)
     return spark
 
