@@ -14,8 +14,10 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.diff import WS_CLASS, strip_ws
+from .ws import squash as _squash
+from .ws import strip_ws, tokens, tokens_sql
 
 # The fence marker, and the two date columns the period rulings name.
 FENCE = "```"
@@ -38,7 +40,7 @@ def usd(cents: Column) -> Column:
 def squash(c: Column, width: int | None = None) -> Column:
     """H5: collapse every whitespace run to one space, strip the ends; optionally cut
     to ``width`` characters for display (the whole text is processed either way)."""
-    out = strip_ws(F.regexp_replace(c, f"{WS_CLASS}+", " "))
+    out = _squash(c)
     return out if width is None else F.substring(out, 1, width)
 
 
@@ -64,11 +66,6 @@ def abstained(c: Column) -> Column:
     return F.upper(c).startswith(ABSTAIN)
 
 
-def tokens(c: Column) -> Column:
-    """Whitespace tokens, as str.split() makes them (no empty tokens)."""
-    return F.filter(F.split(strip_ws(c), f"{WS_CLASS}+"), lambda t: t != F.lit(""))
-
-
 def token_dice(a: Column, b: Column) -> Column:
     """Multiset token overlap 2*M/T of two short texts, rounded to 6 places; 1.0 for
     two empty texts. Quadratic in tokens per row: for statements, not documents."""
@@ -82,13 +79,10 @@ def token_dice(a: Column, b: Column) -> Column:
 
 def token_dice_sql(a: str, b: str) -> str:
     """``token_dice`` for DuckDB (oracle)."""
-    def toks(x: str) -> str:
-        return (f"list_filter(string_split_regex(regexp_replace({x}, '^{WS_CLASS}+|{WS_CLASS}+$', '', 'g'), "
-                f"'{WS_CLASS}+'), lambda t: t <> '')")
     m = (f"(SELECT COALESCE(SUM(LEAST(x.n, y.n)), 0) FROM "
-         f"(SELECT t, COUNT(*) AS n FROM (SELECT unnest({toks(a)}) AS t) GROUP BY t) x JOIN "
-         f"(SELECT t, COUNT(*) AS n FROM (SELECT unnest({toks(b)}) AS t) GROUP BY t) y USING (t))")
-    total = f"(len({toks(a)}) + len({toks(b)}))"
+         f"(SELECT t, COUNT(*) AS n FROM (SELECT unnest({tokens_sql(a)}) AS t) GROUP BY t) x JOIN "
+         f"(SELECT t, COUNT(*) AS n FROM (SELECT unnest({tokens_sql(b)}) AS t) GROUP BY t) y USING (t))")
+    total = f"(len({tokens_sql(a)}) + len({tokens_sql(b)}))"
     return f"CASE WHEN {total} = 0 THEN 1.0 ELSE ROUND(2.0 * {m} / {total}, 6) END"
 
 
@@ -112,7 +106,7 @@ def token_overlap(pairs: DataFrame, key: list[str], left: str, right: str) -> Da
                       .otherwise(F.round(F.lit(2.0) * m / F.col("total"), 6)).alias("overlap"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """P1 exact: difflib's matching-blocks ratio over whitespace tokens, per row,
     Arrow-batched. The one piece of the library with no Spark built-in."""

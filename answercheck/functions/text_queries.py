@@ -8,17 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.diff import WS_CLASS
+from .ws import squash_sql, strip_ws_sql, tokens_sql
 from ..registry import query
 from ..sources.tables import cents, table
 from .text import (abstained, date_column_used, lower, sequence_ratio, squash, strip_fences, token_overlap,
                    upper, usd)
 
-_STRIP = "regexp_replace({x}, '^" + WS_CLASS + "+|" + WS_CLASS + "+$', '', 'g')"
-
-
 def _strip_sql(x: str) -> str:
-    return _STRIP.replace("{x}", x)
+    return strip_ws_sql(x)
 
 
 @query("text_case", oracle="""
@@ -42,7 +39,7 @@ def usd_format(spark, sf_dir):
 
 @query("text_squash", oracle=f"""
     SELECT doc_id, length(s) AS squashed_chars, md5(s) AS squashed_md5
-    FROM (SELECT doc_id, {_strip_sql(f"regexp_replace(text, '{WS_CLASS}+', ' ', 'g')")} AS s FROM documents) t""")
+    FROM (SELECT doc_id, {squash_sql("text")} AS s FROM documents) t""")
 def text_squash(spark, sf_dir):
     """H5 over every document, whole."""
     d = table(spark, sf_dir, "documents").select("doc_id", squash(F.col("text")).alias("s"))
@@ -86,11 +83,8 @@ def _turn_pairs(spark, sf_dir):
     return c.join(nxt, (c.conv_id == nxt.n_conv) & (c.turn == nxt.n_turn)).select("conv_id", "turn", "text", "reply")
 
 
-_TOK = ("list_filter(string_split_regex(" + _strip_sql("{x}") + ", '" + WS_CLASS + "+'), lambda t: t <> '')")
-
-
 def _tok(x: str) -> str:
-    return _TOK.replace("{x}", x)
+    return tokens_sql(x)
 
 
 @query("token_overlap", oracle=f"""

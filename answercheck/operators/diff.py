@@ -37,15 +37,7 @@ from pyspark.sql import types as T
 TOLERANCE = 1e-6
 GRID = 6
 
-# Fixed value: the characters Python's str.strip() and str.split() treat as
-# whitespace, as a regex class valid in both Java and RE2 syntax.
-WS_CLASS = (r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-            r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
-
-
-def strip_ws(c: Column) -> Column:
-    """str.strip(): Spark's trim() removes blanks only, so strip the whole class."""
-    return F.regexp_replace(c, f"^{WS_CLASS}+|{WS_CLASS}+$", "")
+from ..functions.ws import WS_CLASS, strip_ws, strip_ws_sql  # noqa: F401,E402
 
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -133,15 +125,22 @@ def _grid(df: DataFrame, kinds: list[str]) -> list[Column]:
             for i, k in enumerate(kinds)]
 
 
-def signed_groups(g: DataFrame, c: DataFrame, kinds: list[str]) -> DataFrame:
-    """Per distinct normalized row: rows on each side. One shuffle, map-side combined."""
+def signed_groups(g: DataFrame, c: DataFrame, kinds: list[str], keep_raw: bool = False) -> DataFrame:
+    """Per distinct normalized row: rows on each side. One shuffle, map-side combined.
+
+    ``keep_raw`` (single-column results) also carries the unrounded value per side,
+    so a one-cell answer is settled, tolerance included, by this one job."""
     cols = [f"c{i}" for i in range(len(kinds))]
-    tagged = (g.select(*_grid(g, kinds), F.lit(1).alias("_g"), F.lit(0).alias("_c"))
-              .unionByName(c.select(*_grid(c, kinds), F.lit(0).alias("_g"), F.lit(1).alias("_c"))))
+    raw = [F.col("c0").alias("_raw")] if keep_raw else []
+    tagged = (g.select(*_grid(g, kinds), F.lit(1).alias("_g"), F.lit(0).alias("_c"), *raw)
+              .unionByName(c.select(*_grid(c, kinds), F.lit(0).alias("_g"), F.lit(1).alias("_c"), *raw)))
+    aggs = [F.sum("_g").cast("long").alias("n_gold"), F.sum("_c").cast("long").alias("n_cand")]
+    if keep_raw:
+        aggs += [F.max(F.when(F.col("_g") == 1, F.col("_raw"))).alias("raw_gold"),
+                 F.max(F.when(F.col("_c") == 1, F.col("_raw"))).alias("raw_cand")]
     if not cols:   # zero-column results: only the counts matter
-        return tagged.agg(F.sum("_g").cast("long").alias("n_gold"), F.sum("_c").cast("long").alias("n_cand"))
-    return tagged.groupBy(*cols).agg(F.sum("_g").cast("long").alias("n_gold"),
-                                     F.sum("_c").cast("long").alias("n_cand"))
+        return tagged.agg(*aggs)
+    return tagged.groupBy(*cols).agg(*aggs)
 
 
 def residual_rows(gold: DataFrame, cand: DataFrame) -> DataFrame:
@@ -247,10 +246,13 @@ class Diff:
     ordered: bool = False
     approximate: bool = False
     kinds: list[str] = field(default_factory=list)
+    gold_value: object = None     # the cell of a one-row, one-column result
+    cand_value: object = None
 
     def as_row(self) -> dict:
         d = asdict(self)
-        d.pop("kinds")
+        for k in ("kinds", "gold_value", "cand_value"):
+            d.pop(k)
         return d
 
 
@@ -270,19 +272,30 @@ def compare(gold: DataFrame, cand: DataFrame, ordered: bool = False, tol: float
         return out
     g, c, kinds = align(gold, cand)
     out.kinds = kinds
-    groups = signed_groups(g, c, kinds)
+    single = ga == 1
+    groups = signed_groups(g, c, kinds, keep_raw=single)
     d = F.col("n_gold") - F.col("n_cand")
+    extra = [F.max("raw_gold").alias("gv"), F.max("raw_cand").alias("cv")] if single else []
     s = groups.agg(F.sum("n_gold").alias("g"), F.sum("n_cand").alias("c"),
                    F.sum(F.greatest(d, F.lit(0))).alias("ug"),
-                   F.sum(F.greatest(-d, F.lit(0))).alias("uc")).first()
+                   F.sum(F.greatest(-d, F.lit(0))).alias("uc"), *extra).first()
     out.gold_rows, out.cand_rows = int(s["g"] or 0), int(s["c"] or 0)
     out.unmatched_gold, out.unmatched_cand = int(s["ug"] or 0), int(s["uc"] or 0)
+    one_cell = single and out.gold_rows == 1 and out.cand_rows == 1
+    if one_cell:
+        out.gold_value, out.cand_value = s["gv"], s["cv"]
     if (out.unmatched_gold or out.unmatched_cand) and "float" in kinds and out.gold_rows == out.cand_rows:
-        out.unmatched_gold, out.unmatched_cand = repair_unmatched(g, c, kinds, groups, tol)
-        out.approximate = kinds.count("float") > 1 and bool(out.unmatched_gold or out.unmatched_cand)
+        if one_cell:
+            gv, cv = out.gold_value, out.cand_value
+            same = (gv is None and cv is None) or (gv is not None and cv is not None and
+                                                   (gv == cv or abs(gv - cv) <= tol))
+            out.unmatched_gold = out.unmatched_cand = 0 if same else 1
+        else:
+            out.unmatched_gold, out.unmatched_cand = repair_unmatched(g, c, kinds, groups, tol)
+            out.approximate = kinds.count("float") > 1 and bool(out.unmatched_gold or out.unmatched_cand)
     out.bag_equal = out.unmatched_gold == 0 and out.unmatched_cand == 0
     out.equal = out.bag_equal
-    if ordered and out.bag_equal:
+    if ordered and out.bag_equal and out.gold_rows > 1:
         out.equal = ordered_mismatches(g, c, kinds, tol) == 0
     return out
 

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.execute import run_sql, scalar
+from ..plans.execute import run_sql
 from ..registry import query
 from ..sources.tables import sql_session
-from .diff import WS_CLASS, align, compare, ordered_pairs, residual_rows
+from .diff import align, compare, ordered_pairs, residual_rows, strip_ws_sql
 from .explain import explain_col, explain_sql
 
 _CENTS = "CAST(ROUND(o_totalprice * 100) AS BIGINT)"
@@ -110,8 +110,11 @@ NORMALIZE_PAIR = Pair(
 
 def _value_text(v) -> str | None:
     """A cell as text for an explanation; floats as the comparison sees them (6 places)."""
+    from decimal import Decimal
     if isinstance(v, float):
         return str(round(v, 6))
+    if isinstance(v, Decimal) and v == v.to_integral_value():
+        return str(int(v))
     return None if v is None else str(v)
 
 
@@ -167,7 +170,7 @@ def compare_sql(spark: SparkSession, pair_id: str, gold_sql: str, cand_sql: str,
             try:
                 # A hash of every column: pruning cannot skip the failing expression.
                 out.df.select(F.xxhash64(*[F.col(f"`{n}`") for n in out.df.columns]).alias("h")) \
-                    .agg(F.count_if(F.col("h").isNotNull())).collect()
+                    .agg(F.max("h")).collect()
             except Exception as e2:  # noqa: BLE001
                 row[f"{side}_ok"], row[f"{side}_error"] = False, error_facts(e2)[1]
                 if side == "cand":
@@ -179,7 +182,7 @@ def compare_sql(spark: SparkSession, pair_id: str, gold_sql: str, cand_sql: str,
                unmatched_cand=d.unmatched_cand, bag_equal=d.bag_equal, equal=d.equal,
                approximate=d.approximate)
     if d.gold_rows == 1 and d.cand_rows == 1 and d.gold_arity == 1 and d.cand_arity == 1:
-        gv, cv = scalar(g.df), scalar(c.df)
+        gv, cv = d.gold_value, d.cand_value
         row.update(single_cell=not d.equal, gold_value=_value_text(gv), cand_value=_value_text(cv),
                    gold_number=_value_number(gv), cand_number=_value_number(cv))
     return row
@@ -203,7 +206,7 @@ def _oracle_norm(i: int, kind: str, prefix: str = "") -> str:
     if kind == "float":
         return f"ROUND(CAST({c} AS DOUBLE), 6)"
     if kind == "text":
-        return f"regexp_replace(CAST({c} AS VARCHAR), '^{WS_CLASS}+|{WS_CLASS}+$', '', 'g')"
+        return strip_ws_sql(f"CAST({c} AS VARCHAR)")
     return c
 
 

@@ -81,13 +81,17 @@ def compile_metrics(spark: SparkSession, sf_dir: str, registry=REGISTRY) -> Data
             F.struct(F.lit(m.name).alias("metric"), F.col(m.name).alias("value_cents")) for m in metrics
         ])).alias("m")).select("m.metric", "m.value_cents")
         long = rows if long is None else long.unionByName(rows)
+    # One more aggregate over the few metric rows: each source is read once, and
+    # derived metrics are arithmetic on the resulting single row.
     name, v = F.col("metric"), F.col("value_cents")
+    names = [m.name for m in registry]
+    wide = long.agg(*[F.max(F.when(name == n, v)).alias(n) for n in names])
     for derived, (a, b) in DERIVED.items():
-        d = long.agg(F.lit(derived).alias("metric"),
-                     (F.max(F.when(name == a, v)) - F.coalesce(F.max(F.when(name == b, v)), F.lit(0).cast("bigint")))
-                     .alias("value_cents"))
-        long = long.unionByName(d)
-    return long
+        wide = wide.withColumn(derived, F.col(a) - F.coalesce(F.col(b), F.lit(0).cast("bigint")))
+        names.append(derived)
+    return wide.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("metric"), F.col(n).alias("value_cents")) for n in names
+    ])).alias("m")).select("m.metric", "m.value_cents")
 
 
 _ORDERS_SQL = f"""

@@ -62,9 +62,10 @@ def _runner(spark: SparkSession, sf_dir: str, role: str):
 
 
 def execution_facts(spark: SparkSession, sf_dir: str, pairs: list[tuple[str, str, bool]],
-                    role: str = "owner", workers: int = 4) -> DataFrame:
-    """One fact row per distinct (gold_sql, sql_text, ordered)."""
-    session, run = _runner(spark, sf_dir, role)
+                    role: str = "owner", workers: int = 8, runner=None) -> DataFrame:
+    """One fact row per distinct (gold_sql, sql_text, ordered). ``runner`` is a
+    (session, run) pair; by default built for ``role`` over the tables at ``sf_dir``."""
+    session, run = runner or _runner(spark, sf_dir, role)
 
     def one(p):
         gold, cand, ordered = p
@@ -100,7 +101,7 @@ def detail_col() -> Column:
 
 
 def score(spark: SparkSession, sf_dir: str, candidates: DataFrame, role: str = "owner",
-          questions=QUESTIONS) -> DataFrame:
+          questions=QUESTIONS, runner=None) -> DataFrame:
     """Outcomes, one row per (run, level, question)."""
     suite = suite_df(spark, questions)
     facts = candidate_facts(suite, candidates)
@@ -108,7 +109,7 @@ def score(spark: SparkSession, sf_dir: str, candidates: DataFrame, role: str = "
     # The list of statements to run: bounded by the suite, not by the data.
     pairs = [(r.gold_sql, r.sql_text, r.ordered)
              for r in runnable.select("gold_sql", "sql_text", "ordered").distinct().collect()]
-    executed = execution_facts(spark, sf_dir, pairs, role)
+    executed = execution_facts(spark, sf_dir, pairs, role, runner=runner)
     joined = facts.join(executed, ["gold_sql", "sql_text", "ordered"], "left")
     out = joined.select(
         "run_id", "level", "question_id", "ordinal", "category", "answerable", "abstained", "sql_text",
@@ -121,9 +122,11 @@ def score(spark: SparkSession, sf_dir: str, candidates: DataFrame, role: str = "
     return out
 
 
-def mock_outcomes(spark: SparkSession, sf_dir: str, role: str = "owner") -> DataFrame:
+def mock_outcomes(spark: SparkSession, sf_dir: str, role: str = "owner", questions=QUESTIONS,
+                  layers=None, runner=None) -> DataFrame:
     """The suite scored with the layered mock candidates at every level."""
-    return score(spark, sf_dir, layered_candidates(spark), role)
+    cands = layered_candidates(spark, layers=layers) if layers else layered_candidates(spark)
+    return score(spark, sf_dir, cands, role, questions, runner)
 
 
 # --- reports (K3-K8, T3) ---------------------------------------------------------------------
