@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.execute import run_sql
+from ..plans.execute import has_global_sort, run_sql
 from ..registry import query
 from ..sources.tables import sql_session
 from .diff import align, compare, ordered_pairs, residual_rows, strip_ws_sql
@@ -132,7 +132,7 @@ FACT_SCHEMA = T.StructType([
     T.StructField("cand_ok", T.BooleanType()), T.StructField("gold_ok", T.BooleanType()),
     T.StructField("cand_error", T.StringType()), T.StructField("gold_error", T.StringType()),
     T.StructField("cand_denied", T.BooleanType()), T.StructField("gold_denied", T.BooleanType()),
-    T.StructField("cand_condition", T.StringType()),
+    T.StructField("cand_condition", T.StringType()), T.StructField("cand_unsorted", T.BooleanType()),
     T.StructField("gold_rows", T.LongType()), T.StructField("cand_rows", T.LongType()),
     T.StructField("unmatched_gold", T.LongType()), T.StructField("unmatched_cand", T.LongType()),
     T.StructField("bag_equal", T.BooleanType()), T.StructField("equal", T.BooleanType()),
@@ -154,12 +154,15 @@ def compare_sql(spark: SparkSession, pair_id: str, gold_sql: str, cand_sql: str,
     c = run(cand_sql)
     g = run(gold_sql)
     row = dict(pair_id=pair_id, cand_ok=c.ok, gold_ok=g.ok, cand_error=c.error, gold_error=g.error,
-               cand_denied=c.denied, gold_denied=g.denied, cand_condition=c.condition,
+               cand_denied=c.denied, gold_denied=g.denied, cand_condition=c.condition, cand_unsorted=None,
                gold_rows=None, cand_rows=None, unmatched_gold=None, unmatched_cand=None,
                bag_equal=False, equal=False, ordered=ordered, approximate=False, single_cell=False,
                gold_value=None, cand_value=None, gold_number=None, cand_number=None)
     if not (g.ok and c.ok):
         return row
+    if ordered:
+        # An order Spark does not promise is no order: flag a ranking with no sort.
+        row["cand_unsorted"] = not has_global_sort(c.df)
     try:
         d = compare(g.df, c.df, ordered=ordered)
     except Exception as exc:  # noqa: BLE001  run-time failure at the action

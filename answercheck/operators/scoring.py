@@ -117,6 +117,7 @@ def score(spark: SparkSession, sf_dir: str, candidates: DataFrame, role: str = "
         (F.col("answerable") & ~F.col("abstained") & F.coalesce(F.col("cand_ok"), F.lit(False))
          & (F.col("gold_ok") == F.lit(False))).alias("gold_broken"),
         detail_col().alias("detail"),
+        F.col("cand_unsorted"),
         F.lit(role).alias("role"),
     )
     return out
@@ -182,3 +183,10 @@ def abstention_balance(outcomes: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("questions"),
         F.count_if(v == ABSTAINED).alias("wrongly_refused"),
         F.count_if(v == OVERREACHED).alias("wrongly_answered"))
+
+
+def write_outcomes(outcomes: DataFrame, path: str) -> None:
+    """A10: the report as a table. Outcomes are appended under ``path`` partitioned by
+    run; re-scoring a run replaces only that run's partition."""
+    (outcomes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").parquet(path))

@@ -96,7 +96,7 @@ def has_global_sort(df: DataFrame) -> bool:
     while True:
         name = node.nodeName()
         if name == "Sort":
-            return bool(node.isGlobal()) if hasattr(node, "isGlobal") else True
+            return bool(getattr(node, "global")())   # Sort.global: a total order, not per partition
         if name in ("GlobalLimit", "LocalLimit", "Project", "SubqueryAlias", "Offset", "Filter"):
             node = node.children().apply(0)
             continue

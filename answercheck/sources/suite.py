@@ -198,3 +198,9 @@ def fill_candidates(suite: DataFrame, candidates: DataFrame, suite_id: str = "sh
     return (grid.join(candidates, ["run_id", "level", "question_id"], "left")
             .select("run_id", "level", "question_id",
                     F.coalesce(F.col("sql_text"), F.lit(DEFAULT_ABSTENTION)).alias("sql_text")))
+
+
+def suite_profile(suite: DataFrame) -> DataFrame:
+    """A4: how the suite is made up: questions per category, ranking and
+    answerability."""
+    return suite.groupBy("category", "ordered", "answerable").agg(F.count(F.lit(1)).alias("questions"))
