@@ -177,6 +177,42 @@ def with_position(df: DataFrame, name: str = "_pos") -> DataFrame:
             .select(*[F.col(f"`{c}`") for c in fixed.columns], (F.col("_off") + F.col("_local")).alias(name)))
 
 
+# Results provably at most this many rows (a literal LIMIT in the plan) are numbered
+# in one partition instead of being checkpointed.
+SMALL_RESULT = 10_000
+
+
+def limit_bound(df: DataFrame) -> int | None:
+    """The literal LIMIT that bounds a result, found under its sorts and projections."""
+    node = df._jdf.queryExecution().analyzed()
+    while True:
+        name = node.nodeName()
+        if name == "GlobalLimit":
+            try:
+                return int(node.limitExpr().eval(None))
+            except Exception:  # noqa: BLE001  not a literal
+                return None
+        if name in ("Sort", "Project", "SubqueryAlias", "Filter", "LocalLimit", "Distinct"):
+            node = node.children().apply(0)
+            continue
+        return None
+
+
+def with_small_position(df: DataFrame, name: str = "_pos") -> DataFrame:
+    """Positions of a result with a proven small bound: row number over the
+    monotonically increasing id, which follows partition order and order within a
+    partition, i.e. the result's own order. One partition, at most SMALL_RESULT rows."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    m = df.select(*cols, F.monotonically_increasing_id().alias("_m"))
+    return m.select(*cols, (F.row_number().over(Window.orderBy("_m")) - 1).alias(name))
+
+
+def _positions(df: DataFrame, bound: int | None) -> DataFrame:
+    if bound is not None and bound <= SMALL_RESULT:
+        return with_small_position(df)
+    return with_position(df)
+
+
 def _within(a: Column, b: Column, kind: str, tol: float) -> Column:
     if kind == "float":
         return a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= F.lit(tol), F.lit(False))
@@ -256,54 +292,130 @@ class Diff:
         return d
 
 
-def compare(gold: DataFrame, cand: DataFrame, ordered: bool = False, tol: float = TOLERANCE) -> Diff:
-    """Compare two results. Eager: one job for the grouped counts, more only when
-    floats need re-pairing or an order must be checked."""
+def _summary(key: str, gold: DataFrame, cand: DataFrame) -> tuple[DataFrame, list[str]]:
+    """One row of counts for a comparison: rows and unmatched rows per side, and for a
+    single-column result its cell per side (as text and as a number)."""
     ga, ca = len(gold.columns), len(cand.columns)
-    out = Diff(gold_arity=ga, cand_arity=ca, arity_match=ga == ca, ordered=ordered)
+    none_s, none_d = F.lit(None).cast("string"), F.lit(None).cast("double")
+    if ga != ca:
+        both = (gold.select(F.lit(1).alias("_g"), F.lit(0).alias("_c"))
+                .unionByName(cand.select(F.lit(0).alias("_g"), F.lit(1).alias("_c"))))
+        g, c = F.coalesce(F.sum("_g"), F.lit(0)).cast("long"), F.coalesce(F.sum("_c"), F.lit(0)).cast("long")
+        return both.agg(F.lit(key).alias("pid"), g.alias("g"), c.alias("c"), g.alias("ug"), c.alias("uc"),
+                        none_s.alias("gv_s"), none_s.alias("cv_s"), none_d.alias("gv_d"),
+                        none_d.alias("cv_d")), []
+    ga_, ca_, kinds = align(gold, cand)
+    single = ga == 1
+    groups = signed_groups(ga_, ca_, kinds, keep_raw=single)
+    d = F.col("n_gold") - F.col("n_cand")
+    numeric = single and kinds[0] in ("exact", "float")
+    gv, cv = F.max("raw_gold"), F.max("raw_cand")
+    return groups.agg(
+        F.lit(key).alias("pid"),
+        F.coalesce(F.sum("n_gold"), F.lit(0)).cast("long").alias("g"),
+        F.coalesce(F.sum("n_cand"), F.lit(0)).cast("long").alias("c"),
+        F.coalesce(F.sum(F.greatest(d, F.lit(0))), F.lit(0)).cast("long").alias("ug"),
+        F.coalesce(F.sum(F.greatest(-d, F.lit(0))), F.lit(0)).cast("long").alias("uc"),
+        (gv.cast("string") if single else none_s).alias("gv_s"),
+        (cv.cast("string") if single else none_s).alias("cv_s"),
+        (gv.cast("double") if numeric else none_d).alias("gv_d"),
+        (cv.cast("double") if numeric else none_d).alias("cv_d")), kinds
+
+
+def _cell(kind: str, text, number):
+    if text is None:
+        return None
+    if kind == "float":
+        return number
+    if kind == "exact":
+        from decimal import Decimal
+        return Decimal(text)
+    if kind == "bool":
+        return text == "true"
+    return text
+
+
+def _finish(row, gold: DataFrame, cand: DataFrame, kinds: list[str], ordered: bool, tol: float) -> Diff:
+    """Turn a summary row into a Diff; run the extra jobs only where needed (float
+    re-pairing of a multi-row result, or a position check of an ordered one)."""
+    ga, ca = len(gold.columns), len(cand.columns)
+    out = Diff(gold_arity=ga, cand_arity=ca, arity_match=ga == ca, ordered=ordered, kinds=kinds)
+    out.gold_rows, out.cand_rows = int(row["g"]), int(row["c"])
+    out.unmatched_gold, out.unmatched_cand = int(row["ug"]), int(row["uc"])
     if ga != ca:
-        counts = (gold.select(F.lit(1).alias("_g"), F.lit(0).alias("_c"))
-                  .unionByName(cand.select(F.lit(0).alias("_g"), F.lit(1).alias("_c")))
-                  .agg(F.sum("_g").alias("g"), F.sum("_c").alias("c")).first())
-        out.gold_rows, out.cand_rows = int(counts["g"] or 0), int(counts["c"] or 0)
         # Empty against empty is equal at any arity: arity is a property of rows.
         out.bag_equal = out.equal = out.gold_rows == 0 and out.cand_rows == 0
-        out.unmatched_gold, out.unmatched_cand = out.gold_rows, out.cand_rows
         return out
-    g, c, kinds = align(gold, cand)
-    out.kinds = kinds
-    single = ga == 1
-    groups = signed_groups(g, c, kinds, keep_raw=single)
-    d = F.col("n_gold") - F.col("n_cand")
-    extra = [F.max("raw_gold").alias("gv"), F.max("raw_cand").alias("cv")] if single else []
-    s = groups.agg(F.sum("n_gold").alias("g"), F.sum("n_cand").alias("c"),
-                   F.sum(F.greatest(d, F.lit(0))).alias("ug"),
-                   F.sum(F.greatest(-d, F.lit(0))).alias("uc"), *extra).first()
-    out.gold_rows, out.cand_rows = int(s["g"] or 0), int(s["c"] or 0)
-    out.unmatched_gold, out.unmatched_cand = int(s["ug"] or 0), int(s["uc"] or 0)
-    one_cell = single and out.gold_rows == 1 and out.cand_rows == 1
+    one_cell = ga == 1 and out.gold_rows == 1 and out.cand_rows == 1
     if one_cell:
-        out.gold_value, out.cand_value = s["gv"], s["cv"]
+        out.gold_value = _cell(kinds[0], row["gv_s"], row["gv_d"])
+        out.cand_value = _cell(kinds[0], row["cv_s"], row["cv_d"])
     if (out.unmatched_gold or out.unmatched_cand) and "float" in kinds and out.gold_rows == out.cand_rows:
         if one_cell:
-            gv, cv = out.gold_value, out.cand_value
+            gv, cv = row["gv_d"], row["cv_d"]
             same = (gv is None and cv is None) or (gv is not None and cv is not None and
                                                    (gv == cv or abs(gv - cv) <= tol))
             out.unmatched_gold = out.unmatched_cand = 0 if same else 1
         else:
+            g, c, _ = align(gold, cand)
+            groups = signed_groups(g, c, kinds)
             out.unmatched_gold, out.unmatched_cand = repair_unmatched(g, c, kinds, groups, tol)
             out.approximate = kinds.count("float") > 1 and bool(out.unmatched_gold or out.unmatched_cand)
     out.bag_equal = out.unmatched_gold == 0 and out.unmatched_cand == 0
     out.equal = out.bag_equal
     if ordered and out.bag_equal and out.gold_rows > 1:
-        out.equal = ordered_mismatches(g, c, kinds, tol) == 0
+        g, c, _ = align(gold, cand)
+        bounds = (limit_bound(gold), limit_bound(cand))
+        out.equal = ordered_mismatches(g, c, kinds, tol, bounds) == 0
+    return out
+
+
+def compare(gold: DataFrame, cand: DataFrame, ordered: bool = False, tol: float = TOLERANCE) -> Diff:
+    """Compare two results. Eager: one job for the grouped counts, more only when
+    floats need re-pairing or an order must be checked."""
+    summary, kinds = _summary("x", gold, cand)
+    return _finish(summary.first(), gold, cand, kinds, ordered, tol)
+
+
+def compare_batch(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: float = TOLERANCE) -> dict:
+    """Compare many pairs in one Spark job: the per-pair summaries are unioned into
+    one plan, so their stages run together and identical sub-plans (the same gold
+    query under several candidates) share their exchanges. If the joint job fails,
+    the pairs are compared one by one and each result is a ``Diff`` or the exception
+    its own comparison raised."""
+    if not items:
+        return {}
+    # Building a summary analyses its plan on the driver; do that from threads.
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        summaries = list(pool.map(lambda it: _summary(it[0], it[1], it[2]), items))
+    parts = [(sm, g, c, o) for sm, (k, g, c, o) in zip(summaries, items)]
+    try:
+        joint = reduce(DataFrame.unionByName, [p[0][0] for p in parts])
+        rows = {r["pid"]: r for r in joint.collect()}
+    except Exception:  # noqa: BLE001  some query fails at run time: find which, pair by pair
+        out = {}
+        for k, g, c, o in items:
+            try:
+                out[k] = compare(g, c, o, tol)
+            except Exception as exc:  # noqa: BLE001
+                out[k] = exc
+        return out
+    out = {}
+    for (k, g, c, o), ((_, kinds), *_rest) in zip(items, parts):
+        try:
+            out[k] = _finish(rows[k], g, c, kinds, o, tol)
+        except Exception as exc:  # noqa: BLE001
+            out[k] = exc
     return out
 
 
-def ordered_pairs(g: DataFrame, c: DataFrame, kinds: list[str], tol: float = TOLERANCE) -> DataFrame:
-    """Position-by-position pairing of two aligned results (full outer on position)."""
-    gp = with_position(g).alias("g")
-    cp = with_position(c).alias("c")
+def ordered_pairs(g: DataFrame, c: DataFrame, kinds: list[str], tol: float = TOLERANCE,
+                  bounds: tuple[int | None, int | None] = (None, None)) -> DataFrame:
+    """Position-by-position pairing of two aligned results (full outer on position).
+    ``bounds`` are proven row limits of the two sides (see ``limit_bound``)."""
+    gp = _positions(g, bounds[0]).alias("g")
+    cp = _positions(c, bounds[1]).alias("c")
     same = reduce(lambda x, y: x & y,
                   [_within(F.col(f"g.c{i}"), F.col(f"c.c{i}"), k, tol) for i, k in enumerate(kinds)],
                   F.lit(True))
@@ -314,5 +426,6 @@ def ordered_pairs(g: DataFrame, c: DataFrame, kinds: list[str], tol: float = TOL
         (F.col("g._pos").isNotNull() & F.col("c._pos").isNotNull() & same).alias("same"))
 
 
-def ordered_mismatches(g: DataFrame, c: DataFrame, kinds: list[str], tol: float = TOLERANCE) -> int:
-    return ordered_pairs(g, c, kinds, tol).where(~F.col("same")).count()
+def ordered_mismatches(g: DataFrame, c: DataFrame, kinds: list[str], tol: float = TOLERANCE,
+                       bounds: tuple[int | None, int | None] = (None, None)) -> int:
+    return ordered_pairs(g, c, kinds, tol, bounds).where(~F.col("same")).count()

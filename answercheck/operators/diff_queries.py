@@ -10,7 +10,6 @@ float noise, duplicated rows, padded text, NULL against zero, wrong order.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +19,7 @@ from pyspark.sql import types as T
 from ..plans.execute import has_global_sort, run_sql
 from ..registry import query
 from ..sources.tables import sql_session
-from .diff import align, compare, ordered_pairs, residual_rows, strip_ws_sql
+from .diff import align, compare, compare_batch, limit_bound, ordered_pairs, residual_rows, strip_ws_sql
 from .explain import explain_col, explain_sql
 
 _CENTS = "CAST(ROUND(o_totalprice * 100) AS BIGINT)"
@@ -143,60 +142,77 @@ FACT_SCHEMA = T.StructType([
 ])
 
 
-def compare_sql(spark: SparkSession, pair_id: str, gold_sql: str, cand_sql: str, ordered: bool,
-                runner=None) -> dict:
-    """All facts about one comparison of two SQL texts; failures are facts too.
+def _side_failure(out) -> tuple[str, str] | None:
+    """Run one side alone to see whether it fails at run time: (condition, message)."""
+    from ..plans.execute import error_facts
+    try:
+        # max of a hash of every column: pruning cannot skip the failing expression
+        out.df.select(F.xxhash64(*[F.col(f"`{n}`") for n in out.df.columns]).alias("h")) \
+            .agg(F.max("h")).collect()
+        return None
+    except Exception as exc:  # noqa: BLE001
+        return error_facts(exc)
+
+
+def compare_sql_many(spark: SparkSession, specs: list[tuple[str, str, str, bool]], runner=None) -> list[dict]:
+    """Facts for many comparisons of SQL texts (pair_id, gold_sql, cand_sql, ordered).
 
     ``runner(text) -> QueryOutcome`` decides where SQL runs (default: ``spark``
-    unrestricted; a ``GovernedSession.run`` for the analyst role). The candidate is
-    run first, as in the reference: a refused candidate is judged before the gold."""
+    unrestricted; ``GovernedSession.run`` for the analyst role). Each candidate is
+    analysed before its gold, as in the reference: a refused candidate is judged
+    first. All pairs that analyse cleanly are compared in one Spark job."""
     run = runner or (lambda text: run_sql(spark, text))
-    c = run(cand_sql)
-    g = run(gold_sql)
-    row = dict(pair_id=pair_id, cand_ok=c.ok, gold_ok=g.ok, cand_error=c.error, gold_error=g.error,
-               cand_denied=c.denied, gold_denied=g.denied, cand_condition=c.condition, cand_unsorted=None,
-               gold_rows=None, cand_rows=None, unmatched_gold=None, unmatched_cand=None,
-               bag_equal=False, equal=False, ordered=ordered, approximate=False, single_cell=False,
-               gold_value=None, cand_value=None, gold_number=None, cand_number=None)
-    if not (g.ok and c.ok):
-        return row
-    if ordered:
-        # An order Spark does not promise is no order: flag a ranking with no sort.
-        row["cand_unsorted"] = not has_global_sort(c.df)
-    try:
-        d = compare(g.df, c.df, ordered=ordered)
-    except Exception as exc:  # noqa: BLE001  run-time failure at the action
-        from ..plans.execute import error_facts
-        cond, msg = error_facts(exc)
-        # Which side failed is unknown from one joint job: rerun each side alone.
-        for side, out in (("gold", g), ("cand", c)):
-            try:
-                # A hash of every column: pruning cannot skip the failing expression.
-                out.df.select(F.xxhash64(*[F.col(f"`{n}`") for n in out.df.columns]).alias("h")) \
-                    .agg(F.max("h")).collect()
-            except Exception as e2:  # noqa: BLE001
-                row[f"{side}_ok"], row[f"{side}_error"] = False, error_facts(e2)[1]
-                if side == "cand":
-                    row["cand_condition"] = error_facts(e2)[0]
-        if row["gold_ok"] and row["cand_ok"]:
-            raise   # both sides run alone: the failure is the comparison's, not a verdict
-        return row
-    row.update(gold_rows=d.gold_rows, cand_rows=d.cand_rows, unmatched_gold=d.unmatched_gold,
-               unmatched_cand=d.unmatched_cand, bag_equal=d.bag_equal, equal=d.equal,
-               approximate=d.approximate)
-    if d.gold_rows == 1 and d.cand_rows == 1 and d.gold_arity == 1 and d.cand_arity == 1:
-        gv, cv = d.gold_value, d.cand_value
-        row.update(single_cell=not d.equal, gold_value=_value_text(gv), cand_value=_value_text(cv),
-                   gold_number=_value_number(gv), cand_number=_value_number(cv))
-    return row
-
-
-def pair_facts(spark: SparkSession, sf_dir: str, pairs=PAIRS, workers: int = 4) -> DataFrame:
-    """One fact row per pair. Each comparison is its own Spark job; the driver submits
-    them from a few threads so the cluster runs them side by side."""
+    rows, outcomes = [], {}
+    # Analysis of each text happens on the driver; run it from threads.
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        analysed = list(pool.map(lambda sp: (run(sp[2]), run(sp[1])), specs))
+    for (pair_id, gold_sql, cand_sql, ordered), (c, g) in zip(specs, analysed):
+        rows.append(dict(pair_id=pair_id, cand_ok=c.ok, gold_ok=g.ok, cand_error=c.error, gold_error=g.error,
+                         cand_denied=c.denied, gold_denied=g.denied, cand_condition=c.condition,
+                         cand_unsorted=(not has_global_sort(c.df)) if (ordered and c.ok) else None,
+                         gold_rows=None, cand_rows=None, unmatched_gold=None, unmatched_cand=None,
+                         bag_equal=False, equal=False, ordered=ordered, approximate=False, single_cell=False,
+                         gold_value=None, cand_value=None, gold_number=None, cand_number=None))
+        outcomes[pair_id] = (g, c)
+    items = [(r["pair_id"], outcomes[r["pair_id"]][0].df, outcomes[r["pair_id"]][1].df, r["ordered"])
+             for r in rows if r["gold_ok"] and r["cand_ok"]]
+    diffs = compare_batch(items)
+    for row in rows:
+        if row["pair_id"] not in diffs:
+            continue
+        d = diffs[row["pair_id"]]
+        if isinstance(d, Exception):
+            g, c = outcomes[row["pair_id"]]
+            failed = {side: _side_failure(out) for side, out in (("gold", g), ("cand", c))}
+            if not any(failed.values()):
+                raise d   # both sides run alone: the failure is the comparison's, not a verdict
+            for side, fact in failed.items():
+                if fact:
+                    row[f"{side}_ok"], row[f"{side}_error"] = False, fact[1]
+                    if side == "cand":
+                        row["cand_condition"] = fact[0]
+            continue
+        row.update(gold_rows=d.gold_rows, cand_rows=d.cand_rows, unmatched_gold=d.unmatched_gold,
+                   unmatched_cand=d.unmatched_cand, bag_equal=d.bag_equal, equal=d.equal,
+                   approximate=d.approximate)
+        if d.gold_rows == 1 and d.cand_rows == 1 and d.gold_arity == 1 and d.cand_arity == 1:
+            gv, cv = d.gold_value, d.cand_value
+            row.update(single_cell=not d.equal, gold_value=_value_text(gv), cand_value=_value_text(cv),
+                       gold_number=_value_number(gv), cand_number=_value_number(cv))
+    return rows
+
+
+def compare_sql(spark: SparkSession, pair_id: str, gold_sql: str, cand_sql: str, ordered: bool,
+                runner=None) -> dict:
+    """All facts about one comparison of two SQL texts; failures are facts too."""
+    return compare_sql_many(spark, [(pair_id, gold_sql, cand_sql, ordered)], runner)[0]
+
+
+def pair_facts(spark: SparkSession, sf_dir: str, pairs=PAIRS) -> DataFrame:
+    """One fact row per pair, all pairs compared in one Spark job."""
     s = sql_session(spark, sf_dir, shop=False)
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        rows = list(pool.map(lambda p: compare_sql(s, p.pair_id, p.gold, p.cand, p.ordered), pairs))
+    rows = compare_sql_many(s, [(p.pair_id, p.gold, p.cand, p.ordered) for p in pairs])
     return spark.createDataFrame(rows, FACT_SCHEMA)
 
 
@@ -317,8 +333,9 @@ _WRONG_ORDER = next(p for p in PAIRS if p.pair_id == "wrong_order")
 def ordered_diff(spark, sf_dir):
     """Position by position, for a question that asked for an order."""
     s = sql_session(spark, sf_dir, shop=False)
-    g, c, kinds = align(s.sql(_WRONG_ORDER.gold), s.sql(_WRONG_ORDER.cand))
-    return ordered_pairs(g, c, kinds)
+    gold, cand = s.sql(_WRONG_ORDER.gold), s.sql(_WRONG_ORDER.cand)
+    g, c, kinds = align(gold, cand)
+    return ordered_pairs(g, c, kinds, bounds=(limit_bound(gold), limit_bound(cand)))
 
 
 @query("normalize_values", oracle=f"""

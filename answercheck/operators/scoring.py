@@ -6,18 +6,16 @@ running anything; then abstention; then a refused candidate (BLOCKED); then a fa
 one (ERROR); then row equality. A broken gold query with a working candidate is WRONG,
 flagged ``gold_broken``.
 
-Shape of the job: candidates and suite are tables; the driver submits one comparison
-per *distinct* (gold, candidate) text pair, each a Spark job over the whole tables
-(gold results are not re-run per candidate, as the reference does), a few at a time
-from threads. The facts come back as one small row each and the verdict is a
-``when`` chain over the facts table, so scoring 10 or 10,000 candidates is the same
-plan.
+Shape of the job: candidates and suite are tables. Every *distinct* (gold, candidate)
+text pair is analysed on the driver, and all pairs are compared in one Spark job over
+the whole tables: their summaries are unioned into one plan, so a gold query shared by
+several candidates is one shared exchange rather than a re-run per candidate (the
+reference re-runs it). The facts come back as one small row per pair and the verdict
+is a ``when`` chain over the facts table.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +23,7 @@ from pyspark.sql import types as T
 from ..plans.governed import GovernedSession
 from ..sources.suite import ABSTAIN, QUESTIONS, fill_candidates, layered_candidates, suite_df
 from ..sources.tables import sql_session
-from .diff_queries import FACT_SCHEMA, compare_sql
+from .diff_queries import FACT_SCHEMA, compare_sql_many
 from .explain import explain_col
 
 # The verdicts, in report order, and their fixed details.
@@ -62,18 +60,15 @@ def _runner(spark: SparkSession, sf_dir: str, role: str):
 
 
 def execution_facts(spark: SparkSession, sf_dir: str, pairs: list[tuple[str, str, bool]],
-                    role: str = "owner", workers: int = 8, runner=None) -> DataFrame:
-    """One fact row per distinct (gold_sql, sql_text, ordered). ``runner`` is a
-    (session, run) pair; by default built for ``role`` over the tables at ``sf_dir``."""
+                    role: str = "owner", runner=None) -> DataFrame:
+    """One fact row per distinct (gold_sql, sql_text, ordered), all compared in one
+    Spark job. ``runner`` is a (session, run) pair; by default built for ``role``
+    over the tables at ``sf_dir``."""
     session, run = runner or _runner(spark, sf_dir, role)
-
-    def one(p):
-        gold, cand, ordered = p
-        row = compare_sql(session, "", gold, cand, ordered, runner=run)
-        row.update(gold_sql=gold, sql_text=cand)
-        return row
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        rows = list(pool.map(one, pairs))
+    specs = [(str(i), gold, cand, ordered) for i, (gold, cand, ordered) in enumerate(pairs)]
+    rows = compare_sql_many(session, specs, runner=run)
+    for r, (gold, cand, _) in zip(rows, pairs):
+        r.update(gold_sql=gold, sql_text=cand)
     schema = T.StructType(FACT_SCHEMA.fields + [T.StructField("gold_sql", T.StringType()),
                                                 T.StructField("sql_text", T.StringType())])
     return spark.createDataFrame([{k: r.get(k) for k in schema.fieldNames()} for r in rows], schema)
