@@ -11,6 +11,7 @@ float noise, duplicated rows, padded text, NULL against zero, wrong order.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,6 +140,7 @@ FACT_SCHEMA = T.StructType([
     T.StructField("single_cell", T.BooleanType()),
     T.StructField("gold_value", T.StringType()), T.StructField("cand_value", T.StringType()),
     T.StructField("gold_number", T.DoubleType()), T.StructField("cand_number", T.DoubleType()),
+    T.StructField("fanout_joins", T.IntegerType()), T.StructField("fanout_factor", T.DoubleType()),
 ])
 
 
@@ -154,7 +156,8 @@ def _side_failure(out) -> tuple[str, str] | None:
         return error_facts(exc)
 
 
-def compare_sql_many(spark: SparkSession, specs: list[tuple[str, str, str, bool]], runner=None) -> list[dict]:
+def compare_sql_many(spark: SparkSession, specs: list[tuple[str, str, str, bool]], runner=None,
+                     audit_joins: bool = False) -> list[dict]:
     """Facts for many comparisons of SQL texts (pair_id, gold_sql, cand_sql, ordered).
 
     ``runner(text) -> QueryOutcome`` decides where SQL runs (default: ``spark``
@@ -173,7 +176,8 @@ def compare_sql_many(spark: SparkSession, specs: list[tuple[str, str, str, bool]
                          cand_unsorted=(not has_global_sort(c.df)) if (ordered and c.ok) else None,
                          gold_rows=None, cand_rows=None, unmatched_gold=None, unmatched_cand=None,
                          bag_equal=False, equal=False, ordered=ordered, approximate=False, single_cell=False,
-                         gold_value=None, cand_value=None, gold_number=None, cand_number=None))
+                         gold_value=None, cand_value=None, gold_number=None, cand_number=None,
+                         fanout_joins=None, fanout_factor=None))
         outcomes[pair_id] = (g, c)
     items = [(r["pair_id"], outcomes[r["pair_id"]][0].df, outcomes[r["pair_id"]][1].df, r["ordered"])
              for r in rows if r["gold_ok"] and r["cand_ok"]]
@@ -200,9 +204,32 @@ def compare_sql_many(spark: SparkSession, specs: list[tuple[str, str, str, bool]
             gv, cv = d.gold_value, d.cand_value
             row.update(single_cell=not d.equal, gold_value=_value_text(gv), cand_value=_value_text(cv),
                        gold_number=_value_number(gv), cand_number=_value_number(cv))
+    if audit_joins:
+        _audit_wrong(rows, outcomes)
     return rows
 
 
+def _audit_wrong(rows: list[dict], outcomes: dict) -> None:
+    """For every candidate that ran and disagreed, did one of its joins change
+    the row count of its FROM side? All audits run as one job."""
+    from .fanout import join_audit
+    audits = []
+    for row in rows:
+        if row["gold_ok"] and row["cand_ok"] and row["gold_rows"] is not None and not row["equal"]:
+            a = join_audit(outcomes[row["pair_id"]][1].df, row["pair_id"])
+            if a is not None:
+                audits.append(a)
+    if not audits:
+        return
+    joint = reduce(DataFrame.unionByName, audits).groupBy("query_id").agg(
+        F.count_if("changed_rows").cast("int").alias("n"), F.max("factor").alias("f"))
+    found = {r["query_id"]: r for r in joint.collect()}
+    for row in rows:
+        if row["pair_id"] in found:
+            row["fanout_joins"] = found[row["pair_id"]]["n"]
+            row["fanout_factor"] = found[row["pair_id"]]["f"]
+
+
 def compare_sql(spark: SparkSession, pair_id: str, gold_sql: str, cand_sql: str, ordered: bool,
                 runner=None) -> dict:
     """All facts about one comparison of two SQL texts; failures are facts too."""

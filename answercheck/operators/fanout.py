@@ -9,11 +9,13 @@ every figure below is one pass over (order, line count).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..registry import query
-from ..sources.tables import cents, table
+from ..sources.tables import cents, shop_cte, table
 from .relational import completed_orders
 
 _CENTS = "CAST(ROUND(o.o_totalprice * 100) AS BIGINT)"
@@ -167,3 +169,60 @@ def total_mismatch(spark, sf_dir):
            .where(F.col("lines_cents") != F.col("total_cents")))
     return bad.agg(F.count(F.lit(1)).alias("mismatched_orders"),
                    F.sum(F.col("lines_cents") - F.col("total_cents")).alias("difference_cents"))
+
+
+# --- T2: the same check on any query ---------------------------------------------------------
+
+def _joins(node, out: list) -> list:
+    """Join nodes of an analyzed plan, outermost first; a view is a table here."""
+    kids = [node.children().apply(i) for i in range(node.children().size())]
+    if node.nodeName() == "SubqueryAlias" and len(kids) == 1 and kids[0].nodeName() == "View":
+        return out
+    if node.nodeName() == "Join":
+        out.append(node)
+    for k in kids:
+        _joins(k, out)
+    return out
+
+
+def join_audit(df: DataFrame, query_id: str = "q") -> DataFrame | None:
+    """M1 for an arbitrary query: for every join it makes, rows in on each side and
+    rows out, in one job (the counts of all inputs and outputs are unioned). A join
+    whose output differs from its left (FROM) side multiplied or dropped those rows,
+    so any aggregate of a left-side column is now weighted. None if there is no join."""
+    from pyspark.sql import DataFrame as DF
+    session = df.sparkSession
+    joins = _joins(df._jdf.queryExecution().analyzed(), [])
+    if not joins:
+        return None
+    ofrows = session._jvm.org.apache.spark.sql.classic.Dataset.ofRows
+    parts = []
+    for i, j in enumerate(joins):
+        for role, plan in (("left", j.left()), ("right", j.right()), ("joined", j)):
+            d = DF(ofrows(session._jsparkSession, plan), session)
+            parts.append(d.agg(F.lit(query_id).alias("query_id"), F.lit(i).alias("join_index"),
+                               F.lit(j.joinType().toString()).alias("join_type"),
+                               F.lit(role).alias("side"), F.count(F.lit(1)).alias("n")))
+    long = reduce(DataFrame.unionByName, parts)
+    wide = long.groupBy("query_id", "join_index", "join_type").pivot("side", ["left", "right", "joined"]).sum("n")
+    return wide.select("query_id", "join_index", "join_type", F.col("left").alias("left_rows"),
+                       F.col("right").alias("right_rows"), F.col("joined").alias("joined_rows"),
+                       (F.col("joined") != F.col("left")).alias("changed_rows"),
+                       F.round(F.col("joined") / F.col("left"), 6).alias("factor"))
+
+
+_FANOUT_SQL = ("SELECT SUM(o.total_cents) FROM shop_orders o JOIN shop_order_items i ON i.order_id = o.id "
+               "WHERE o.status = 'completed'")
+
+
+@query("join_audit", oracle=f"""
+    {shop_cte().rstrip()},
+    c AS (SELECT (SELECT COUNT(*) FROM shop_orders) AS l, (SELECT COUNT(*) FROM shop_order_items) AS r,
+                 (SELECT COUNT(*) FROM shop_orders o JOIN shop_order_items i ON i.order_id = o.id) AS j)
+    SELECT 'fanout' AS query_id, 0 AS join_index, 'Inner' AS join_type, l AS left_rows, r AS right_rows,
+           j AS joined_rows, j <> l AS changed_rows, ROUND(j / l, 6) AS factor FROM c""")
+def join_audit_q(spark, sf_dir):
+    """The fan-out check applied to the shop-vocabulary fan-out query itself."""
+    from ..sources.tables import sql_session
+    s = sql_session(spark, sf_dir)
+    return join_audit(s.sql(_FANOUT_SQL), "fanout")

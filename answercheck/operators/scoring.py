@@ -66,7 +66,7 @@ def execution_facts(spark: SparkSession, sf_dir: str, pairs: list[tuple[str, str
     over the tables at ``sf_dir``."""
     session, run = runner or _runner(spark, sf_dir, role)
     specs = [(str(i), gold, cand, ordered) for i, (gold, cand, ordered) in enumerate(pairs)]
-    rows = compare_sql_many(session, specs, runner=run)
+    rows = compare_sql_many(session, specs, runner=run, audit_joins=True)
     for r, (gold, cand, _) in zip(rows, pairs):
         r.update(gold_sql=gold, sql_text=cand)
     schema = T.StructType(FACT_SCHEMA.fields + [T.StructField("gold_sql", T.StringType()),
@@ -113,6 +113,8 @@ def score(spark: SparkSession, sf_dir: str, candidates: DataFrame, role: str = "
          & (F.col("gold_ok") == F.lit(False))).alias("gold_broken"),
         detail_col().alias("detail"),
         F.col("cand_unsorted"),
+        (F.coalesce(F.col("fanout_joins"), F.lit(0)) > 0).alias("fanout_suspected"),
+        F.col("fanout_factor"),
         F.lit(role).alias("role"),
     )
     return out
