@@ -122,3 +122,9 @@ def test_refusal_classifier_column(spark):
     df = spark.createDataFrame([("access to X is prohibited",), ("syntax error",)], "m string")
     got = [r[0] for r in df.select(F.lower("m").rlike("is prohibited|readonly database|not authorized")).collect()]
     assert got == [True, False]
+
+
+def test_row_filters_limit_what_a_tenant_sees(spark):
+    g = GovernedSession(spark, views=fixture_views, row_filters={"shop_orders": "customer_id = 4"})
+    assert g.sql("SELECT COUNT(*) FROM shop_orders").first()[0] == 2
+    assert g.run("SELECT email FROM shop_customers").denied
