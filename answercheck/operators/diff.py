@@ -237,8 +237,15 @@ def _rank_in_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
             .select(*[F.col(c) for c in df.columns], (F.col("_gpos") - F.col("_first")).alias("_rank")))
 
 
+def _rank_small(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``_rank_in_group`` for a result whose measured size is at most SMALL_RESULT
+    rows: a plain window, since no group can exceed that bound."""
+    w = Window.partitionBy(*keys).orderBy(*[F.col(k).asc_nulls_first() for k in order])
+    return df.withColumn("_rank", F.row_number().over(w) - 1)
+
+
 def repair_unmatched(g: DataFrame, c: DataFrame, kinds: list[str], groups: DataFrame,
-                     tol: float) -> tuple[int, int]:
+                     tol: float, small: bool = False) -> tuple[int, int]:
     """Re-pair every exact-key group that holds a disagreement; return rows left
     without a partner on (gold, candidate) side."""
     exact = [f"c{i}" for i, k in enumerate(kinds) if k != "float"]
@@ -252,7 +259,7 @@ def repair_unmatched(g: DataFrame, c: DataFrame, kinds: list[str], groups: DataF
     else:
         g_in, c_in = g, c
     both = (g_in.withColumn("_side", F.lit(0)).unionByName(c_in.withColumn("_side", F.lit(1))))
-    ranked = _rank_in_group(both, exact + ["_side"], floats)
+    ranked = (_rank_small if small else _rank_in_group)(both, exact + ["_side"], floats)
     gr = ranked.where(F.col("_side") == 0).alias("g")
     cr = ranked.where(F.col("_side") == 1).alias("c")
     on = [F.col(f"g.{k}").eqNullSafe(F.col(f"c.{k}")) for k in exact] + [F.col("g._rank") == F.col("c._rank")]
@@ -359,13 +366,15 @@ def _finish(row, gold: DataFrame, cand: DataFrame, kinds: list[str], ordered: bo
         else:
             g, c, _ = align(gold, cand)
             groups = signed_groups(g, c, kinds)
-            out.unmatched_gold, out.unmatched_cand = repair_unmatched(g, c, kinds, groups, tol)
+            small = out.gold_rows + out.cand_rows <= SMALL_RESULT   # measured by the first job
+            out.unmatched_gold, out.unmatched_cand = repair_unmatched(g, c, kinds, groups, tol, small)
             out.approximate = kinds.count("float") > 1 and bool(out.unmatched_gold or out.unmatched_cand)
     out.bag_equal = out.unmatched_gold == 0 and out.unmatched_cand == 0
     out.equal = out.bag_equal
     if ordered and out.bag_equal and out.gold_rows > 1:
         g, c, _ = align(gold, cand)
-        bounds = (limit_bound(gold), limit_bound(cand))
+        # Sizes measured by the first job bound both sides as well as a literal LIMIT.
+        bounds = (limit_bound(gold) or out.gold_rows, limit_bound(cand) or out.cand_rows)
         out.equal = ordered_mismatches(g, c, kinds, tol, bounds) == 0
     return out
 
