@@ -89,21 +89,22 @@ def token_dice_sql(a: str, b: str) -> str:
 def token_overlap(pairs: DataFrame, key: list[str], left: str, right: str) -> DataFrame:
     """P1 for texts of any length: per pair key, the multiset token overlap 2*M/T.
 
-    Tokens are exploded and counted per (pair, side, token); the two sides meet in
-    a join on (pair, token). A pair holding one enormous text is spread over tasks
-    by token, never collected into one row."""
-    def side(col: str, name: str) -> DataFrame:
-        return (pairs.select(*key, F.explode(tokens(F.col(col))).alias("token"))
-                .groupBy(*key, "token").agg(F.count(F.lit(1)).alias(name)))
-    a, b = side(left, "na"), side(right, "nb")
-    common = (a.join(b, key + ["token"]).groupBy(*key)
-              .agg(F.sum(F.least("na", "nb")).alias("matched")))
-    sizes = pairs.select(*key, (F.size(tokens(F.col(left))) + F.size(tokens(F.col(right)))).alias("total"))
-    out = sizes.join(common, key, "left")
-    m = F.coalesce(F.col("matched"), F.lit(0))
-    return out.select(*key, F.col("total").alias("tokens"), m.alias("matched"),
-                      F.when(F.col("total") == 0, F.lit(1.0))
-                      .otherwise(F.round(F.lit(2.0) * m / F.col("total"), 6)).alias("overlap"))
+    Each text is tokenized once; both sides' tokens are exploded together, tagged by
+    side, and counted per (pair, token) in one aggregation (no join), then summed per
+    pair. A pair holding one enormous text is spread over tasks by token, never held
+    in one row. ``explode_outer`` keeps pairs whose texts have no tokens (overlap 1.0)."""
+    tagged = F.concat(F.transform(tokens(F.col(left)), lambda t: F.struct(F.lit(0).alias("s"), t.alias("t"))),
+                      F.transform(tokens(F.col(right)), lambda t: F.struct(F.lit(1).alias("s"), t.alias("t"))))
+    per_token = (pairs.select(*key, F.explode_outer(tagged).alias("x"))
+                 .groupBy(*key, F.col("x.t").alias("token"))
+                 .agg(F.count_if(F.col("x.s") == 0).alias("na"), F.count_if(F.col("x.s") == 1).alias("nb")))
+    per_pair = per_token.groupBy(*key).agg(
+        F.sum(F.col("na") + F.col("nb")).alias("total"),
+        F.sum(F.when(F.col("token").isNotNull(), F.least("na", "nb"))).alias("matched"))
+    m = F.coalesce(F.col("matched"), F.lit(0)).cast("long")
+    return per_pair.select(*key, F.col("total").cast("int").alias("tokens"), m.alias("matched"),
+                           F.when(F.col("total") == 0, F.lit(1.0))
+                           .otherwise(F.round(F.lit(2.0) * m / F.col("total"), 6)).alias("overlap"))
 
 
 @F.pandas_udf(T.DoubleType())
