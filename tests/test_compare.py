@@ -215,3 +215,39 @@ def test_dropping_or_duplicating_one_row_always_breaks_equality(spark, rows, pic
     c = spark.createDataFrame(other, SCHEMA)
     assert not eq(g, c)
     assert not math.isnan(sum(x for _, x in rows))
+
+
+# --- the large-result paths (forced by lowering the small-result bound) -----------------------
+
+@pytest.fixture
+def large_paths(monkeypatch):
+    import answercheck.operators.diff as D
+    monkeypatch.setattr(D, "SMALL_RESULT", 10)
+
+
+def test_hot_group_repair_on_the_global_sort_path(spark, large_paths):
+    n = 4000
+    g = spark.range(n).repartition(7).select(
+        F.when(F.col("id") < 3000, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        (F.col("id") / 7).alias("x"))
+    c = g.select("k", (F.col("x") + F.when(F.col("x") > 100, 4e-7).otherwise(-4e-7)).alias("x"))
+    assert eq(g, c)
+    c2 = c.select("k", F.when(F.col("x") > 500, F.col("x") + 1e-3).otherwise(F.col("x")).alias("x"))
+    d = compare(g, c2)
+    assert not d.equal and d.unmatched_gold > 0 and d.unmatched_gold == d.unmatched_cand
+
+
+def test_positions_of_a_large_sorted_result_span_partitions(spark, large_paths):
+    from answercheck.operators.diff import with_position
+    df = spark.range(5000).repartition(6).orderBy(F.col("id").desc())
+    pos = {r.id: r._pos for r in with_position(df).collect()}
+    assert all(pos[i] == 4999 - i for i in range(5000))
+
+
+def test_ordered_comparison_of_large_results(spark, large_paths):
+    g = spark.range(3000).toDF("a").repartition(5).orderBy("a")
+    same = spark.range(3000).toDF("a").repartition(3).orderBy("a")
+    rev = spark.range(3000).toDF("a").orderBy(F.col("a").desc())
+    assert eq(g, same, ordered=True)
+    d = compare(g, rev, ordered=True)
+    assert d.bag_equal and not d.equal
