@@ -38,11 +38,30 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 _NAMES = ", ".join(f"'{t}'" for t in TABLE_NAMES)
 
 
-@query("schema_catalog", oracle=f"""
-    SELECT DISTINCT table_name, CAST(ordinal_position AS INTEGER) AS ordinal, column_name
-    FROM information_schema.columns WHERE table_name IN ({_NAMES})""")
+def _catalog_oracle() -> str:
+    from ..sources.tables import SCHEMAS
+    counts = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT({c}) AS non_null_values FROM {t}"
+        for t in TABLE_NAMES for c in SCHEMAS[t].fieldNames())
+    return f"""
+    SELECT DISTINCT i.table_name, CAST(i.ordinal_position AS INTEGER) AS ordinal, i.column_name, n.non_null_values
+    FROM information_schema.columns i JOIN ({counts}) n ON n.table_name = i.table_name AND n.column_name = i.column_name
+    WHERE i.table_name IN ({_NAMES})"""
+
+
+@query("schema_catalog", oracle=_catalog_oracle())
 def schema_catalog(spark, sf_dir):
-    return catalog(spark, sf_dir).select("table_name", "ordinal", "column_name")
+    """The catalog with a profile: per column, how many values are present. One
+    aggregate per table counts every column in a single pass."""
+    cat = catalog(spark, sf_dir).select("table_name", "ordinal", "column_name")
+    frames = []
+    for t in TABLE_NAMES:
+        df = table(spark, sf_dir, t)
+        counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+        frames.append(counts.select(F.lit(t).alias("table_name"), F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).alias("non_null_values")) for c in df.columns
+        ])).alias("x")).select("table_name", "x.column_name", "x.non_null_values"))
+    return cat.join(reduce(DataFrame.unionByName, frames), ["table_name", "column_name"])
 
 
 def ddl(catalog_df: DataFrame) -> DataFrame:

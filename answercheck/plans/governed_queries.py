@@ -157,14 +157,24 @@ def refusal_classifier(spark, sf_dir):
 
 @query("policy_listing")
 def policy_listing(spark, sf_dir):
-    """The boundary as a table: every governed column with its rule."""
+    """The boundary as a table: every governed column with its rule, and how many
+    values of it the analyst can actually read (counted through the governed session,
+    one aggregate per view; NULL where the rule denies the column)."""
     gov = GovernedSession(spark, sf_dir)
-    rows = [("*", "*", "read_only")]
+    frames = []
     for view in sorted(gov.views):
-        for col in gov.session.table(view).columns:
-            rule = "deny" if (view, col.lower()) in gov.denied else "allow"
-            rows.append((view, col, rule))
-    return spark.createDataFrame(rows, "table_name string, column_name string, rule string")
+        cols = gov.session.table(view).columns
+        allowed = [c for c in cols if (view, c.lower()) not in gov.denied]
+        counts = gov.sql(f"SELECT {', '.join(f'COUNT({c}) AS {c}' for c in allowed)} FROM {view}")
+        frames.append(counts.select(F.explode(F.array(*[
+            F.struct(F.lit(view).alias("table_name"), F.lit(c).alias("column_name"),
+                     F.lit("deny" if c not in allowed else "allow").alias("rule"),
+                     (F.col(c) if c in allowed else F.lit(None).cast("long")).alias("readable_values"))
+            for c in cols])).alias("x")).select("x.*"))
+    listing = reduce(DataFrame.unionByName, frames)
+    whole = spark.createDataFrame([("*", "*", "read_only", None)],
+                                  "table_name string, column_name string, rule string, readable_values long")
+    return whole.unionByName(listing)
 
 
 @query("table_fingerprint", oracle=shop_cte() + """
