@@ -386,12 +386,29 @@ def compare(gold: DataFrame, cand: DataFrame, ordered: bool = False, tol: float
     return _finish(summary.first(), gold, cand, kinds, ordered, tol)
 
 
-def compare_batch(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: float = TOLERANCE) -> dict:
-    """Compare many pairs in one Spark job: the per-pair summaries are unioned into
-    one plan, so their stages run together and identical sub-plans (the same gold
-    query under several candidates) share their exchanges. If the joint job fails,
-    the pairs are compared one by one and each result is a ``Diff`` or the exception
-    its own comparison raised."""
+# Pairs per comparison job: enough to share gold queries and fill the cluster, few
+# enough that the unioned plan stays small for the optimizer.
+BATCH = 32
+
+
+def compare_batch(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: float = TOLERANCE,
+                  batch: int | None = None, workers: int = 4) -> dict:
+    """Compare many pairs, ``batch`` pairs per Spark job. Within a job the per-pair
+    summaries are unioned into one plan, so their stages run together and identical
+    sub-plans (the same gold query under several candidates) share their exchanges;
+    a few jobs run at once from threads. If a job fails, its pairs are compared one
+    by one and each result is a ``Diff`` or the exception its own comparison raised."""
+    from concurrent.futures import ThreadPoolExecutor
+    size = batch or BATCH
+    chunks = [items[i:i + size] for i in range(0, len(items), size)]
+    out: dict = {}
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        for part in pool.map(lambda ch: _compare_chunk(ch, tol), chunks):
+            out.update(part)
+    return out
+
+
+def _compare_chunk(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: float) -> dict:
     if not items:
         return {}
     # Building a summary analyses its plan on the driver; do that from threads.

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ..plans.execute import has_global_sort, run_sql
 from ..registry import query
 from ..sources.tables import sql_session
-from .diff import align, compare, compare_batch, limit_bound, ordered_pairs, residual_rows, strip_ws_sql
+from .diff import BATCH, align, compare, compare_batch, limit_bound, ordered_pairs, residual_rows, strip_ws_sql
 from .explain import explain_col, explain_sql
 
 _CENTS = "CAST(ROUND(o_totalprice * 100) AS BIGINT)"
@@ -221,9 +221,11 @@ def _audit_wrong(rows: list[dict], outcomes: dict) -> None:
                 audits.append(a)
     if not audits:
         return
-    joint = reduce(DataFrame.unionByName, audits).groupBy("query_id").agg(
-        F.count_if("changed_rows").cast("int").alias("n"), F.max("factor").alias("f"))
-    found = {r["query_id"]: r for r in joint.collect()}
+    found = {}
+    for i in range(0, len(audits), BATCH):   # bounded plans, as for the comparisons
+        joint = reduce(DataFrame.unionByName, audits[i:i + BATCH]).groupBy("query_id").agg(
+            F.count_if("changed_rows").cast("int").alias("n"), F.max("factor").alias("f"))
+        found.update({r["query_id"]: r for r in joint.collect()})
     for row in rows:
         if row["pair_id"] in found:
             row["fanout_joins"] = found[row["pair_id"]]["n"]

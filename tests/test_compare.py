@@ -251,3 +251,11 @@ def test_ordered_comparison_of_large_results(spark, large_paths):
     assert eq(g, same, ordered=True)
     d = compare(g, rev, ordered=True)
     assert d.bag_equal and not d.equal
+
+
+def test_batches_split_and_keep_every_result(spark):
+    from answercheck.operators.diff import compare_batch
+    items = [(str(i), R(spark, [(i,)]), R(spark, [(i if i % 3 else i + 1,)]), False) for i in range(7)]
+    out = compare_batch(items, batch=3)
+    assert sorted(out) == sorted(str(i) for i in range(7))
+    assert [out[str(i)].equal for i in range(7)] == [bool(i % 3) for i in range(7)]
