@@ -39,6 +39,11 @@ def error_facts(exc: BaseException) -> tuple[str, str]:
             condition = None
     name = type(exc).__name__
     message = str(exc).strip().splitlines()[0] if str(exc).strip() else name
+    if condition is None:
+        # Errors wrapped at action time still carry their condition in the text.
+        import re
+        found = re.search(r"\[([A-Z][A-Z0-9_]+(?:\.[A-Z0-9_]+)*)\]", str(exc))
+        condition = found.group(1) if found else None
     if condition is None:
         # Py4J wraps JVM errors that escape at action time: keep the JVM class name.
         java = getattr(exc, "java_exception", None)

@@ -113,3 +113,37 @@ def test_nation_is_the_only_broadcast_in_revenue_by_country(spark):
     q = QUERIES["revenue_by_country"](spark, SF001)
     logical = q._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in logical.lower()
+
+
+# --- rows-only keys: their content, pinned here since the driver checks rows only -------------
+
+def test_boundary_keys_hold(spark):
+    rows = QUERIES["column_denials"](spark, SF001).collect()
+    assert all(r.expected == r.outcome for r in rows), [tuple(r) for r in rows if r.expected != r.outcome]
+    writes = QUERIES["write_refusals"](spark, SF001).collect()
+    assert all(r.refused and r.data_unchanged for r in writes)
+    m = {r.attempt: r for r in QUERIES["access_matrix"](spark, SF001).collect()}
+    assert m["the protected column asked for"].analyst == "BLOCKED"
+    assert m["an ordinary analytics question"].analyst == "allowed"
+    pol = {(r.table_name, r.column_name): r for r in QUERIES["policy_listing"](spark, SF001).collect()}
+    assert pol[("shop_customers", "email")].rule == "deny" and pol[("shop_customers", "email")].readable_values is None
+
+
+def test_error_taxonomy_phases(spark):
+    t = {r.statement_id: (r.phase, r.condition) for r in QUERIES["error_taxonomy"](spark, SF001).collect()}
+    assert t["parse_error"] == ("analysis", "PARSE_SYNTAX_ERROR")
+    assert t["missing_table"] == ("analysis", "TABLE_OR_VIEW_NOT_FOUND")
+    assert t["bad_cast_at_runtime"] == ("execution", "CAST_INVALID_INPUT")
+    assert t["divide_by_zero_at_runtime"] == ("execution", "DIVIDE_BY_ZERO")
+    assert t["scalar_subquery_rows"] == ("execution", "SCALAR_SUBQUERY_TOO_MANY_ROWS")
+    assert t["works"][0] == "ok"
+
+
+def test_token_similarity_is_difflib(spark):
+    import difflib
+    from answercheck.functions.text_queries import _turn_pairs
+    got = {(r.conv_id, r.turn): r.similarity for r in QUERIES["token_similarity"](spark, SF001).collect()}
+    pairs = _turn_pairs(spark, SF001).collect()
+    for p in pairs[:50]:
+        want = round(difflib.SequenceMatcher(None, p.text.split(), p.reply.split()).ratio(), 6)
+        assert got[(p.conv_id, p.turn)] == want
