@@ -94,3 +94,11 @@ def test_scalar_capped_and_sort_detection(spark):
     preview, flag = capped(df.orderBy("a"))
     assert preview.count() == 1000 and flag.first().truncated
     assert has_global_sort(df.orderBy("a").limit(3)) and not has_global_sort(df.limit(3))
+
+
+def test_ddl_export_and_catalog(spark):
+    from answercheck.plans.catalog import catalog, ddl
+    from .conftest import SF001
+    d = {r.table_name: r.ddl for r in ddl(catalog(spark, SF001)).collect()}
+    assert d["nation"] == "CREATE TABLE nation (n_nationkey INT, n_name STRING, n_regionkey INT)"
+    assert len(d) == 14

@@ -128,3 +128,10 @@ def test_row_filters_limit_what_a_tenant_sees(spark):
     g = GovernedSession(spark, views=fixture_views, row_filters={"shop_orders": "customer_id = 4"})
     assert g.sql("SELECT COUNT(*) FROM shop_orders").first()[0] == 2
     assert g.run("SELECT email FROM shop_customers").denied
+
+
+def test_a_same_named_view_elsewhere_is_not_governed(spark, analyst):
+    spark.createDataFrame([(1, "x@y.z")], "id long, email string").createOrReplaceGlobalTempView("shop_customers")
+    out = analyst.run("SELECT id FROM global_temp.shop_customers")
+    assert not out.ok and out.denied
+    assert analyst.run("SELECT id FROM shop_customers").ok
