@@ -3,9 +3,9 @@
 The reference keeps metric definitions as prose in a prompt and runs one query per
 number. Here a definition is a row: a measure and a filter as SQL expressions over
 one source, and the period column it is booked on. All metrics of one source become
-conditional sums in a single aggregate, so five revenue definitions cost one pass over
-orders, and the refund side one pass over lineitem. Derived metrics (net) combine
-those sums afterwards on a one-row result.
+conditional sums in a single aggregate: every metric, whatever its source, costs one
+pass over orders and one over lineitem together. Derived metrics (net) are arithmetic
+on the one-row result.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..registry import query
 from ..sources.tables import cents, table
-from .relational import MONTH_END, MONTH_START, first_ship
+from .relational import MONTH_END, MONTH_START
 
 
 @dataclass(frozen=True)
@@ -44,48 +44,46 @@ REGISTRY: tuple[Metric, ...] = (
 DERIVED = {"net_revenue": ("gross_revenue", "refunds")}   # a - coalesce(b, 0)
 
 
-def _orders_source(spark: SparkSession, sf_dir: str, need_shipped: bool) -> DataFrame:
+def _line_columns() -> list:
+    """Refund lines as the refunds source sees them, one row per line."""
+    return [F.col("l_orderkey"), F.col("l_shipdate"),
+            (F.col("l_returnflag") == "R").alias("is_refund"),
+            cents(F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("amount_cents"),
+            F.col("l_shipdate").cast("date").alias("refunded_at")]
+
+
+def compile_metrics(spark: SparkSession, sf_dir: str, registry=REGISTRY) -> DataFrame:
+    """One row per metric: (metric, value_cents), reading each table once.
+
+    Line-level metrics (refunds) are summed per order inside the one lineitem
+    aggregate that also yields each order's first ship date; that per-order row is
+    FULL OUTER joined to orders (so refunds of lines without an order still count),
+    and a single aggregate evaluates every metric. A key holding a third of the lines
+    collapses map-side in the per-order aggregate."""
+    order_ms = [m for m in registry if m.source == "orders"]
+    line_ms = [m for m in registry if m.source == "refunds"]
+    unknown = {m.source for m in registry} - {"orders", "refunds"}
+    if unknown:
+        raise ValueError(f"unknown metric source {unknown}")
+    need_ship = any("shipped_at" in m.filter or "shipped_at" in m.measure for m in order_ms)
     o = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status_code"),
         F.col("o_orderdate").cast("date").alias("ordered_at"),
         cents(F.col("o_totalprice")).alias("total_cents"))
-    if need_shipped:
-        s = first_ship(spark, sf_dir)
-        o = o.join(s, o.id == s.l_orderkey, "left").drop("l_orderkey")
-    return o
-
-
-def _refunds_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
-    return li.select(cents(F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("amount_cents"))
-
-
-def compile_metrics(spark: SparkSession, sf_dir: str, registry=REGISTRY) -> DataFrame:
-    """One row per metric: (metric, value_cents). One aggregate per source, each
-    unpivoted to rows; derived metrics are one more aggregate over those few rows."""
-    by_source: dict[str, list[Metric]] = {}
-    for m in registry:
-        by_source.setdefault(m.source, []).append(m)
-    long = None
-    for source, metrics in by_source.items():
-        if source == "orders":
-            need = any("shipped_at" in m.filter or "shipped_at" in m.measure for m in metrics)
-            df = _orders_source(spark, sf_dir, need)
-        elif source == "refunds":
-            df = _refunds_source(spark, sf_dir)
-        else:
-            raise ValueError(f"unknown metric source {source}")
-        agg = df.agg(*[F.sum(F.when(F.expr(m.filter), F.expr(m.measure))).cast("bigint").alias(m.name)
-                       for m in metrics])
-        rows = agg.select(F.explode(F.array(*[
-            F.struct(F.lit(m.name).alias("metric"), F.col(m.name).alias("value_cents")) for m in metrics
-        ])).alias("m")).select("m.metric", "m.value_cents")
-        long = rows if long is None else long.unionByName(rows)
-    # One more aggregate over the few metric rows: each source is read once, and
-    # derived metrics are arithmetic on the resulting single row.
-    name, v = F.col("metric"), F.col("value_cents")
+    per_order_aggs = ([F.min("l_shipdate").cast("date").alias("shipped_at")] if need_ship else []) + [
+        F.sum(F.when(F.col("is_refund") & F.expr(m.filter), F.expr(m.measure))).alias(f"_l_{m.name}")
+        for m in line_ms]
+    if per_order_aggs:
+        lines = (table(spark, sf_dir, "lineitem").select(*_line_columns())
+                 .groupBy("l_orderkey").agg(*per_order_aggs))
+        base = o.join(lines, o.id == lines.l_orderkey, "full_outer") if line_ms else \
+            o.join(lines, o.id == lines.l_orderkey, "left")
+    else:
+        base = o
+    aggs = [F.sum(F.when(F.expr(m.filter), F.expr(m.measure))).cast("bigint").alias(m.name) for m in order_ms]
+    aggs += [F.sum(f"_l_{m.name}").cast("bigint").alias(m.name) for m in line_ms]
+    wide = base.agg(*aggs)
     names = [m.name for m in registry]
-    wide = long.agg(*[F.max(F.when(name == n, v)).alias(n) for n in names])
     for derived, (a, b) in DERIVED.items():
         wide = wide.withColumn(derived, F.col(a) - F.coalesce(F.col(b), F.lit(0).cast("bigint")))
         names.append(derived)

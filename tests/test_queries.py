@@ -104,9 +104,9 @@ def test_left_join_repair_is_planned_without_a_join(spark):
     assert "Join" not in p
 
 
-def test_metric_registry_reads_orders_once(spark):
+def test_metric_registry_reads_each_table_once(spark):
     p = _plan(QUERIES["metric_table"](spark, SF001))
-    assert p.count("orders.parquet") == 1
+    assert p.count("orders.parquet") == 1 and p.count("lineitem.parquet") == 1
 
 
 def test_nation_is_the_only_broadcast_in_revenue_by_country(spark):
