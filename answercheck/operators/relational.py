@@ -29,7 +29,7 @@ def completed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ts(day: str):
-    return F.lit(day).cast("timestamp")
+    return F.lit(day).cast("timestamp_ntz")
 
 
 # --- D1 / M4 / N2 -----------------------------------------------------------------

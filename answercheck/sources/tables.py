@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-L, I, D, S, TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampType()
+# The files store timestamps without a zone (isAdjustedToUTC=false): read them as
+# TIMESTAMP_NTZ, so dates and comparisons do not depend on the session time zone.
+L, I, D, S, TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
 
 
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
