@@ -299,9 +299,14 @@ class Diff:
         return d
 
 
-def _summary(key: str, gold: DataFrame, cand: DataFrame) -> tuple[DataFrame, list[str]]:
+def _summary(key: str, gold: DataFrame, cand: DataFrame, ordered: bool = False) -> tuple[DataFrame, list[str]]:
     """One row of counts for a comparison: rows and unmatched rows per side, and for a
-    single-column result its cell per side (as text and as a number)."""
+    single-column result its cell per side (as text and as a number).
+
+    For an ordered comparison whose sides are both bounded by a literal LIMIT of at
+    most SMALL_RESULT rows, a second row (``pid`` + ORDERED_SUFFIX, positional
+    mismatches in ``g``) is unioned in, so the position check runs in the same job
+    and shares its exchanges instead of re-running both queries afterwards."""
     ga, ca = len(gold.columns), len(cand.columns)
     none_s, none_d = F.lit(None).cast("string"), F.lit(None).cast("double")
     if ga != ca:
@@ -317,7 +322,7 @@ def _summary(key: str, gold: DataFrame, cand: DataFrame) -> tuple[DataFrame, lis
     d = F.col("n_gold") - F.col("n_cand")
     numeric = single and kinds[0] in ("exact", "float")
     gv, cv = F.max("raw_gold"), F.max("raw_cand")
-    return groups.agg(
+    out = groups.agg(
         F.lit(key).alias("pid"),
         F.coalesce(F.sum("n_gold"), F.lit(0)).cast("long").alias("g"),
         F.coalesce(F.sum("n_cand"), F.lit(0)).cast("long").alias("c"),
@@ -326,7 +331,20 @@ def _summary(key: str, gold: DataFrame, cand: DataFrame) -> tuple[DataFrame, lis
         (gv.cast("string") if single else none_s).alias("gv_s"),
         (cv.cast("string") if single else none_s).alias("cv_s"),
         (gv.cast("double") if numeric else none_d).alias("gv_d"),
-        (cv.cast("double") if numeric else none_d).alias("cv_d")), kinds
+        (cv.cast("double") if numeric else none_d).alias("cv_d"))
+    bounds = (limit_bound(gold), limit_bound(cand)) if ordered else (None, None)
+    if all(b is not None and b <= SMALL_RESULT for b in bounds):
+        none_l = F.lit(None).cast("long")
+        pos = ordered_pairs(ga_, ca_, kinds, TOLERANCE, bounds).agg(
+            F.lit(key + ORDERED_SUFFIX).alias("pid"), F.count_if(~F.col("same")).cast("long").alias("g"),
+            none_l.alias("c"), none_l.alias("ug"), none_l.alias("uc"), none_s.alias("gv_s"),
+            none_s.alias("cv_s"), none_d.alias("gv_d"), none_d.alias("cv_d"))
+        out = out.unionByName(pos)
+    return out, kinds
+
+
+# Marks the positional-mismatch row of an ordered comparison in a summary.
+ORDERED_SUFFIX = "#positions"
 
 
 def _cell(kind: str, text, number):
@@ -342,9 +360,11 @@ def _cell(kind: str, text, number):
     return text
 
 
-def _finish(row, gold: DataFrame, cand: DataFrame, kinds: list[str], ordered: bool, tol: float) -> Diff:
+def _finish(row, gold: DataFrame, cand: DataFrame, kinds: list[str], ordered: bool, tol: float,
+            positions=None) -> Diff:
     """Turn a summary row into a Diff; run the extra jobs only where needed (float
-    re-pairing of a multi-row result, or a position check of an ordered one)."""
+    re-pairing of a multi-row result, or a position check of an ordered one that the
+    summary job did not already do: ``positions`` is its row, if it did)."""
     ga, ca = len(gold.columns), len(cand.columns)
     out = Diff(gold_arity=ga, cand_arity=ca, arity_match=ga == ca, ordered=ordered, kinds=kinds)
     out.gold_rows, out.cand_rows = int(row["g"]), int(row["c"])
@@ -371,7 +391,9 @@ def _finish(row, gold: DataFrame, cand: DataFrame, kinds: list[str], ordered: bo
             out.approximate = kinds.count("float") > 1 and bool(out.unmatched_gold or out.unmatched_cand)
     out.bag_equal = out.unmatched_gold == 0 and out.unmatched_cand == 0
     out.equal = out.bag_equal
-    if ordered and out.bag_equal and out.gold_rows > 1:
+    if ordered and out.bag_equal and out.gold_rows > 1 and positions is not None and tol == TOLERANCE:
+        out.equal = int(positions["g"]) == 0
+    elif ordered and out.bag_equal and out.gold_rows > 1:
         g, c, _ = align(gold, cand)
         # Sizes measured by the first job bound both sides as well as a literal LIMIT.
         bounds = (limit_bound(gold) or out.gold_rows, limit_bound(cand) or out.cand_rows)
@@ -382,8 +404,9 @@ def _finish(row, gold: DataFrame, cand: DataFrame, kinds: list[str], ordered: bo
 def compare(gold: DataFrame, cand: DataFrame, ordered: bool = False, tol: float = TOLERANCE) -> Diff:
     """Compare two results. Eager: one job for the grouped counts, more only when
     floats need re-pairing or an order must be checked."""
-    summary, kinds = _summary("x", gold, cand)
-    return _finish(summary.first(), gold, cand, kinds, ordered, tol)
+    summary, kinds = _summary("x", gold, cand, ordered)
+    rows = {r["pid"]: r for r in summary.collect()}
+    return _finish(rows["x"], gold, cand, kinds, ordered, tol, rows.get("x" + ORDERED_SUFFIX))
 
 
 # Pairs per comparison job: enough to share gold queries and fill the cluster, few
@@ -414,7 +437,7 @@ def _compare_chunk(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: flo
     # Building a summary analyses its plan on the driver; do that from threads.
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=8) as pool:
-        summaries = list(pool.map(lambda it: _summary(it[0], it[1], it[2]), items))
+        summaries = list(pool.map(lambda it: _summary(it[0], it[1], it[2], it[3]), items))
     parts = [(sm, g, c, o) for sm, (k, g, c, o) in zip(summaries, items)]
     try:
         joint = reduce(DataFrame.unionByName, [p[0][0] for p in parts])
@@ -430,7 +453,7 @@ def _compare_chunk(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: flo
     out = {}
     for (k, g, c, o), ((_, kinds), *_rest) in zip(items, parts):
         try:
-            out[k] = _finish(rows[k], g, c, kinds, o, tol)
+            out[k] = _finish(rows[k], g, c, kinds, o, tol, rows.get(k + ORDERED_SUFFIX))
         except Exception as exc:  # noqa: BLE001
             out[k] = exc
     return out

@@ -259,3 +259,24 @@ def test_batches_split_and_keep_every_result(spark):
     out = compare_batch(items, batch=3)
     assert sorted(out) == sorted(str(i) for i in range(7))
     assert [out[str(i)].equal for i in range(7)] == [bool(i % 3) for i in range(7)]
+
+
+def test_top_k_order_is_checked_inside_the_summary_job(spark, monkeypatch):
+    """Both sides bounded by a literal LIMIT: the position check is a second row of
+    the first job, and no separate position job runs afterwards."""
+    from answercheck.operators import diff as D
+    from answercheck.operators.diff import ORDERED_SUFFIX, _summary
+    base = spark.range(50).select((F.col("id") % 7).alias("a"), F.col("id").alias("b"))
+    g = base.orderBy(F.col("b").desc()).limit(5)
+    same = base.orderBy(F.col("b").desc()).limit(5)
+    summary, _ = _summary("k", g, same, ordered=True)
+    assert sorted(r["pid"] for r in summary.collect()) == ["k", "k" + ORDERED_SUFFIX]
+
+    def no_second_job(*a, **k):
+        raise AssertionError("position check ran as a separate job")
+    monkeypatch.setattr(D, "ordered_mismatches", no_second_job)
+    assert eq(g, same, ordered=True)
+    g3 = base.where(F.col("b") < 3).orderBy("b").limit(3)
+    c3 = base.where(F.col("b") < 3).orderBy(F.col("b").desc()).limit(3)
+    d3 = compare(g3, c3, ordered=True)
+    assert d3.bag_equal and not d3.equal
