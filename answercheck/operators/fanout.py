@@ -185,30 +185,108 @@ def _joins(node, out: list) -> list:
     return out
 
 
+def _key_column(expr, plan):
+    """A join key as a column of ``plan``'s positional rename (``_0``, ``_1``...): a
+    plain column reference, possibly under the cast the analyzer added. None for any
+    other expression."""
+    cast_to = None
+    if expr.nodeName() == "Cast":
+        cast_to, expr = expr.dataType().sql(), expr.child()
+    if expr.nodeName() != "AttributeReference":
+        return None
+    out = plan.output()
+    ids = [out.apply(i).exprId().id() for i in range(out.size())]
+    if expr.exprId().id() not in ids:
+        return None
+    col = F.col(f"_{ids.index(expr.exprId().id())}")
+    return col.cast(cast_to) if cast_to else col
+
+
+# Join types whose output size follows from the per-key row counts of both sides.
+_BY_KEYS = ("Inner", "LeftOuter", "RightOuter", "FullOuter", "LeftSemi", "LeftAnti")
+
+
+def _counts_by_keys(session, j, ofrows):
+    """Rows in on each side and rows out of an equi-join, without building its output.
+
+    Each side is counted per key value (one aggregate, combined map-side, so a key
+    holding a third of all rows is one partial row per task); the two count tables
+    are full-outer-joined on the key, one row per key and side, and the output size
+    is the sum of ``left * right`` over keys (plus unmatched rows for outer joins).
+    Exact for equality keys; a many-to-many hot key is never expanded. None if the
+    join has another condition or a key that is not a column."""
+    from pyspark.sql import DataFrame as DF
+    jt = j.joinType().toString()
+    if jt not in _BY_KEYS:
+        return None
+    extracted = session._jvm.org.apache.spark.sql.catalyst.planning.ExtractEquiJoinKeys.unapply(j)
+    if not extracted.isDefined():
+        return None
+    parts = extracted.get()
+    lkeys, rkeys, other = parts._2(), parts._3(), parts._4()
+    if other.isDefined() or lkeys.size() == 0:
+        return None
+    sides = []
+    for plan, keys, tag in ((j.left(), lkeys, "l"), (j.right(), rkeys, "r")):
+        cols = [_key_column(keys.apply(i), plan) for i in range(keys.size())]
+        if any(c is None for c in cols):
+            return None
+        d = DF(ofrows(session._jsparkSession, plan), session)
+        d = d.toDF(*[f"_{i}" for i in range(len(d.columns))])
+        sides.append(d.groupBy(*[c.alias(f"{tag}{i}") for i, c in enumerate(cols)])
+                     .agg(F.count(F.lit(1)).alias(f"n{tag}")))
+    lk, rk = sides
+    on = reduce(lambda a, b: a & b, [F.col(f"l{i}") == F.col(f"r{i}") for i in range(lkeys.size())])
+    nl, nr = F.col("nl"), F.col("nr")
+    both = nl.isNotNull() & nr.isNotNull()
+    out = {
+        "Inner": F.when(both, nl * nr),
+        "LeftOuter": F.when(nl.isNotNull(), nl * F.coalesce(nr, F.lit(1))),
+        "RightOuter": F.when(nr.isNotNull(), nr * F.coalesce(nl, F.lit(1))),
+        "FullOuter": F.coalesce(nl, F.lit(1)) * F.coalesce(nr, F.lit(1)),
+        "LeftSemi": F.when(both, nl),
+        "LeftAnti": F.when(nl.isNotNull() & nr.isNull(), nl),
+    }[jt]
+    zero = F.lit(0).cast("long")
+    return lk.join(rk, on, "full_outer").agg(
+        F.coalesce(F.sum(nl), zero).alias("left_rows"), F.coalesce(F.sum(nr), zero).alias("right_rows"),
+        F.coalesce(F.sum(out), zero).cast("long").alias("joined_rows"))
+
+
+def _counts_by_rows(session, j, ofrows):
+    """Rows in on each side and rows out of any join, by counting its output."""
+    from pyspark.sql import DataFrame as DF
+    d = [DF(ofrows(session._jsparkSession, plan), session).select(F.lit(i).alias("_side"))
+         for i, plan in enumerate((j.left(), j.right(), j))]
+    tagged = reduce(DataFrame.unionByName, d)
+    return tagged.agg(*[F.count_if(F.col("_side") == i).alias(n)
+                        for i, n in enumerate(("left_rows", "right_rows", "joined_rows"))])
+
+
 def join_audit(df: DataFrame, query_id: str = "q") -> DataFrame | None:
     """M1 for an arbitrary query: for every join it makes, rows in on each side and
-    rows out, in one job (the counts of all inputs and outputs are unioned). A join
-    whose output differs from its left (FROM) side multiplied or dropped those rows,
-    so any aggregate of a left-side column is now weighted. None if there is no join."""
-    from pyspark.sql import DataFrame as DF
+    rows out, in one job (one row per join, unioned). A join whose output differs
+    from its left (FROM) side multiplied or dropped those rows, so any aggregate of a
+    left-side column is now weighted. Equi-joins are sized from per-key counts
+    (``_counts_by_keys``); only joins with other conditions run to be counted. None if
+    there is no join."""
     session = df.sparkSession
     joins = _joins(df._jdf.queryExecution().analyzed(), [])
     if not joins:
         return None
     ofrows = session._jvm.org.apache.spark.sql.classic.Dataset.ofRows
-    parts = []
+    rows = []
     for i, j in enumerate(joins):
-        for role, plan in (("left", j.left()), ("right", j.right()), ("joined", j)):
-            d = DF(ofrows(session._jsparkSession, plan), session)
-            parts.append(d.agg(F.lit(query_id).alias("query_id"), F.lit(i).alias("join_index"),
-                               F.lit(j.joinType().toString()).alias("join_type"),
-                               F.lit(role).alias("side"), F.count(F.lit(1)).alias("n")))
-    long = reduce(DataFrame.unionByName, parts)
-    wide = long.groupBy("query_id", "join_index", "join_type").pivot("side", ["left", "right", "joined"]).sum("n")
-    return wide.select("query_id", "join_index", "join_type", F.col("left").alias("left_rows"),
-                       F.col("right").alias("right_rows"), F.col("joined").alias("joined_rows"),
-                       (F.col("joined") != F.col("left")).alias("changed_rows"),
-                       F.round(F.col("joined") / F.col("left"), 6).alias("factor"))
+        counts = _counts_by_keys(session, j, ofrows)
+        if counts is None:
+            counts = _counts_by_rows(session, j, ofrows)
+        rows.append(counts.select(F.lit(query_id).alias("query_id"), F.lit(i).alias("join_index"),
+                                  F.lit(j.joinType().toString()).alias("join_type"),
+                                  "left_rows", "right_rows", "joined_rows"))
+    wide = reduce(DataFrame.unionByName, rows)
+    return wide.select("query_id", "join_index", "join_type", "left_rows", "right_rows", "joined_rows",
+                       (F.col("joined_rows") != F.col("left_rows")).alias("changed_rows"),
+                       F.round(F.col("joined_rows") / F.col("left_rows"), 6).alias("factor"))
 
 
 _FANOUT_SQL = ("SELECT SUM(o.total_cents) FROM shop_orders o JOIN shop_order_items i ON i.order_id = o.id "
