@@ -135,3 +135,42 @@ def test_a_same_named_view_elsewhere_is_not_governed(spark, analyst):
     out = analyst.run("SELECT id FROM global_temp.shop_customers")
     assert not out.ok and out.denied
     assert analyst.run("SELECT id FROM shop_customers").ok
+
+
+def test_identifier_relations_are_refused_before_spark_runs_them(analyst):
+    """IDENTIFIER(...) defers building the statement to analysis, and spark.sql runs
+    commands eagerly, so the parse gate cannot tell a read from a write: every form
+    is refused there, reads included (plain names work)."""
+    for sql in ["INSERT INTO IDENTIFIER('shop_orders') SELECT * FROM shop_orders",
+                "DROP TABLE IDENTIFIER('shop_orders')",
+                "SELECT * FROM IDENTIFIER('sql_keywords')()",
+                "SELECT name FROM IDENTIFIER('shop_customers')"]:
+        out = analyst.run(sql)
+        assert out.denied, sql
+    assert analyst.run("SELECT name FROM shop_customers").ok
+    assert analyst.session.sql("SELECT COUNT(*) FROM shop_orders").first()[0] == 9
+
+
+def test_more_spark_routes_to_the_column_are_denied(analyst):
+    for sql in ["SELECT id, e FROM shop_customers LATERAL VIEW explode(array(email)) t AS e",
+                "SELECT * FROM shop_customers TABLESAMPLE (50 PERCENT)",
+                "SELECT hash(*) FROM shop_customers",
+                "SELECT to_json(struct(*)) FROM shop_customers",
+                "SELECT count(DISTINCT *) FROM shop_customers",
+                "SELECT id FROM shop_customers, LATERAL (SELECT email AS e)",
+                "SELECT * FROM shop_customers PIVOT (max(email) FOR country IN ('Nigeria'))",
+                "SELECT * FROM shop_customers UNPIVOT (v FOR k IN (name, email))",
+                "FROM shop_customers |> SELECT email",
+                "SELECT id FROM shop_customers GROUP BY id, email"]:
+        assert analyst.run(sql).denied, sql
+    assert analyst.run("SELECT * EXCEPT (email) FROM shop_customers").ok
+
+
+def test_more_routes_past_the_views_fail(spark, analyst):
+    spark.sql("SELECT 1 AS x").createOrReplaceGlobalTempView("audit_gt")
+    for sql in ["SELECT * FROM global_temp.audit_gt",
+                "SELECT _metadata.file_path FROM shop_orders",
+                "SELECT * FROM json.`/root/testdata/sf0.001/customer.parquet`",
+                "SELECT * FROM sql_keywords()",
+                "SELECT java_method('java.lang.System', 'getenv', 'HOME')"]:
+        assert not analyst.run(sql).ok, sql
