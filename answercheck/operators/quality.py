@@ -134,12 +134,17 @@ def dq_not_null(spark, sf_dir):
 
 
 def domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pass per table: every domain rule of the table counted in one aggregate,
+    unpivoted to one row per rule."""
     frames = []
-    for name, col, allowed in DOMAINS:
-        c = F.col(col)
-        frames.append(table(spark, sf_dir, name).agg(
-            F.lit(name).alias("table_name"), F.lit(col).alias("column_name"),
-            F.count_if(c.isNotNull() & ~c.isin(list(allowed))).alias("violations")))
+    for name in dict.fromkeys(t for t, _, _ in DOMAINS):
+        rules = [(col, allowed) for t, col, allowed in DOMAINS if t == name]
+        counts = table(spark, sf_dir, name).agg(*[
+            F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(list(allowed))).alias(col)
+            for col, allowed in rules])
+        frames.append(counts.select(F.lit(name).alias("table_name"), F.explode(F.array(*[
+            F.struct(F.lit(col).alias("column_name"), F.col(col).alias("violations")) for col, _ in rules
+        ])).alias("x")).select("table_name", "x.column_name", "x.violations"))
     return _union(frames)
 
 
