@@ -159,12 +159,13 @@ def residual_rows(gold: DataFrame, cand: DataFrame) -> DataFrame:
 
 # --- positions (ordered results) -------------------------------------------------------
 
-def with_position(df: DataFrame, name: str = "_pos") -> DataFrame:
+def with_position(df: DataFrame, name: str = "_pos", keep_pid: bool = False) -> DataFrame:
     """Attach the 0-based row position of a result in its current order.
 
     The result is checkpointed first so that its partitions and their order are
     fixed; a position is then the row's index in its partition plus the row count of
-    all earlier partitions. The offsets table has one row per partition."""
+    all earlier partitions. The offsets table has one row per partition.
+    ``keep_pid`` also keeps the partition id as ``_pid``."""
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     fixed = df.checkpoint(eager=True)
@@ -174,7 +175,8 @@ def with_position(df: DataFrame, name: str = "_pos") -> DataFrame:
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     return (tagged.join(F.broadcast(offsets), "_pid")
-            .select(*[F.col(f"`{c}`") for c in fixed.columns], (F.col("_off") + F.col("_local")).alias(name)))
+            .select(*[F.col(f"`{c}`") for c in fixed.columns], (F.col("_off") + F.col("_local")).alias(name),
+                    *([F.col("_pid")] if keep_pid else [])))
 
 
 # Results provably at most this many rows (a literal LIMIT in the plan) are numbered
@@ -225,15 +227,22 @@ def _rank_in_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     """0-based rank of each row within its ``keys`` group, ordered by ``order``.
 
     A global range sort spreads even a single huge group over many partitions; a
-    row's rank is its global position minus the position of its group's first row
-    (one small row per group, joined back on the group key).
+    row's rank is its global position minus the position of its group's first row.
+    That start is found per (partition, group): one small row for each partition a
+    group touches, and rows are joined back on (partition, group), so the rows of a
+    group holding a third of the result stay spread over the partitions the sort put
+    them in instead of meeting in one join task.
     """
     sorted_df = df.orderBy(*[F.col(k).asc_nulls_first() for k in keys + order])
-    pos = with_position(sorted_df, "_gpos")
+    pos = with_position(sorted_df, "_gpos", keep_pid=True)
     renamed = {k: f"_k{i}" for i, k in enumerate(keys)}
-    first = pos.groupBy(*[F.col(k).alias(renamed[k]) for k in keys]).agg(F.min("_gpos").alias("_first"))
-    cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(renamed[k])) for k in keys])
-    return (pos.join(first, cond)
+    slices = pos.groupBy("_pid", *keys).agg(F.min("_gpos").alias("_slice_first"))
+    first = slices.groupBy(*[F.col(k).alias(renamed[k]) for k in keys]).agg(F.min("_slice_first").alias("_first"))
+    same_group = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(renamed[k])) for k in keys])
+    starts = slices.join(first, same_group).select(
+        F.col("_pid").alias("_spid"), *[F.col(k).alias(renamed[k]) for k in keys], "_first")
+    same_slice = (F.col("_pid") == F.col("_spid")) & same_group
+    return (pos.join(starts, same_slice)
             .select(*[F.col(c) for c in df.columns], (F.col("_gpos") - F.col("_first")).alias("_rank")))
 
 
