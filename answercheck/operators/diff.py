@@ -215,12 +215,21 @@ def _positions(df: DataFrame, bound: int | None) -> DataFrame:
     return with_position(df)
 
 
-def _within(a: Column, b: Column, kind: str, tol: float) -> Column:
+def _within(a: Column, b: Column, kind: str, tol: float, rel_tol: float = 0.0) -> Column:
+    """Equal, or for floats within ``tol``, or within ``rel_tol`` of the larger
+    magnitude when a relative tolerance is given (off by default)."""
     if kind == "float":
-        return a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= F.lit(tol), F.lit(False))
+        bound = F.lit(tol) if not rel_tol else F.greatest(
+            F.lit(tol), F.lit(rel_tol) * F.greatest(F.abs(a), F.abs(b)))
+        return a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= bound, F.lit(False))
     return a.eqNullSafe(b)
 
 
+def _close(a: float, b: float, tol: float, rel_tol: float = 0.0) -> bool:
+    """``_within`` for two Python floats (a settled one-cell answer)."""
+    return a == b or abs(a - b) <= max(tol, rel_tol * max(abs(a), abs(b)))
+
+
 # --- tolerance re-pairing -------------------------------------------------------------------
 
 def _rank_in_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -254,7 +263,7 @@ def _rank_small(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def repair_unmatched(g: DataFrame, c: DataFrame, kinds: list[str], groups: DataFrame,
-                     tol: float, small: bool = False) -> tuple[int, int]:
+                     tol: float, small: bool = False, rel_tol: float = 0.0) -> tuple[int, int]:
     """Re-pair every exact-key group that holds a disagreement; return rows left
     without a partner on (gold, candidate) side."""
     exact = [f"c{i}" for i, k in enumerate(kinds) if k != "float"]
@@ -272,7 +281,8 @@ def repair_unmatched(g: DataFrame, c: DataFrame, kinds: list[str], groups: DataF
     gr = ranked.where(F.col("_side") == 0).alias("g")
     cr = ranked.where(F.col("_side") == 1).alias("c")
     on = [F.col(f"g.{k}").eqNullSafe(F.col(f"c.{k}")) for k in exact] + [F.col("g._rank") == F.col("c._rank")]
-    ok = reduce(lambda x, y: x & y, [_within(F.col(f"g.{k}"), F.col(f"c.{k}"), "float", tol) for k in floats])
+    ok = reduce(lambda x, y: x & y,
+                [_within(F.col(f"g.{k}"), F.col(f"c.{k}"), "float", tol, rel_tol) for k in floats])
     paired = gr.join(cr, reduce(lambda x, y: x & y, on), "full_outer")
     res = paired.agg(
         F.count_if(F.col("g._side").isNotNull() & (F.col("c._side").isNull() | ~ok)).alias("ug"),
@@ -370,7 +380,7 @@ def _cell(kind: str, text, number):
 
 
 def _finish(row, gold: DataFrame, cand: DataFrame, kinds: list[str], ordered: bool, tol: float,
-            positions=None) -> Diff:
+            positions=None, rel_tol: float = 0.0) -> Diff:
     """Turn a summary row into a Diff; run the extra jobs only where needed (float
     re-pairing of a multi-row result, or a position check of an ordered one that the
     summary job did not already do: ``positions`` is its row, if it did)."""
@@ -390,32 +400,39 @@ def _finish(row, gold: DataFrame, cand: DataFrame, kinds: list[str], ordered: bo
         if one_cell:
             gv, cv = row["gv_d"], row["cv_d"]
             same = (gv is None and cv is None) or (gv is not None and cv is not None and
-                                                   (gv == cv or abs(gv - cv) <= tol))
+                                                   _close(gv, cv, tol, rel_tol))
             out.unmatched_gold = out.unmatched_cand = 0 if same else 1
         else:
             g, c, _ = align(gold, cand)
             groups = signed_groups(g, c, kinds)
             small = out.gold_rows + out.cand_rows <= SMALL_RESULT   # measured by the first job
-            out.unmatched_gold, out.unmatched_cand = repair_unmatched(g, c, kinds, groups, tol, small)
+            out.unmatched_gold, out.unmatched_cand = repair_unmatched(g, c, kinds, groups, tol, small, rel_tol)
             out.approximate = kinds.count("float") > 1 and bool(out.unmatched_gold or out.unmatched_cand)
     out.bag_equal = out.unmatched_gold == 0 and out.unmatched_cand == 0
     out.equal = out.bag_equal
-    if ordered and out.bag_equal and out.gold_rows > 1 and positions is not None and tol == TOLERANCE:
+    if (ordered and out.bag_equal and out.gold_rows > 1 and positions is not None
+            and tol == TOLERANCE and not rel_tol):
         out.equal = int(positions["g"]) == 0
     elif ordered and out.bag_equal and out.gold_rows > 1:
         g, c, _ = align(gold, cand)
         # Sizes measured by the first job bound both sides as well as a literal LIMIT.
         bounds = (limit_bound(gold) or out.gold_rows, limit_bound(cand) or out.cand_rows)
-        out.equal = ordered_mismatches(g, c, kinds, tol, bounds) == 0
+        out.equal = ordered_mismatches(g, c, kinds, tol, bounds, rel_tol) == 0
     return out
 
 
-def compare(gold: DataFrame, cand: DataFrame, ordered: bool = False, tol: float = TOLERANCE) -> Diff:
+def compare(gold: DataFrame, cand: DataFrame, ordered: bool = False, tol: float = TOLERANCE,
+            rel_tol: float = 0.0) -> Diff:
     """Compare two results. Eager: one job for the grouped counts, more only when
-    floats need re-pairing or an order must be checked."""
+    floats need re-pairing or an order must be checked.
+
+    ``tol`` is the absolute float tolerance (the reference's 1e-6). ``rel_tol``, off by
+    default, also accepts floats within that fraction of the larger magnitude: the last
+    digits of a large distributed float sum depend on the order partitions are added
+    in, which an absolute bound cannot absorb."""
     summary, kinds = _summary("x", gold, cand, ordered)
     rows = {r["pid"]: r for r in summary.collect()}
-    return _finish(rows["x"], gold, cand, kinds, ordered, tol, rows.get("x" + ORDERED_SUFFIX))
+    return _finish(rows["x"], gold, cand, kinds, ordered, tol, rows.get("x" + ORDERED_SUFFIX), rel_tol)
 
 
 # Pairs per comparison job: enough to share gold queries and fill the cluster, few
@@ -424,7 +441,7 @@ BATCH = 32
 
 
 def compare_batch(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: float = TOLERANCE,
-                  batch: int | None = None, workers: int = 4) -> dict:
+                  batch: int | None = None, workers: int = 4, rel_tol: float = 0.0) -> dict:
     """Compare many pairs, ``batch`` pairs per Spark job. Within a job the per-pair
     summaries are unioned into one plan, so their stages run together and identical
     sub-plans (the same gold query under several candidates) share their exchanges;
@@ -435,12 +452,13 @@ def compare_batch(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: floa
     chunks = [items[i:i + size] for i in range(0, len(items), size)]
     out: dict = {}
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        for part in pool.map(lambda ch: _compare_chunk(ch, tol), chunks):
+        for part in pool.map(lambda ch: _compare_chunk(ch, tol, rel_tol), chunks):
             out.update(part)
     return out
 
 
-def _compare_chunk(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: float) -> dict:
+def _compare_chunk(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: float,
+                   rel_tol: float = 0.0) -> dict:
     if not items:
         return {}
     # Building a summary analyses its plan on the driver; do that from threads.
@@ -455,27 +473,27 @@ def _compare_chunk(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: flo
         out = {}
         for k, g, c, o in items:
             try:
-                out[k] = compare(g, c, o, tol)
+                out[k] = compare(g, c, o, tol, rel_tol)
             except Exception as exc:  # noqa: BLE001
                 out[k] = exc
         return out
     out = {}
     for (k, g, c, o), ((_, kinds), *_rest) in zip(items, parts):
         try:
-            out[k] = _finish(rows[k], g, c, kinds, o, tol, rows.get(k + ORDERED_SUFFIX))
+            out[k] = _finish(rows[k], g, c, kinds, o, tol, rows.get(k + ORDERED_SUFFIX), rel_tol)
         except Exception as exc:  # noqa: BLE001
             out[k] = exc
     return out
 
 
 def ordered_pairs(g: DataFrame, c: DataFrame, kinds: list[str], tol: float = TOLERANCE,
-                  bounds: tuple[int | None, int | None] = (None, None)) -> DataFrame:
+                  bounds: tuple[int | None, int | None] = (None, None), rel_tol: float = 0.0) -> DataFrame:
     """Position-by-position pairing of two aligned results (full outer on position).
     ``bounds`` are proven row limits of the two sides (see ``limit_bound``)."""
     gp = _positions(g, bounds[0]).alias("g")
     cp = _positions(c, bounds[1]).alias("c")
     same = reduce(lambda x, y: x & y,
-                  [_within(F.col(f"g.c{i}"), F.col(f"c.c{i}"), k, tol) for i, k in enumerate(kinds)],
+                  [_within(F.col(f"g.c{i}"), F.col(f"c.c{i}"), k, tol, rel_tol) for i, k in enumerate(kinds)],
                   F.lit(True))
     return gp.join(cp, F.col("g._pos") == F.col("c._pos"), "full_outer").select(
         F.coalesce(F.col("g._pos"), F.col("c._pos")).alias("position"),
@@ -485,5 +503,5 @@ def ordered_pairs(g: DataFrame, c: DataFrame, kinds: list[str], tol: float = TOL
 
 
 def ordered_mismatches(g: DataFrame, c: DataFrame, kinds: list[str], tol: float = TOLERANCE,
-                       bounds: tuple[int | None, int | None] = (None, None)) -> int:
-    return ordered_pairs(g, c, kinds, tol, bounds).where(~F.col("same")).count()
+                       bounds: tuple[int | None, int | None] = (None, None), rel_tol: float = 0.0) -> int:
+    return ordered_pairs(g, c, kinds, tol, bounds, rel_tol).where(~F.col("same")).count()

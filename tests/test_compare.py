@@ -280,3 +280,21 @@ def test_top_k_order_is_checked_inside_the_summary_job(spark, monkeypatch):
     c3 = base.where(F.col("b") < 3).orderBy(F.col("b").desc()).limit(3)
     d3 = compare(g3, c3, ordered=True)
     assert d3.bag_equal and not d3.equal
+
+
+def test_relative_tolerance_absorbs_the_last_digits_of_large_sums(spark):
+    """Off by default: 1e12 against 1e12 + 1e-3 differs by far more than 1e-6, but
+    only in the 16th significant digit."""
+    g = R(spark, [(1e12,)], "x double")
+    c = R(spark, [(1e12 + 1e-3,)], "x double")
+    assert not eq(g, c)
+    assert eq(g, c, rel_tol=1e-12)
+    assert not eq(g, R(spark, [(1.001e12,)], "x double"), rel_tol=1e-12)
+    # many rows: the grid disagrees, the re-pairing applies the relative bound
+    rows = [(f"k{i % 3}", 1e12 * (i + 1)) for i in range(30)]
+    g = spark.createDataFrame(rows, "k string, x double")
+    c = g.select("k", (F.col("x") * (1 + 1e-14)).alias("x"))
+    assert not eq(g, c)
+    assert eq(g, c, rel_tol=1e-12)
+    assert eq(g.orderBy("x"), c.orderBy("x"), ordered=True, rel_tol=1e-12)
+    assert not eq(g.orderBy("x"), c.orderBy(F.col("x").desc()), ordered=True, rel_tol=1e-12)
