@@ -262,15 +262,37 @@ def _rank_small(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(w) - 1)
 
 
+# Kinds whose normalized values have a fixed width (decimal(38,0), boolean, timestamp),
+# at most this many bytes each: a count of such keys bounds their size.
+_FIXED_WIDTH = {"exact": 16, "bool": 1, "same_ts": 8}
+# Largest key table the re-pairing broadcasts, by that bound.
+BROADCAST_BYTES = 32 << 20
+
+
+def _broadcast_keys(kinds: list[str], max_keys: int | None) -> bool:
+    """Whether the disagreeing exact keys have a proven size small enough to
+    broadcast: every exact column fixed-width, and at most ``max_keys`` keys (the
+    first job's count of unmatched rows bounds the disagreeing groups)."""
+    exact = [k for k in kinds if k != "float"]
+    if max_keys is None or not all(k in _FIXED_WIDTH for k in exact):
+        return False
+    return max_keys * (sum(_FIXED_WIDTH[k] for k in exact) + 16) <= BROADCAST_BYTES
+
+
 def repair_unmatched(g: DataFrame, c: DataFrame, kinds: list[str], groups: DataFrame,
-                     tol: float, small: bool = False, rel_tol: float = 0.0) -> tuple[int, int]:
+                     tol: float, small: bool = False, rel_tol: float = 0.0,
+                     max_keys: int | None = None) -> tuple[int, int]:
     """Re-pair every exact-key group that holds a disagreement; return rows left
-    without a partner on (gold, candidate) side."""
+    without a partner on (gold, candidate) side. ``max_keys`` is a proven bound on
+    the number of disagreeing groups; with fixed-width keys it lets their key table
+    be broadcast, so both results are filtered map-side instead of shuffled."""
     exact = [f"c{i}" for i, k in enumerate(kinds) if k != "float"]
     floats = [f"c{i}" for i, k in enumerate(kinds) if k == "float"]
     bad = groups.where(F.col("n_gold") != F.col("n_cand"))
     if exact:
         bad_keys = bad.select(*exact).distinct()
+        if _broadcast_keys(kinds, max_keys):
+            bad_keys = F.broadcast(bad_keys)
         cond = lambda side: reduce(lambda x, y: x & y, [side[k].eqNullSafe(bad_keys[k]) for k in exact])
         g_in = g.join(bad_keys, cond(g), "left_semi")
         c_in = c.join(bad_keys, cond(c), "left_semi")
@@ -406,7 +428,8 @@ def _finish(row, gold: DataFrame, cand: DataFrame, kinds: list[str], ordered: bo
             g, c, _ = align(gold, cand)
             groups = signed_groups(g, c, kinds)
             small = out.gold_rows + out.cand_rows <= SMALL_RESULT   # measured by the first job
-            out.unmatched_gold, out.unmatched_cand = repair_unmatched(g, c, kinds, groups, tol, small, rel_tol)
+            out.unmatched_gold, out.unmatched_cand = repair_unmatched(
+                g, c, kinds, groups, tol, small, rel_tol, max_keys=out.unmatched_gold + out.unmatched_cand)
             out.approximate = kinds.count("float") > 1 and bool(out.unmatched_gold or out.unmatched_cand)
     out.bag_equal = out.unmatched_gold == 0 and out.unmatched_cand == 0
     out.equal = out.bag_equal

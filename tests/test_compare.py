@@ -298,3 +298,18 @@ def test_relative_tolerance_absorbs_the_last_digits_of_large_sums(spark):
     assert eq(g, c, rel_tol=1e-12)
     assert eq(g.orderBy("x"), c.orderBy("x"), ordered=True, rel_tol=1e-12)
     assert not eq(g.orderBy("x"), c.orderBy(F.col("x").desc()), ordered=True, rel_tol=1e-12)
+
+
+def test_disagreeing_keys_are_broadcast_only_with_a_proven_size(spark):
+    from answercheck.operators.diff import BROADCAST_BYTES, _broadcast_keys
+    assert _broadcast_keys(["exact", "float"], 1000)
+    assert _broadcast_keys(["exact", "bool", "same_ts", "float"], 1000)
+    assert not _broadcast_keys(["text", "float"], 10)          # no byte bound for text
+    assert not _broadcast_keys(["exact", "float"], None)       # no count bound
+    assert not _broadcast_keys(["exact", "float"], BROADCAST_BYTES // 16)
+    g = spark.range(3000).select((F.col("id") % 40).alias("k"), (F.col("id") / 7).alias("x"))
+    c = g.select("k", F.when(F.col("k") == 3, F.col("x") + 4e-7).otherwise(F.col("x")).alias("x"))
+    assert eq(g, c)
+    c2 = g.select("k", F.when(F.col("k") == 3, F.col("x") + 1e-3).otherwise(F.col("x")).alias("x"))
+    d = compare(g, c2)
+    assert not d.equal and d.unmatched_gold == d.unmatched_cand == 75
