@@ -279,6 +279,20 @@ def _broadcast_keys(kinds: list[str], max_keys: int | None) -> bool:
     return max_keys * (sum(_FIXED_WIDTH[k] for k in exact) + 16) <= BROADCAST_BYTES
 
 
+def disagreeing_rows(g: DataFrame, c: DataFrame, kinds: list[str], groups: DataFrame,
+                     max_keys: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides' rows whose exact-key group holds a disagreement (all rows if there
+    is no exact column). The key table is broadcast only within its proven size."""
+    exact = [f"c{i}" for i, k in enumerate(kinds) if k != "float"]
+    if not exact:
+        return g, c
+    bad_keys = groups.where(F.col("n_gold") != F.col("n_cand")).select(*exact).distinct()
+    if _broadcast_keys(kinds, max_keys):
+        bad_keys = F.broadcast(bad_keys)
+    cond = lambda side: reduce(lambda x, y: x & y, [side[k].eqNullSafe(bad_keys[k]) for k in exact])
+    return g.join(bad_keys, cond(g), "left_semi"), c.join(bad_keys, cond(c), "left_semi")
+
+
 def repair_unmatched(g: DataFrame, c: DataFrame, kinds: list[str], groups: DataFrame,
                      tol: float, small: bool = False, rel_tol: float = 0.0,
                      max_keys: int | None = None) -> tuple[int, int]:
@@ -288,16 +302,7 @@ def repair_unmatched(g: DataFrame, c: DataFrame, kinds: list[str], groups: DataF
     be broadcast, so both results are filtered map-side instead of shuffled."""
     exact = [f"c{i}" for i, k in enumerate(kinds) if k != "float"]
     floats = [f"c{i}" for i, k in enumerate(kinds) if k == "float"]
-    bad = groups.where(F.col("n_gold") != F.col("n_cand"))
-    if exact:
-        bad_keys = bad.select(*exact).distinct()
-        if _broadcast_keys(kinds, max_keys):
-            bad_keys = F.broadcast(bad_keys)
-        cond = lambda side: reduce(lambda x, y: x & y, [side[k].eqNullSafe(bad_keys[k]) for k in exact])
-        g_in = g.join(bad_keys, cond(g), "left_semi")
-        c_in = c.join(bad_keys, cond(c), "left_semi")
-    else:
-        g_in, c_in = g, c
+    g_in, c_in = disagreeing_rows(g, c, kinds, groups, max_keys)
     both = (g_in.withColumn("_side", F.lit(0)).unionByName(c_in.withColumn("_side", F.lit(1))))
     ranked = (_rank_small if small else _rank_in_group)(both, exact + ["_side"], floats)
     gr = ranked.where(F.col("_side") == 0).alias("g")

@@ -313,3 +313,39 @@ def test_disagreeing_keys_are_broadcast_only_with_a_proven_size(spark):
     c2 = g.select("k", F.when(F.col("k") == 3, F.col("x") + 1e-3).otherwise(F.col("x")).alias("x"))
     d = compare(g, c2)
     assert not d.equal and d.unmatched_gold == d.unmatched_cand == 75
+
+
+def _static_plan(spark, df) -> str:
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_bounded_disagreeing_keys_filter_both_sides_map_side(spark):
+    from answercheck.operators.diff import align, disagreeing_rows, signed_groups
+    g = spark.range(3000).select((F.col("id") % 40).alias("k"), (F.col("id") / 7).alias("x"))
+    c = g.select("k", F.when(F.col("k") == 3, F.col("x") + 1e-3).otherwise(F.col("x")).alias("x"))
+    ga, ca, kinds = align(g, c)
+    groups = signed_groups(ga, ca, kinds)
+    bounded, _ = disagreeing_rows(ga, ca, kinds, groups, max_keys=150)
+    unbounded, _ = disagreeing_rows(ga, ca, kinds, groups, max_keys=None)
+    with_threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only hints may broadcast
+    try:
+        assert "BroadcastHashJoin" in _static_plan(spark, bounded)
+        assert "BroadcastHashJoin" not in _static_plan(spark, unbounded)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_threshold)
+    assert bounded.count() == unbounded.count() == 75
+
+
+def test_group_starts_are_joined_back_per_partition(spark):
+    from answercheck.operators.diff import _rank_in_group
+    df = spark.range(2000).select(F.when(F.col("id") < 1500, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+                                  (F.col("id") / 7).alias("x"))
+    plan = _static_plan(spark, _rank_in_group(df, ["k"], ["x"]))
+    back = [ln for ln in plan.splitlines() if "Join" in ln and "_spid" in ln]
+    assert back and all("_pid" in ln for ln in back)
