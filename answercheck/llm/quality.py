@@ -47,7 +47,9 @@ CLASSES = ("lower", "upper", "digit", "white", "sentence", "mark", "wide")
 MAX_REFERENCE_LANGS = len(COMMON_WORDS) + 1
 
 MIN_CHARS, MIN_WORDS, MIN_REFERENCE = 100, 50, 20
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.55
+# A distance from a sample of n words is inflated by about 1/sqrt(n): a document may
+# differ by the first number plus the second over sqrt(n_words).
+CLASS_LIMIT, WORD_LIMIT = (0.15, 0.9), (0.15, 1.6)
 
 
 def _class_table() -> np.ndarray:
@@ -163,8 +165,8 @@ def js_distance(left: Column, right: Column) -> Column:
 
 def judge(docs: DataFrame, carry: list[str], scratch: Scratch, *, min_chars: int = MIN_CHARS,
           min_words: int = MIN_WORDS, min_reference: int = MIN_REFERENCE,
-          max_class_distance: float = MAX_CLASS_DISTANCE,
-          max_word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
+          class_limit: tuple[float, float] = CLASS_LIMIT,
+          word_limit: tuple[float, float] = WORD_LIMIT) -> DataFrame:
     """``carry`` columns and the result columns of each row of ``docs`` (text, lang).
 
     The text is read once: counts and histograms go to a written table that serves both
@@ -181,7 +183,8 @@ def judge(docs: DataFrame, carry: list[str], scratch: Scratch, *, min_chars: int
                     js_distance(F.col("word_hist"), F.slice("ref_word", F.lit(1), F.greatest(width, F.lit(1)))))
     out = joined.withColumn("class_distance", class_d).withColumn("word_distance", word_d)
     out = out.withColumn("base_failed", base_failed())
-    fits = (F.coalesce(F.col("class_distance"), F.lit(0.0)) <= max_class_distance) & (
-        F.coalesce(F.col("word_distance"), F.lit(0.0)) <= max_word_distance)
+    allowed = lambda limit: limit[0] + limit[1] / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
+    fits = (F.coalesce(F.col("class_distance"), F.lit(0.0)) <= allowed(class_limit)) & (
+        F.coalesce(F.col("word_distance"), F.lit(0.0)) <= allowed(word_limit))
     out = out.withColumn("kept", ~F.col("base_failed") & fits)
     return out.select(*[F.col(f"`{c}`") for c in carry if c not in reserved], *RESULT)
