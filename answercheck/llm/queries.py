@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from answercheck.sources.tables import table
 
-from . import packing, quality, warc
+from . import chunks, minhash, packing, pii, quality, warc
 from .common import Scratch, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,19 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_packing")
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), Scratch(spark, "op8"))
+
+
+@query("op7_pii")
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.detect(docs, ["doc_id"], pii.train(docs)).drop("redacted")
+
+
+@query("op2_minhash")
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), Scratch(spark, "op2"))
+
+
+@query("op10_chunks")
+def op10_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.deduplicate(documents(spark, sf_dir), ["doc_id"]).drop("kept_text")
