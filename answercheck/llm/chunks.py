@@ -16,7 +16,7 @@ Digests are grouped by partial minima, so a passage held by a third of all docum
 one row per task; the join back is one that AQE splits.
 
 Defined cases: a null text is empty; a null doc_id neither gives nor loses chunks; rows
-repeating a doc_id are one document, none a repeat of the other; a text under ``min_run``
+repeating a doc_id are one document, none a repeat of the other, and lose the same chunks; a text under ``min_run``
 bytes is left whole; repeats within one document stay; an empty table gives an empty
 result; other columns are carried if asked for and not clashing with result columns.
 """
@@ -95,13 +95,13 @@ def digests(raw: bytes, ends: np.ndarray) -> list[int]:
 
 
 def chunk_rows(docs: DataFrame, one_in: int, max_chunk: int) -> DataFrame:
-    """(digest, doc_id, chunk) of each chunk of each row that has a doc_id."""
+    """(digest, doc_id) of each distinct chunk of each row that has a doc_id."""
     def run(batches):
         for batch in batches:
             ids, keys, counts = [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text"))):
                 raw = text.encode("utf-8", "replace")
-                own = digests(raw, cuts(np.frombuffer(raw, np.uint8), one_in, max_chunk))
+                own = set(digests(raw, cuts(np.frombuffer(raw, np.uint8), one_in, max_chunk)))
                 ids.append(doc_id)
                 counts.append(len(own))
                 keys.extend(own)
@@ -111,26 +111,24 @@ def chunk_rows(docs: DataFrame, one_in: int, max_chunk: int) -> DataFrame:
             yield _rows(ids, keys, counts)
 
     source = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return source.mapInArrow(run, "digest long, doc_id long, chunk int")
+    return source.mapInArrow(run, "digest long, doc_id long")
 
 
 def _rows(ids: list, keys: list, counts: list) -> pa.RecordBatch:
-    n = np.array(counts, np.int64)
-    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.int64()), pa.array(np.repeat(np.array(ids, np.int64), n)), pa.array(place.astype(np.int32))],
-        names=["digest", "doc_id", "chunk"])
+    owner = np.repeat(np.array(ids, np.int64), np.array(counts, np.int64))
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(owner)], names=["digest", "doc_id"])
 
 
-def removed_runs(ends: np.ndarray, repeats: list[int], min_run: int) -> list[tuple[int, int]]:
+def removed_runs(ends: np.ndarray, repeat: list[bool], min_run: int) -> list[tuple[int, int]]:
     """(start, end) in bytes of the runs of consecutive repeats that are long enough."""
     out: list[list[int]] = []
-    for c in sorted(set(repeats)):
-        start, end = (int(ends[c - 1]) if c else 0), int(ends[c])
-        if out and out[-1][1] == start:
+    start = 0
+    for end, again in zip(ends.tolist(), repeat):
+        if again and out and out[-1][1] == start:
             out[-1][1] = end
-        else:
+        elif again:
             out.append([start, end])
+        start = end
     return [(s, e) for s, e in out if e - s >= min_run]
 
 
@@ -147,7 +145,7 @@ def deduplicate(docs: DataFrame, carry: list[str], *, one_in: int = ONE_IN, max_
     first = (rows.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
              .where("lo < hi").select("digest", "lo"))
     repeats = (rows.join(first, "digest").where("lo < doc_id").groupBy(F.col("doc_id").alias("_rid"))
-               .agg(F.collect_set("chunk").alias("_repeats")))
+               .agg(F.collect_set("digest").alias("_repeats")))
     kept = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("doc_id").cast("long").alias("_id"),
                        F.col("text").alias("_text"))
     joined = kept.join(repeats, F.col("_id") == F.col("_rid"), "left").drop("_rid")
@@ -160,7 +158,8 @@ def deduplicate(docs: DataFrame, carry: list[str], *, one_in: int = ONE_IN, max_
             for text, own in zip(batch.column("_text").to_pylist(), batch.column("_repeats").to_pylist()):
                 raw = (text or "").encode("utf-8", "replace")
                 ends = cuts(np.frombuffer(raw, np.uint8), one_in, max_chunk)
-                spans = removed_runs(ends, own or [], min_run)
+                again = set(own or ())
+                spans = removed_runs(ends, [d in again for d in digests(raw, ends)], min_run) if again else []
                 left, at = [], 0
                 for s, e in spans:
                     left.append(raw[at:s])

@@ -41,6 +41,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Scratch, components, mix, shingle_hashes, texts, word_hashes
@@ -245,3 +246,18 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, th
     out = sig.join(of_digest, "digest", "left").select(
         "doc_id", F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, scratch: Scratch, **parameters) -> DataFrame:
+    """One row of each class of near-duplicates, with its own columns: of the smallest
+    doc_id, and of rows repeating that id the one that sorts first by text. Rows without a
+    doc_id all stay."""
+    classes = near_duplicates(docs, scratch, **parameters)
+    kept = scratch.put(classes.where("kept and doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows")), "kept")
+    ids = kept.select(F.col("doc_id").alias("_id"))
+    out = docs.join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
+    if not kept.where("rows > 1").isEmpty():
+        order = W.partitionBy("doc_id").orderBy("text")
+        out = out.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    return out.unionByName(docs.where("doc_id is null"))

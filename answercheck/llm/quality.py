@@ -188,3 +188,13 @@ def judge(docs: DataFrame, carry: list[str], scratch: Scratch, *, min_chars: int
         F.coalesce(F.col("word_distance"), F.lit(0.0)) <= allowed(word_limit))
     out = out.withColumn("kept", ~F.col("base_failed") & fits)
     return out.select(*[F.col(f"`{c}`") for c in carry if c not in reserved], *RESULT)
+
+
+def keep(docs: DataFrame, scratch: Scratch, **parameters) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with their own columns. Rows go through a
+    written table with their measurements, so no join by id is needed and rows that
+    share an id are judged apart."""
+    names = list(docs.columns)
+    packed = docs.select("text", "lang", F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
+    judged = judge(packed, ["_row"], scratch, **parameters)
+    return judged.where("kept").select(*[F.col("_row")[c].alias(c) for c in names])

@@ -6,10 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from answercheck.sources.tables import table
 
-from . import chunks, minhash, packing, pii, quality, warc
+from . import chunks, embeddings, licenses, minhash, packing, pieces, pii, quality, warc
 from .common import Scratch, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +69,47 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_chunks")
 def op10_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.deduplicate(documents(spark, sf_dir), ["doc_id"]).drop("kept_text")
+
+
+OP1_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+    AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN e IF x <> 0]) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v LEFT JOIN n ON n.a = v.vec_id JOIN c ON c.a = v.vec_id
+"""
+
+
+@query("op1_embeddings", OP1_SQL)
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), Scratch(spark, "op1"))
+
+
+@query("op4_licenses")
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir), ["doc_id"])
+
+
+@query("op9_pieces")
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: token count, a digest of the ids, digest and correctness of the text
+    decoded from them."""
+    docs = documents(spark, sf_dir)
+    ids = pieces.encode(docs, ["doc_id", "text"])
+    back = pieces.decode(ids, ["doc_id", "text", "ids"], text="decoded")
+    return back.select(
+        "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
