@@ -48,6 +48,13 @@ class Scratch:
         if name in self.names:
             self.names.remove(name)
 
+    def release(self) -> None:
+        """Let Spark's cleaner delete the shuffle files of finished steps now: it does so
+        when the driver's garbage collector finds that nothing refers to them."""
+        import gc
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def clear(self, *keep: str) -> None:
         for name in [n for n in self.names if n not in keep]:
             self.drop(name)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from answercheck.sources.tables import table
 
-from . import chunks, embeddings, licenses, minhash, packing, pieces, pii, quality, warc
+from . import bwt, chunks, embeddings, licenses, minhash, packing, pieces, pii, quality, warc
 from .common import Scratch, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,8 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+@query("op3_bwt")
+def op3_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt.deduplicate(documents(spark, sf_dir), Scratch(spark, "op3")).drop("kept_bytes")
