@@ -14,20 +14,24 @@ How it runs:
    the 6-place grid); each group carries how many rows each side has. Map-side
    combine collapses duplicates before the one shuffle. Groups whose counts agree are
    settled. In the common case (equal answers) this is the whole cost.
-3. Only if some groups disagree and floats are involved: every group of exact column
-   values that holds a disagreement is re-paired whole, each side sorted by its
-   floats and paired by rank, a pair matching when every float is within tolerance.
-   With one float column this finds a perfect matching whenever one exists. Ranks
-   come from a range-partitioned sort plus per-partition offsets, so a hot group is
-   spread over many tasks, never gathered into one.
-4. Ordered comparison pairs rows by position. Positions come from per-partition
-   counts of the materialized (checkpointed) result, never from a single-partition
-   window.
+3. Only if some groups disagree and inexact columns (floats, fine decimals) are involved:
+   the distinct rows of every group of exact column values that holds a disagreement are
+   sorted by the first inexact column, with their counts per side. The sorted sequence
+   falls apart into runs whose neighbours are within tolerance; no match crosses a run.
+   A run that is no wider than the tolerance in any column is settled by its two sums;
+   only wider runs that disagree are matched row by row, exactly. Counts may differ
+   between the sides: the unmatched rows are those no matching can pair. A value that a
+   third of the rows share is one row with a count, and the sort is a range sort, so no
+   group is gathered into a task.
+4. Ordered comparison pairs rows by position. A result under a literal LIMIT is one
+   partition already and is numbered there; any other takes its positions from
+   per-partition counts of a written table.
 """
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,6 +42,7 @@ TOLERANCE = 1e-6
 GRID = 6
 
 from ..functions.ws import WS_CLASS, strip_ws, strip_ws_sql  # noqa: F401,E402
+from ..session import SharedTables  # noqa: E402
 
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -52,12 +57,27 @@ def _is_number(t: T.DataType) -> bool:
     return isinstance(t, _INTEGRAL + _FLOATING + (T.DecimalType,))
 
 
+def _digits(t: T.DataType) -> tuple[int, int]:
+    """(precision, scale) of a decimal or integer type."""
+    if isinstance(t, T.DecimalType):
+        return t.precision, t.scale
+    return {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}[type(t)], 0
+
+
+def inexact(kind: str) -> bool:
+    """Whether values of this kind match within a tolerance."""
+    return kind == "float" or kind.startswith("decimal:")
+
+
 def pair_kind(a: T.DataType, b: T.DataType) -> str:
     """One comparison type for a column pair.
 
     exact   both integral, or integral against boolean (True equals 1), compared as
             exact integers: no loss above 2**53
-    float   a number against a float or a fractional decimal
+    fixed:s two decimals, or a decimal against an integer, with at most 5 places, where the
+            tolerance cannot matter: compared as DECIMAL(38, s)
+    decimal the same with more places: compared in decimal, with the tolerance in decimal
+    float   a number against a float, or decimals that no DECIMAL(38, s) holds
     text    both strings: compared after stripping whitespace
     bool    both boolean
     same    any other identical type (dates, arrays...): compared as is
@@ -73,6 +93,11 @@ def pair_kind(a: T.DataType, b: T.DataType) -> str:
         return "bool"
     if (_is_integral(a) or isinstance(a, T.BooleanType)) and (_is_integral(b) or isinstance(b, T.BooleanType)):
         return "exact"
+    if isinstance(a, _INTEGRAL + (T.DecimalType,)) and isinstance(b, _INTEGRAL + (T.DecimalType,)):
+        (pa, sa), (pb, sb) = _digits(a), _digits(b)
+        scale = max(sa, sb)
+        if max(pa - sa, pb - sb) + scale <= 38:
+            return f"fixed:{scale}" if scale < GRID else f"decimal:{scale}"
     if _is_number(a) and _is_number(b):
         return "float"
     if isinstance(a, T.BooleanType) and _is_number(b) or isinstance(b, T.BooleanType) and _is_number(a):
@@ -81,6 +106,8 @@ def pair_kind(a: T.DataType, b: T.DataType) -> str:
         return "text"
     if a == b:
         return "same"
+    if {type(a), type(b)} == {T.DateType, T.StringType}:
+        return "text"   # a date against its ISO text
     if {type(a), type(b)} <= {T.DateType, T.TimestampType, T.TimestampNTZType}:
         return "same_ts"
     return "incompatible"
@@ -89,6 +116,8 @@ def pair_kind(a: T.DataType, b: T.DataType) -> str:
 def _normalize(c: Column, kind: str, side: str) -> Column:
     if kind == "exact":
         return c.cast(T.DecimalType(38, 0))
+    if kind.startswith(("fixed:", "decimal:")):
+        return c.cast(T.DecimalType(38, int(kind.split(":")[1])))
     if kind == "float":
         return c.cast("double")
     if kind == "text":
@@ -116,12 +145,12 @@ def normalized_values(gold: DataFrame, cand: DataFrame, side: str = "candidate")
     """J3 as a table: one side's rows as the comparison sees them, floats on the grid."""
     g, c, kinds = align(gold, cand)
     df = c if side == "candidate" else g
-    return df.select(*[(F.round(F.col(f"c{i}"), GRID) if k == "float" else F.col(f"c{i}")).alias(f"c{i}")
+    return df.select(*[(F.round(F.col(f"c{i}"), GRID) if inexact(k) else F.col(f"c{i}")).alias(f"c{i}")
                        for i, k in enumerate(kinds)])
 
 
 def _grid(df: DataFrame, kinds: list[str]) -> list[Column]:
-    return [(F.round(F.col(f"c{i}"), GRID) if k == "float" else F.col(f"c{i}")).alias(f"c{i}")
+    return [(F.round(F.col(f"c{i}"), GRID) if inexact(k) else F.col(f"c{i}")).alias(f"c{i}")
             for i, k in enumerate(kinds)]
 
 
@@ -159,31 +188,22 @@ def residual_rows(gold: DataFrame, cand: DataFrame) -> DataFrame:
 
 # --- positions (ordered results) -------------------------------------------------------
 
-def with_position(df: DataFrame, name: str = "_pos", keep_pid: bool = False) -> DataFrame:
+def with_position(df: DataFrame, tables: SharedTables, name: str = "_pos", keep_pid: bool = False) -> DataFrame:
     """Attach the 0-based row position of a result in its current order.
 
-    The result is checkpointed first so that its partitions and their order are
-    fixed; a position is then the row's index in its partition plus the row count of
-    all earlier partitions. The offsets table has one row per partition.
-    ``keep_pid`` also keeps the partition id as ``_pid``."""
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    fixed = df.checkpoint(eager=True)
-    tagged = fixed.select("*", F.spark_partition_id().alias("_pid"),
-                          F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_local"))
+    The result is written once with each row's partition and place in it, so that both
+    are fixed; a position is then that place plus the row count of all earlier
+    partitions. The offsets table has one row per partition."""
+    tagged = tables.put(df.select("*", F.spark_partition_id().alias("_pid"),
+                                  F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_local")))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .select(*[F.col(f"`{c}`") for c in fixed.columns], (F.col("_off") + F.col("_local")).alias(name),
+    return (tagged.join(offsets, "_pid")
+            .select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_off") + F.col("_local")).alias(name),
                     *([F.col("_pid")] if keep_pid else [])))
 
 
-# Results provably at most this many rows (a literal LIMIT in the plan) are numbered
-# in one partition instead of being checkpointed.
-SMALL_RESULT = 10_000
-
-
 def limit_bound(df: DataFrame) -> int | None:
     """The literal LIMIT that bounds a result, found under its sorts and projections."""
     node = df._jdf.queryExecution().analyzed()
@@ -200,122 +220,165 @@ def limit_bound(df: DataFrame) -> int | None:
         return None
 
 
-def with_small_position(df: DataFrame, name: str = "_pos") -> DataFrame:
-    """Positions of a result with a proven small bound: row number over the
-    monotonically increasing id, which follows partition order and order within a
-    partition, i.e. the result's own order. One partition, at most SMALL_RESULT rows."""
+def with_limited_position(df: DataFrame, name: str = "_pos") -> DataFrame:
+    """Positions of a result under a literal LIMIT, which Spark gathers in one partition:
+    row number over the monotonically increasing id, i.e. the result's own order."""
     cols = [F.col(f"`{c}`") for c in df.columns]
     m = df.select(*cols, F.monotonically_increasing_id().alias("_m"))
     return m.select(*cols, (F.row_number().over(Window.orderBy("_m")) - 1).alias(name))
 
 
-def _positions(df: DataFrame, bound: int | None) -> DataFrame:
-    if bound is not None and bound <= SMALL_RESULT:
-        return with_small_position(df)
-    return with_position(df)
+def _positions(df: DataFrame, limited: bool, tables: SharedTables | None) -> DataFrame:
+    return with_limited_position(df) if limited else with_position(df, tables)
 
 
 def _within(a: Column, b: Column, kind: str, tol: float, rel_tol: float = 0.0) -> Column:
-    """Equal, or for floats within ``tol``, or within ``rel_tol`` of the larger
+    """Equal, or for inexact kinds within ``tol``, or within ``rel_tol`` of the larger
     magnitude when a relative tolerance is given (off by default)."""
-    if kind == "float":
-        bound = F.lit(tol) if not rel_tol else F.greatest(
-            F.lit(tol), F.lit(rel_tol) * F.greatest(F.abs(a), F.abs(b)))
-        return a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= bound, F.lit(False))
+    if inexact(kind):
+        return a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= _bound(a, b, kind, tol, rel_tol), F.lit(False))
     return a.eqNullSafe(b)
 
 
-def _close(a: float, b: float, tol: float, rel_tol: float = 0.0) -> bool:
-    """``_within`` for two Python floats (a settled one-cell answer)."""
-    return a == b or abs(a - b) <= max(tol, rel_tol * max(abs(a), abs(b)))
+def _bound(a: Column, b: Column, kind: str, tol: float, rel_tol: float) -> Column:
+    fixed = F.lit(tol) if kind == "float" else F.lit(Decimal(repr(tol)))
+    if not rel_tol:
+        return fixed
+    return F.greatest(fixed.cast("double"), F.lit(rel_tol) * F.greatest(F.abs(a), F.abs(b)).cast("double"))
 
 
-# --- tolerance re-pairing -------------------------------------------------------------------
+def _close(a, b, tol: float, rel_tol: float = 0.0) -> bool:
+    """``_within`` for two Python numbers."""
+    if a is None or b is None:
+        return a is b
+    if isinstance(a, Decimal):
+        return abs(a - b) <= max(Decimal(repr(tol)), Decimal(repr(rel_tol)) * max(abs(a), abs(b)))
+    return a == b or abs(a - b) <= max(tol, rel_tol * max(abs(a), abs(b)))
 
-def _rank_in_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """0-based rank of each row within its ``keys`` group, ordered by ``order``.
 
-    A global range sort spreads even a single huge group over many partitions; a
-    row's rank is its global position minus the position of its group's first row.
-    That start is found per (partition, group): one small row for each partition a
-    group touches, and rows are joined back on (partition, group), so the rows of a
-    group holding a third of the result stay spread over the partitions the sort put
-    them in instead of meeting in one join task.
-    """
-    sorted_df = df.orderBy(*[F.col(k).asc_nulls_first() for k in keys + order])
-    pos = with_position(sorted_df, "_gpos", keep_pid=True)
-    renamed = {k: f"_k{i}" for i, k in enumerate(keys)}
-    slices = pos.groupBy("_pid", *keys).agg(F.min("_gpos").alias("_slice_first"))
-    first = slices.groupBy(*[F.col(k).alias(renamed[k]) for k in keys]).agg(F.min("_slice_first").alias("_first"))
-    same_group = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(renamed[k])) for k in keys])
-    starts = slices.join(first, same_group).select(
-        F.col("_pid").alias("_spid"), *[F.col(k).alias(renamed[k]) for k in keys], "_first")
-    same_slice = (F.col("_pid") == F.col("_spid")) & same_group
-    return (pos.join(starts, same_slice)
-            .select(*[F.col(c) for c in df.columns], (F.col("_gpos") - F.col("_first")).alias("_rank")))
-
-
-def _rank_small(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """``_rank_in_group`` for a result whose measured size is at most SMALL_RESULT
-    rows: a plain window, since no group can exceed that bound."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(k).asc_nulls_first() for k in order])
-    return df.withColumn("_rank", F.row_number().over(w) - 1)
-
-
-# Kinds whose normalized values have a fixed width (decimal(38,0), boolean, timestamp),
-# at most this many bytes each: a count of such keys bounds their size.
-_FIXED_WIDTH = {"exact": 16, "bool": 1, "same_ts": 8}
-# Largest key table the re-pairing broadcasts, by that bound.
-BROADCAST_BYTES = 32 << 20
-
-
-def _broadcast_keys(kinds: list[str], max_keys: int | None) -> bool:
-    """Whether the disagreeing exact keys have a proven size small enough to
-    broadcast: every exact column fixed-width, and at most ``max_keys`` keys (the
-    first job's count of unmatched rows bounds the disagreeing groups)."""
-    exact = [k for k in kinds if k != "float"]
-    if max_keys is None or not all(k in _FIXED_WIDTH for k in exact):
-        return False
-    return max_keys * (sum(_FIXED_WIDTH[k] for k in exact) + 16) <= BROADCAST_BYTES
-
-
-def disagreeing_rows(g: DataFrame, c: DataFrame, kinds: list[str], groups: DataFrame,
-                     max_keys: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Both sides' rows whose exact-key group holds a disagreement (all rows if there
-    is no exact column). The key table is broadcast only within its proven size."""
-    exact = [f"c{i}" for i, k in enumerate(kinds) if k != "float"]
-    if not exact:
-        return g, c
-    bad_keys = groups.where(F.col("n_gold") != F.col("n_cand")).select(*exact).distinct()
-    if _broadcast_keys(kinds, max_keys):
-        bad_keys = F.broadcast(bad_keys)
-    cond = lambda side: reduce(lambda x, y: x & y, [side[k].eqNullSafe(bad_keys[k]) for k in exact])
-    return g.join(bad_keys, cond(g), "left_semi"), c.join(bad_keys, cond(c), "left_semi")
-
-
-def repair_unmatched(g: DataFrame, c: DataFrame, kinds: list[str], groups: DataFrame,
-                     tol: float, small: bool = False, rel_tol: float = 0.0,
-                     max_keys: int | None = None) -> tuple[int, int]:
-    """Re-pair every exact-key group that holds a disagreement; return rows left
-    without a partner on (gold, candidate) side. ``max_keys`` is a proven bound on
-    the number of disagreeing groups; with fixed-width keys it lets their key table
-    be broadcast, so both results are filtered map-side instead of shuffled."""
-    exact = [f"c{i}" for i, k in enumerate(kinds) if k != "float"]
-    floats = [f"c{i}" for i, k in enumerate(kinds) if k == "float"]
-    g_in, c_in = disagreeing_rows(g, c, kinds, groups, max_keys)
-    both = (g_in.withColumn("_side", F.lit(0)).unionByName(c_in.withColumn("_side", F.lit(1))))
-    ranked = (_rank_small if small else _rank_in_group)(both, exact + ["_side"], floats)
-    gr = ranked.where(F.col("_side") == 0).alias("g")
-    cr = ranked.where(F.col("_side") == 1).alias("c")
-    on = [F.col(f"g.{k}").eqNullSafe(F.col(f"c.{k}")) for k in exact] + [F.col("g._rank") == F.col("c._rank")]
-    ok = reduce(lambda x, y: x & y,
-                [_within(F.col(f"g.{k}"), F.col(f"c.{k}"), "float", tol, rel_tol) for k in floats])
-    paired = gr.join(cr, reduce(lambda x, y: x & y, on), "full_outer")
-    res = paired.agg(
-        F.count_if(F.col("g._side").isNotNull() & (F.col("c._side").isNull() | ~ok)).alias("ug"),
-        F.count_if(F.col("c._side").isNotNull() & (F.col("g._side").isNull() | ~ok)).alias("uc"),
-    ).first()
-    return int(res["ug"]), int(res["uc"])
+# --- matching within the tolerance ------------------------------------------------------------
+
+def _class(c: Column, kind: str) -> Column:
+    """What matches only its own kind among inexact values: NULL, NaN, the infinities."""
+    if kind != "float":
+        return F.when(c.isNull(), F.lit("null")).otherwise(F.lit("number"))
+    return (F.when(c.isNull(), F.lit("null")).when(F.isnan(c), F.lit("nan"))
+            .when(c == float("inf"), F.lit("inf")).when(c == float("-inf"), F.lit("-inf")).otherwise(F.lit("number")))
+
+
+def _runs(rows: DataFrame, keys: list[str], value: str, kind: str, tol: float, rel_tol: float,
+          tables: SharedTables) -> DataFrame:
+    """``rows`` with ``_run``: the run of its key group that each row belongs to, sorted by
+    ``value``, neighbours in a run being within tolerance. A range sort and a written table
+    with each row's partition and place; a row is compared with the one before it, in the
+    same partition or at the end of the one before (one row per partition)."""
+    order = [F.col(k).asc_nulls_first() for k in [*keys, value]]
+    fixed = tables.put(rows.orderBy(*order).select(
+        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_at")))
+    here = Window.partitionBy("_pid").orderBy("_at")
+    last = fixed.groupBy("_pid").agg(F.max_by(F.struct(*keys, value), "_at").alias("_last"))
+    earlier = last.select("_pid", F.lag("_last").over(Window.orderBy("_pid")).alias("_carried"))
+    seen = fixed.withColumn("_previous", F.lag(F.struct(*keys, value)).over(here)).join(earlier, "_pid")
+    before = F.coalesce("_previous", "_carried")
+    same_keys = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(before[k]) for k in keys], F.lit(True))
+    joined = before.isNotNull() & same_keys & _within(F.col(value), before[value], kind, tol, rel_tol)
+    flagged = seen.withColumn("_new", F.when(joined, 0).otherwise(1))
+    starts = flagged.groupBy("_pid").agg(F.sum("_new").alias("_n"))
+    offsets = starts.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    inside = F.sum("_new").over(here.rowsBetween(Window.unboundedPreceding, 0))
+    return (flagged.withColumn("_inside", inside).join(offsets, "_pid")
+            .withColumn("_run", F.col("_off") + F.col("_inside")).drop("_previous", "_carried", "_pid", "_at", "_new",
+                                                                       "_inside", "_off"))
+
+
+def match_run(rows: list[tuple], tol: float, rel_tol: float = 0.0) -> int:
+    """Most gold rows that can be paired with candidate rows, given (values, gold count,
+    candidate count) of distinct rows: maximum flow by augmenting paths over the pairs
+    within tolerance. Rows come sorted by their first value, so partners lie close by."""
+    gold = [[v, n] for v, n, _ in rows if n]
+    cand = [[v, n] for v, _, n in rows if n]
+    close = [[j for j, (w, _) in enumerate(cand) if all(_close(x, y, tol, rel_tol) for x, y in zip(v, w))]
+             for v, _ in gold]
+    flow: dict[tuple[int, int], int] = {}
+    left, right = [n for _, n in gold], [n for _, n in cand]
+    total = 0
+    for i in range(len(gold)):
+        while left[i]:
+            # breadth-first search for a candidate row with room
+            came: dict[int, int] = {}
+            reached, queue, end = {i: None}, [i], None
+            while queue and end is None:
+                g = queue.pop(0)
+                for j in close[g]:
+                    if j in came:
+                        continue
+                    came[j] = g
+                    if right[j]:
+                        end = j
+                        break
+                    for h in [h for (h, k), f in flow.items() if k == j and f and h not in reached]:
+                        reached[h] = j
+                        queue.append(h)
+            if end is None:
+                break
+            path, j = [], end
+            while True:
+                g = came[j]
+                path.append((g, j))
+                if reached[g] is None:
+                    break
+                j = reached[g]
+            amount = min([left[i], right[end]] + [flow[(g, reached[g])] for g, _ in path if reached[g] is not None])
+            for g, j in path:
+                flow[(g, j)] = flow.get((g, j), 0) + amount
+                if reached[g] is not None:
+                    flow[(g, reached[g])] -= amount
+            left[i] -= amount
+            right[end] -= amount
+            total += amount
+    return total
+
+
+def unmatched_within(g: DataFrame, c: DataFrame, kinds: list[str], groups: DataFrame, tol: float,
+                     rel_tol: float = 0.0) -> tuple[int, int]:
+    """Rows that no matching within the tolerance can pair, on (gold, candidate) side."""
+    names = [f"c{i}" for i in range(len(kinds))]
+    loose = [n for n, k in zip(names, kinds) if inexact(k)]
+    kind_of = dict(zip(names, kinds))
+    exact = [n for n in names if n not in loose]
+    tagged = g.select(*names, F.lit(1).alias("_g"), F.lit(0).alias("_c")).unionByName(
+        c.select(*names, F.lit(0).alias("_g"), F.lit(1).alias("_c")))
+    if exact:
+        bad = groups.where(F.col("n_gold") != F.col("n_cand")).select(*exact).distinct()
+        tagged = tagged.join(bad, reduce(lambda x, y: x & y, [tagged[k].eqNullSafe(bad[k]) for k in exact]), "left_semi")
+    classes = [f"k{n}" for n in loose]
+    for n, k in zip(loose, classes):
+        tagged = tagged.withColumn(k, _class(F.col(n), kind_of[n]))
+        tagged = tagged.withColumn(n, F.when(F.col(k) == "number", F.col(n)))
+    rows = tagged.groupBy(*exact, *classes, *loose).agg(F.sum("_g").alias("ng"), F.sum("_c").alias("nc"))
+    with SharedTables(g.sparkSession) as tables:
+        runs = tables.put(_runs(rows, exact + classes, loose[0], kind_of[loose[0]], tol, rel_tol, tables))
+        narrow = reduce(lambda x, y: x & y, [
+            F.coalesce(_within(F.min(n), F.max(n), kind_of[n], tol, rel_tol), F.lit(True)) for n in loose])
+        per_run = tables.put(runs.groupBy("_run").agg(
+            F.sum("ng").alias("ng"), F.sum("nc").alias("nc"), narrow.alias("narrow"),
+            F.max((F.col("ng") != F.col("nc")).cast("int")).alias("differs")))
+        settled = per_run.where("narrow and differs = 1").agg(
+            F.coalesce(F.sum(F.greatest(F.col("ng") - F.col("nc"), F.lit(0))), F.lit(0)).alias("ug"),
+            F.coalesce(F.sum(F.greatest(F.col("nc") - F.col("ng"), F.lit(0))), F.lit(0)).alias("uc")).first()
+        wide = runs.join(per_run.where("not narrow and differs = 1").select("_run"), "_run", "left_semi")
+
+        def match(pdf):
+            import pandas as pd
+            pdf = pdf.sort_values(loose, na_position="first")
+            values = [tuple(None if pd.isna(x) else x for x in r) for r in pdf[loose].itertuples(index=False)]
+            paired = match_run(list(zip(values, pdf["ng"].tolist(), pdf["nc"].tolist())), tol, rel_tol)
+            return pd.DataFrame({"ug": [int(pdf["ng"].sum()) - paired], "uc": [int(pdf["nc"].sum()) - paired]})
+
+        matched = wide.select("_run", *loose, "ng", "nc").groupBy("_run").applyInPandas(match, "ug long, uc long").agg(
+            F.coalesce(F.sum("ug"), F.lit(0)).alias("ug"), F.coalesce(F.sum("uc"), F.lit(0)).alias("uc")).first()
+    return int(settled["ug"] + matched["ug"]), int(settled["uc"] + matched["uc"])
 
 
 # --- the comparison ---------------------------------------------------------------------------
@@ -338,19 +401,12 @@ class Diff:
     gold_value: object = None     # the cell of a one-row, one-column result
     cand_value: object = None
 
-    def as_row(self) -> dict:
-        d = asdict(self)
-        for k in ("kinds", "gold_value", "cand_value"):
-            d.pop(k)
-        return d
-
 
 def _summary(key: str, gold: DataFrame, cand: DataFrame, ordered: bool = False) -> tuple[DataFrame, list[str]]:
     """One row of counts for a comparison: rows and unmatched rows per side, and for a
     single-column result its cell per side (as text and as a number).
 
-    For an ordered comparison whose sides are both bounded by a literal LIMIT of at
-    most SMALL_RESULT rows, a second row (``pid`` + ORDERED_SUFFIX, positional
+    For an ordered comparison whose sides are both bounded by a literal LIMIT, a second row (``pid`` + ORDERED_SUFFIX, positional
     mismatches in ``g``) is unioned in, so the position check runs in the same job
     and shares its exchanges instead of re-running both queries afterwards."""
     ga, ca = len(gold.columns), len(cand.columns)
@@ -366,7 +422,7 @@ def _summary(key: str, gold: DataFrame, cand: DataFrame, ordered: bool = False)
     single = ga == 1
     groups = signed_groups(ga_, ca_, kinds, keep_raw=single)
     d = F.col("n_gold") - F.col("n_cand")
-    numeric = single and kinds[0] in ("exact", "float")
+    numeric = single and (kinds[0] == "exact" or inexact(kinds[0]) or kinds[0].startswith("fixed:"))
     gv, cv = F.max("raw_gold"), F.max("raw_cand")
     out = groups.agg(
         F.lit(key).alias("pid"),
@@ -378,10 +434,9 @@ def _summary(key: str, gold: DataFrame, cand: DataFrame, ordered: bool = False)
         (cv.cast("string") if single else none_s).alias("cv_s"),
         (gv.cast("double") if numeric else none_d).alias("gv_d"),
         (cv.cast("double") if numeric else none_d).alias("cv_d"))
-    bounds = (limit_bound(gold), limit_bound(cand)) if ordered else (None, None)
-    if all(b is not None and b <= SMALL_RESULT for b in bounds):
+    if ordered and limit_bound(gold) is not None and limit_bound(cand) is not None:
         none_l = F.lit(None).cast("long")
-        pos = ordered_pairs(ga_, ca_, kinds, TOLERANCE, bounds).agg(
+        pos = ordered_pairs(ga_, ca_, kinds, TOLERANCE, (True, True)).agg(
             F.lit(key + ORDERED_SUFFIX).alias("pid"), F.count_if(~F.col("same")).cast("long").alias("g"),
             none_l.alias("c"), none_l.alias("ug"), none_l.alias("uc"), none_s.alias("gv_s"),
             none_s.alias("cv_s"), none_d.alias("gv_d"), none_d.alias("cv_d"))
@@ -398,8 +453,7 @@ def _cell(kind: str, text, number):
         return None
     if kind == "float":
         return number
-    if kind == "exact":
-        from decimal import Decimal
+    if kind == "exact" or kind.startswith(("fixed:", "decimal:")):
         return Decimal(text)
     if kind == "bool":
         return text == "true"
@@ -423,29 +477,23 @@ def _finish(row, gold: DataFrame, cand: DataFrame, kinds: list[str], ordered: bo
     if one_cell:
         out.gold_value = _cell(kinds[0], row["gv_s"], row["gv_d"])
         out.cand_value = _cell(kinds[0], row["cv_s"], row["cv_d"])
-    if (out.unmatched_gold or out.unmatched_cand) and "float" in kinds and out.gold_rows == out.cand_rows:
+    if (out.unmatched_gold or out.unmatched_cand) and any(map(inexact, kinds)):
         if one_cell:
-            gv, cv = row["gv_d"], row["cv_d"]
-            same = (gv is None and cv is None) or (gv is not None and cv is not None and
-                                                   _close(gv, cv, tol, rel_tol))
-            out.unmatched_gold = out.unmatched_cand = 0 if same else 1
+            out.unmatched_gold = out.unmatched_cand = int(not _close(out.gold_value, out.cand_value, tol, rel_tol))
         else:
             g, c, _ = align(gold, cand)
-            groups = signed_groups(g, c, kinds)
-            small = out.gold_rows + out.cand_rows <= SMALL_RESULT   # measured by the first job
-            out.unmatched_gold, out.unmatched_cand = repair_unmatched(
-                g, c, kinds, groups, tol, small, rel_tol, max_keys=out.unmatched_gold + out.unmatched_cand)
-            out.approximate = kinds.count("float") > 1 and bool(out.unmatched_gold or out.unmatched_cand)
+            out.unmatched_gold, out.unmatched_cand = unmatched_within(
+                g, c, kinds, signed_groups(g, c, kinds), tol, rel_tol)
     out.bag_equal = out.unmatched_gold == 0 and out.unmatched_cand == 0
     out.equal = out.bag_equal
-    if (ordered and out.bag_equal and out.gold_rows > 1 and positions is not None
-            and tol == TOLERANCE and not rel_tol):
-        out.equal = int(positions["g"]) == 0
-    elif ordered and out.bag_equal and out.gold_rows > 1:
-        g, c, _ = align(gold, cand)
-        # Sizes measured by the first job bound both sides as well as a literal LIMIT.
-        bounds = (limit_bound(gold) or out.gold_rows, limit_bound(cand) or out.cand_rows)
-        out.equal = ordered_mismatches(g, c, kinds, tol, bounds, rel_tol) == 0
+    if ordered and out.bag_equal and out.gold_rows > 1:
+        if positions is not None and tol == TOLERANCE and not rel_tol:
+            out.equal = int(positions["g"]) == 0
+        else:
+            g, c, _ = align(gold, cand)
+            limited = (limit_bound(gold) is not None, limit_bound(cand) is not None)
+            with SharedTables(gold.sparkSession) as tables:
+                out.equal = ordered_mismatches(g, c, kinds, tol, limited, rel_tol, tables) == 0
     return out
 
 
@@ -473,8 +521,9 @@ def compare_batch(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: floa
     """Compare many pairs, ``batch`` pairs per Spark job. Within a job the per-pair
     summaries are unioned into one plan, so their stages run together and identical
     sub-plans (the same gold query under several candidates) share their exchanges;
-    a few jobs run at once from threads. If a job fails, its pairs are compared one
-    by one and each result is a ``Diff`` or the exception its own comparison raised."""
+    a few jobs run at once from threads. If a job fails, its pairs are halved until the
+    failing ones stand alone; each result is a ``Diff`` or the exception its own
+    comparison raised."""
     from concurrent.futures import ThreadPoolExecutor
     size = batch or BATCH
     chunks = [items[i:i + size] for i in range(0, len(items), size)]
@@ -497,14 +546,11 @@ def _compare_chunk(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: flo
     try:
         joint = reduce(DataFrame.unionByName, [p[0][0] for p in parts])
         rows = {r["pid"]: r for r in joint.collect()}
-    except Exception:  # noqa: BLE001  some query fails at run time: find which, pair by pair
-        out = {}
-        for k, g, c, o in items:
-            try:
-                out[k] = compare(g, c, o, tol, rel_tol)
-            except Exception as exc:  # noqa: BLE001
-                out[k] = exc
-        return out
+    except Exception as exc:  # noqa: BLE001  some query fails at run time: halve to find which
+        if len(items) == 1:
+            return {items[0][0]: exc}
+        half = len(items) // 2
+        return _compare_chunk(items[:half], tol, rel_tol) | _compare_chunk(items[half:], tol, rel_tol)
     out = {}
     for (k, g, c, o), ((_, kinds), *_rest) in zip(items, parts):
         try:
@@ -515,11 +561,13 @@ def _compare_chunk(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: flo
 
 
 def ordered_pairs(g: DataFrame, c: DataFrame, kinds: list[str], tol: float = TOLERANCE,
-                  bounds: tuple[int | None, int | None] = (None, None), rel_tol: float = 0.0) -> DataFrame:
+                  limited: tuple[bool, bool] = (False, False), rel_tol: float = 0.0,
+                  tables: SharedTables | None = None) -> DataFrame:
     """Position-by-position pairing of two aligned results (full outer on position).
-    ``bounds`` are proven row limits of the two sides (see ``limit_bound``)."""
-    gp = _positions(g, bounds[0]).alias("g")
-    cp = _positions(c, bounds[1]).alias("c")
+    ``limited`` says which sides are under a literal LIMIT; any other is numbered through
+    ``tables``, which must outlive the result."""
+    gp = _positions(g, limited[0], tables).alias("g")
+    cp = _positions(c, limited[1], tables).alias("c")
     same = reduce(lambda x, y: x & y,
                   [_within(F.col(f"g.c{i}"), F.col(f"c.c{i}"), k, tol, rel_tol) for i, k in enumerate(kinds)],
                   F.lit(True))
@@ -531,5 +579,6 @@ def ordered_pairs(g: DataFrame, c: DataFrame, kinds: list[str], tol: float = TOL
 
 
 def ordered_mismatches(g: DataFrame, c: DataFrame, kinds: list[str], tol: float = TOLERANCE,
-                       bounds: tuple[int | None, int | None] = (None, None), rel_tol: float = 0.0) -> int:
-    return ordered_pairs(g, c, kinds, tol, bounds, rel_tol).where(~F.col("same")).count()
+                       limited: tuple[bool, bool] = (False, False), rel_tol: float = 0.0,
+                       tables: SharedTables | None = None) -> int:
+    return ordered_pairs(g, c, kinds, tol, limited, rel_tol, tables).where(~F.col("same")).count()

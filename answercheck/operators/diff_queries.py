@@ -364,7 +364,8 @@ def ordered_diff(spark, sf_dir):
     s = sql_session(spark, sf_dir, shop=False)
     gold, cand = s.sql(_WRONG_ORDER.gold), s.sql(_WRONG_ORDER.cand)
     g, c, kinds = align(gold, cand)
-    return ordered_pairs(g, c, kinds, bounds=(limit_bound(gold), limit_bound(cand)))
+    limited = (limit_bound(gold) is not None, limit_bound(cand) is not None)
+    return ordered_pairs(g, c, kinds, limited=limited)
 
 
 @query("normalize_values", oracle=f"""

@@ -34,7 +34,7 @@ def schema_ddl(session: SparkSession, views: list[str]) -> str:
 
 
 def prompt_dataset(spark: SparkSession, suite: DataFrame, levels: DataFrame, ddl: str,
-                   blocks=BLOCKS, suite_id: str = "shop") -> DataFrame:
+                   blocks=BLOCKS) -> DataFrame:
     """(question_id, level, system_prompt, user_prompt, prompt_chars, growth_chars)."""
     ranks = {name: i for i, name in enumerate(r.level for r in levels.orderBy("level_rank").collect())}
     b = spark.createDataFrame([(ranks[lv], text) for lv, text in blocks], "block_rank int, text string")
@@ -44,8 +44,10 @@ def prompt_dataset(spark: SparkSession, suite: DataFrame, levels: DataFrame, ddl
                  .agg(F.array_sort(F.collect_list(F.struct("block_rank", "text"))).alias("b")))
     system = F.concat_ws("\n\n", F.lit(BASE), F.lit("SCHEMA\n" + ddl), F.transform("b", lambda x: x.getField("text")))
     per_level = per_level.select("level", "level_rank", system.alias("system_prompt"))
-    grid = (suite.select("question_id", F.col("text").alias("user_prompt")).withColumn("suite_id", F.lit(suite_id))
-            .join(per_level.withColumn("suite_id", F.lit(suite_id)), "suite_id").drop("suite_id"))
+    # The suite is one small array per level: every level gets every question without a join.
+    asked = [(r.question_id, r.text) for r in suite.select("question_id", "text").collect()]
+    questions = F.array(*[F.struct(F.lit(q).alias("question_id"), F.lit(t).alias("user_prompt")) for q, t in asked])
+    grid = per_level.withColumn("q", F.explode(questions)).select("q.*", "level", "level_rank", "system_prompt")
     chars = F.length("system_prompt") + F.length("user_prompt")
     # The first level's prompt length follows from the inputs alone.
     first_len = len("\n\n".join([BASE, "SCHEMA\n" + ddl] + [t for lv, t in blocks if ranks[lv] == 0]))

@@ -104,9 +104,15 @@ def month_revenue_ordered(spark, sf_dir):
             .agg(F.sum(cents(F.col("o_totalprice"))).alias("revenue_cents")))
 
 
-def first_ship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order that has lines: its first ship date (the ruling's shipped_at)."""
-    return (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+def first_ship(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
+    """One row per order that has lines: its first ship date (the ruling's shipped_at).
+
+    ``before`` keeps orders first shipped before that day: later lines cannot bring a
+    minimum below it, so they are filtered in the scan and the minimum stays right."""
+    li = table(spark, sf_dir, "lineitem")
+    if before is not None:
+        li = li.where(F.col("l_shipdate") < _ts(before))
+    return (li.groupBy("l_orderkey")
             .agg(F.min("l_shipdate").cast("date").alias("shipped_at")))
 
 
@@ -120,8 +126,7 @@ def month_revenue_shipped(spark, sf_dir):
     """Revenue booked on the ship date. Unshipped orders (no lines) have no date and
     fall out of the range, as NULL does in any comparison."""
     s = F.col("shipped_at")
-    shipped = first_ship(spark, sf_dir).where((s >= F.lit(MONTH_START).cast("date"))
-                                              & (s < F.lit(MONTH_END).cast("date")))
+    shipped = first_ship(spark, sf_dir, before=MONTH_END).where(s >= F.lit(MONTH_START).cast("date"))
     o = completed_orders(spark, sf_dir)
     return (o.join(shipped, o.o_orderkey == shipped.l_orderkey)
             .agg(F.sum(cents(F.col("o_totalprice"))).alias("revenue_cents")))
@@ -219,11 +224,12 @@ def top_products(spark, sf_dir):
     FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
     GROUP BY 1 ORDER BY 2 DESC LIMIT 1""")
 def top_by_ordinal(spark, sf_dir):
-    """ORDER BY an output ordinal, as generated SQL writes it; run through Spark SQL."""
-    o = table(spark, sf_dir, "orders")
+    """ORDER BY an output ordinal, as generated SQL writes it; run through Spark SQL. Orders
+    are summed per customer first, so the join sees one row per customer."""
+    per_cust = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.sum(cents(F.col("o_totalprice"))).alias("cents"))
     c = table(spark, sf_dir, "customer")
-    joined = o.join(c, c.c_custkey == o.o_custkey).select(
-        F.col("c_mktsegment"), cents(F.col("o_totalprice")).alias("cents"))
+    joined = per_cust.join(c, c.c_custkey == per_cust.o_custkey).select("c_mktsegment", "cents")
     return spark.sql(
         "SELECT c_mktsegment AS segment, SUM(cents) AS revenue_cents FROM {t} "
         "GROUP BY 1 ORDER BY 2 DESC LIMIT 1", t=joined)

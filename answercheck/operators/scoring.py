@@ -30,10 +30,10 @@ from .explain import explain_col
 CORRECT, WRONG, ERROR, ABSTAINED, OVERREACHED, BLOCKED = (
     "CORRECT", "WRONG", "ERROR", "ABSTAINED", "OVERREACHED", "BLOCKED")
 VERDICTS = (CORRECT, WRONG, ERROR, ABSTAINED, OVERREACHED, BLOCKED)
-DETAIL_REFUSED_OK = "correctly refused an unanswerable question"
-DETAIL_OVERREACH = "answered a question this schema cannot answer"
-DETAIL_ABSTAINED = "declined a question it could have answered"
-DETAIL_MATCH = "rows match the reference"
+DETAIL_REFUSED_OK = "no answer exists and none was given"
+DETAIL_OVERREACH = "an answer was given where the tables hold none"
+DETAIL_ABSTAINED = "no answer was given although the tables hold one"
+DETAIL_MATCH = "same rows as the trusted query"
 
 
 def abstained(sql_text: Column) -> Column:
@@ -120,9 +120,9 @@ def score(spark: SparkSession, sf_dir: str, candidates: DataFrame, role: str = "
     return out
 
 
-def mock_outcomes(spark: SparkSession, sf_dir: str, role: str = "owner", questions=QUESTIONS,
+def layered_outcomes(spark: SparkSession, sf_dir: str, role: str = "owner", questions=QUESTIONS,
                   layers=None, runner=None) -> DataFrame:
-    """The suite scored with the layered mock candidates at every level."""
+    """The suite scored with the layered candidates at every level."""
     cands = layered_candidates(spark, layers=layers) if layers else layered_candidates(spark)
     return score(spark, sf_dir, cands, role, questions, runner)
 

@@ -15,6 +15,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..plans.governed import REFUSED
 from ..registry import query
 from ..sources.suite import ABSTAIN, CANDIDATE_LAYERS, DEFAULT_ABSTENTION, QUESTIONS, levels_df
 from ..sources.tables import SHOP_VIEWS_SQL
@@ -61,7 +62,7 @@ def outcomes_oracle(role: str = "owner") -> str:
         p = Pair("", q.gold_sql, sql, q.kinds, q.ordered, q.order_by, q.order_by)
         facts.append(f"SELECT {_q(q.gold_sql)} AS gold_sql, {_q(sql)} AS sql_text, f.* FROM ({_oracle_pair(p)}) f")
     denied = "lower({}) LIKE '%email%'" if role == "analyst" else "FALSE"
-    refusal = "AccessDenied: access to shop_customers.email is prohibited"
+    refusal = f"AccessDenied: {REFUSED}: column shop_customers.email"
     return f"""WITH {views},
     levels(level, level_rank) AS (VALUES {levels}),
     layers(layer_rank, question_id, sql_text) AS (VALUES {layers}),
@@ -98,7 +99,7 @@ def outcomes_oracle(role: str = "owner") -> str:
 
 
 def _outcomes(spark: SparkSession, sf_dir: str, role: str = "owner") -> DataFrame:
-    return scoring.mock_outcomes(spark, sf_dir, role)
+    return scoring.layered_outcomes(spark, sf_dir, role)
 
 
 _OUT_COLS = "run_id, level, question_id, category, verdict, gold_broken, detail"

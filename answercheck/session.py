@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -67,3 +68,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="answercheck-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return configured
+
+
+class SharedTables:
+    """Tables written to the shared checkpoint folder and deleted on leaving the block.
+    Unlike checkpoint() they are columns in Parquet, and nothing of them stays behind."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables-{uuid.uuid4().hex}"
+        self.count = 0
+
+    def put(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.root}/{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> "SharedTables":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -217,15 +217,9 @@ def test_dropping_or_duplicating_one_row_always_breaks_equality(spark, rows, pic
     assert not math.isnan(sum(x for _, x in rows))
 
 
-# --- the large-result paths (forced by lowering the small-result bound) -----------------------
+# --- matching and positions over many partitions ------------------------------------------------
 
-@pytest.fixture
-def large_paths(monkeypatch):
-    import answercheck.operators.diff as D
-    monkeypatch.setattr(D, "SMALL_RESULT", 10)
-
-
-def test_hot_group_repair_on_the_global_sort_path(spark, large_paths):
+def test_a_hot_group_is_matched_through_the_global_sort(spark):
     n = 4000
     g = spark.range(n).repartition(7).select(
         F.when(F.col("id") < 3000, "hot").otherwise(F.col("id").cast("string")).alias("k"),
@@ -237,14 +231,19 @@ def test_hot_group_repair_on_the_global_sort_path(spark, large_paths):
     assert not d.equal and d.unmatched_gold > 0 and d.unmatched_gold == d.unmatched_cand
 
 
-def test_positions_of_a_large_sorted_result_span_partitions(spark, large_paths):
+def test_positions_of_a_sorted_result_span_partitions(spark):
     from answercheck.operators.diff import with_position
+    from answercheck.session import SharedTables
     df = spark.range(5000).repartition(6).orderBy(F.col("id").desc())
-    pos = {r.id: r._pos for r in with_position(df).collect()}
+    with SharedTables(spark) as tables:
+        pos = {r.id: r._pos for r in with_position(df, tables).collect()}
+        root = tables.root
+    fs = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    assert not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(root))  # nothing stays behind
     assert all(pos[i] == 4999 - i for i in range(5000))
 
 
-def test_ordered_comparison_of_large_results(spark, large_paths):
+def test_ordered_comparison_without_a_limit(spark):
     g = spark.range(3000).toDF("a").repartition(5).orderBy("a")
     same = spark.range(3000).toDF("a").repartition(3).orderBy("a")
     rev = spark.range(3000).toDF("a").orderBy(F.col("a").desc())
@@ -300,13 +299,7 @@ def test_relative_tolerance_absorbs_the_last_digits_of_large_sums(spark):
     assert not eq(g.orderBy("x"), c.orderBy(F.col("x").desc()), ordered=True, rel_tol=1e-12)
 
 
-def test_disagreeing_keys_are_broadcast_only_with_a_proven_size(spark):
-    from answercheck.operators.diff import BROADCAST_BYTES, _broadcast_keys
-    assert _broadcast_keys(["exact", "float"], 1000)
-    assert _broadcast_keys(["exact", "bool", "same_ts", "float"], 1000)
-    assert not _broadcast_keys(["text", "float"], 10)          # no byte bound for text
-    assert not _broadcast_keys(["exact", "float"], None)       # no count bound
-    assert not _broadcast_keys(["exact", "float"], BROADCAST_BYTES // 16)
+def test_only_groups_that_disagree_lose_rows(spark):
     g = spark.range(3000).select((F.col("id") % 40).alias("k"), (F.col("id") / 7).alias("x"))
     c = g.select("k", F.when(F.col("k") == 3, F.col("x") + 4e-7).otherwise(F.col("x")).alias("x"))
     assert eq(g, c)
@@ -315,37 +308,70 @@ def test_disagreeing_keys_are_broadcast_only_with_a_proven_size(spark):
     assert not d.equal and d.unmatched_gold == d.unmatched_cand == 75
 
 
-def _static_plan(spark, df) -> str:
-    old = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", old)
+def test_two_float_columns_match_across_the_grid(spark):
+    g = R(spark, [(1.0000004, 5.0), (1.0000006, 7.0)], "a double, b double")
+    c = R(spark, [(1.0000006, 5.0), (1.0000004, 7.0)], "a double, b double")
+    assert eq(g, c) and not compare(g, c).approximate
 
 
-def test_bounded_disagreeing_keys_filter_both_sides_map_side(spark):
-    from answercheck.operators.diff import align, disagreeing_rows, signed_groups
-    g = spark.range(3000).select((F.col("id") % 40).alias("k"), (F.col("id") / 7).alias("x"))
-    c = g.select("k", F.when(F.col("k") == 3, F.col("x") + 1e-3).otherwise(F.col("x")).alias("x"))
-    ga, ca, kinds = align(g, c)
-    groups = signed_groups(ga, ca, kinds)
-    bounded, _ = disagreeing_rows(ga, ca, kinds, groups, max_keys=150)
-    unbounded, _ = disagreeing_rows(ga, ca, kinds, groups, max_keys=None)
-    with_threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only hints may broadcast
-    try:
-        assert "BroadcastHashJoin" in _static_plan(spark, bounded)
-        assert "BroadcastHashJoin" not in _static_plan(spark, unbounded)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_threshold)
-    assert bounded.count() == unbounded.count() == 75
-
-
-def test_group_starts_are_joined_back_per_partition(spark):
-    from answercheck.operators.diff import _rank_in_group
-    df = spark.range(2000).select(F.when(F.col("id") < 1500, "hot").otherwise(F.col("id").cast("string")).alias("k"),
-                                  (F.col("id") / 7).alias("x"))
-    plan = _static_plan(spark, _rank_in_group(df, ["k"], ["x"]))
-    back = [ln for ln in plan.splitlines() if "Join" in ln and "_spid" in ln]
-    assert back and all("_pid" in ln for ln in back)
+def test_unmatched_counts_use_the_tolerance_when_row_counts_differ(spark):
+    d = compare(R(spark, [(0.3000004,), (9.0,)], "x double"), R(spark, [(0.3000006,)], "x double"))
+    assert (d.unmatched_gold, d.unmatched_cand) == (1, 0)
+
+
+def test_decimals_compare_as_decimals(spark):
+    big = "CAST('12345678901234567.01' AS DECIMAL(38, 2)) AS x", "CAST('12345678901234567.02' AS DECIMAL(38, 2)) AS x"
+    g, c = (spark.sql(f"SELECT {b}") for b in big)
+    assert not eq(g, c) and eq(g, g)
+    assert eq(spark.sql("SELECT CAST(5 AS DECIMAL(12, 2))"), spark.sql("SELECT 5"))
+    fine = [spark.sql(f"SELECT k, CAST(x AS DECIMAL(30, 9)) x FROM VALUES (1, '1.000000400'), (2, '{t}') t(k, x)")
+            for t in ("2.000000000", "2.000000900", "2.000001100")]
+    assert eq(fine[0], fine[1]) and not eq(fine[0], fine[2])
+
+
+def test_a_date_equals_its_iso_text(spark):
+    assert eq(spark.sql("SELECT DATE '1998-03-01' AS d"), spark.sql("SELECT '1998-03-01' AS d"))
+    assert not eq(spark.sql("SELECT DATE '1998-03-01' AS d"), spark.sql("SELECT '1998-3-1' AS d"))
+
+
+def most_pairs(gold, cand, tol):
+    """Largest matching by trying all ways (small inputs)."""
+    if not gold:
+        return 0
+    best = most_pairs(gold[1:], cand, tol)
+    for i, w in enumerate(cand):
+        if all(abs(a - b) <= tol for a, b in zip(gold[0], w)):
+            best = max(best, 1 + most_pairs(gold[1:], cand[:i] + cand[i + 1:], tol))
+    return best
+
+
+def test_wide_runs_are_matched_as_well_as_can_be():
+    import random
+    from answercheck.operators.diff import match_run
+    r = random.Random(8)
+    for _ in range(150):
+        d = r.randint(1, 2)
+        gold = [tuple(r.randint(0, 6) / 2 for _ in range(d)) for _ in range(r.randint(0, 6))]
+        cand = [tuple(r.randint(0, 6) / 2 for _ in range(d)) for _ in range(r.randint(0, 6))]
+        rows = [(v, gold.count(v), cand.count(v)) for v in sorted({*gold, *cand})]
+        assert match_run(rows, 1.0) == most_pairs(gold, cand, 1.0)
+
+
+def test_chains_match_through_the_whole_comparison(spark):
+    """0, 1, 2, ... against the same shifted by one step of just under the tolerance:
+    one long run, all but the ends paired; and values a third of the rows share."""
+    step = 0.9e-6
+    g = spark.range(300).select((F.col("id") * step).alias("x"))
+    c = spark.range(300).select(((F.col("id") + 1) * step).alias("x"))
+    assert eq(g, c)
+    hot = g.union(spark.range(150).select(F.lit(7.0).alias("x")))
+    d = compare(hot, c.union(spark.range(130).select(F.lit(7.0000003).alias("x"))))
+    assert (d.unmatched_gold, d.unmatched_cand) == (20, 0)
+
+
+def test_one_failing_pair_costs_only_itself(spark):
+    from answercheck.operators.diff import compare_batch
+    bad = spark.sql("SELECT CAST(o AS INT) AS a FROM VALUES ('x') t(o)")
+    items = [(str(i), R(spark, [(i,)]), bad if i == 5 else R(spark, [(i,)]), False) for i in range(8)]
+    out = compare_batch(items)
+    assert [out[str(i)].equal if i != 5 else isinstance(out["5"], Exception) for i in range(8)] == [True] * 8
