@@ -213,19 +213,31 @@ def _audit_wrong(rows: list[dict], outcomes: dict) -> None:
     """For every candidate that ran and disagreed, did one of its joins change
     the row count of its FROM side? All audits run as one job."""
     from .fanout import join_audit
-    audits = []
+    audits = {}
     for row in rows:
         if row["gold_ok"] and row["cand_ok"] and row["gold_rows"] is not None and not row["equal"]:
-            a = join_audit(outcomes[row["pair_id"]][1].df, row["pair_id"])
+            try:
+                a = join_audit(outcomes[row["pair_id"]][1].df, row["pair_id"])
+            except Exception:  # noqa: BLE001  an audit that fails leaves its facts NULL
+                a = None
             if a is not None:
-                audits.append(a)
-    if not audits:
-        return
+                audits[row["pair_id"]] = a
+
+    def run(keys: list[str]) -> dict:
+        if not keys:
+            return {}
+        try:
+            joint = reduce(DataFrame.unionByName, [audits[k] for k in keys]).groupBy("query_id").agg(
+                F.count_if("changed_rows").cast("int").alias("n"), F.max("factor").alias("f"))
+            return {r["query_id"]: r for r in joint.collect()}
+        except Exception:  # noqa: BLE001  halve to leave out only the audit that fails
+            half = len(keys) // 2
+            return run(keys[:half]) | run(keys[half:]) if half else {}
+
     found = {}
-    for i in range(0, len(audits), BATCH):   # bounded plans, as for the comparisons
-        joint = reduce(DataFrame.unionByName, audits[i:i + BATCH]).groupBy("query_id").agg(
-            F.count_if("changed_rows").cast("int").alias("n"), F.max("factor").alias("f"))
-        found.update({r["query_id"]: r for r in joint.collect()})
+    names = list(audits)
+    for i in range(0, len(names), BATCH):   # bounded plans, as for the comparisons
+        found |= run(names[i:i + BATCH])
     for row in rows:
         if row["pair_id"] in found:
             row["fanout_joins"] = found[row["pair_id"]]["n"]

@@ -174,14 +174,20 @@ def total_mismatch(spark, sf_dir):
 
 # --- T2: the same check on any query ---------------------------------------------------------
 
+_AUDIT = ("query_id string, join_index int, join_type string, keyless boolean, left_rows decimal(38,0), "
+          "right_rows decimal(38,0), joined_rows decimal(38,0), dropped_rows decimal(38,0), repeated_rows decimal(38,0)")
+
+
 def _joins(node, out: list) -> list:
-    """Join nodes of an analyzed plan, outermost first; a view is a table here."""
+    """Join nodes of an analyzed plan, outermost first, those inside subqueries and lateral
+    ones included; a view is a table here."""
     kids = [node.children().apply(i) for i in range(node.children().size())]
     if node.nodeName() == "SubqueryAlias" and len(kids) == 1 and kids[0].nodeName() == "View":
         return out
-    if node.nodeName() == "Join":
+    if node.nodeName() in ("Join", "LateralJoin"):
         out.append(node)
-    for k in kids:
+    subs = [node.subqueries().apply(i) for i in range(node.subqueries().size())]
+    for k in kids + subs:
         _joins(k, out)
     return out
 
@@ -207,8 +213,19 @@ def _key_column(expr, plan):
 _BY_KEYS = ("Inner", "LeftOuter", "RightOuter", "FullOuter", "LeftSemi", "LeftAnti")
 
 
-def _counts_by_keys(session, j, ofrows):
-    """Rows in on each side and rows out of an equi-join, without building its output.
+def _big(c):
+    """Counts are multiplied: DECIMAL(38,0) holds what BIGINT cannot."""
+    return F.coalesce(c.cast("decimal(19,0)"), F.lit(0).cast("decimal(19,0)"))
+
+
+def _rows(session, plan) -> DataFrame:
+    from pyspark.sql import DataFrame as DF
+    return DF(session._jvm.org.apache.spark.sql.classic.Dataset.ofRows(session._jsparkSession, plan), session)
+
+
+def _counts_by_keys(session, j):
+    """Rows in on each side, rows out, and left rows dropped and repeated by an equi-join,
+    without building its output.
 
     Each side is counted per key value (one aggregate, combined map-side, so a key
     holding a third of all rows is one partial row per task); the two count tables
@@ -216,7 +233,6 @@ def _counts_by_keys(session, j, ofrows):
     is the sum of ``left * right`` over keys (plus unmatched rows for outer joins).
     Exact for equality keys; a many-to-many hot key is never expanded. None if the
     join has another condition or a key that is not a column."""
-    from pyspark.sql import DataFrame as DF
     jt = j.joinType().toString()
     if jt not in _BY_KEYS:
         return None
@@ -232,76 +248,138 @@ def _counts_by_keys(session, j, ofrows):
         cols = [_key_column(keys.apply(i), plan) for i in range(keys.size())]
         if any(c is None for c in cols):
             return None
-        d = DF(ofrows(session._jsparkSession, plan), session)
+        d = _rows(session, plan)
         d = d.toDF(*[f"_{i}" for i in range(len(d.columns))])
         sides.append(d.groupBy(*[c.alias(f"{tag}{i}") for i, c in enumerate(cols)])
                      .agg(F.count(F.lit(1)).alias(f"n{tag}")))
     lk, rk = sides
     on = reduce(lambda a, b: a & b, [F.col(f"l{i}") == F.col(f"r{i}") for i in range(lkeys.size())])
-    nl, nr = F.col("nl"), F.col("nr")
-    both = nl.isNotNull() & nr.isNotNull()
-    out = {
-        "Inner": F.when(both, nl * nr),
-        "LeftOuter": F.when(nl.isNotNull(), nl * F.coalesce(nr, F.lit(1))),
-        "RightOuter": F.when(nr.isNotNull(), nr * F.coalesce(nl, F.lit(1))),
-        "FullOuter": F.coalesce(nl, F.lit(1)) * F.coalesce(nr, F.lit(1)),
-        "LeftSemi": F.when(both, nl),
-        "LeftAnti": F.when(nl.isNotNull() & nr.isNull(), nl),
-    }[jt]
-    zero = F.lit(0).cast("long")
+    nl, nr, one = _big(F.col("nl")), _big(F.col("nr")), F.lit(1).cast("decimal(19,0)")
+    matched = nl * nr
+    lone_left, lone_right = F.when(nr == 0, nl).otherwise(0), F.when(nl == 0, nr).otherwise(0)
+    kept = F.when((nl > 0) & (nr > 0), nl).otherwise(0)
+    out = {"Inner": matched, "LeftOuter": matched + lone_left, "RightOuter": matched + lone_right,
+           "FullOuter": matched + lone_left + lone_right, "LeftSemi": kept, "LeftAnti": lone_left}[jt]
+    dropped = {"Inner": lone_left, "RightOuter": lone_left, "LeftSemi": lone_left, "LeftAnti": kept}.get(jt, F.lit(0))
+    repeated = F.lit(0) if jt in ("LeftSemi", "LeftAnti") else F.when(nr > 1, nl * (nr - one)).otherwise(0)
+    total = lambda c: F.coalesce(F.sum(c.cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)")
     return lk.join(rk, on, "full_outer").agg(
-        F.coalesce(F.sum(nl), zero).alias("left_rows"), F.coalesce(F.sum(nr), zero).alias("right_rows"),
-        F.coalesce(F.sum(out), zero).cast("long").alias("joined_rows"))
+        total(nl).alias("left_rows"), total(nr).alias("right_rows"), total(out).alias("joined_rows"),
+        total(dropped).alias("dropped_rows"), total(repeated).alias("repeated_rows"))
 
 
-def _counts_by_rows(session, j, ofrows):
-    """Rows in on each side and rows out of any join, by counting its output."""
-    from pyspark.sql import DataFrame as DF
-    d = [DF(ofrows(session._jsparkSession, plan), session).select(F.lit(i).alias("_side"))
-         for i, plan in enumerate((j.left(), j.right(), j))]
-    tagged = reduce(DataFrame.unionByName, d)
-    return tagged.agg(*[F.count_if(F.col("_side") == i).alias(n)
-                        for i, n in enumerate(("left_rows", "right_rows", "joined_rows"))])
+def _side_by_side(session, plans: dict) -> DataFrame:
+    """The row count of each plan as a column, all in one job."""
+    tagged = reduce(DataFrame.unionByName, [_rows(session, p).select(F.lit(n).alias("_n")) for n, p in plans.items()])
+    return tagged.agg(*[F.count_if(F.col("_n") == n).cast("decimal(38,0)").alias(n) for n in plans])
+
+
+def _counts(session, j) -> tuple[DataFrame, bool]:
+    """(one row of counts, keyless): NULL where a count would take running a product."""
+    none = F.lit(None).cast("decimal(38,0)")
+    if j.nodeName() == "LateralJoin":
+        c = _side_by_side(session, {"left_rows": j.left(), "joined_rows": j})
+        return c.withColumn("right_rows", none).withColumn("dropped_rows", none).withColumn("repeated_rows", none), False
+    by_keys = _counts_by_keys(session, j)
+    if by_keys is not None:
+        return by_keys, False
+    extracted = session._jvm.org.apache.spark.sql.catalyst.planning.ExtractEquiJoinKeys.unapply(j)
+    if not extracted.isDefined():
+        # No equality to meet on: every left row meets every right row. Never run it.
+        c = _side_by_side(session, {"left_rows": j.left(), "right_rows": j.right()})
+        product = (F.col("left_rows").cast("decimal(19,0)") * F.col("right_rows").cast("decimal(19,0)")).cast("decimal(38,0)")
+        plain = not j.condition().isDefined()
+        return (c.withColumn("joined_rows", product if plain else none).withColumn("dropped_rows", none)
+                .withColumn("repeated_rows", none)), True
+    c = _side_by_side(session, {"left_rows": j.left(), "right_rows": j.right(), "joined_rows": j})
+    return c.withColumn("dropped_rows", none).withColumn("repeated_rows", none), False
 
 
 def join_audit(df: DataFrame, query_id: str = "q") -> DataFrame | None:
-    """M1 for an arbitrary query: for every join it makes, rows in on each side and
-    rows out, in one job (one row per join, unioned). A join whose output differs
-    from its left (FROM) side multiplied or dropped those rows, so any aggregate of a
-    left-side column is now weighted. Equi-joins are sized from per-key counts
-    (``_counts_by_keys``); only joins with other conditions run to be counted. None if
-    there is no join."""
+    """M1 for an arbitrary query: for every join it makes, rows in on each side, rows out,
+    and (for equi-joins) how many left rows it dropped and how often it repeated others, in
+    one job (one row per join, unioned). A join that dropped or repeated rows of its left
+    (FROM) side has weighted any aggregate of a left-side column, even if both cancel out.
+
+    ``WITH`` bodies are put in place of their references first. Equi-joins are sized from
+    per-key counts; a join without any equality (``keyless``) is sized as the product of its
+    sides and never run; only lateral joins and equi-joins with further conditions run to be
+    counted. A join that cannot be sized apart from its query (a correlated one) has NULL
+    counts. None if there is no join."""
     session = df.sparkSession
-    joins = _joins(df._jdf.queryExecution().analyzed(), [])
+    plan = df._jdf.queryExecution().analyzed()
+    inlined = session._jvm.org.apache.spark.sql.catalyst.optimizer.InlineCTE(True, False).apply(plan)
+    joins = _joins(inlined, [])
     if not joins:
         return None
-    ofrows = session._jvm.org.apache.spark.sql.classic.Dataset.ofRows
+    names = [f.split(" ")[0] for f in _AUDIT.split(", ")]
     rows = []
     for i, j in enumerate(joins):
-        counts = _counts_by_keys(session, j, ofrows)
-        if counts is None:
-            counts = _counts_by_rows(session, j, ofrows)
+        try:
+            counts, keyless = _counts(session, j)
+        except Exception:  # noqa: BLE001  an audit never fails its query
+            counts = session.createDataFrame([(None,) * 5], ", ".join(f"{n} decimal(38,0)" for n in names[4:]))
+            keyless = None
         rows.append(counts.select(F.lit(query_id).alias("query_id"), F.lit(i).alias("join_index"),
                                   F.lit(j.joinType().toString()).alias("join_type"),
-                                  "left_rows", "right_rows", "joined_rows"))
+                                  F.lit(keyless).cast("boolean").alias("keyless"), *names[4:]))
     wide = reduce(DataFrame.unionByName, rows)
-    return wide.select("query_id", "join_index", "join_type", "left_rows", "right_rows", "joined_rows",
-                       (F.col("joined_rows") != F.col("left_rows")).alias("changed_rows"),
-                       F.round(F.col("joined_rows") / F.col("left_rows"), 6).alias("factor"))
-
-
-_FANOUT_SQL = ("SELECT SUM(o.total_cents) FROM shop_orders o JOIN shop_order_items i ON i.order_id = o.id "
-               "WHERE o.status = 'completed'")
-
-
-@query("join_audit", oracle=f"""
-    {shop_cte().rstrip()},
-    c AS (SELECT (SELECT COUNT(*) FROM shop_orders) AS l, (SELECT COUNT(*) FROM shop_order_items) AS r,
-                 (SELECT COUNT(*) FROM shop_orders o JOIN shop_order_items i ON i.order_id = o.id) AS j)
-    SELECT 'fanout' AS query_id, 0 AS join_index, 'Inner' AS join_type, l AS left_rows, r AS right_rows,
-           j AS joined_rows, j <> l AS changed_rows, ROUND(j / l, 6) AS factor FROM c""")
+    changed = (F.coalesce(F.col("joined_rows") != F.col("left_rows"), F.col("keyless"), F.lit(False))
+               | (F.coalesce("dropped_rows", F.lit(0)) > 0) | (F.coalesce("repeated_rows", F.lit(0)) > 0))
+    known = F.col("left_rows").isNotNull()
+    return wide.select(
+        "query_id", "join_index", "join_type", "keyless",
+        *names[4:], F.when(known, changed).alias("changed_rows"),
+        F.when(F.col("left_rows") > 0, F.round(F.col("joined_rows").cast("double") / F.col("left_rows").cast("double"), 6)
+               ).alias("factor"))
+
+
+# One query of each kind the audit has to see through, and the key sets (left,
+# right) its join meets on, for the oracle.
+_TWICE = ("(SELECT id FROM shop_orders WHERE id % 4 <> 0 UNION ALL SELECT id FROM shop_orders WHERE id % 4 = 1)")
+AUDIT_CASES = {
+    "fanout": ("SELECT SUM(o.total_cents) FROM shop_orders o JOIN shop_order_items i ON i.order_id = o.id "
+               "WHERE o.status = 'completed'", "shop_orders", "id", "shop_order_items", "order_id"),
+    "in_a_with_body": ("WITH i AS (SELECT order_id, qty FROM shop_order_items), "
+                       "j AS (SELECT o.total_cents FROM shop_orders o JOIN i ON i.order_id = o.id) "
+                       "SELECT SUM(total_cents) FROM j", "shop_orders", "id", "shop_order_items", "order_id"),
+    "drops_as_much_as_it_repeats": (f"SELECT SUM(o.total_cents) FROM shop_orders o JOIN {_TWICE} t ON t.id = o.id",
+                                    "shop_orders", "id", f"{_TWICE} t", "id"),
+}
+_LATERAL_SQL = ("SELECT SUM(o.total_cents) FROM shop_orders o, "
+                "LATERAL (SELECT i.qty FROM shop_order_items i WHERE i.order_id = o.id) x")
+_CROSS_SQL = "SELECT COUNT(*) FROM shop_orders o CROSS JOIN shop_refunds r"
+
+
+def _audit_oracle() -> str:
+    dec = "DECIMAL(38, 0)"
+    parts = []
+    for key, (_, left, lk, right, rk) in AUDIT_CASES.items():
+        parts.append(f"""
+    SELECT '{key}' AS query_id, 0 AS join_index, 'Inner' AS join_type, FALSE AS keyless, l AS left_rows, r AS right_rows,
+           j AS joined_rows, d AS dropped_rows, p AS repeated_rows, (j <> l OR d > 0 OR p > 0) AS changed_rows,
+           ROUND(CAST(j AS DOUBLE) / l, 6) AS factor
+    FROM (SELECT CAST(SUM(nl) AS {dec}) AS l, (SELECT CAST(COUNT(*) AS {dec}) FROM {right}) AS r,
+                 CAST(SUM(nl * COALESCE(nr, 0)) AS {dec}) AS j,
+                 CAST(SUM(CASE WHEN nr IS NULL THEN nl ELSE 0 END) AS {dec}) AS d,
+                 CAST(SUM(CASE WHEN nr > 1 THEN nl * (nr - 1) ELSE 0 END) AS {dec}) AS p
+          FROM (SELECT {lk} AS k, COUNT(*) AS nl FROM {left} GROUP BY 1) a
+          LEFT JOIN (SELECT {rk} AS k, COUNT(*) AS nr FROM {right} GROUP BY 1) b USING (k)) x""")
+    parts.append(f"""
+    SELECT 'lateral', 0, 'Inner', FALSE, l, NULL, j, NULL, NULL, j <> l, ROUND(CAST(j AS DOUBLE) / l, 6)
+    FROM (SELECT (SELECT CAST(COUNT(*) AS {dec}) FROM shop_orders) AS l,
+                 (SELECT CAST(COUNT(*) AS {dec}) FROM shop_orders o JOIN shop_order_items i ON i.order_id = o.id) AS j) x""")
+    parts.append(f"""
+    SELECT 'cross', 0, 'Cross', TRUE, l, r, CAST(l * r AS {dec}), NULL, NULL, l * r <> l, ROUND(CAST(l * r AS DOUBLE) / l, 6)
+    FROM (SELECT (SELECT COUNT(*) FROM shop_orders) AS l, (SELECT COUNT(*) FROM shop_refunds) AS r) x""")
+    return shop_cte() + " UNION ALL ".join(parts)
+
+
+@query("join_audit", oracle=_audit_oracle())
 def join_audit_q(spark, sf_dir):
-    """The fan-out check applied to the shop-vocabulary fan-out query itself."""
+    """The join check on one query of each kind: a plain fan-out, one inside a WITH
+    body, one that drops as many rows as it repeats, a lateral one, a product."""
     from ..sources.tables import sql_session
     s = sql_session(spark, sf_dir)
-    return join_audit(s.sql(_FANOUT_SQL), "fanout")
+    queries = {k: v[0] for k, v in AUDIT_CASES.items()} | {"lateral": _LATERAL_SQL, "cross": _CROSS_SQL}
+    return reduce(DataFrame.unionByName, [join_audit(s.sql(text), key) for key, text in queries.items()])

@@ -71,3 +71,33 @@ def test_a_hot_many_to_many_key_is_never_expanded(spark):
     row = join_audit(df, "hot").first()
     assert row.joined_rows == 900_000_000 and row.changed_rows and row.factor == 30_000.0
     assert time.perf_counter() - t < 60
+
+
+def test_a_with_body_is_seen_through_and_lateral_joins_are_counted(spark, sides):
+    left, right = sides
+    df = spark.sql("WITH r AS (SELECT * FROM audit_r), j AS (SELECT l.k FROM audit_l l JOIN r ON l.k = r.k) SELECT COUNT(*) FROM j")
+    assert join_audit(df, "t").first().joined_rows == _brute(left, right, "JOIN")
+    df = spark.sql("SELECT * FROM audit_l l, LATERAL (SELECT w FROM audit_r r WHERE r.k = l.k) x")
+    row = join_audit(df, "t").first()
+    assert row.changed_rows and row.joined_rows == _brute(left, right, "JOIN")
+
+
+def test_a_join_inside_a_subquery_is_audited(spark, sides):
+    df = spark.sql("SELECT (SELECT COUNT(*) FROM audit_l l JOIN audit_r r ON l.k = r.k) AS n")
+    assert join_audit(df, "t").first().joined_rows == _brute(*sides, "JOIN")
+
+
+def test_a_product_is_sized_and_never_run(spark):
+    spark.range(1_000_000).createOrReplaceTempView("audit_many")
+    df = spark.sql("SELECT COUNT(*) FROM audit_many a, audit_many b")
+    row = join_audit(df, "t").first()
+    assert row.keyless and row.joined_rows == 10 ** 12 and row.changed_rows
+    row = join_audit(spark.sql("SELECT * FROM audit_many a JOIN audit_many b ON a.id < b.id"), "t").first()
+    assert row.keyless and row.joined_rows is None and row.changed_rows
+
+
+def test_dropped_and_repeated_rows_do_not_cancel(spark):
+    spark.createDataFrame([(1,), (2,), (3,)], "k int").createOrReplaceTempView("audit_three")
+    spark.createDataFrame([(2,), (3,), (3,)], "k int").createOrReplaceTempView("audit_other")
+    row = join_audit(spark.sql("SELECT * FROM audit_three a JOIN audit_other b ON a.k = b.k"), "t").first()
+    assert row.joined_rows == row.left_rows == 3 and (row.dropped_rows, row.repeated_rows) == (1, 1) and row.changed_rows
