@@ -17,7 +17,8 @@ How it runs:
 3. Only if some groups disagree and inexact columns (floats, fine decimals) are involved:
    the distinct rows of every group of exact column values that holds a disagreement are
    sorted by the first inexact column, with their counts per side. The sorted sequence
-   falls apart into runs whose neighbours are within tolerance; no match crosses a run.
+   falls apart into runs whose neighbours are within tolerance, and each run again by the
+   next inexact column; no match crosses a run.
    A run that is no wider than the tolerance in any column is settled by its two sums;
    only wider runs that disagree are matched row by row, exactly. Counts may differ
    between the sides: the unmatched rows are those no matching can pair. A value that a
@@ -358,7 +359,11 @@ def unmatched_within(g: DataFrame, c: DataFrame, kinds: list[str], groups: DataF
         tagged = tagged.withColumn(n, F.when(F.col(k) == "number", F.col(n)))
     rows = tagged.groupBy(*exact, *classes, *loose).agg(F.sum("_g").alias("ng"), F.sum("_c").alias("nc"))
     with SharedTables(g.sparkSession) as tables:
-        runs = tables.put(_runs(rows, exact + classes, loose[0], kind_of[loose[0]], tol, rel_tol, tables))
+        runs, within = rows, exact + classes
+        for n in loose:  # runs of one column fall apart further by the next
+            runs = _runs(runs, within, n, kind_of[n], tol, rel_tol, tables).withColumnRenamed("_run", f"_run_{n}")
+            within = [f"_run_{n}"]
+        runs = tables.put(runs.withColumnRenamed(within[0], "_run"))
         narrow = reduce(lambda x, y: x & y, [
             F.coalesce(_within(F.min(n), F.max(n), kind_of[n], tol, rel_tol), F.lit(True)) for n in loose])
         per_run = tables.put(runs.groupBy("_run").agg(

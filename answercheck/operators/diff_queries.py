@@ -35,6 +35,7 @@ class Pair:
     ordered: bool = False
     gold_order: str = ""            # oracle only: the order each side promises
     cand_order: str = ""
+    places: int = 6                 # oracle only: decimals that carry meaning in float columns
 
 
 # The comparison cases.
@@ -91,6 +92,31 @@ PAIRS: tuple[Pair, ...] = (
          ("text", "exact"), ordered=True, gold_order="c1 DESC, c0 ASC", cand_order="c0 ASC"),
 )
 
+# Whole tables against themselves with noise under the tolerance, where the
+# 6-place grid alone would not do. Prices have two decimals, so the oracle compares those.
+_NOISE = "(CASE WHEN l_linenumber % 2 = 0 THEN 4e-7 ELSE -4e-7 END)"
+LARGE_PAIRS: tuple[Pair, ...] = (
+    Pair("noisy_prices", "SELECT l_orderkey, l_extendedprice FROM lineitem",
+         f"SELECT l_orderkey, l_extendedprice + {_NOISE} FROM lineitem", ("exact", "float"), places=2),
+    Pair("noise_in_two_columns", "SELECT l_extendedprice, l_tax FROM lineitem",
+         f"SELECT l_extendedprice + {_NOISE}, l_tax - {_NOISE} FROM lineitem", ("float", "float"), places=2),
+    Pair("a_third_share_a_value_and_rows_lack",
+         "SELECT CASE WHEN o_orderkey % 3 = 0 THEN 1.0 ELSE o_totalprice END FROM orders",
+         "SELECT (CASE WHEN o_orderkey % 3 = 0 THEN 1.0 ELSE o_totalprice END) + 3e-7 FROM orders WHERE o_orderkey % 1000 <> 6",
+         ("float",), places=2),
+    Pair("long_decimals",
+         "SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(20, 2)) + CAST('12345678901234567.00' AS DECIMAL(20, 2)) FROM orders",
+         "SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(20, 2)) + CAST('12345678901234567.00' AS DECIMAL(20, 2)) "
+         "+ CAST(CASE WHEN o_orderkey % 100 = 0 THEN '0.01' ELSE '0.00' END AS DECIMAL(20, 2)) FROM orders",
+         ("exact", "fixed")),
+    Pair("whole_order", f"SELECT o_orderkey, {_CENTS} FROM orders ORDER BY o_orderkey",
+         f"SELECT o_orderkey + 0, {_CENTS} FROM orders ORDER BY o_orderkey ASC",
+         ("exact", "exact"), ordered=True, gold_order="c0", cand_order="c0"),
+    Pair("whole_order_reversed", f"SELECT o_orderkey, {_CENTS} FROM orders ORDER BY o_orderkey",
+         f"SELECT o_orderkey, {_CENTS} FROM orders ORDER BY o_orderkey DESC",
+         ("exact", "exact"), ordered=True, gold_order="c0", cand_order="c0 DESC"),
+)
+
 # Pairs with many rows on both sides, for the residual and row-count keys.
 RESIDUAL_PAIR = Pair(
     "fanout_rows",
@@ -259,12 +285,14 @@ def pair_facts(spark: SparkSession, sf_dir: str, pairs=PAIRS) -> DataFrame:
 
 # --- oracle side ---------------------------------------------------------------------------
 
-def _oracle_norm(i: int, kind: str, prefix: str = "") -> str:
+def _oracle_norm(i: int, kind: str, prefix: str = "", places: int = 6) -> str:
     c = f"{prefix}c{i}"
+    if kind == "fixed":
+        return f"CAST({c} AS DECIMAL(38, 2))"
     if kind == "exact":
         return f"CAST({c} AS DECIMAL(38, 0))"
     if kind == "float":
-        return f"ROUND(CAST({c} AS DOUBLE), 6)"
+        return f"ROUND(CAST({c} AS DOUBLE), {places})"
     if kind == "text":
         return strip_ws_sql(f"CAST({c} AS VARCHAR)")
     return c
@@ -272,7 +300,7 @@ def _oracle_norm(i: int, kind: str, prefix: str = "") -> str:
 
 def _oracle_pair(p: Pair) -> str:
     cols = ", ".join(f"c{i}" for i in range(len(p.kinds)))
-    norm = ", ".join(f"{_oracle_norm(i, k)} AS c{i}" for i, k in enumerate(p.kinds))
+    norm = ", ".join(f"{_oracle_norm(i, k, places=p.places)} AS c{i}" for i, k in enumerate(p.kinds))
     gn = f"SELECT {norm} FROM ({p.gold}) AS g({cols})"
     cn = f"SELECT {norm} FROM ({p.cand}) AS c({cols})"
     if p.ordered:
@@ -314,6 +342,13 @@ def bag_diff_equal(spark, sf_dir):
     return pair_facts(spark, sf_dir).select(*[c.strip() for c in _BAG_COLS.split(",")])
 
 
+@query("tolerance_diff", oracle=f"SELECT {_BAG_COLS} FROM ({_oracle_facts(LARGE_PAIRS)}) f")
+def tolerance_diff(spark, sf_dir):
+    """J4-J6 where most rows need the tolerance or a position: whole tables, a value that a
+    third of the rows share, sides of different size, two inexact columns, long decimals."""
+    return pair_facts(spark, sf_dir, LARGE_PAIRS).select(*[c.strip() for c in _BAG_COLS.split(",")])
+
+
 @query("explain_diff", oracle=f"""
     SELECT pair_id, {explain_sql()} AS detail
     FROM (SELECT *, TRUE AS cand_ok, TRUE AS gold_ok, CAST(NULL AS VARCHAR) AS cand_error,

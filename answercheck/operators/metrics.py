@@ -26,19 +26,26 @@ class Metric:
     source: str        # "orders" or "refunds"
     measure: str       # SQL expression summed
     filter: str        # SQL predicate
+    date_column: str | None = None   # the column the period applies to; None: all time
     owner: str = "finance"
 
+    def predicate(self, period: tuple[str, str]) -> str:
+        """The filter, within the half-open period if the metric is booked on a date."""
+        if self.date_column is None:
+            return self.filter
+        d = self.date_column
+        return f"({self.filter}) AND {d} >= DATE '{period[0]}' AND {d} < DATE '{period[1]}'"
 
-_MONTH_ORDERED = f"ordered_at >= DATE '{MONTH_START}' AND ordered_at < DATE '{MONTH_END}'"
-_MONTH_SHIPPED = f"shipped_at >= DATE '{MONTH_START}' AND shipped_at < DATE '{MONTH_END}'"
 
-# The definitions the suite rules on (gross, net, the two period
-# rulings, and revenue including unpaid pending orders).
+PERIOD = (MONTH_START, MONTH_END)
+
+# The definitions the suite rules on (gross, net, one period's revenue by
+# either date, and revenue including unpaid pending orders).
 REGISTRY: tuple[Metric, ...] = (
     Metric("gross_revenue", "orders", "total_cents", "status_code = 'F'"),
     Metric("revenue_with_pending", "orders", "total_cents", "status_code IN ('F', 'O')"),
-    Metric("month_by_ordered", "orders", "total_cents", f"status_code = 'F' AND {_MONTH_ORDERED}"),
-    Metric("month_by_shipped", "orders", "total_cents", f"status_code = 'F' AND {_MONTH_SHIPPED}"),
+    Metric("month_by_ordered", "orders", "total_cents", "status_code = 'F'", "ordered_at"),
+    Metric("month_by_shipped", "orders", "total_cents", "status_code = 'F'", "shipped_at"),
     Metric("refunds", "refunds", "amount_cents", "TRUE"),
 )
 DERIVED = {"net_revenue": ("gross_revenue", "refunds")}   # a - coalesce(b, 0)
@@ -52,8 +59,9 @@ def _line_columns() -> list:
             F.col("l_shipdate").cast("date").alias("refunded_at")]
 
 
-def compile_metrics(spark: SparkSession, sf_dir: str, registry=REGISTRY) -> DataFrame:
-    """One row per metric: (metric, value_cents), reading each table once.
+def compile_metrics(spark: SparkSession, sf_dir: str, registry=REGISTRY, period=PERIOD) -> DataFrame:
+    """One row per metric: (metric, date_column, value_cents), reading each table once.
+    ``period`` applies to the metrics that are booked on a date column.
 
     Line-level metrics (refunds) are summed per order inside the one lineitem
     aggregate that also yields each order's first ship date; that per-order row is
@@ -65,13 +73,13 @@ def compile_metrics(spark: SparkSession, sf_dir: str, registry=REGISTRY) -> Data
     unknown = {m.source for m in registry} - {"orders", "refunds"}
     if unknown:
         raise ValueError(f"unknown metric source {unknown}")
-    need_ship = any("shipped_at" in m.filter or "shipped_at" in m.measure for m in order_ms)
+    need_ship = any("shipped_at" in f"{m.filter} {m.measure} {m.date_column}" for m in order_ms)
     o = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status_code"),
         F.col("o_orderdate").cast("date").alias("ordered_at"),
         cents(F.col("o_totalprice")).alias("total_cents"))
     per_order_aggs = ([F.min("l_shipdate").cast("date").alias("shipped_at")] if need_ship else []) + [
-        F.sum(F.when(F.col("is_refund") & F.expr(m.filter), F.expr(m.measure))).alias(f"_l_{m.name}")
+        F.sum(F.when(F.col("is_refund") & F.expr(m.predicate(period)), F.expr(m.measure))).alias(f"_l_{m.name}")
         for m in line_ms]
     if per_order_aggs:
         lines = (table(spark, sf_dir, "lineitem").select(*_line_columns())
@@ -80,16 +88,18 @@ def compile_metrics(spark: SparkSession, sf_dir: str, registry=REGISTRY) -> Data
             o.join(lines, o.id == lines.l_orderkey, "left")
     else:
         base = o
-    aggs = [F.sum(F.when(F.expr(m.filter), F.expr(m.measure))).cast("bigint").alias(m.name) for m in order_ms]
+    aggs = [F.sum(F.when(F.expr(m.predicate(period)), F.expr(m.measure))).cast("bigint").alias(m.name) for m in order_ms]
     aggs += [F.sum(f"_l_{m.name}").cast("bigint").alias(m.name) for m in line_ms]
     wide = base.agg(*aggs)
     names = [m.name for m in registry]
     for derived, (a, b) in DERIVED.items():
         wide = wide.withColumn(derived, F.col(a) - F.coalesce(F.col(b), F.lit(0).cast("bigint")))
         names.append(derived)
+    booked = {m.name: m.date_column for m in registry}
     return wide.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("metric"), F.col(n).alias("value_cents")) for n in names
-    ])).alias("m")).select("m.metric", "m.value_cents")
+        F.struct(F.lit(n).alias("metric"), F.lit(booked.get(n)).cast("string").alias("date_column"),
+                 F.col(n).alias("value_cents")) for n in names
+    ])).alias("m")).select("m.metric", "m.date_column", "m.value_cents")
 
 
 _ORDERS_SQL = f"""
@@ -106,12 +116,13 @@ def _metric_oracle() -> str:
     sums = []
     for m in REGISTRY:
         src = _ORDERS_SQL if m.source == "orders" else _REFUNDS_SQL
-        sums.append(f"SELECT '{m.name}' AS metric, CAST(SUM(CASE WHEN {m.filter} THEN {m.measure} END) AS BIGINT) "
-                    f"AS value_cents FROM ({src}) t")
+        booked = f"'{m.date_column}'" if m.date_column else "CAST(NULL AS VARCHAR)"
+        sums.append(f"SELECT '{m.name}' AS metric, {booked} AS date_column, "
+                    f"CAST(SUM(CASE WHEN {m.predicate(PERIOD)} THEN {m.measure} END) AS BIGINT) AS value_cents FROM ({src}) t")
     body = "\nUNION ALL\n".join(sums)
     derived = []
     for name, (a, b) in DERIVED.items():
-        derived.append(f"SELECT '{name}' AS metric, (SELECT value_cents FROM base WHERE metric = '{a}') - "
+        derived.append(f"SELECT '{name}' AS metric, CAST(NULL AS VARCHAR) AS date_column, (SELECT value_cents FROM base WHERE metric = '{a}') - "
                        f"COALESCE((SELECT value_cents FROM base WHERE metric = '{b}'), 0) AS value_cents")
     return f"WITH base AS ({body})\nSELECT * FROM base UNION ALL " + " UNION ALL ".join(derived)
 

@@ -10,14 +10,14 @@ protected column; the Spark side finds it by walking the analyzed plan.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.governed import REFUSED
 from ..registry import query
-from ..sources.suite import ABSTAIN, CANDIDATE_LAYERS, DEFAULT_ABSTENTION, QUESTIONS, levels_df
+from ..sources.suite import ABSTAIN, CANDIDATE_LAYERS, DEFAULT_ABSTENTION, QUESTIONS, layered_candidates, levels_df
 from ..sources.tables import SHOP_VIEWS_SQL
 from ..functions.text import date_column_used, token_dice_sql
 from . import scoring
@@ -29,24 +29,32 @@ def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _effective_candidates() -> dict[tuple[str, str], str]:
+# A second run of the same questions, where the protected column is no longer
+# asked for from the second level on.
+NEXT_LAYERS = {name: answers | ({"customer_emails": "SELECT id, country FROM shop_customers"} if name == "annotated" else {})
+               for name, answers in CANDIDATE_LAYERS.items()}
+RUNS = {"mock": CANDIDATE_LAYERS, "next": NEXT_LAYERS}
+
+
+def _effective_candidates(layer_set: dict) -> dict[tuple[str, str], str]:
     """Python form of the layering rule, used only to pick which pairs the oracle
     embeds (the oracle recomputes the layering itself in SQL)."""
     out: dict[tuple[str, str], str] = {}
-    names = list(CANDIDATE_LAYERS)
+    names = list(layer_set)
     for rank, level in enumerate(names):
         for layer in names[: rank + 1]:
-            for qid, sql in CANDIDATE_LAYERS[layer].items():
+            for qid, sql in layer_set[layer].items():
                 out[(level, qid)] = sql
     return out
 
 
 @lru_cache(maxsize=None)
-def outcomes_oracle(role: str = "owner") -> str:
+def outcomes_oracle(role: str = "owner", run_id: str = "mock") -> str:
     """A SELECT producing the outcomes table, columns as ``scoring.score``."""
+    layer_set = RUNS[run_id]
     views = ",\n".join(f"{n} AS ({b})" for n, b in SHOP_VIEWS_SQL.items())
-    levels = ", ".join(f"({_q(lv)}, {i})" for i, lv in enumerate(CANDIDATE_LAYERS))
-    layers = ", ".join(f"({r}, {_q(qid)}, {_q(sql)})" for r, (name, answers) in enumerate(CANDIDATE_LAYERS.items())
+    levels = ", ".join(f"({_q(lv)}, {i})" for i, lv in enumerate(layer_set))
+    layers = ", ".join(f"({r}, {_q(qid)}, {_q(sql)})" for r, (name, answers) in enumerate(layer_set.items())
                        for qid, sql in answers.items())
     suite = ", ".join(
         f"({_q(q.question_id)}, {i}, {_q(q.category)}, {str(q.answerable).upper()}, {str(q.ordered).upper()}, "
@@ -54,7 +62,7 @@ def outcomes_oracle(role: str = "owner") -> str:
     by_id = {q.question_id: q for q in QUESTIONS}
     facts = []
     seen = set()
-    for (level, qid), sql in _effective_candidates().items():
+    for (level, qid), sql in _effective_candidates(layer_set).items():
         q = by_id[qid]
         if not q.answerable or sql.upper().startswith(ABSTAIN) or (q.gold_sql, sql) in seen:
             continue
@@ -69,7 +77,7 @@ def outcomes_oracle(role: str = "owner") -> str:
     suite(question_id, ordinal, category, answerable, q_ordered, gold_sql) AS (VALUES {suite}),
     cands AS (SELECT v.level, l.question_id, arg_max(l.sql_text, l.layer_rank) AS sql_text
               FROM levels v JOIN layers l ON l.layer_rank <= v.level_rank GROUP BY v.level, l.question_id),
-    grid AS (SELECT 'mock' AS run_id, v.level, s.*, COALESCE(c.sql_text, {_q(DEFAULT_ABSTENTION)}) AS sql_text
+    grid AS (SELECT '{run_id}' AS run_id, v.level, s.*, COALESCE(c.sql_text, {_q(DEFAULT_ABSTENTION)}) AS sql_text
              FROM levels v CROSS JOIN suite s LEFT JOIN cands c ON c.level = v.level AND c.question_id = s.question_id),
     facts AS ({" UNION ALL ".join(facts)}),
     j AS (SELECT g.*, upper(g.sql_text) LIKE '{ABSTAIN}%' AS abstained,
@@ -206,7 +214,7 @@ def question_by_level(spark, sf_dir):
     """One definition question across levels: the date column used, the answer,
     and its ratio to the gold answer."""
     from .diff_queries import FACT_SCHEMA  # noqa: F401  (facts carry the values)
-    from ..sources.suite import layered_candidates, suite_df
+    from ..sources.suite import suite_df
     suite = suite_df(spark)
     facts = (scoring.candidate_facts(suite, layered_candidates(spark))
              .where(F.col("question_id") == "march_revenue"))
@@ -221,16 +229,20 @@ def question_by_level(spark, sf_dir):
 
 
 @query("blocked_trend", oracle=f"""
-    WITH s AS ({_summary_sql('analyst')}),
-         lv(level, level_rank) AS (VALUES {", ".join(f"({_q(lv)}, {i})" for i, lv in enumerate(CANDIDATE_LAYERS))})
+    WITH o AS (SELECT 0 AS run_order, run_id, level, verdict FROM ({outcomes_oracle('analyst', 'mock')}) a
+               UNION ALL SELECT 1, run_id, level, verdict FROM ({outcomes_oracle('analyst', 'next')}) b),
+         s AS (SELECT run_order, run_id, level, COUNT(*) AS total, COUNT(*) FILTER (WHERE verdict = 'BLOCKED') AS blocked
+               FROM o GROUP BY ALL)
     SELECT run_id, level, blocked, ROUND(blocked / total, 6) AS blocked_rate,
-           blocked - LAG(blocked) OVER (PARTITION BY run_id ORDER BY level_rank) AS change
-    FROM s JOIN lv USING (level)""")
+           blocked - LAG(blocked) OVER (PARTITION BY level ORDER BY run_order) AS change FROM s""")
 def blocked_trend(spark, sf_dir):
-    """The BLOCKED count over successive levels (the order runs were made in),
-    with its change from the previous one."""
-    s = scoring.summarize(_outcomes(spark, sf_dir, "analyst")).join(levels_df(spark), "level")
-    w = Window.partitionBy("run_id").orderBy("level_rank")
+    """The BLOCKED count of each level over successive runs, with its change from the
+    run before; both runs are scored together."""
+    cands = [layered_candidates(spark, run_id, layers) for run_id, layers in RUNS.items()]
+    outcomes = scoring.score(spark, sf_dir, reduce(DataFrame.unionByName, cands), "analyst")
+    order = F.create_map(*[F.lit(x) for i, r in enumerate(RUNS) for x in (r, i)])
+    s = scoring.summarize(outcomes).withColumn("run_order", order[F.col("run_id")])
+    w = Window.partitionBy("level").orderBy("run_order")
     return s.select("run_id", "level", "blocked", F.round(F.col("blocked") / F.col("total"), 6).alias("blocked_rate"),
                     (F.col("blocked") - F.lag("blocked").over(w)).alias("change"))
 
