@@ -247,6 +247,34 @@ def blocked_trend(spark, sf_dir):
                     (F.col("blocked") - F.lag("blocked").over(w)).alias("change"))
 
 
+# Statements a run may hold besides answers, and how each question then ends.
+HOSTILE = {"bare": {
+    "total_revenue": "WITH j AS (SELECT o.total_cents FROM shop_orders o JOIN shop_order_items i ON i.order_id = o.id "
+                     "WHERE o.status = 'completed') SELECT SUM(total_cents) FROM j",
+    "revenue_by_country": CANDIDATE_LAYERS["bare"]["revenue_by_country"],
+    "march_revenue": "DROP VIEW shop_orders",
+    "net_revenue": "SET spark.sql.ansi.enabled = false",
+    "avg_order_value": "SELECT AVG(total_cents / (id - id)) FROM shop_orders",
+    "nation_customers": "INSERT INTO shop_customers SELECT * FROM shop_customers",
+    "pending_orders": CANDIDATE_LAYERS["bare"]["pending_orders"],
+    "customer_emails": "CREATE OR REPLACE TEMP VIEW shop_customers AS SELECT 1 AS email",
+}}
+_HOSTILE_ENDS = {"total_revenue": "WRONG", "revenue_by_country": "CORRECT", "march_revenue": "ERROR", "net_revenue": "ERROR",
+                 "avg_order_value": "ERROR", "nation_customers": "ERROR", "pending_orders": "CORRECT",
+                 "customer_emails": "ERROR", "top_products": "ABSTAINED"}
+
+
+@query("isolated_outcomes", oracle=f"""
+    SELECT question_id, verdict, FALSE AS gold_broken, question_id = 'total_revenue' AS fanout_suspected
+    FROM (VALUES {", ".join(f"({_q(q.question_id)}, {_q(_HOSTILE_ENDS.get(q.question_id, 'CORRECT'))})" for q in QUESTIONS)})
+         t(question_id, verdict)""")
+def isolated_outcomes(spark, sf_dir):
+    """K1/K2 with commands, a failing statement and a WITH body among the candidates: each
+    is judged alone, no other verdict moves and no trusted query breaks."""
+    cands = layered_candidates(spark, "hostile", HOSTILE)
+    return scoring.score(spark, sf_dir, cands).select("question_id", "verdict", "gold_broken", "fanout_suspected")
+
+
 @query("similarity_inversions", oracle=f"""
     WITH o AS (SELECT * FROM ({outcomes_oracle('owner')}) x WHERE verdict IN ('CORRECT', 'WRONG')
                AND NOT abstained AND answerable),
