@@ -4,7 +4,7 @@ checkpoint folder, and batch-wise mapping over documents."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,35 +65,16 @@ def texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch of ``df``; rows keep their partition."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
-                yield from out.to_batches() if isinstance(out, pa.Table) else [out]
-    return df.mapInArrow(run, schema)
-
-
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a fixed number of words."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = xxhash.xxh64_intdigest(word)
-        self[word] = value
-        return value
-
-
-WORD_HASHES = WordHashes()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(WORD_HASHES.__getitem__, words), np.uint64, len(words))
+def blocks(rows: list[str], size: int) -> Iterator[list[str]]:
+    """Runs of texts of about ``size`` characters, which bound a task's memory."""
+    start = held = 0
+    for i, t in enumerate(rows):
+        held += len(t) if t else 0
+        if held >= size:
+            yield rows[start:i + 1]
+            start, held = i + 1, 0
+    if start < len(rows):
+        yield rows[start:]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -103,6 +84,41 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+_IS_WHITE = np.zeros(256, bool)
+_IS_WHITE[list(WHITE)] = True
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64))
+_POWERS: dict[str, np.ndarray] = {}
+_BASE = 0x9E3779B97F4A7C15
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base, and of its inverse modulo 2^64, up to ``n``."""
+    if len(_POWERS.get("up", ())) <= n:
+        size = 1 << n.bit_length()
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            out = np.ones(1, np.uint64)
+            while len(out) <= size:
+                out = np.concatenate([out, out * np.uint64(pow(base, len(out), 1 << 64))])
+            _POWERS[name] = out
+    return _POWERS["up"], _POWERS["down"]
+
+
+def hashed_words(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts, in order, and each text's number of words.
+    A word's hash is a polynomial over its bytes, cut out of the running sum over all."""
+    buffer = np.frombuffer(b" ".join(raws) + b" ", np.uint8)
+    inside = ~_IS_WHITE[buffer]
+    edges = np.flatnonzero(np.diff(inside, prepend=False))
+    start, stop = edges[0::2], edges[1::2]
+    up, down = _powers(len(buffer))
+    total = np.cumsum(_BYTE[buffer] * up[:len(buffer)])
+    before = np.where(start > 0, total[start - 1], np.uint64(0))
+    hashes = mix((total[stop - 1] - before) * down[start])
+    ends = np.cumsum(np.array([len(r) + 1 for r in raws], np.int64))
+    upto = np.searchsorted(start, ends)
+    return hashes, np.diff(upto, prepend=0)
+
+
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all runs of ``size`` words, in order; a text of fewer words (but at
     least one) is one shingle. A text without words has none."""
@@ -138,11 +154,11 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
     """Connected components by alternating large-star and small-star rounds.
 
     ``edges``: (a long, b long) without nulls. Returns (node, component), component being
-    the smallest node reachable; nodes without an edge are absent. Every round is two
-    joins of edges with per-node minima (partial aggregates first, so a hub's edges are
+    the smallest node reachable; nodes without an edge are absent. Every round joins the
+    edges with per-node minima twice (partial aggregates first, so a hub's edges are
     combined map-side, and the join can split it); a round's edges are a written table.
-    The loop ends when a round changes nothing: every edge then joins a node to the
-    smallest of its component."""
+    It is over when every node but the roots has one parent and no parent has one: an edge
+    then joins each node to the smallest of its component."""
     def star(e: DataFrame, large: bool) -> DataFrame:
         if large:  # each node's larger neighbours move to its smallest
             both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -156,18 +172,19 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
         return moved.where("a <> b").select(
             F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
+    def settled(e: DataFrame) -> bool:
+        ends = e.select(F.col("a").alias("node"), "b").union(
+            e.select(F.col("b").alias("node"), F.lit(None).cast("long").alias("b")))
+        per_node = ends.groupBy("node").agg(F.min("b").alias("b0"), F.max("b").alias("b1"),
+                                            F.count_if(F.col("b").isNull()).alias("children"))
+        return per_node.where("b0 < b1 or (b0 is not null and children > 0)").isEmpty()
+
     current = scratch.put(edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}0")
-    mark = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     step = 0
-    while True:
+    while not settled(current):
         step += 1
-        following = scratch.put(star(star(current, True), False), f"{name}{step}")
-        seen = following.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        current = scratch.put(star(star(current, True), False), f"{name}{step}")
         scratch.drop(f"{name}{step - 1}")
-        current = following
-        if seen == mark:
-            break
-        mark = seen
-    nodes = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return nodes.union(current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
+        current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

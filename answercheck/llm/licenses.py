@@ -1,11 +1,12 @@
 """License scans: MinHash bands retrieve templates, exact containment verifies.
 
-Words are compared in lower case, without marks at either end. Templates are held as sets
+Words are compared in lower case and without marks. Templates are held as sets
 of five-word shingles (a shorter one is a single shingle). A text is cut into overlapping
 windows, for each class of template sizes windows 1.25 to 2.5 times as long that start
 every quarter of a window: a template in the text, four fifths of it intact, has with
-some window a Jaccard similarity of 0.3 or more. With ``bands`` = 48 bands of ``rows`` = 1
-such a window shares a band with probability 1 - 0.7^48, over 0.9999999. A retrieved template is then verified on the whole text: a stretch of at most twice its length must hold
+some window a Jaccard similarity of 0.3 or more. With ``bands`` = 32 bands of one MinHash
+value such a window shares a band with probability 1 - 0.7^32 = 0.99999. Windows run
+over many texts at a time; one that spans two texts only retrieves. A retrieved template is then verified on the whole text: a stretch of at most twice its length must hold
 ``containment`` of its shingles or more.
 
 Templates are a parameter of bounded size (``MAX_TEMPLATES``) and are sent to all tasks;
@@ -23,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, shingle_hashes, texts, word_hashes
+from .common import blocks, hashed_words, mix, shingle_hashes, texts
 
 WORDS, CONTAINMENT = 5, 0.8
-BANDS, ROWS = 48, 1
+BANDS = 32
 MAX_TEMPLATES = 4096
 MARKS = b".,;:!?\"'()[]{}<>*#$%&|/\\-_=+~`"
+# Shingles scanned at once.
+BLOCK = 1 << 15
 
 # Usual short notices by license.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -53,79 +56,80 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 
 _SEEDS = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
+_LOW = np.uint32(0xFFFF)
+
+
+def plain(text: str) -> bytes:
+    return text.lower().encode("utf-8", "replace").translate(None, MARKS)
 
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
     """Hashes of the word shingles of a text, in order."""
-    plain = [w for w in (x.strip(MARKS) for x in text.lower().encode("utf-8", "replace").split()) if w]
-    return shingle_hashes(word_hashes(plain), words)
+    return shingle_hashes(hashed_words([plain(text)])[0], words)
 
 
 class Index:
-    """Templates by size class, with the band keys of their windows.
+    """Templates by size class, with the MinHash values of each.
 
     ``scan`` returns (template number, first shingle, last shingle) of each verified hit."""
 
-    def __init__(self, templates, words=WORDS, bands=BANDS, rows=ROWS, containment=CONTAINMENT):
+    def __init__(self, templates, words=WORDS, bands=BANDS, containment=CONTAINMENT):
         if len(templates) > MAX_TEMPLATES:
             raise ValueError(f"{len(templates)} templates; at most {MAX_TEMPLATES}")
-        self.words, self.bands, self.rows, self.containment = words, bands, rows, containment
+        self.words, self.bands, self.containment = words, bands, containment
         self.sets = [np.unique(shingles(t, words)) for _, t in templates]
         self.lengths = [len(shingles(t, words)) for _, t in templates]
-        self.sizes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.sizes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         by_class: dict[int, list[int]] = {}
         for i, n in enumerate(self.lengths):
             if n:
                 by_class.setdefault(self._window(n), []).append(i)
         for window, members in by_class.items():
-            keys, owners = [], []
-            for i in members:
-                keys.append(self._keys(self._minima(self.sets[i])[:, None])[0])
-                owners.append(np.full(self.bands, i))
-            k, o = np.concatenate(keys), np.concatenate(owners)
-            order = np.argsort(k, kind="stable")
-            self.sizes[window] = (k[order], o[order])
+            minima = np.stack([self._hashed(self.sets[i]).min(axis=1) for i in members])
+            keys = self._keys(minima.T).T.ravel()
+            owners = np.repeat(members, self.bands)
+            order = np.argsort(keys, kind="stable")
+            some = np.zeros((self.bands, 1 << 16), bool)  # low halves of the values of each band
+            some[np.arange(self.bands), minima & _LOW] = True
+            self.sizes[window] = (some, keys[order], owners[order])
 
     @staticmethod
     def _window(n: int) -> int:
         """Window of a template of n shingles: the power of two over 1.25 n (1 stays 1)."""
         return 1 if n == 1 else 1 << int(np.ceil(np.log2(1.25 * n)))
 
-    def _hashed(self, s: np.ndarray) -> np.ndarray:
-        """One row of 32-bit hash values per MinHash function."""
-        return ((s[None, :] * _SEEDS[:self.bands * self.rows, None]) >> np.uint64(32)).astype(np.uint32)
-
-    def _minima(self, s: np.ndarray) -> np.ndarray:
-        return self._hashed(s).min(axis=1)
-
-    def _keys(self, minima: np.ndarray) -> np.ndarray:
-        """Band keys (windows x bands) of MinHash minima (functions x windows)."""
-        m = minima.reshape(self.bands, self.rows, -1).astype(np.uint64)
-        key = np.broadcast_to(np.arange(self.bands, dtype=np.uint64)[:, None], m[:, 0].shape)
-        for i in range(self.rows):
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + m[:, i])
-        return key.T
-
-    def retrieve(self, s: np.ndarray) -> list[int]:
-        """Templates that share a band with some window of the shingles ``s``."""
-        if not len(s):
-            return []
-        found: set[int] = set()
-        hashed = self._hashed(s)
-        for window, (keys, owners) in self.sizes.items():
+    def _hashed(self, s: np.ndarray, bands: int | None = None) -> np.ndarray:
+        """One row of 32-bit hash values per band."""
+        return ((s[None, :] * _SEEDS[:bands or self.bands, None]) >> np.uint64(32)).astype(np.uint32)
+
+    @staticmethod
+    def _keys(minima: np.ndarray) -> np.ndarray:
+        """A band's number and value in one (bands x windows)."""
+        return (np.arange(len(minima), dtype=np.uint64)[:, None] << np.uint64(32)) | minima
+
+    def retrieve(self, s: np.ndarray) -> list[tuple[int, int, int]]:
+        """(template, first, past last) of the windows of ``s`` that share a band with it."""
+        found: set[tuple[int, int, int]] = set()
+        pieces, size = self._hashed(s, 1 if set(self.sizes) == {1} else None), 1
+        for window, (some, keys, owners) in sorted(self.sizes.items()):
             step = max(1, window // 4)
-            pieces = np.minimum.reduceat(hashed, np.arange(0, len(s), step), axis=1)
-            minima = pieces.copy()  # a window is four pieces; the last ones of a text are shorter
-            for shift in range(1, window // step):
-                later = pieces[:, shift:]
-                np.minimum(minima[:, :later.shape[1]], later, out=minima[:, :later.shape[1]])
-            probe = self._keys(minima).ravel()
-            lo = np.searchsorted(keys, probe)
-            hit = lo < len(keys)
-            hit[hit] = keys[lo[hit]] == probe[hit]
-            for start in np.unique(lo[hit]):
-                stop = np.searchsorted(keys, keys[start], side="right")
-                found.update(owners[start:stop].tolist())
+            while size < step:  # minima of pieces twice as long
+                if pieces.shape[1] % 2:
+                    pieces = np.concatenate([pieces, pieces[:, -1:]], axis=1)
+                pieces = np.minimum(pieces[:, 0::2], pieces[:, 1::2])
+                size *= 2
+            if window == 1:  # single shingles agree in all bands or in none: one tells
+                minima = pieces[:1]
+            else:  # a window is four pieces; the last ones are shorter
+                minima = pieces.copy()
+                np.minimum(minima[:, :-1], pieces[:, 1:], out=minima[:, :-1])
+                np.minimum(minima[:, :-2], minima[:, 2:].copy(), out=minima[:, :-2])
+            maybe = np.stack([some[i][m & _LOW] for i, m in enumerate(minima)])
+            band, at = np.nonzero(maybe)
+            probe = (band.astype(np.uint64) << np.uint64(32)) | minima[band, at]
+            lo, hi = np.searchsorted(keys, probe), np.searchsorted(keys, probe, side="right")
+            for a, b, w in zip(lo.tolist(), hi.tolist(), at.tolist()):
+                found.update((int(i), w * step, w * step + window) for i in owners[a:b])
         return sorted(found)
 
     def verify(self, s: np.ndarray, i: int) -> list[tuple[int, int, int]]:
@@ -146,16 +150,37 @@ class Index:
                 start += 1
         return out
 
-    def scan(self, text: str) -> list[tuple[int, int, int]]:
-        s = shingles(text, self.words)
-        return [hit for i in self.retrieve(s) for hit in self.verify(s, i)]
+    def scan(self, batch: list[str]) -> list[list[tuple[int, int, int]]]:
+        """Verified hits of each text."""
+        out: list[list[tuple[int, int, int]]] = [[] for _ in batch]
+        if not self.sizes:
+            return out
+        flat, sizes = hashed_words([plain(t) for t in batch])
+        many = np.where(sizes >= self.words, sizes - self.words + 1, np.minimum(sizes, 1))
+        begin, first = np.cumsum(sizes) - sizes, np.cumsum(many) - many
+        runs = shingle_hashes(flat, self.words)
+        s = np.empty(int(many.sum()), np.uint64)
+        for i in np.flatnonzero(many).tolist():
+            short = sizes[i] < self.words
+            s[first[i]:first[i] + many[i]] = (shingle_hashes(flat[begin[i]:begin[i] + sizes[i]], self.words) if short
+                                              else runs[begin[i]:begin[i] + many[i]])
+        wanted: set[tuple[int, int]] = set()
+        longest = max(self.sizes)
+        for at in range(0, len(s), BLOCK):
+            # Blocks overlap by a window, so that each window lies whole in one of them.
+            for i, a, b in self.retrieve(s[at:at + BLOCK + longest]):
+                texts_hit = np.searchsorted(first, [at + a, min(at + b, len(s)) - 1], side="right") - 1
+                wanted.update((t, i) for t in range(texts_hit[0], texts_hit[1] + 1))
+        for t, i in sorted(wanted):
+            out[t] += self.verify(s[first[t]:first[t] + many[t]], i)
+        return out
 
 
 def scan(docs: DataFrame, carry: list[str], templates=TEMPLATES, *, words: int = WORDS, bands: int = BANDS,
-         rows: int = ROWS, containment: float = CONTAINMENT) -> DataFrame:
+         containment: float = CONTAINMENT) -> DataFrame:
     """``carry`` columns of each row of ``docs`` (text) with n_matches, licenses (distinct
     names, sorted, comma-joined) and matches (name:first:last by shingle number)."""
-    index = Index(templates, words, bands, rows, containment)
+    index = Index(templates, words, bands, containment)
     names = [n for n, _ in templates]
     sent = docs.sparkSession.sparkContext.broadcast((index, names))
     result = ("n_matches", "licenses", "matches")
@@ -168,11 +193,12 @@ def scan(docs: DataFrame, carry: list[str], templates=TEMPLATES, *, words: int =
         idx, name = sent.value
         for batch in batches:
             n, found, where = [], [], []
-            for text in texts(batch.column("_text")):
-                hits = sorted((a, b, name[i]) for i, a, b in idx.scan(text))
-                n.append(len(hits))
-                found.append(",".join(sorted({h[2] for h in hits})))
-                where.append(",".join(f"{c}:{a}:{b}" for a, b, c in hits))
+            for block in blocks(texts(batch.column("_text")), 1 << 20):
+                for hits in idx.scan(block):
+                    named = sorted((a, b, name[i]) for i, a, b in hits)
+                    n.append(len(named))
+                    found.append(",".join(sorted({h[2] for h in named})))
+                    where.append(",".join(f"{c}:{a}:{b}" for a, b, c in named))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carry), pa.array(n, pa.int64()), pa.array(found, pa.string()),
                  pa.array(where, pa.string())], names=[*carry, *result])

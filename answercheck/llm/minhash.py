@@ -16,13 +16,18 @@ their weighted Jaccard similarity.
 Bands. ``rows`` positions make a band key; ``bands`` keys per document. A pair at 0.8
 shares a band with probability 1 - (1 - 0.8^6)^36 = 0.99998.
 
+Sketches. Two bits of every position, packed in longs, tell pairs that cannot reach the
+threshold from those that may: positions of a pair at 0.8 agree in 0.85 of their two-bit
+values, and a pair is passed over below 0.75 (four standard deviations, 2e-5). Sizes alone
+rule out others. Both tests are part of the joins, so such pairs never become rows.
+
 Candidates. Texts with equal shingle multisets are one node from the start. A bucket of
-up to ``small_bucket`` nodes gives its pairs; from a larger one every node is verified
-against one centre, and again, in ``star_rounds`` rounds with other centres, as long as
-the bucket holds nodes of different components. What is then still apart is split by a
-second band: nodes that share the bucket and one more band and are still in different
-components are verified directly, so a pair at 0.8 is missed with probability 2.4e-4 in
-total. A group of near copies thus costs a few pairs per member, never its square.
+up to ``small_bucket`` nodes gives its pairs. From a larger one every node meets the
+bucket's centre, the node that shares most buckets with others and so is nearest to all.
+In buckets that hold several components after that, nodes of different components meet
+directly; there the join tests the multisets itself, so that only links become rows. A
+group of near copies thus costs a few rows per member, never its square, and no plausible
+pair that shares a band goes unexamined unless both are already in one class.
 
 Verification recomputes both multisets and keeps pairs of similarity >= ``threshold``;
 classes are the connected components of those links.
@@ -37,28 +42,55 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, mix, shingle_hashes, texts, word_hashes
+from .common import Scratch, components, hashed_words, mix, shingle_hashes, texts
 
 WORDS, THRESHOLD = 5, 0.8
 ROWS, BANDS = 6, 36
-SMALL_BUCKET, STAR_ROUNDS = 16, 3
+SMALL_BUCKET = 16
+# How far below its expectation the agreement of a link's sketches may be.
+MARGIN = 0.10
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-# Shingles handled at once: bounds the memory of a task whatever its batches hold.
-BLOCK = 150_000
+# Shingles and points handled at once: bounds the memory of a task whatever its batches hold.
+BLOCK, POINTS = 200_000, 1_000_000
 
 
 def bag(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Sorted shingle hashes of a text and their counts."""
-    hashes = shingle_hashes(word_hashes(text.encode("utf-8", "replace").split()), words)
-    return np.unique(hashes, return_counts=True)
+    hashes, _ = hashed_words([text.encode("utf-8", "replace")])
+    return np.unique(shingle_hashes(hashes, words), return_counts=True)
+
+
+def bags(raws: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bags of several texts in one: owner, shingle and count, in order of owner and
+    shingle."""
+    flat, sizes = hashed_words(raws)
+    many = np.maximum(sizes - words + 1, np.minimum(sizes, 1))  # shingles of each text
+    ends = np.cumsum(many)
+    begin = np.cumsum(sizes) - sizes
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint64)
+    whole = np.flatnonzero(sizes >= words)
+    if len(whole):
+        runs = shingle_hashes(flat, words)
+        for i in whole.tolist():
+            own = out[ends[i] - many[i]:ends[i]]
+            own[:] = runs[begin[i]:begin[i] + many[i]]
+            own.sort()
+    for i in np.flatnonzero((sizes > 0) & (sizes < words)).tolist():
+        out[ends[i] - 1] = shingle_hashes(flat[begin[i]:begin[i] + sizes[i]], words)[0]
+    owner = np.repeat(np.arange(len(raws)), many)
+    new = np.ones(len(out), bool)
+    new[1:] = (out[1:] != out[:-1]) | (owner[1:] != owner[:-1])
+    at = np.flatnonzero(new)
+    return owner[at], out[at], np.diff(np.append(at, len(out)))
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -86,19 +118,29 @@ def bag_minhash(owner: np.ndarray, shingle: np.ndarray, count: np.ndarray, owner
     inner = np.maximum(start, 1).astype(np.uint64) - np.uint64(1)  # mask of a place within the block
     seed = mix(shingle[of] ^ mix(block.astype(np.uint64) + _GOLDEN))
     time = np.zeros(len(doc))
-    salt = np.zeros(1, np.uint64)
+    done, points = 0, 1
+    latest = np.full(owners, np.inf)
     while len(doc):
-        salt = salt + _GOLDEN
-        first = mix(seed + salt)
-        second = mix(first ^ _GOLDEN)
-        time = time - np.log(((first >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0 ** -53) / rate
-        place = start + (second & inner).astype(np.int64)
-        spot = doc * m + ((second >> np.uint64(33)) % np.uint64(m)).astype(np.int64)
-        ok = place < top
-        np.minimum.at(sig, spot[ok], time[ok])
-        latest = sig.reshape(owners, m).max(axis=1)
+        # The next points of every process still going: twice as many at each turn, as few
+        # processes are left by then. Points later than needed change nothing.
+        salt = np.arange(done + 1, done + points + 1, dtype=np.uint64) * _GOLDEN
+        bits = mix(seed[:, None] + salt)  # 44 for the time, 20 for the position
+        gaps = np.log(((bits >> np.uint64(20)).astype(np.float64) + 1.0) * 2.0 ** -44) / rate[:, None]
+        gaps[:, 0] -= time
+        times = -np.cumsum(gaps, axis=1)
+        spot = doc[:, None] * m + ((bits & np.uint64(0xFFFFF)) % np.uint64(m)).astype(np.int64)
+        ok = times < latest[doc][:, None]
+        wide = np.flatnonzero(inner)  # blocks of several units: bisected by further bits
+        place = start[wide, None] + (mix(bits[wide] ^ _GOLDEN) & inner[wide, None]).astype(np.int64)
+        ok[wide] &= place < top[wide, None]
+        np.minimum.at(sig, spot[ok], times[ok])
+        time = times[:, -1]
+        open_ = np.flatnonzero(np.bincount(doc, minlength=owners))
+        latest[open_] = sig.reshape(owners, m)[open_].max(axis=1)
         go = time < latest[doc]
         doc, top, rate, inner, seed, time, start = (x[go] for x in (doc, top, rate, inner, seed, time, start))
+        done += points
+        points = max(1, min(2 * points, 64, POINTS // max(1, len(doc))))
     return sig.reshape(owners, m)
 
 
@@ -111,40 +153,61 @@ def band_keys(sig: np.ndarray, rows: int, bands: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def sketch(sig: np.ndarray) -> np.ndarray:
+    """Two bits of every position: two bit planes of longs, one after the other."""
+    bits = mix(sig.view(np.uint64))
+    planes = [np.packbits((bits >> np.uint64(i)).astype(np.uint8) & 1, axis=1) for i in (0, 1)]
+    width = -(-sig.shape[1] // 64) * 8
+    return np.concatenate([np.pad(p, ((0, 0), (0, width - p.shape[1]))) for p in planes], axis=1).view(np.int64)
+
+
+def plausible(m: int, threshold: float, x: str, y: str) -> Column:
+    """Whether a pair may reach the threshold, by sizes (n) and sketches (s) of aliases x, y."""
+    longs = -(-m // 64)
+    at = lambda side, i: F.get(F.col(f"{side}.sk"), F.lit(i))
+    unlike = None
+    for i in range(longs):
+        diff = at(x, i).bitwiseXOR(at(y, i)).bitwiseOR(at(x, i + longs).bitwiseXOR(at(y, i + longs)))
+        unlike = F.bit_count(diff) if unlike is None else unlike + F.bit_count(diff)
+    most = int(m * (1 - (threshold + (1 - threshold) / 4 - MARGIN)))
+    nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
+    return (F.least(nx, ny) >= threshold * F.greatest(nx, ny)) & (unlike <= most)
+
+
 def signatures(docs: DataFrame, words: int, rows: int, bands: int) -> DataFrame:
-    """(doc_id, digest, n, keys) of every row; digest and keys are null without words.
+    """(doc_id, digest, n, keys, sk) of every row; digest, keys and sketch are null without words.
     Rows with equal shingle multisets have equal digests."""
     m = rows * bands
 
-    def block(ids: list, bags: list) -> pa.RecordBatch:
-        sizes = [len(b[0]) for b in bags]
-        owner = np.repeat(np.arange(len(bags)), sizes)
-        shingle = np.concatenate([b[0] for b in bags])
-        count = np.concatenate([b[1] for b in bags]).astype(np.int64)
-        keys = band_keys(bag_minhash(owner, shingle, count, len(bags), m), rows, bands)
-        digests = [hashlib.blake2b(h.tobytes() + c.astype(np.int64).tobytes(), digest_size=16).digest() if len(h) else None
-                   for h, c in bags]
-        lists = pa.array([k if s else None for k, s in zip(keys, sizes)], pa.list_(pa.int64()))
+    def block(ids: list, raws: list[bytes]) -> pa.RecordBatch:
+        owner, shingle, count = bags(raws, words)
+        sig = bag_minhash(owner, shingle, count, len(raws), m)
+        keys, small = band_keys(sig, rows, bands), sketch(sig)
+        pairs = np.stack([shingle, count.astype(np.uint64)], axis=1)
+        cut = np.searchsorted(owner, np.arange(len(raws) + 1))
+        full = np.diff(cut) > 0
+        digests = [hashlib.blake2b(pairs[x:y], digest_size=16).digest() if y > x else None for x, y in itertools.pairwise(cut.tolist())]
+        n = np.bincount(owner, weights=count, minlength=len(raws)).astype(np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(digests, pa.binary()),
-             pa.array([int(c.sum()) for _, c in bags], pa.int64()), lists],
-            names=["doc_id", "digest", "n", "keys"])
+            [pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(n),
+             *(pa.array([k if f else None for k, f in zip(c, full)], pa.list_(pa.int64())) for c in (keys, small))],
+            names=["doc_id", "digest", "n", "keys", "sk"])
 
     def run(batches):
-        ids, bags, held = [], [], 0
+        ids, raws, held = [], [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text"))):
                 ids.append(doc_id)
-                bags.append(bag(text, words))
-                held += len(bags[-1][0])
+                raws.append(text.encode("utf-8", "replace"))
+                held += len(raws[-1]) // 6 + 1
                 if held >= BLOCK:
-                    yield block(ids, bags)
-                    ids, bags, held = [], [], 0
+                    yield block(ids, raws)
+                    ids, raws, held = [], [], 0
         if ids:
-            yield block(ids, bags)
+            yield block(ids, raws)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, digest binary, n long, keys array<long>")
+        run, "doc_id long, digest binary, n long, keys array<long>, sk array<long>")
 
 
 def verified(pairs: DataFrame, bodies: DataFrame, words: int, threshold: float) -> DataFrame:
@@ -168,77 +231,85 @@ def verified(pairs: DataFrame, bodies: DataFrame, words: int, threshold: float)
     return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def multisets(bodies: DataFrame, words: int) -> DataFrame:
+    """(doc, bag): a text's shingles as a set of longs; the k-th copy of a shingle is an
+    element of its own, so sets share as much as the multisets do."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for text in texts(batch.column("text")):
+                h, c = bag(text, words)
+                copy = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+                out.append((mix(np.repeat(h, c) + copy.astype(np.uint64) * _GOLDEN)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.list_(pa.int64()))],
+                                             names=["doc", "bag"])
+
+    return bodies.select("doc_id", "text").mapInArrow(run, "doc long, bag array<long>")
+
+
 def near_duplicates(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, threshold: float = THRESHOLD,
-                    rows: int = ROWS, bands: int = BANDS, small_bucket: int = SMALL_BUCKET,
-                    star_rounds: int = STAR_ROUNDS) -> DataFrame:
+                    rows: int = ROWS, bands: int = BANDS, small_bucket: int = SMALL_BUCKET) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, component_id (smallest doc_id of
     its class), kept (doc_id = component_id)."""
     sig = scratch.put(signatures(docs, words, rows, bands), "signatures")
     named = sig.where("doc_id is not null and digest is not null")
-    nodes = named.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"),
-                                        F.first("keys").alias("keys"))
-    entries = nodes.select(F.explode("keys").alias("k"), "doc", "n")
-    shared = entries.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.min("doc").alias("centre")).where("c > 1")
-    buckets = scratch.put(entries.join(shared, "k"), "buckets")
-    close = lambda x, y: (F.least(x, y) >= threshold * F.greatest(x, y))  # noqa: E731  sizes alone rule the rest out
-
+    nodes = named.groupBy("digest").agg(F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "keys", "sk")])
+    nodes = scratch.put(nodes, "nodes")
+    entries = nodes.select(F.explode("keys").alias("k"), "doc")
+    shared = entries.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    buckets = entries.join(shared, "k")
+    # How often a node meets others: the one nearest to all of a group has the most.
+    degree = buckets.groupBy("doc").agg(F.sum("c").alias("degree"))
+    buckets = buckets.join(degree.join(nodes.select("doc", "n", "sk"), "doc"), "doc")
+    buckets = scratch.put(buckets.withColumn("component", F.col("doc")), "buckets")
     bodies = scratch.put(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(buckets.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
         .dropDuplicates(["doc_id"]), "bodies")
+    likely = plausible(rows * bands, threshold, "x", "y")
+    apart = F.col("x.component") != F.col("y.component")
+
+    def meet(members: DataFrame, condition: Column) -> DataFrame:
+        """Pairs of different components within each bucket."""
+        hit = (F.col("x.k") == F.col("y.k")) & (F.col("x.doc") < F.col("y.doc")) & apart & condition
+        return members.alias("x").join(members.alias("y"), hit).select(
+            F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
+
+    def star(members: DataFrame) -> DataFrame:
+        """Plausible pairs of each bucket's centre with members of other components."""
+        order = F.struct((-F.col("degree")).alias("d"), "doc", "n", "sk", "component")
+        centre = members.groupBy("k").agg(F.min(order).alias("m")).select("k", "m.*")
+        hit = (F.col("x.k") == F.col("y.k")) & apart & likely
+        return centre.alias("x").join(members.alias("y"), hit).select(
+            F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"))
+
+    def still_apart(members: DataFrame) -> DataFrame:
+        """Buckets that hold several components, their members under their present ones."""
+        at = members.drop("component").join(comp.select(F.col("node").alias("doc"), "component"), "doc", "left")
+        at = at.withColumn("component", F.coalesce("component", "doc"))
+        several = at.groupBy("k").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1")
+        return at.join(several.select("k"), "k", "left_semi")
 
-    x, y = buckets.where(F.col("c") <= small_bucket), buckets.where(F.col("c") <= small_bucket)
-    x = x.select("k", F.col("doc").alias("a"), F.col("n").alias("na"))
-    y = y.select("k", F.col("doc").alias("b"), F.col("n").alias("nb"))
-    pairs = x.join(y, "k").where((F.col("a") < F.col("b")) & close(F.col("na"), F.col("nb"))).select("a", "b")
-    large = buckets.where(F.col("c") > small_bucket).select("k", "doc", "n")
-    stars = buckets.where((F.col("c") > small_bucket) & (F.col("centre") < F.col("doc"))).select(
-        F.col("centre").alias("a"), F.col("doc").alias("b"))
-    tested = scratch.put(pairs.union(stars).distinct(), "pairs0")
     # Rows of one doc_id with different texts are one document.
     twice = named.groupBy("doc_id").agg(F.min("digest").alias("d0"), F.max("digest").alias("d1")).where("d0 <> d1")
     same = (named.join(twice.select("doc_id"), "doc_id").select("doc_id", "digest").distinct()
             .join(nodes.select("digest", "doc"), "digest").select(F.col("doc_id").alias("a"), F.col("doc").alias("b")))
-    edges = scratch.put(verified(tested, bodies, words, threshold).union(same), "edges0")
-    comp = scratch.put(components(edges, scratch, "cc0_"), "comp0")
-
-    def unresolved(label: DataFrame, salt: int) -> DataFrame:
-        """Large buckets with several components: members, their component, a centre."""
-        at = large.join(label.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
-            "component", F.coalesce("component", "doc"))
-        order = F.struct(F.xxhash64("doc", F.lit(salt)), "doc")
-        several = at.groupBy("k").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
-                                      F.min(F.struct(order.alias("o"), "component", "n")).alias("m")).where("c0 < c1")
-        return at.join(several.select("k", F.col("m.o.doc").alias("centre"), F.col("m.component").alias("cc"),
-                                      F.col("m.n").alias("cn")), "k")
-
-    def more(found: DataFrame, step: int) -> None:
-        nonlocal edges, comp, tested
-        known = tested
-        fresh = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(
-            known, ["a", "b"], "left_anti")
-        fresh = scratch.put(fresh, f"pairs{step}")
-        tested = known.union(fresh)
-        edges = edges.union(scratch.put(verified(fresh, bodies, words, threshold), f"edges{step}"))
-        comp = scratch.put(components(edges, scratch, f"cc{step}_"), f"comp{step}")
-
-    for step in range(1, star_rounds + 1):
-        if large.isEmpty():
-            break
-        open_ = unresolved(comp, step).where((F.col("component") != F.col("cc")) & close(F.col("n"), F.col("cn")))
-        more(open_.select(F.col("centre").alias("a"), F.col("doc").alias("b")), step)
-    if not large.isEmpty():
-        left = scratch.put(unresolved(comp, 0).select("k", "doc", "n", "component"), "left")
-        others = buckets.join(left.select("doc").distinct(), "doc", "left_semi").select("doc", F.col("k").alias("k2"))
-        second = left.join(others, "doc").where("k <> k2")
-        # A pair of bands, either way round, is one key; a pair of documents needs it once.
-        second = second.withColumn("kk", F.xxhash64(F.least("k", "k2"), F.greatest("k", "k2"))).select(
-            "kk", "doc", "n", "component").distinct()
-        x = second.select("kk", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-        y = second.select("kk", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        found = x.join(y, "kk").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                                      & close(F.col("na"), F.col("nb"))).select("a", "b")
-        more(found, star_rounds + 1)
+    members = buckets.where(F.col("c") > small_bucket)
+    pairs = star(members).union(meet(buckets.where(F.col("c") <= small_bucket), likely)).distinct()
+    edges = scratch.put(verified(pairs, bodies, words, threshold).union(same), "edges0")
+    comp = components(edges, scratch, "cc0_")
+    scratch.release()
+    members = scratch.put(still_apart(members), "members")
+    if not members.isEmpty():
+        own = bodies.join(members.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        both = F.size(F.array_intersect("x.bag", "y.bag"))  # taken once per pair: |A n B| / |A u B| >= threshold
+        close = both * (1 + threshold) >= threshold * (F.size("x.bag") + F.size("y.bag"))
+        found = meet(members.join(multisets(own, words), "doc"), likely & close).distinct()
+        linked = scratch.put(found, "edges1")
+        if not linked.isEmpty():
+            comp = components(edges.union(linked), scratch, "cc1_")
+    scratch.clear("signatures", "nodes", *[n for n in scratch.names if n.startswith("cc")])
+
 
     of_digest = nodes.select("digest", "doc").join(
         comp.withColumnRenamed("node", "doc"), "doc", "left").select(

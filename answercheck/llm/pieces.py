@@ -21,6 +21,7 @@ an empty table gives an empty result; carried columns that clash are dropped.
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
@@ -28,10 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import blocks
+
 BLANK = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
-LIMIT = 600_000
+# Words remembered (in each of two generations), and characters handled at once.
+LIMIT, BLOCK = 400_000, 1 << 20
 
 
 def model_path() -> str:
@@ -83,7 +87,8 @@ class Pieces:
         for b, i in byte_ids.items():
             self.text[i] = bytes([b])
         self.bytes = frozenset(byte_ids.values())
-        self.seen: dict[str, bytes] = {}
+        self.met: dict[str, bytes] = {}  # ids of words met lately
+        self.old: dict[str, bytes] = {}  # and of those met before
 
     @classmethod
     def load(cls, path: str) -> "Pieces":
@@ -97,90 +102,91 @@ class Pieces:
             pieces.append((sp.id_to_piece(i) if plain else "", sp.get_score(i)))
         return cls(pieces, byte_ids)
 
-    def viterbi(self, words: list[str], length: int) -> list[list[int]]:
-        """Ids of words that are all ``length`` characters long."""
+    def viterbi(self, words: list[str], length: int) -> list[bytes]:
+        """Ids, as little-endian 32-bit numbers, of words that are all ``length`` long."""
         n = len(words)
-        points = _points(words, length)
-        prefix = _horner(points)
-        best = np.full((n, length + 1), -np.inf)
-        best[:, 0] = 0.0
-        back = np.zeros((n, length + 1), np.int32)
-        piece = np.full((n, length + 1), -1, np.int32)
-        for end in range(1, length + 1):
-            for size in range(min(end, self.longest), 0, -1):
-                if size not in self.by_length:
-                    continue
-                keys, ids, scores = self.by_length[size]
-                h = prefix[:, end] - prefix[:, end - size] * _power(size)
-                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                total = np.where(keys[at] == h, best[:, end - size] + scores[at], -np.inf)
-                better = total > best[:, end]
-                best[better, end] = total[better]
-                back[better, end] = size
-                piece[better, end] = ids[at[better]]
-                if size == 1:
-                    lone = (keys[at] != h) & (best[:, end - 1] + self.unknown > best[:, end])
-                    best[lone, end] = best[lone, end - 1] + self.unknown
-                    back[lone, end] = 1
-                    piece[lone, end] = -1
-        # All words walk back together.
-        place = np.full(n, length)
-        steps: list[np.ndarray] = []
+        prefix = _horner(_points(words, length))
+        sizes = [k for k in range(min(length, self.longest), 0, -1) if k in self.by_length]
+        # Score and id of the piece of each size that ends at each place, longest first.
+        score = np.full((length + 1, n, len(sizes) + 1), -np.inf)
+        found = np.full((length + 1, n, len(sizes) + 1), -1, np.int32)
+        for j, size in enumerate(sizes):
+            keys, ids, scores = self.by_length[size]
+            h = (prefix[:, size:] - prefix[:, :-size] * _power(size)).T
+            at = np.searchsorted(keys, h)
+            at[at == len(keys)] = 0
+            end, row = np.nonzero(keys[at] == h)
+            hit = at[end, row]
+            score[end + size, row, j] = scores[hit]
+            found[end + size, row, j] = ids[hit]
+        # A character without a piece of its own, last of all.
+        lone = found[:, :, sizes.index(1)] < 0 if 1 in sizes else np.ones((length + 1, n), bool)
+        score[:, :, -1][lone] = self.unknown
+        steps = np.array([*sizes, 1])
+        best = np.full((length + 1, n), -np.inf)
+        best[0] = 0.0
+        back = np.zeros((length + 1, n), np.int32)
         row = np.arange(n)
-        while (place > 0).any():
-            steps.append(np.where(place > 0, piece[row, place], -2))
-            steps.append(place)
-            place = np.where(place > 0, place - back[row, place], 0)
-        out: list[list[int]] = []
-        ids = np.array(steps[0::2][::-1]).T if steps else np.zeros((n, 0), int)
-        ends = np.array(steps[1::2][::-1]).T if steps else ids
-        for word, own, end in zip(words, ids.tolist(), ends.tolist()):
-            got: list[int] = []
-            for i, e in zip(own, end):
-                if i >= 0:
-                    got.append(i)
-                elif i == -1:
-                    got += [self.byte_ids[b] for b in word[e - 1].encode("utf-8", "replace")]
-            out.append(got)
-        return out
+        for end in range(1, length + 1):
+            usable = np.flatnonzero(steps <= end)
+            total = best[end - steps[usable]].T + score[end][:, usable]
+            top = total.argmax(axis=1)
+            best[end] = total[row, top]
+            back[end] = usable[top]
+        # All words walk back together; ids are filled in from the right.
+        place, out = np.full(n, length), np.full((n, length), -2, np.int32)
+        while (going := place > 0).any():
+            rows = row[going]
+            ends = place[rows]
+            out[rows, ends - 1] = found[ends, rows, back[ends, rows]]
+            place[rows] = ends - steps[back[ends, rows]]
+        used = out > -2
+        stops = np.cumsum(used.sum(axis=1)).tolist()
+        flat = out[used].astype("<i4").tobytes()
+        result = [flat[4 * a:4 * b] for a, b in zip([0, *stops], stops)]
+        for i in np.flatnonzero((out == -1).any(axis=1)).tolist():
+            ids: list[int] = []
+            for e, v in enumerate(out[i].tolist()):
+                if v >= 0:
+                    ids.append(v)
+                elif v == -1:
+                    ids += [self.byte_ids[b] for b in words[i][e].encode("utf-8", "replace")]
+            result[i] = np.array(ids, "<i4").tobytes()
+        return result
 
     def learn(self, words: set[str]) -> None:
         """Encode words not met before, by length; in blocks of bounded size."""
-        if len(self.seen) > LIMIT:
-            self.seen.clear()
         by_length: dict[int, list[str]] = {}
-        for w in sorted(words):
-            by_length.setdefault(len(w), []).append(w)
+        for w in words:
+            by_length.setdefault(len(w) + 1, []).append(w)
         for length, group in by_length.items():
-            block = max(1, 400_000 // (length + 1))
+            block = max(1, 50_000 // (length + 1))
             for i in range(0, len(group), block):
                 part = group[i:i + block]
-                for word, ids in zip(part, self.viterbi(part, length)):
-                    self.seen[word] = np.array(ids, "<i4").tobytes()
+                self.met.update(zip(part, self.viterbi([BLANK + w for w in part], length)))
 
     @staticmethod
     def words(text: str) -> list[str]:
+        """The words of a text; a blank before each is understood."""
         if not text:
             return []
         if "  " in text or text[0] == " " or text[-1] == " " or BLANK in text:
-            return _WORD.findall(BLANK + text.replace(" ", BLANK))
-        return [BLANK + w for w in text.split(" ")]
+            return [w[1:] for w in _WORD.findall(BLANK + text.replace(" ", BLANK))]
+        return text.split(" ")
 
     def encode(self, batch: list[str | None]) -> list[bytes | None]:
         """Little-endian 32-bit ids of each text."""
-        cut = [None if t is None else self.words(t) for t in batch]
-        seen, new = self.seen, set()
-        for words in cut:
-            for w in words or ():
-                if w not in seen:
-                    new.add(w)
-        if new:
-            if len(seen) + len(new) > LIMIT:
-                new = {w for words in cut for w in words or ()}
-                self.seen = seen = {}
-            self.learn(new)
-            seen = self.seen
-        return [None if words is None else b"".join([seen[w] for w in words]) for words in cut]
+        out: list[bytes | None] = []
+        for block in blocks(batch, BLOCK):
+            cut = [None if t is None else self.words(t) for t in block]
+            if len(self.met) > LIMIT:
+                self.old, self.met = self.met, {}
+            new = set(itertools.chain.from_iterable(w for w in cut if w)).difference(self.met)
+            self.met.update((w, self.old[w]) for w in new if w in self.old)
+            self.learn(new.difference(self.met))
+            get = self.met.__getitem__
+            out += [None if words is None else b"".join(map(get, words)) for words in cut]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         text = self.text
@@ -231,6 +237,9 @@ def decode(df: DataFrame, carry: list[str], *, ids: str = "ids", text: str = "te
 
     def fn(column: pa.Array) -> pa.Array:
         pieces = loaded(model)
-        return pa.array([None if i is None else pieces.decode(i) for i in column.to_pylist()], pa.string())
+        values, valid = column.values.to_numpy(), column.is_valid().to_pylist()
+        ends = column.offsets.to_pylist()
+        return pa.array([pieces.decode(values[a:b].tolist()) if ok else None
+                         for a, b, ok in zip(ends, ends[1:], valid)], pa.string())
 
     return _mapped(df, ids, text, "string", carry, fn)
