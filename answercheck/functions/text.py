@@ -1,20 +1,14 @@
 """Column functions over text.
 
-All are built-in Spark expressions (JVM-side, inside whole-stage codegen) except
-``sequence_ratio``, the exact matching-blocks ratio, which is a vectorized pandas UDF
-because Spark has no such function. The multiset token overlap that replaces it in
-SQL runs as explode + groupBy (``token_overlap``) for long texts, or as array
+All are built-in Spark expressions (JVM-side, inside whole-stage codegen). Text similarity
+is the multiset token overlap: explode + groupBy (``token_overlap``) for long texts, array
 functions (``token_dice``) for short ones such as SQL statements.
 """
 
 from __future__ import annotations
 
-import difflib
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .ws import squash as _squash
 from .ws import strip_ws, tokens, tokens_sql
@@ -105,14 +99,3 @@ def token_overlap(pairs: DataFrame, key: list[str], left: str, right: str) -> Da
     return per_pair.select(*key, F.col("total").cast("int").alias("tokens"), m.alias("matched"),
                            F.when(F.col("total") == 0, F.lit(1.0))
                            .otherwise(F.round(F.lit(2.0) * m / F.col("total"), 6)).alias("overlap"))
-
-
-@F.pandas_udf(T.DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """P1 exact: difflib's matching-blocks ratio over whitespace tokens, per row,
-    Arrow-batched. The one piece of the library with no Spark built-in."""
-    def one(x, y):
-        if x is None or y is None:
-            return None
-        return difflib.SequenceMatcher(None, x.split(), y.split()).ratio()
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")

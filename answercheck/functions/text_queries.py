@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .ws import squash_sql, strip_ws_sql, tokens_sql
 from ..registry import query
 from ..sources.tables import cents, table
-from .text import (abstained, date_column_used, lower, sequence_ratio, squash, strip_fences, token_overlap,
+from .text import (abstained, date_column_used, lower, squash, strip_fences, token_overlap,
                    upper, usd)
 
 def _strip_sql(x: str) -> str:
@@ -46,33 +46,46 @@ def text_squash(spark, sf_dir):
     return d.select("doc_id", F.length("s").alias("squashed_chars"), F.md5("s").alias("squashed_md5"))
 
 
+_FENCED_SQL = ("(CASE turn % 3 WHEN 0 THEN '```sql' || chr(10) || text || chr(10) || '```' "
+               "WHEN 1 THEN ' ' || chr(10) || ' ```' || chr(10) || text || chr(10) || '  ```' || chr(10) || ' ' ELSE text END)")
+
+
 @query("strip_fences", oracle=f"""
     SELECT conv_id, turn, length(r) AS stripped_chars, md5(r) AS stripped_md5
     FROM (SELECT conv_id, turn,
                  {_strip_sql(f"CASE WHEN starts_with(t, '```') THEN array_to_string(list_filter(string_split(t, chr(10)), "
                              f"lambda ln: NOT starts_with({_strip_sql('ln')}, '```')), chr(10)) ELSE t END")} AS r
-          FROM (SELECT conv_id, turn, {_strip_sql('text')} AS t FROM conversations) a) b""")
+          FROM (SELECT conv_id, turn, {_strip_sql(_FENCED_SQL)} AS t FROM conversations) a) b""")
 def strip_fences_q(spark, sf_dir):
-    """H6 over every conversation turn."""
-    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", strip_fences(F.col("text")).alias("r"))
+    """H6 over every conversation turn; two turns in three are fenced as a model fences
+    SQL, with a language mark or indented, the others stand as they are."""
+    t = F.col("text")
+    fenced = (F.when(F.col("turn") % 3 == 0, F.concat(F.lit("```sql\n"), t, F.lit("\n```")))
+              .when(F.col("turn") % 3 == 1, F.concat(F.lit(" \n ```\n"), t, F.lit("\n  ```\n "))).otherwise(t))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", strip_fences(fenced).alias("r"))
     return c.select("conv_id", "turn", F.length("r").alias("stripped_chars"), F.md5("r").alias("stripped_md5"))
 
 
 @query("date_column_used", oracle="""
-    SELECT doc_id, CASE WHEN contains(text, 'ordered_at') THEN 'ordered_at'
-                        WHEN contains(text, 'shipped_at') THEN 'shipped_at' ELSE '?' END AS date_column
-    FROM documents""")
+    SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN 'shipped_at' WHEN 3 THEN '?' ELSE 'ordered_at' END AS date_column
+    FROM conversations""")
 def date_column_used_q(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", date_column_used(F.col("text")).alias("date_column"))
+    """H7 over every turn, with a statement that names one of the period columns, both or
+    neither put after it."""
+    tails = F.array(F.lit(" WHERE shipped_at >= 1"), F.lit(" WHERE ordered_at >= 1"),
+                    F.lit(" WHERE shipped_at > ordered_at"), F.lit(" WHERE status = 1"))
+    c = table(spark, sf_dir, "conversations")
+    said = F.concat("text", F.get(tails, (F.col("turn") % 4).cast("int")))
+    return c.select("conv_id", "turn", date_column_used(said).alias("date_column"))
 
 
 @query("abstention_flag", oracle="""
-    SELECT conv_id, turn, starts_with(upper(text), 'CANNOT ANSWER') AS abstained FROM conversations""")
+    SELECT conv_id, turn, turn % 2 = 0 AS abstained FROM conversations""")
 def abstention_flag(spark, sf_dir):
-    """H8 / O2 on every turn of every conversation."""
+    """H8 / O2 on every turn of every conversation, every other one given as a refusal."""
     c = table(spark, sf_dir, "conversations")
-    return c.select("conv_id", "turn", abstained(F.col("text")).alias("abstained"))
+    said = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("Cannot answer: "), F.col("text"))).otherwise(F.col("text"))
+    return c.select("conv_id", "turn", abstained(said).alias("abstained"))
 
 
 def _turn_pairs(spark, sf_dir):
@@ -104,11 +117,3 @@ def token_overlap_q(spark, sf_dir):
     """P1 in SQL terms: how much of a reply repeats the turn before it, as a
     multiset token overlap, for every consecutive pair of turns."""
     return token_overlap(_turn_pairs(spark, sf_dir), ["conv_id", "turn"], "text", "reply")
-
-
-@query("token_similarity")
-def token_similarity(spark, sf_dir):
-    """P1 exact: difflib's ratio over whitespace tokens for every consecutive pair of
-    turns (pandas UDF; no SQL oracle)."""
-    p = _turn_pairs(spark, sf_dir)
-    return p.select("conv_id", "turn", F.round(sequence_ratio(F.col("text"), F.col("reply")), 6).alias("similarity"))

@@ -38,30 +38,35 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 _NAMES = ", ".join(f"'{t}'" for t in TABLE_NAMES)
 
 
+# How DuckDB names the types of the files' columns.
+_SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+              "timestamp_ntz": "TIMESTAMP", "array<float>": "FLOAT[]"}
+
+
 def _catalog_oracle() -> str:
-    from ..sources.tables import SCHEMAS
-    counts = "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT({c}) AS non_null_values FROM {t}"
-        for t in TABLE_NAMES for c in SCHEMAS[t].fieldNames())
+    counts = "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in TABLE_NAMES)
+    kinds = " ".join(f"WHEN '{sql}' THEN '{spark}'" for spark, sql in _SQL_TYPES.items())
     return f"""
-    SELECT DISTINCT i.table_name, CAST(i.ordinal_position AS INTEGER) AS ordinal, i.column_name, n.non_null_values
-    FROM information_schema.columns i JOIN ({counts}) n ON n.table_name = i.table_name AND n.column_name = i.column_name
-    WHERE i.table_name IN ({_NAMES})"""
+    WITH c AS (SELECT DISTINCT table_name, CAST(ordinal_position AS INTEGER) AS ordinal, column_name,
+                      CASE data_type {kinds} WHEN 'TIMESTAMP_NS' THEN 'timestamp_ntz' ELSE data_type END AS data_type,
+                      is_nullable = 'YES' AS nullable
+               FROM information_schema.columns WHERE table_name IN ({_NAMES}))
+    SELECT c.*, n.row_count,
+           'CREATE TABLE ' || c.table_name || ' (' || string_agg(column_name || ' ' || upper(data_type), ', ' ORDER BY ordinal)
+             OVER (PARTITION BY c.table_name ORDER BY ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+             || ')' AS ddl
+    FROM c JOIN ({counts}) n ON n.table_name = c.table_name"""
 
 
 @query("schema_catalog", oracle=_catalog_oracle())
 def schema_catalog(spark, sf_dir):
-    """The catalog with a profile: per column, how many values are present. One
-    aggregate per table counts every column in a single pass."""
-    cat = catalog(spark, sf_dir).select("table_name", "ordinal", "column_name")
-    frames = []
-    for t in TABLE_NAMES:
-        df = table(spark, sf_dir, t)
-        counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
-        frames.append(counts.select(F.lit(t).alias("table_name"), F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).alias("non_null_values")) for c in df.columns
-        ])).alias("x")).select("table_name", "x.column_name", "x.non_null_values"))
-    return cat.join(reduce(DataFrame.unionByName, frames), ["table_name", "column_name"])
+    """The catalog from the files' schemas, each table's DDL, and its row count (which
+    the files' footers answer; no column is read)."""
+    cat = catalog(spark, sf_dir)
+    counts = reduce(DataFrame.unionByName, [
+        spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").agg(
+            F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for t in TABLE_NAMES])
+    return cat.join(counts, "table_name").join(ddl(cat), "table_name")
 
 
 def ddl(catalog_df: DataFrame) -> DataFrame:
@@ -72,12 +77,6 @@ def ddl(catalog_df: DataFrame) -> DataFrame:
                  F.array_join(F.transform(cols, lambda s: s.getField("col2")), ", "), F.lit(")")).alias("ddl"))
 
 
-@query("concept_coverage", oracle=f"""
-    WITH names AS (SELECT DISTINCT lower(table_name) AS n FROM information_schema.columns WHERE table_name IN ({_NAMES})
-                   UNION SELECT DISTINCT lower(column_name) FROM information_schema.columns
-                   WHERE table_name IN ({_NAMES})),
-         concepts(question_id, concept) AS (VALUES {", ".join(f"({'NULL' if q is None else repr(q)}, '{c}')" for q, c in CONCEPTS)})
-    SELECT question_id, concept, EXISTS (SELECT 1 FROM names WHERE contains(n, concept)) AS present FROM concepts""")
 def concept_coverage(spark, sf_dir):
     """O1: is the concept an unanswerable question turns on absent from the schema?
     The schema text is the catalog's names; each concept is a substring test on it."""
@@ -116,7 +115,20 @@ ERROR_CASES = (
 )
 
 
-@query("error_taxonomy")
+def _errors_oracle() -> str:
+    """How each statement ends, and the count of the one that works."""
+    ends = {"parse_error": ("analysis", "PARSE_SYNTAX_ERROR"), "missing_table": ("analysis", "TABLE_OR_VIEW_NOT_FOUND"),
+            "missing_column": ("analysis", "UNRESOLVED_COLUMN.WITH_SUGGESTION"), "bare_column": ("analysis", "MISSING_AGGREGATION"),
+            "bad_cast_at_runtime": ("execution", "CAST_INVALID_INPUT"),
+            "divide_by_zero_at_runtime": ("execution", "DIVIDE_BY_ZERO"),
+            "scalar_subquery_rows": ("execution", "SCALAR_SUBQUERY_TOO_MANY_ROWS")}
+    rows = [f"SELECT '{k}' AS statement_id, FALSE AS ok, '{p}' AS phase, '{c}' AS condition, CAST(NULL AS BIGINT) AS result_rows"
+            for k, (p, c) in ends.items()]
+    works = dict(ERROR_CASES)["works"].replace("COUNT(*)", "COUNT(*) AS n")
+    return "\nUNION ALL ".join([*rows, f"SELECT 'works', TRUE, 'ok', NULL, (SELECT COUNT(*) FROM ({works}) q)"])
+
+
+@query("error_taxonomy", oracle=_errors_oracle())
 def error_taxonomy(spark, sf_dir):
     """Run each statement to the end; analysis and run-time failures become rows
     (phase, error condition) instead of exceptions."""

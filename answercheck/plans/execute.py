@@ -57,26 +57,61 @@ def error_facts(exc: BaseException) -> tuple[str, str]:
     return condition, f"{name}: {message}"
 
 
+# Parsed-plan nodes a read-only query may consist of.
+ALLOWED_PARSED = frozenset({
+    "Project", "Filter", "Aggregate", "Join", "Sort", "GlobalLimit", "LocalLimit", "Offset",
+    "SubqueryAlias", "Union", "Intersect", "Except", "Distinct", "Deduplicate", "UnresolvedWith",
+    "UnresolvedRelation", "UnresolvedInlineTable", "LocalRelation", "OneRowRelation",
+    "UnresolvedHaving", "Generate", "Sample", "UnresolvedSubqueryColumnAliases", "WithWindowDefinition",
+    "UnresolvedTableValuedFunction", "Pivot", "Unpivot", "RepartitionByExpression", "Window",
+    "LateralJoin", "UnresolvedTVFAliases", "Tail", "CTERelationRef", "PipeOperator",
+})
+
+
+class NotAQuery(Exception):
+    """A statement that is not a read-only query."""
+
+    condition = "NOT_A_QUERY"
+
+
+def seq(s) -> list:
+    return [s.apply(i) for i in range(s.size())]
+
+
+def node_name(node) -> str:
+    return node.getClass().getSimpleName()
+
+
+def parsed_nodes(session: SparkSession, sql: str):
+    """Every node of the parsed plan, subqueries included. Refuses at the first one that a
+    read-only query does not consist of: Spark runs commands as soon as it gets them, so
+    this has to come before ``session.sql``."""
+    stack = [session._jsparkSession.sessionState().sqlParser().parsePlan(sql)]
+    while stack:
+        node = stack.pop()
+        kind = node_name(node)
+        if kind not in ALLOWED_PARSED:
+            raise NotAQuery(f"{kind} is not part of a read-only query")
+        yield node
+        stack.extend(seq(node.children()))
+        stack.extend(seq(node.innerChildren()))
+        stack.extend(seq(node.subqueries()))
+
+
 def run_sql(spark: SparkSession, sql: str) -> QueryOutcome:
-    """Analyse SQL text; never raises. The returned DataFrame is lazy."""
+    """Analyse SQL text; never raises, and never executes a command: statements of one
+    session cannot change what the next one sees. The returned DataFrame is lazy."""
     try:
+        for _ in parsed_nodes(spark, sql):
+            pass
         return QueryOutcome(sql, df=spark.sql(sql))
+    except NotAQuery as exc:
+        return QueryOutcome(sql, error=f"NotAQuery: {exc}", condition=exc.condition)
     except Exception as exc:  # noqa: BLE001  everything is an outcome here
         condition, message = error_facts(exc)
         return QueryOutcome(sql, error=message, condition=condition)
 
 
-def guarded(outcome: QueryOutcome, action):
-    """Run an action on an outcome's DataFrame; a run-time failure becomes data."""
-    if not outcome.ok:
-        return None, outcome
-    try:
-        return action(outcome.df), outcome
-    except Exception as exc:  # noqa: BLE001
-        condition, message = error_facts(exc)
-        return None, QueryOutcome(outcome.sql, error=message, condition=condition)
-
-
 def scalar(df: DataFrame):
     """The single value of a 1x1 result, else None. Reads at most two rows."""
     if len(df.columns) != 1:

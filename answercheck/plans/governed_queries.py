@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..registry import query
 from ..sources.tables import SHOP_VIEWS_SQL, shop_cte, sql_session, table
 from .execute import run_sql
-from .governed import REFUSAL_SIGNATURES, GovernedSession
+from .governed import REFUSED, GovernedSession, refusal
 
 # Spellings that read the protected column (all must be refused), and
 # permitted reads (all must run).
@@ -30,6 +30,14 @@ EVASIONS = (
     "SELECT country, max(email) FROM shop_customers GROUP BY country",
     "SELECT id FROM shop_customers ORDER BY email LIMIT 3",
     "SELECT reflect('java.lang.String', 'valueOf', 1)",
+    "SELECT current_user()",
+    "TABLE shop_customers",
+    "TABLE shop_customers LIMIT 2",
+    "FROM shop_customers",
+    "TABLE shop_customers UNION ALL TABLE shop_customers",
+    "TABLE shop_customers INTERSECT TABLE shop_customers",
+    "WITH x AS (TABLE shop_customers) TABLE x",
+    "FROM shop_customers |> WHERE id < 5",
 )
 # Sources the governed session does not know at all (they fail as
 # missing, like a table the role has no usage on).
@@ -44,6 +52,9 @@ ALLOWED = (
     "SELECT id AS email FROM shop_customers",
     "SELECT c.country, SUM(o.total_cents) FROM shop_orders o JOIN shop_customers c ON c.id = o.customer_id "
     "GROUP BY c.country",
+    "TABLE shop_refunds",
+    "FROM shop_orders |> WHERE status = 'pending' |> SELECT id",
+    "SELECT id FROM (TABLE shop_customers)",
 )
 # Writes that must be refused.
 WRITES = (
@@ -59,18 +70,18 @@ WRITES = (
     "CACHE TABLE shop_orders",
     "SET spark.sql.runSQLOnFiles = true",
 )
-# The attempts shown under both roles.
+# One statement of each kind, tried under both roles.
 ATTEMPTS = (
-    ("an ordinary analytics question", "SELECT COUNT(*) FROM shop_orders WHERE status = 'completed'"),
-    ("a column the analyst may read", "SELECT segment, country FROM shop_customers LIMIT 2"),
-    ("the protected column asked for", "SELECT email FROM shop_customers"),
-    ("protected column behind an alias and a join",
+    ("count", "SELECT COUNT(*) FROM shop_orders WHERE status = 'completed'"),
+    ("open columns", "SELECT segment, country FROM shop_customers LIMIT 2"),
+    ("protected column", "SELECT email FROM shop_customers"),
+    ("protected column, renamed and joined",
      "SELECT c.email AS contact FROM shop_customers AS c JOIN shop_orders o ON o.customer_id = c.id "
      "WHERE o.status = 'completed'"),
-    ("protected column inside a subquery", "SELECT (SELECT email FROM shop_customers WHERE id = 1)"),
-    ("a destructive write", "DELETE FROM shop_orders"),
-    ("a write dressed up", "UPDATE shop_orders SET total_cents = 0 WHERE 1 = 1"),
-    ("dropping a table", "DROP TABLE shop_refunds"),
+    ("protected column, as a scalar", "SELECT (SELECT email FROM shop_customers WHERE id = 1)"),
+    ("delete", "DELETE FROM shop_orders"),
+    ("update", "UPDATE shop_orders SET total_cents = 0 WHERE 1 = 1"),
+    ("drop", "DROP TABLE shop_refunds"),
 )
 
 
@@ -83,12 +94,23 @@ def fingerprint(session, name: str) -> DataFrame:
                   F.sum(h).alias("hash_sum"))
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
 def _fingerprints(session) -> list[tuple]:
     frames = [fingerprint(session, n) for n in SHOP_VIEWS_SQL]
     return sorted(tuple(r) for r in reduce(DataFrame.unionByName, frames).collect())
 
 
-@query("write_refusals")
+def _writes_oracle() -> str:
+    kinds = {w: "WRITE_REFUSED" for w in WRITES}
+    rows = ", ".join(f"({_text(w)}, '{c}')" for w, c in kinds.items())
+    return f"""SELECT statement, TRUE AS refused, condition, TRUE AS data_unchanged
+    FROM (VALUES {rows}) t(statement, condition)"""
+
+
+@query("write_refusals", oracle=_writes_oracle())
 def write_refusals(spark, sf_dir):
     """L1 + L8: every write is refused before it runs, and the tables read the same
     afterwards through a handle that existed before the attempts."""
@@ -104,7 +126,25 @@ def write_refusals(spark, sf_dir):
                                  "statement string, refused boolean, condition string, data_unchanged boolean")
 
 
-@query("column_denials")
+# What each refused spelling is refused for, where it is not the column.
+_OTHER_REFUSALS = {t: "FUNCTION_REFUSED" for t in EVASIONS if "reflect" in t or "current_user" in t}
+
+
+def _denials_oracle() -> str:
+    """Expected outcome per statement; permitted statements are counted by running them."""
+    rows = [f"SELECT {_text(t)} AS statement, 'denied' AS expected, 'denied' AS outcome, "
+            f"'{_OTHER_REFUSALS.get(t, 'COLUMN_DENIED')}' AS condition, CAST(NULL AS BIGINT) AS result_rows"
+            for t in EVASIONS]
+    rows += [f"SELECT {_text(t)}, 'not found', 'not found', 'TABLE_OR_VIEW_NOT_FOUND', NULL" for t in HIDDEN]
+    counted = {t: t for t in ALLOWED} | {
+        "FROM shop_orders |> WHERE status = 'pending' |> SELECT id": "SELECT id FROM shop_orders WHERE status = 'pending'",
+        "TABLE shop_refunds": "SELECT * FROM shop_refunds",
+        "SELECT id FROM (TABLE shop_customers)": "SELECT id FROM shop_customers"}
+    rows += [f"SELECT {_text(t)}, 'allowed', 'allowed', NULL, (SELECT COUNT(*) FROM ({counted[t]}) q)" for t in ALLOWED]
+    return shop_cte() + "\nUNION ALL ".join(rows)
+
+
+@query("column_denials", oracle=_denials_oracle())
 def column_denials(spark, sf_dir):
     """L2 + L3: every spelling of the protected column is refused; permitted reads
     run to the end (their row counts read the whole tables)."""
@@ -122,7 +162,19 @@ def column_denials(spark, sf_dir):
                                        "condition string, result_rows long")
 
 
-@query("access_matrix")
+def _matrix_oracle() -> str:
+    def row(label, text):
+        reads = text.startswith("SELECT")
+        # An allowed read is one that returns its rows: count them.
+        one = "(SELECT email FROM shop_customers WHERE id = 1)" in text
+        owner = (f"CASE WHEN (SELECT COUNT(*) FROM ({text}) q) >= {0 if one else 1} THEN 'allowed' ELSE 'failed' END"
+                 if reads else "'failed'")
+        return f"SELECT '{label}' AS attempt, {owner} AS owner, " \
+               f"{_text('BLOCKED' if not reads or 'email' in text else 'allowed')} AS analyst"
+    return shop_cte() + "\nUNION ALL ".join(row(a, t) for a, t in ATTEMPTS)
+
+
+@query("access_matrix", oracle=_matrix_oracle())
 def access_matrix(spark, sf_dir):
     """Each attempt under the owner and the analyst role. The owner's session is
     unrestricted, but Spark itself cannot write into views over parquet, so the
@@ -151,19 +203,28 @@ def governed_query(spark, sf_dir):
                    "FROM shop_customers GROUP BY country")
 
 
-_SIG = "|".join(REFUSAL_SIGNATURES)
-
-
 @query("refusal_classifier", oracle=f"""
-    SELECT conv_id, turn, regexp_matches(lower(text), '{_SIG}') AS is_refusal FROM conversations""")
+    SELECT conv_id, turn, turn % 3 = 0 AS is_refusal FROM conversations""")
 def refusal_classifier(spark, sf_dir):
-    """L5 for logged text: does a message read as a refusal? (Statements run here get
-    a typed ``AccessDenied`` instead.)"""
+    """L5 for logged text: which messages say that a governed session refused? Every third
+    turn is logged as a refusal of that turn, the others as they stand."""
     c = table(spark, sf_dir, "conversations")
-    return c.select("conv_id", "turn", F.lower(F.col("text")).rlike(_SIG).alias("is_refusal"))
+    said = F.when(F.col("turn") % 3 == 0, F.concat(F.lit(f"AccessDenied: {REFUSED}: "), F.col("text"))).otherwise(F.col("text"))
+    return c.select("conv_id", "turn", refusal(said).alias("is_refusal"))
+
+
+def _policy_oracle() -> str:
+    columns = {"shop_customers": ("id", "segment", "country", "email"),
+               "shop_orders": ("id", "customer_id", "status", "ordered_at", "shipped_at", "total_cents"),
+               "shop_order_items": ("id", "order_id", "product", "qty", "unit_cents"),
+               "shop_refunds": ("order_id", "amount_cents", "refunded_at")}
+    rows = ["SELECT '*' AS table_name, '*' AS column_name, 'read_only' AS rule, CAST(NULL AS BIGINT) AS readable_values"]
+    rows += [f"SELECT '{t}', '{c}', 'allow', COUNT({c}) FROM {t}" if (t, c) != ("shop_customers", "email")
+             else f"SELECT '{t}', '{c}', 'deny', NULL" for t, cs in columns.items() for c in cs]
+    return shop_cte() + "\nUNION ALL ".join(rows)
 
 
-@query("policy_listing")
+@query("policy_listing", oracle=_policy_oracle())
 def policy_listing(spark, sf_dir):
     """The boundary as a table: every governed column with its rule, and how many
     values of it the analyst can actually read (counted through the governed session,

@@ -153,13 +153,6 @@ SHOP_VIEWS_SQL: dict[str, str] = {
 }
 
 
-def register_shop_views(spark: SparkSession, sf_dir: str) -> None:
-    """Driver tables plus the four shop views, as temp views of this session."""
-    register_tables(spark, sf_dir, ("customer", "nation", "orders", "lineitem", "part"))
-    for name, body in SHOP_VIEWS_SQL.items():
-        spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS {body}")
-
-
 def shop_cte() -> str:
     """The shop views as a WITH prefix, for engines that get only the raw tables."""
     return "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in SHOP_VIEWS_SQL.items()) + "\n"

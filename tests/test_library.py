@@ -3,7 +3,6 @@ text helpers, the capped fetch and the plan check for a missing sort."""
 
 from __future__ import annotations
 
-import difflib
 
 from pyspark.sql import functions as F
 
@@ -74,17 +73,13 @@ def test_text_helpers(spark):
     assert r.d == "shipped_at" and r.a
 
 
-def test_similarity_ratios(spark):
+def test_text_closeness_misleads(spark):
     gold = "SELECT SUM(total_cents) FROM orders WHERE status = 'completed'"
     cands = ["SELECT SUM(total_cents) FROM orders",
              "SELECT SUM(o.total_cents) FROM orders AS o WHERE NOT (o.status = 'cancelled' OR o.status = 'pending')"]
     df = spark.createDataFrame([(gold, c) for c in cands], "g string, c string")
-    got = [r[0] for r in df.select(T.sequence_ratio("g", "c")).collect()]
-    want = [difflib.SequenceMatcher(None, gold.split(), c.split()).ratio() for c in cands]
-    assert got == want
-    assert round(got[0], 2) == 0.67 and round(got[1], 2) == 0.43
-    dice = df.select(T.token_dice(F.col("g"), F.col("c"))).first()[0]
-    assert 0 < dice < 1
+    missing, equivalent = [r[0] for r in df.select(T.token_dice(F.col("g"), F.col("c"))).collect()]
+    assert 0 < equivalent < missing < 1  # the wrong statement is the closer text
 
 
 def test_scalar_capped_and_sort_detection(spark):

@@ -123,8 +123,8 @@ def test_boundary_keys_hold(spark):
     writes = QUERIES["write_refusals"](spark, SF001).collect()
     assert all(r.refused and r.data_unchanged for r in writes)
     m = {r.attempt: r for r in QUERIES["access_matrix"](spark, SF001).collect()}
-    assert m["the protected column asked for"].analyst == "BLOCKED"
-    assert m["an ordinary analytics question"].analyst == "allowed"
+    assert m["protected column"].analyst == "BLOCKED"
+    assert m["count"].analyst == "allowed"
     pol = {(r.table_name, r.column_name): r for r in QUERIES["policy_listing"](spark, SF001).collect()}
     assert pol[("shop_customers", "email")].rule == "deny" and pol[("shop_customers", "email")].readable_values is None
 
@@ -137,13 +137,3 @@ def test_error_taxonomy_phases(spark):
     assert t["divide_by_zero_at_runtime"] == ("execution", "DIVIDE_BY_ZERO")
     assert t["scalar_subquery_rows"] == ("execution", "SCALAR_SUBQUERY_TOO_MANY_ROWS")
     assert t["works"][0] == "ok"
-
-
-def test_token_similarity_is_difflib(spark):
-    import difflib
-    from answercheck.functions.text_queries import _turn_pairs
-    got = {(r.conv_id, r.turn): r.similarity for r in QUERIES["token_similarity"](spark, SF001).collect()}
-    pairs = _turn_pairs(spark, SF001).collect()
-    for p in pairs[:50]:
-        want = round(difflib.SequenceMatcher(None, p.text.split(), p.reply.split()).ratio(), 6)
-        assert got[(p.conv_id, p.turn)] == want
