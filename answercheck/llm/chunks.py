@@ -2,7 +2,7 @@
 
 A gear rolling hash (one shift and one add per byte, here computed for all positions at
 once by doubling) depends on the last 16 bytes only. A chunk ends after a white-space
-byte whose hash has its ``bits`` test equal zero, about every sixth word; in long
+byte whose hash is divisible by ``one_in``, about every fifth word; in long
 stretches without white space any character may end one. So the cuts depend on nearby
 content alone and come back in step right after an insertion. A chunk that would exceed
 ``max_chunk`` bytes is cut there, at a character.
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import WHITE, mix, texts
 
-ONE_IN, MAX_CHUNK, MIN_RUN = 6, 256, 100
+ONE_IN, MAX_CHUNK, MIN_RUN = 5, 256, 100
 # Without white space in so many bytes, any character may end a chunk, with this chance.
 LONG_STRETCH, ONE_IN_CHARS = 64, 32
 
