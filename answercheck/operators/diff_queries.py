@@ -187,15 +187,16 @@ def compare_sql_many(spark: SparkSession, specs: list[tuple[str, str, str, bool]
     """Facts for many comparisons of SQL texts (pair_id, gold_sql, cand_sql, ordered).
 
     ``runner(text) -> QueryOutcome`` decides where SQL runs (default: ``spark``
-    unrestricted; ``GovernedSession.run`` for the analyst role). Each candidate is
-    analysed before its gold, as in the reference: a refused candidate is judged
-    first. All pairs that analyse cleanly are compared in one Spark job."""
+    unrestricted; ``GovernedSession.run`` for the analyst role). A refused candidate is
+    judged before its gold. All pairs that analyse cleanly are compared together."""
     run = runner or (lambda text: run_sql(spark, text))
     rows, outcomes = [], {}
     # Analysis of each text happens on the driver; run it from threads.
     from concurrent.futures import ThreadPoolExecutor
+    golds = list(dict.fromkeys(sp[1] for sp in specs))   # each trusted query once
     with ThreadPoolExecutor(max_workers=8) as pool:
-        analysed = list(pool.map(lambda sp: (run(sp[2]), run(sp[1])), specs))
+        trusted = dict(zip(golds, pool.map(run, golds)))
+        analysed = [(c, trusted[sp[1]]) for c, sp in zip(pool.map(lambda sp: run(sp[2]), specs), specs)]
     for (pair_id, gold_sql, cand_sql, ordered), (c, g) in zip(specs, analysed):
         rows.append(dict(pair_id=pair_id, cand_ok=c.ok, gold_ok=g.ok, cand_error=c.error, gold_error=g.error,
                          cand_denied=c.denied, gold_denied=g.denied, cand_condition=c.condition,

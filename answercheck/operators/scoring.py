@@ -7,11 +7,11 @@ one (ERROR); then row equality. A broken gold query with a working candidate is
 flagged ``gold_broken``.
 
 Shape of the job: candidates and suite are tables. Every *distinct* (gold, candidate)
-text pair is analysed on the driver, and all pairs are compared in one Spark job over
-the whole tables: their summaries are unioned into one plan, so a gold query shared by
-several candidates is one shared exchange rather than a re-run per candidate (the
-reference re-runs it). The facts come back as one small row per pair and the verdict
-is a ``when`` chain over the facts table.
+text pair is analysed on the driver, and up to a batch of pairs is compared in one Spark
+job over the whole tables: their summaries are unioned into one plan, so a gold query
+shared by several candidates is one shared exchange rather than a re-run per candidate.
+The facts come back as one small row per pair and the verdict is a ``when`` chain over
+the facts table.
 """
 
 from __future__ import annotations
@@ -59,6 +59,10 @@ def _runner(spark: SparkSession, sf_dir: str, role: str):
     raise ValueError(f"unknown role {role}")
 
 
+FACTS = T.StructType(FACT_SCHEMA.fields + [T.StructField("gold_sql", T.StringType()),
+                                           T.StructField("sql_text", T.StringType())])
+
+
 def execution_facts(spark: SparkSession, sf_dir: str, pairs: list[tuple[str, str, bool]],
                     role: str = "owner", runner=None) -> DataFrame:
     """One fact row per distinct (gold_sql, sql_text, ordered), all compared in one
@@ -69,9 +73,7 @@ def execution_facts(spark: SparkSession, sf_dir: str, pairs: list[tuple[str, str
     rows = compare_sql_many(session, specs, runner=run, audit_joins=True)
     for r, (gold, cand, _) in zip(rows, pairs):
         r.update(gold_sql=gold, sql_text=cand)
-    schema = T.StructType(FACT_SCHEMA.fields + [T.StructField("gold_sql", T.StringType()),
-                                                T.StructField("sql_text", T.StringType())])
-    return spark.createDataFrame([{k: r.get(k) for k in schema.fieldNames()} for r in rows], schema)
+    return spark.createDataFrame([{k: r.get(k) for k in FACTS.fieldNames()} for r in rows], FACTS)
 
 
 def verdict_col() -> Column:
@@ -95,18 +97,16 @@ def detail_col() -> Column:
             .otherwise(explain_col()))
 
 
-def score(spark: SparkSession, sf_dir: str, candidates: DataFrame, role: str = "owner",
-          questions=QUESTIONS, runner=None) -> DataFrame:
-    """Outcomes, one row per (run, level, question)."""
-    suite = suite_df(spark, questions)
-    facts = candidate_facts(suite, candidates)
-    runnable = facts.where(F.col("answerable") & ~F.col("abstained"))
-    # The list of statements to run: bounded by the suite, not by the data.
-    pairs = [(r.gold_sql, r.sql_text, r.ordered)
-             for r in runnable.select("gold_sql", "sql_text", "ordered").distinct().collect()]
-    executed = execution_facts(spark, sf_dir, pairs, role, runner=runner)
+def _runnable(facts: DataFrame) -> DataFrame:
+    """The distinct comparisons that have to be run, those of one gold query together."""
+    return (facts.where(F.col("answerable") & ~F.col("abstained")).select("gold_sql", "sql_text", "ordered")
+            .distinct().orderBy("gold_sql", "sql_text"))
+
+
+def outcomes_of(facts: DataFrame, executed: DataFrame, role: str) -> DataFrame:
+    """The verdict on every (run, level, question) from the facts about its comparison."""
     joined = facts.join(executed, ["gold_sql", "sql_text", "ordered"], "left")
-    out = joined.select(
+    return joined.select(
         "run_id", "level", "question_id", "ordinal", "category", "answerable", "abstained", "sql_text",
         verdict_col().alias("verdict"),
         (F.col("answerable") & ~F.col("abstained") & F.coalesce(F.col("cand_ok"), F.lit(False))
@@ -117,7 +117,42 @@ def score(spark: SparkSession, sf_dir: str, candidates: DataFrame, role: str = "
         F.col("fanout_factor"),
         F.lit(role).alias("role"),
     )
-    return out
+
+
+def score(spark: SparkSession, sf_dir: str, candidates: DataFrame, role: str = "owner",
+          questions=QUESTIONS, runner=None) -> DataFrame:
+    """Outcomes, one row per (run, level, question), for a suite's worth of candidates: the
+    distinct comparisons are held by the driver. ``score_table`` takes any number."""
+    facts = candidate_facts(suite_df(spark, questions), candidates)
+    pairs = [(r.gold_sql, r.sql_text, r.ordered) for r in _runnable(facts).collect()]
+    return outcomes_of(facts, execution_facts(spark, sf_dir, pairs, role, runner), role)
+
+
+def score_table(spark: SparkSession, sf_dir: str, candidates: DataFrame, path: str, role: str = "owner",
+                questions=QUESTIONS, runner=None, batch: int = 32) -> DataFrame:
+    """Score a candidate table of any size into ``path``: distinct comparisons stream to the
+    driver (``toLocalIterator``) and are run ``batch`` at a time, sorted by gold query so
+    that its plan is shared; each batch's facts are appended to a table before the next
+    begins. Outcomes are one join with that table, appended by run, and returned as
+    written: reports read them and run nothing again."""
+    facts = candidate_facts(suite_df(spark, questions), candidates)
+    runner = runner or _runner(spark, sf_dir, role)
+    held: list = []
+
+    def flush() -> None:
+        execution_facts(spark, sf_dir, held, role, runner).write.mode("append").parquet(f"{path}/facts")
+        held.clear()
+
+    spark.createDataFrame([], FACTS).write.mode("append").parquet(f"{path}/facts")
+    for r in _runnable(facts).toLocalIterator():
+        held.append((r.gold_sql, r.sql_text, r.ordered))
+        if len(held) == batch:
+            flush()
+    if held:
+        flush()
+    executed = spark.read.schema(FACTS).parquet(f"{path}/facts")
+    write_outcomes(outcomes_of(facts, executed, role), f"{path}/outcomes")
+    return spark.read.parquet(f"{path}/outcomes")
 
 
 def layered_outcomes(spark: SparkSession, sf_dir: str, role: str = "owner", questions=QUESTIONS,
