@@ -13,7 +13,8 @@ together first, so that each part of the order can be built apart:
 2. Strings. A run of windows with the same shared anchor is one string (50 bytes and one
    more for each further window). Equal strings become one, with the smallest doc_id, by
    partial aggregation; occurrences in other documents are removed whole. Strings are
-   dealt to buckets by anchor: a window's equals are all in its bucket.
+   dealt to buckets by anchor: a window's equals are all in its bucket. A string alone at
+   its anchor has nothing left to be compared with.
 3. Transforms. A bucket's strings are split into shards of at most ``shard`` bytes. A shard's
    Burrows-Wheeler transform (to a context of 50 bytes) holds for every suffix the bytes
    before it, and the step to the suffix that begins there.
@@ -27,8 +28,8 @@ together first, so that each part of the order can be built apart:
 6. Removed windows are joined back to their documents, and their union is cut out.
 
 Skew: anchors, strings and copies held by a third of the documents are combined map-side
-and the joins back are ones AQE splits. A bucket holds ``strings_per_bucket`` distinct
-strings on average; only the distinct strings around one 16-byte anchor stay together.
+and the joins back are ones AQE splits. A bucket holds at most
+``strings_per_bucket`` strings on average; only the distinct strings around one 16-byte anchor stay together.
 
 Defined cases: a null text is empty; a text under 50 bytes loses nothing; a null doc_id
 neither gives nor loses; rows repeating a doc_id are one document: nothing in them
@@ -38,6 +39,7 @@ repeats the other; an empty table gives an empty result; other columns are ignor
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +50,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, mix, texts
 
 LENGTH, GRAM = 50, 16
-SHARD, STRINGS_PER_BUCKET = 1 << 18, 16_384
+SHARD, STRINGS_PER_BUCKET = 1 << 18, 65_536
 # Bytes of text handled at once when looking for anchors.
 BUFFER = 1 << 17
 # A byte that UTF-8 never uses ends a string.
@@ -107,17 +109,81 @@ def _blocks(rows: Iterator, size: int) -> Iterator[list]:
         yield held
 
 
-def anchors(docs: DataFrame) -> DataFrame:
-    """(h, t): anchors of each text, t naming the text."""
-    def run(batches):
+def _grouped(key: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs sorted by key, and the size of each pair's key group."""
+    order = np.lexsort((t, key))
+    key, t = key[order], t[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (t[1:] != t[:-1])
+    key, t = key[new], t[new]
+    start = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(start, len(key)))
+    return key, t, np.repeat(sizes, sizes)
+
+
+def shared_anchors(docs: DataFrame) -> DataFrame:
+    """(t, h): the anchors h of text t that some other text has too.
+
+    Within a batch of texts, anchors held by several are known at once: their rows go on as
+    they are, and one marker stands for all of them, so an anchor held by a third of all
+    texts is one row per batch. Markers and the other rows meet by anchor, in one shuffle,
+    and are read in order; of a group only its first text is remembered."""
+    def gather(batches):
         for batch in batches:
             rows = zip(batch.column("t").to_pylist(), (x.encode("utf-8", "replace") for x in texts(batch.column("text"))))
+            keys, names = [], []
             for block in _blocks(rows, BUFFER):
                 of, _, _, h = window_runs([r for _, r in block])
-                t = np.array([t for t, _ in block], np.int64)[of]
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(t)], names=["h", "t"])
-
-    return docs.select("t", "text").mapInArrow(run, "h long, t long")
+                keys.append(h.view(np.int64))
+                names.append(np.array([t for t, _ in block], np.int64)[of])
+            if not keys:
+                continue
+            h, t, size = _grouped(np.concatenate(keys), np.concatenate(names))
+            lone, known = size == 1, size > 1
+            marker = known & np.append(True, h[1:] != h[:-1])[:len(h)]
+            n0, n1, n2 = int(lone.sum()), int(marker.sum()), int(known.sum())
+            key = np.concatenate([h[lone], h[marker], t[known]])
+            text = np.concatenate([t[lone], np.zeros(n1, np.int64), t[known]])
+            own = np.concatenate([np.zeros(n0 + n1, np.int64), h[known]])
+            at = np.arange(n0 + n1 + n2)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array(text, mask=(at >= n0) & (at < n0 + n1)), pa.array(own, mask=at < n0 + n1)],
+                names=["key", "t", "h"])
+
+    def meet(batches):
+        carried = None  # (key, its only text so far or None, whether it is shared)
+        for batch in batches:
+            direct = batch.column("h").is_valid().to_numpy(zero_copy_only=False)
+            key = batch.column("key").to_numpy()
+            marked = ~batch.column("t").is_valid().to_numpy(zero_copy_only=False)
+            t = batch.column("t").fill_null(0).to_numpy()
+            h = batch.column("h").fill_null(0).to_numpy()
+            out_t, out_h = [t[direct]], [h[direct]]
+            key, t, marked = key[~direct], t[~direct], marked[~direct]
+            if len(key):
+                start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+                least = np.minimum.reduceat(np.where(marked, np.iinfo(np.int64).max, t), start)
+                most = np.maximum.reduceat(np.where(marked, np.iinfo(np.int64).min, t), start)
+                shared = np.logical_or.reduceat(marked, start) | (least < most)
+                some = least <= most
+                if carried and carried[0] == key[0]:
+                    _, only, was = carried
+                    shared[0] |= was or (only is not None and some[0] and (least[0] != only or most[0] != only))
+                    if shared[0] and not was and only is not None:
+                        out_t.append(np.array([only]))
+                        out_h.append(key[:1])
+                    if not shared[0] and only is not None:
+                        least[0], some[0] = only, True
+                size = np.diff(np.append(start, len(key)))
+                keep = np.repeat(shared, size) & ~marked
+                out_t.append(t[keep])
+                out_h.append(key[keep])
+                carried = (key[-1], int(least[-1]) if some[-1] else None, bool(shared[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_t)), pa.array(np.concatenate(out_h))],
+                                             names=["t", "h"])
+
+    rows = docs.select("t", "text").mapInArrow(gather, "key long, t long, h long")
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "t long, h long")
 
 
 _STRINGS = "h long, s binary, doc_id long, t long, pos int"
@@ -235,21 +301,26 @@ def repeats(bodies: list[bytes], docs: np.ndarray, shard: int = SHARD, length: i
 
 
 def bucket_repeats(distinct: DataFrame, buckets: int, shard: int) -> DataFrame:
-    """(h, x, windows) of the distinct strings (h, s, x, lo) that hold removed windows."""
+    """(h, x, lo, windows) of the distinct strings (h, s, x, lo, n) that occur more than once
+    or hold removed windows. A string that is alone at its anchor has no window in common
+    with another and needs no place in the order."""
     def run(batches):
         held: list = []
         present = None
 
         def flush():
-            found = repeats([r[1] for r in held], np.array([r[3] for r in held], np.int64), shard)
-            rows = [(held[i][0], held[i][2], w) for i, w in found.items()]
-            h, x, w = zip(*rows) if rows else ((), (), ())
+            anchors_held = Counter(r[0] for r in held)
+            shared = [r for r in held if anchors_held[r[0]] > 1]
+            found = repeats([r[1] for r in shared], np.array([r[3] for r in shared], np.int64), shard) if shared else {}
+            windows = {(shared[i][0], shared[i][2]): w for i, w in found.items()}
+            rows = [(h, x, lo, windows.get((h, x))) for h, _, x, lo, n in held if n > 1 or (h, x) in windows]
+            h, x, lo, w = zip(*rows) if rows else ((), (), (), ())
             return pa.RecordBatch.from_arrays(
-                [pa.array(h, pa.int64()), pa.array(x, pa.int64()), pa.array(w, pa.list_(pa.int32()))],
-                names=["h", "x", "windows"])
+                [pa.array(h, pa.int64()), pa.array(x, pa.int64()), pa.array(lo, pa.int64()), pa.array(w, pa.list_(pa.int32()))],
+                names=["h", "x", "lo", "windows"])
 
         for batch in batches:
-            for bucket, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "h", "s", "x", "lo"))):
+            for bucket, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "h", "s", "x", "lo", "n"))):
                 if bucket != present and held:
                     yield flush()
                     held = []
@@ -261,7 +332,7 @@ def bucket_repeats(distinct: DataFrame, buckets: int, shard: int) -> DataFrame:
     # xxhash64 of h is unlike h itself, of which anchors are the smallest values.
     dealt = distinct.withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)))
     dealt = dealt.repartition("bucket").sortWithinPartitions("bucket", "h")
-    return dealt.select("bucket", "h", "s", "x", "lo").mapInArrow(run, "h long, x long, windows array<int>")
+    return dealt.select("bucket", "h", "s", "x", "lo", "n").mapInArrow(run, "h long, x long, lo long, windows array<int>")
 
 
 def remove(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
@@ -289,24 +360,20 @@ def deduplicate(docs: DataFrame, scratch: Scratch, *, shard: int = SHARD,
     named = keyed.where("doc_id is not null")
 
     firsts = scratch.put(named.groupBy("dg", "t").agg(F.min("doc_id").alias("first")), "firsts")
-    found = anchors(named)
-    shared = found.groupBy("h").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo < hi").select("h")
-    wanted = found.join(shared, "h").groupBy("t").agg(F.collect_set("h").alias("shared"))
+    wanted = shared_anchors(named).groupBy("t").agg(F.collect_set("h").alias("shared"))
     owners = wanted.join(firsts, "t").select(F.col("first").alias("doc_id"), "t", "shared")
-    rows = scratch.put(strings(named.join(owners, ["doc_id", "t"]).select("doc_id", "t", "shared", "text")), "strings")
+    rows = strings(named.join(owners, ["doc_id", "t"]).select("doc_id", "t", "shared", "text"))
+    rows = scratch.put(rows.withColumn("x", F.xxhash64("s")).withColumn("size", F.octet_length("s")), "strings")
     scratch.release()
 
-    rows = rows.withColumn("x", F.xxhash64("s"))
-    distinct = rows.groupBy("h", "s").agg(F.min("doc_id").alias("lo"), F.first("x").alias("x"))
+    distinct = rows.groupBy("h", "s").agg(F.min("doc_id").alias("lo"), F.first("x").alias("x"), F.count(F.lit(1)).alias("n"))
     buckets = max(1, rows.count() // strings_per_bucket)
-    gone = scratch.put(bucket_repeats(distinct, buckets, shard), "windows")
+    verdict = scratch.put(bucket_repeats(distinct, buckets, shard), "windows")
     scratch.release()
 
     # The holder of a string loses the windows found; any larger doc_id loses all of them.
-    holders = rows.groupBy("h", "x").agg(F.min("doc_id").alias("lo"), F.count(F.lit(1)).alias("n"))
-    verdict = holders.join(gone, ["h", "x"], "left").where("n > 1 or windows is not null").select("h", "x", "lo", "windows")
-    whole = F.array(F.lit(0), F.octet_length("s") - F.lit(LENGTH - 1))
-    hit = rows.join(verdict, ["h", "x"]).withColumn(
+    whole = F.array(F.lit(0), F.col("size") - F.lit(LENGTH - 1))
+    hit = rows.drop("s").join(verdict, ["h", "x"]).withColumn(
         "windows", F.when(F.col("doc_id") > F.col("lo"), whole).otherwise(F.col("windows"))).where("windows is not null")
     spans = hit.groupBy("doc_id", "t").agg(F.collect_list(F.struct("pos", "windows")).alias("cut"))
     info = scratch.put(
