@@ -34,8 +34,8 @@ from .common import blocks
 BLANK = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
-# Words remembered (in each of two generations), and characters handled at once.
-LIMIT, BLOCK = 400_000, 1 << 20
+# Words remembered (in each of two generations), and characters and rows handled at once.
+LIMIT, BLOCK, ROWS = 400_000, 1 << 20, 512
 
 
 def model_path() -> str:
@@ -202,44 +202,57 @@ def loaded(path: str) -> Pieces:
     return _LOADED[path]
 
 
-def _mapped(df: DataFrame, source: str, result: str, kind: str, carry: list[str], fn) -> DataFrame:
-    carry = [c for c in carry if c not in (result, "_in")]
+def _mapped(df: DataFrame, source: str, results: dict[str, str], carry: list[str], fn) -> DataFrame:
+    """``carry`` columns and what ``fn`` makes of the ``source`` column, a block at a time so
+    that a task holds the words of one block and not of a whole batch."""
+    carry = [c for c in carry if c not in results and c != "_in"]
     kept = df.select(*[F.col(f"`{c}`") for c in carry], F.col(source).alias("_in"))
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]),
-                     f"`{result}` {kind}"])
+                     *(f"`{n}` {t}" for n, t in results.items())])
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carry), fn(batch.column("_in"))],
-                                             names=[*carry, result])
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carry), *fn(part.column("_in"))],
+                                                 names=[*carry, *results])
 
     return kept.mapInArrow(run, ddl)
 
 
+def _lists(found: list[bytes | None]) -> pa.Array:
+    """Ids as an Arrow column of lists."""
+    sizes = np.array([len(x) // 4 if x is not None else 0 for x in found], np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    values = pa.array(np.frombuffer(b"".join([x for x in found if x]), "<i4"), pa.int32())
+    return pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([x is None for x in found], pa.bool_()))
+
+
 def encode(df: DataFrame, carry: list[str], *, text: str = "text", ids: str = "ids", path: str | None = None) -> DataFrame:
     """``carry`` columns of each row and the ids (array<int>) of its text."""
     model = path or model_path()
-
-    def fn(column: pa.Array) -> pa.Array:
-        found = loaded(model).encode(column.to_pylist())
-        sizes = np.array([len(x) // 4 if x is not None else 0 for x in found], np.int64)
-        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        values = pa.array(np.frombuffer(b"".join([x for x in found if x]), "<i4"), pa.int32())
-        mask = pa.array([x is None for x in found], pa.bool_())
-        return pa.ListArray.from_arrays(pa.array(ends), values, mask=mask)
-
-    return _mapped(df, text, ids, "array<int>", carry, fn)
+    return _mapped(df, text, {ids: "array<int>"}, carry, lambda c: [_lists(loaded(model).encode(c.to_pylist()))])
 
 
 def decode(df: DataFrame, carry: list[str], *, ids: str = "ids", text: str = "text", path: str | None = None) -> DataFrame:
     """``carry`` columns of each row and the text of its ids."""
     model = path or model_path()
 
-    def fn(column: pa.Array) -> pa.Array:
-        pieces = loaded(model)
-        values, valid = column.values.to_numpy(), column.is_valid().to_pylist()
-        ends = column.offsets.to_pylist()
-        return pa.array([pieces.decode(values[a:b].tolist()) if ok else None
-                         for a, b, ok in zip(ends, ends[1:], valid)], pa.string())
+    def fn(column: pa.Array) -> list[pa.Array]:
+        return [pa.array([None if i is None else loaded(model).decode(i) for i in column.to_pylist()], pa.string())]
+
+    return _mapped(df, ids, {text: "string"}, carry, fn)
+
+
+def encode_and_decode(df: DataFrame, carry: list[str], *, text: str = "text", ids: str = "ids",
+                      decoded: str = "decoded", path: str | None = None) -> DataFrame:
+    """``carry`` columns of each row, the ids of its text, and the text those ids decode to:
+    ``encode`` and ``decode`` in one pass."""
+    model = path or model_path()
+
+    def fn(column: pa.Array) -> list[pa.Array]:
+        found = loaded(model).encode(column.to_pylist())
+        back = [None if x is None else loaded(model).decode(np.frombuffer(x, "<i4").tolist()) for x in found]
+        return [_lists(found), pa.array(back, pa.string())]
 
-    return _mapped(df, ids, text, "string", carry, fn)
+    return _mapped(df, text, {ids: "array<int>", decoded: "string"}, carry, fn)

@@ -107,8 +107,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: token count, a digest of the ids, digest and correctness of the text
     decoded from them."""
     docs = documents(spark, sf_dir)
-    ids = pieces.encode(docs, ["doc_id", "text"])
-    back = pieces.decode(ids, ["doc_id", "text", "ids"], text="decoded")
+    back = pieces.encode_and_decode(docs, ["doc_id", "text"])
     return back.select(
         "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
