@@ -364,11 +364,13 @@ def deduplicate(docs: DataFrame, scratch: Scratch, *, shard: int = SHARD,
     owners = wanted.join(firsts, "t").select(F.col("first").alias("doc_id"), "t", "shared")
     rows = strings(named.join(owners, ["doc_id", "t"]).select("doc_id", "t", "shared", "text"))
     rows = scratch.put(rows.withColumn("x", F.xxhash64("s")).withColumn("size", F.octet_length("s")), "strings")
+    del wanted, owners
     scratch.release()
 
     distinct = rows.groupBy("h", "s").agg(F.min("doc_id").alias("lo"), F.first("x").alias("x"), F.count(F.lit(1)).alias("n"))
     buckets = max(1, rows.count() // strings_per_bucket)
     verdict = scratch.put(bucket_repeats(distinct, buckets, shard), "windows")
+    del distinct
     scratch.release()
 
     # The holder of a string loses the windows found; any larger doc_id loses all of them.

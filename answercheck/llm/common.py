@@ -50,10 +50,14 @@ class Scratch:
 
     def release(self) -> None:
         """Let Spark's cleaner delete the shuffle files of finished steps now: it does so
-        when the driver's garbage collector finds that nothing refers to them."""
+        when the driver's garbage collector finds that nothing refers to them, which for
+        a plan that Python still held takes a second look."""
         import gc
-        gc.collect()
-        self.spark._jvm.System.gc()
+        import time
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.5)
 
     def clear(self, *keep: str) -> None:
         for name in [n for n in self.names if n not in keep]:
