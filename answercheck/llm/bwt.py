@@ -221,8 +221,8 @@ class Transform:
     def __init__(self, text: np.ndarray, suffix: np.ndarray):
         self.text, self.suffix = text, suffix
         n = len(text)
-        rank = np.empty(n, np.int32)
-        rank[suffix] = np.arange(n, dtype=np.int32)
+        rank = np.empty(n, np.intp)  # indices of numpy's own width are not converted on use
+        rank[suffix] = np.arange(n)
         back1, back2 = suffix - 1, suffix - 2
         self.step = rank[np.where(back2 < 0, back2 + n, back2)]
         self.before = (text[back2].astype(np.uint16) << np.uint16(8)) | text[back1]
@@ -232,8 +232,8 @@ def interleave(order: np.ndarray, before: np.ndarray, step: np.ndarray, depth: i
     """Refine an order of suffixes until it is right to ``depth`` bytes: each pass steps two
     bytes back from every suffix in the present order and distributes stably by them."""
     for _ in range(-(-depth // 2)):
-        dealt = np.argsort(before[order], kind="stable")
-        following = step[order[dealt]]
+        dealt = before.take(order).argsort(kind="stable")
+        following = step.take(order.take(dealt))
         if np.array_equal(following, order):
             break
         order = following
@@ -242,18 +242,18 @@ def interleave(order: np.ndarray, before: np.ndarray, step: np.ndarray, depth: i
 
 def transform(text: np.ndarray, depth: int) -> Transform:
     """The transform of one shard, from the order of the text itself."""
-    plain = Transform(text, np.arange(len(text), dtype=np.int32))
+    plain = Transform(text, np.arange(len(text)))
     return Transform(text, interleave(plain.suffix, plain.before, plain.step, depth))
 
 
 def merge(shards: list[Transform], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """The shards' texts one after the other, and all their suffixes in merged order."""
-    offsets = np.cumsum([0, *(len(s.text) for s in shards)])[:-1].astype(np.int32)
+    offsets = np.cumsum([0, *(len(s.text) for s in shards)])[:-1]
     text = np.concatenate([s.text for s in shards])
     suffix = np.concatenate([s.suffix + o for s, o in zip(shards, offsets)])
     before = np.concatenate([s.before for s in shards])
     step = np.concatenate([s.step + o for s, o in zip(shards, offsets)])
-    order = np.arange(len(text), dtype=np.int32)
+    order = np.arange(len(text))
     return text, suffix[interleave(order, before, step, depth)] if len(shards) > 1 else suffix
 
 
