@@ -290,13 +290,15 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, th
         several = at.groupBy("k").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1")
         return at.join(several.select("k"), "k", "left_semi")
 
-    # Rows of one doc_id with different texts are one document.
-    twice = named.groupBy("doc_id").agg(F.min("digest").alias("d0"), F.max("digest").alias("d1")).where("d0 <> d1")
-    same = (named.join(twice.select("doc_id"), "doc_id").select("doc_id", "digest").distinct()
-            .join(nodes.select("digest", "doc"), "digest").select(F.col("doc_id").alias("a"), F.col("doc").alias("b")))
     members = buckets.where(F.col("c") > small_bucket)
     pairs = star(members).union(meet(buckets.where(F.col("c") <= small_bucket), likely)).distinct()
-    edges = scratch.put(verified(pairs, bodies, words, threshold).union(same), "edges0")
+    edges = verified(pairs, bodies, words, threshold)
+    twice = named.groupBy("doc_id").agg(F.min("digest").alias("d0"), F.max("digest").alias("d1")).where("d0 <> d1")
+    if not twice.isEmpty():  # rows of one doc_id with different texts are one document
+        own = named.join(twice.select("doc_id"), "doc_id").select("doc_id", "digest").distinct()
+        edges = edges.union(own.join(nodes.select("digest", "doc"), "digest").select(
+            F.col("doc_id").alias("a"), F.col("doc").alias("b")))
+    edges = scratch.put(edges, "edges0")
     comp = components(edges, scratch, "cc0_")
     scratch.release()
     members = scratch.put(still_apart(members), "members")
