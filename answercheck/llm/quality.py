@@ -8,14 +8,15 @@ language, by Jensen-Shannon distance (square root of the divergence in bits, 0 t
   ASCII marks, beyond ASCII), against the language's own;
 - common words: the language's function words below plus "any other word".
 
-References are sums over all documents of the language that pass the base rules, so
-they follow the corpus. Guards: a histogram is only compared when the document has
+References are sums over all documents of the same ``lang`` value that pass the base
+rules, so they follow the corpus; no language is compared with another's. Guards: a histogram is only compared when the document has
 ``min_chars`` characters or ``min_words`` words, and when its language has at least
 ``min_reference`` documents behind its reference; otherwise that distance is null and
 does not speak against the document.
 
-Defined cases: a null or blank text has no words and fails the base rules; a null or
-unlisted language is compared by character classes with all such documents together;
+Defined cases: a null or blank text has no words and fails the base rules; a language
+without function words below is compared by character classes alone; a null or blank
+language has no reference, so the base rules alone judge it;
 repeated rows are judged each on its own; an empty table gives an empty result; other
 columns of the input are kept by ``judge`` unless they clash with a result column, in
 which case the result column replaces them.
@@ -44,7 +45,6 @@ COMMON_WORDS: dict[str, tuple[str, ...]] = {
 SYMBOLS = b"#*$%&|<>"
 # Character classes by first byte of a code point; continuation bytes are not counted.
 CLASSES = ("lower", "upper", "digit", "white", "sentence", "mark", "wide")
-MAX_REFERENCE_LANGS = len(COMMON_WORDS) + 1
 
 MIN_CHARS, MIN_WORDS, MIN_REFERENCE = 100, 50, 20
 # A distance from a sample of n words is inflated by about 1/sqrt(n): a document may
@@ -128,7 +128,7 @@ def measured(docs: DataFrame, carry: list[str]) -> DataFrame:
             langs = batch.column("_lang").to_pylist()
             rows = [measure(t, lg) for t, lg in zip(texts(batch.column("_text")), langs)]
             cols = [list(c) for c in zip(*rows)] if rows else [[] for _ in names[:-1]]
-            cols.append([lg if lg in COMMON_WORDS else "" for lg in langs])
+            cols.append([lg if lg and lg.strip() else None for lg in langs])
             types = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2 + [pa.string()]
             arrays = [batch.column(c) for c in carry] + [pa.array(c, t) for c, t in zip(cols, types)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*carry, *names])
@@ -141,9 +141,8 @@ def base_failed() -> Column:
 
 
 def references(m: DataFrame) -> DataFrame:
-    """Per listed language (and one row for all others): summed histograms of the
-    documents that pass the base rules. At most ``MAX_REFERENCE_LANGS`` rows."""
-    good = m.where(~base_failed())
+    """Per language: summed histograms of the documents that pass the base rules."""
+    good = m.where(~base_failed() & F.col("ref_lang").isNotNull())
     width = max(len(v) for v in COMMON_WORDS.values()) + 1
     sums = [F.sum(F.get("class_hist", F.lit(i))).alias(f"c{i}") for i in range(len(CLASSES))]
     sums += [F.sum(F.get("word_hist", F.lit(i))).alias(f"w{i}") for i in range(width)]
@@ -170,16 +169,16 @@ def judge(docs: DataFrame, carry: list[str], scratch: Scratch, *, min_chars: int
     """``carry`` columns and the result columns of each row of ``docs`` (text, lang).
 
     The text is read once: counts and histograms go to a written table that serves both
-    the references (a sum per language) and the verdicts. The reference table has at
-    most ``MAX_REFERENCE_LANGS`` rows by construction, so it is broadcast."""
+    the references (a sum per language) and the verdicts. The references are a written
+    table too: the join knows their size and broadcasts them only if they are small."""
     reserved = set(RESULT) | {"class_hist", "word_hist", "ref_lang", "_text", "_lang"}
     m = scratch.put(measured(docs, [c for c in carry if c not in reserved]), "measured")
-    joined = m.join(F.broadcast(references(m)), "ref_lang", "left")
+    known = scratch.put(references(m).where(F.col("ref_docs") >= min_reference), "references")
+    joined = m.join(known, "ref_lang", "left")
     chars = F.aggregate("class_hist", F.lit(0).cast("long"), lambda s, x: s + x)
-    known = F.coalesce(F.col("ref_docs"), F.lit(0)) >= min_reference
-    class_d = F.when(known & (chars >= min_chars), js_distance(F.col("class_hist"), F.col("ref_class")))
+    class_d = F.when(chars >= min_chars, js_distance(F.col("class_hist"), F.col("ref_class")))
     width = F.size("word_hist")
-    word_d = F.when(known & (width > 0) & (F.col("n_words") >= min_words),
+    word_d = F.when((width > 0) & (F.col("n_words") >= min_words),
                     js_distance(F.col("word_hist"), F.slice("ref_word", F.lit(1), F.greatest(width, F.lit(1)))))
     out = joined.withColumn("class_distance", class_d).withColumn("word_distance", word_d)
     out = out.withColumn("base_failed", base_failed())
