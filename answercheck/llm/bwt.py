@@ -28,8 +28,10 @@ together first, so that each part of the order can be built apart:
 6. Removed windows are joined back to their documents, and their union is cut out.
 
 Skew: anchors, strings and copies held by a third of the documents are combined map-side
-and the joins back are ones AQE splits. A bucket holds at most
-``strings_per_bucket`` strings on average; only the distinct strings around one 16-byte anchor stay together.
+and the joins back are ones AQE splits. A bucket holds ``strings_per_bucket`` strings on average, and of one
+anchor at most ``strings_per_anchor``. Where an anchor may have more (a template field or a phrase with ever
+new text around it), its strings are not gathered: each of their windows finds its smallest doc_id by partial
+aggregation on the window itself.
 
 Defined cases: a null text is empty; a text under 50 bytes loses nothing; a null doc_id
 neither gives nor loses; rows repeating a doc_id are one document: nothing in them
@@ -50,7 +52,9 @@ from pyspark.sql import functions as F
 from .common import Scratch, mix, texts
 
 LENGTH, GRAM = 50, 16
-SHARD, STRINGS_PER_BUCKET = 1 << 18, 65_536
+SHARD, STRINGS_PER_BUCKET, STRINGS_PER_ANCHOR = 1 << 18, 65_536, 16_384
+# Usual bytes of a string: an anchor is also crowded by longer ones.
+STRING_BYTES = 100
 # Bytes of text handled at once when looking for anchors.
 BUFFER = 1 << 17
 # A byte that UTF-8 never uses ends a string.
@@ -335,6 +339,35 @@ def bucket_repeats(distinct: DataFrame, buckets: int, shard: int) -> DataFrame:
     return dealt.select("bucket", "h", "s", "x", "lo", "n").mapInArrow(run, "h long, x long, lo long, windows array<int>")
 
 
+def crowded_anchors(rows: DataFrame, strings_per_anchor: int) -> DataFrame:
+    """Anchors h with more strings, or more bytes of them, than one task should order."""
+    held = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    return held.where((F.col("n") > strings_per_anchor) | (F.col("size") > STRING_BYTES * strings_per_anchor)).select("h")
+
+
+def window_repeats(distinct: DataFrame) -> DataFrame:
+    """What ``bucket_repeats`` gives, by one row per window of 50 bytes instead of an order:
+    no string meets the others of its anchor in a task."""
+    def run(batches):
+        for batch in batches:
+            for h, s, x, lo in zip(*(batch.column(c).to_pylist() for c in ("h", "s", "x", "lo"))):
+                for a in range(0, len(s) - LENGTH + 1, 10_000):
+                    at = range(a, min(a + 10_000, len(s) - LENGTH + 1))
+                    n = len(at)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([s[k:k + LENGTH] for k in at], pa.binary()), pa.array([h] * n, pa.int64()),
+                         pa.array([x] * n, pa.int64()), pa.array([lo] * n, pa.int64()), pa.array(at, pa.int32())],
+                        names=["w", "h", "x", "lo", "k"])
+
+    cut = distinct.select("h", "s", "x", "lo").mapInArrow(run, "w binary, h long, x long, lo long, k int")
+    least = (cut.groupBy("w").agg(F.min("lo").alias("least"), F.max("lo").alias("most"))
+             .where("least < most").select("w", "least"))
+    gone = cut.join(least, "w").where("least < lo").groupBy("h", "x").agg(F.collect_list("k").alias("ks"))
+    pairs = F.flatten(F.transform(F.array_sort("ks"), lambda k: F.array(k, k + F.lit(1))))
+    return (distinct.join(gone.select("h", "x", pairs.alias("windows")), ["h", "x"], "left")
+            .where("n > 1 or windows is not null").select("h", "x", "lo", "windows"))
+
+
 def remove(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
     """The bytes outside the union of ``spans``, and how many maximal runs that union has."""
     left, at, runs, last = [], 0, 0, None
@@ -352,7 +385,8 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 
 def deduplicate(docs: DataFrame, scratch: Scratch, *, shard: int = SHARD,
-                strings_per_bucket: int = STRINGS_PER_BUCKET) -> DataFrame:
+                strings_per_bucket: int = STRINGS_PER_BUCKET,
+                strings_per_anchor: int = STRINGS_PER_ANCHOR) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): what was removed, and what is left."""
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.md5(text.cast("binary")).alias("dg"))
@@ -367,10 +401,18 @@ def deduplicate(docs: DataFrame, scratch: Scratch, *, shard: int = SHARD,
     del wanted, owners
     scratch.release()
 
-    distinct = rows.groupBy("h", "s").agg(F.min("doc_id").alias("lo"), F.first("x").alias("x"), F.count(F.lit(1)).alias("n"))
+    def distinct(some: DataFrame) -> DataFrame:
+        return some.groupBy("h", "s").agg(F.min("doc_id").alias("lo"), F.first("x").alias("x"), F.count(F.lit(1)).alias("n"))
+
     buckets = max(1, rows.count() // strings_per_bucket)
-    verdict = scratch.put(bucket_repeats(distinct, buckets, shard), "windows")
-    del distinct
+    crowded = scratch.put(crowded_anchors(rows, strings_per_anchor), "anchors")
+    if crowded.isEmpty():
+        found = bucket_repeats(distinct(rows), buckets, shard)
+    else:
+        many = scratch.put(distinct(rows.join(crowded, "h", "left_semi")), "crowded")
+        found = bucket_repeats(distinct(rows.join(crowded, "h", "left_anti")), buckets, shard).union(window_repeats(many))
+    verdict = scratch.put(found, "windows")
+    del found
     scratch.release()
 
     # The holder of a string loses the windows found; any larger doc_id loses all of them.
