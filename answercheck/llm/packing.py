@@ -23,7 +23,9 @@ packing equals sequential best-fit decreasing on the same lengths.
 
 Defined cases: a null or empty text is one piece holding only the end id; a null doc_id
 is packed like any other; repeated rows are packed once each; an empty table gives an
-empty result; other columns are ignored.
+empty result; other columns are ignored. With ``added_tokens`` a string of one of the
+vocabulary file's added tokens (such as <|endoftext|>) is that token, as in ``tokenizers``
+with add_special_tokens=False; without, it is ordinary text.
 """
 
 from __future__ import annotations
@@ -63,7 +65,8 @@ def _byte_alphabet() -> dict[str, int]:
 
 class Encoder:
     """Ids of texts, as bytes of little-endian unsigned 32-bit numbers, by the vocabulary
-    file of a byte-level tokenizer (strings of special tokens are ordinary text).
+    file of a byte-level tokenizer. With ``added_tokens`` a text is split at the strings of
+    the file's added tokens, which get their ids; else they are ordinary text.
 
     A space between two characters that are not white space always starts a token, so a
     text is cut there and each word is encoded once; words are remembered, up to a fixed
@@ -71,7 +74,7 @@ class Encoder:
 
     LIMIT = 600_000
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         import re
         import tiktoken
         with open(path, encoding="utf-8") as file:
@@ -82,6 +85,13 @@ class Encoder:
                  if piece not in special}
         self.bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.unsafe = re.compile(r" \s|\s ")
+        self.added: dict[str, bytes] = {}
+        if added_tokens:
+            if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"]):
+                raise ValueError(f"{path}: added tokens that depend on the text around them are not supported")
+            self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in spec["added_tokens"]}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.at_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self.added else None
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
 
@@ -89,6 +99,12 @@ class Encoder:
         return np.array(self.bpe.encode_ordinary(text), "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
+        if not any(token in text for token in self.added):
+            return self.ordinary(text)
+        parts = self.at_added.split(text)
+        return b"".join([self.added[p] if i % 2 else self.ordinary(p) for i, p in enumerate(parts)])
+
+    def ordinary(self, text: str) -> bytes:
         if not text:
             return b""
         if self.unsafe.search(text):
@@ -111,13 +127,14 @@ class Encoder:
             return start + b"".join([later[w] for w in rest])
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, added_tokens: bool = False) -> Encoder:
+    key = path, added_tokens
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(path, added_tokens)
+    return _ENCODERS[key]
 
 
 def cut(n: int, size: int) -> list[tuple[int, int]]:
@@ -129,7 +146,7 @@ def cut(n: int, size: int) -> list[tuple[int, int]]:
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 
 
-def tokenised(docs: DataFrame, path: str, size: int, end_id: int) -> DataFrame:
+def tokenised(docs: DataFrame, path: str, size: int, end_id: int, added_tokens: bool = False) -> DataFrame:
     """Pieces of every document, each with its partition and its place among that
     partition's pieces of the same length."""
     end = np.array([end_id], "<u4").tobytes()
@@ -137,7 +154,7 @@ def tokenised(docs: DataFrame, path: str, size: int, end_id: int) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        enc = encoder(path)
+        enc = encoder(path, added_tokens)
         places = [0] * (size + 1)
         for batch in batches:
             rows = []
@@ -220,12 +237,12 @@ def supersteps(counts: dict[int, int], size: int) -> list[tuple[int, int, int, i
 
 
 def pack(docs: DataFrame, scratch: Scratch, *, sequence_length: int = SEQUENCE_LENGTH, end_id: int = END_ID,
-         path: str | None = None) -> DataFrame:
+         path: str | None = None, added_tokens: bool = False) -> DataFrame:
     """One row per piece of ``docs`` (doc_id, text): doc_id, piece, start, length,
     ids_crc32, sequence_id, offset."""
     size = sequence_length
     spark = docs.sparkSession
-    pieces = scratch.put(tokenised(docs, path or tokenizer_path(), size, end_id), "pieces")
+    pieces = scratch.put(tokenised(docs, path or tokenizer_path(), size, end_id, added_tokens), "pieces")
     per_part = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     before = per_part.withColumn("before", F.sum("n").over(
         W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)))

@@ -52,7 +52,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_packing")
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(spark, sf_dir), Scratch(spark, "op8"))
+    return packing.pack(documents(spark, sf_dir), Scratch(spark, "op8"), added_tokens=True)
 
 
 @query("op7_pii")

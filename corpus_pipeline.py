@@ -49,7 +49,7 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, packed into sequences."""
-    return packing.pack(docs, Scratch(spark, "pack"))
+    return packing.pack(docs, Scratch(spark, "pack"), added_tokens=True)
 
 
 def with_text(rows: DataFrame, column: str, columns: list[str]) -> DataFrame:
