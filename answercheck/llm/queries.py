@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from answercheck.sources.tables import table
 
-from . import bwt, chunks, embeddings, licenses, minhash, packing, pieces, pii, quality, warc
+from . import (alignment, bwt, chunks, embeddings, licenses, minhash, negatives, packing, pieces, pii, quality, warc,
+               winnowing)
 from .common import Scratch, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +118,71 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_bwt")
 def op3_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwt.deduplicate(documents(spark, sf_dir), Scratch(spark, "op3")).drop("kept_bytes")
+
+
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir), Scratch(spark, "op11"))[0]
+
+
+OP12_SQL = r"""
+WITH words AS (
+  SELECT k, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT row_number() OVER () AS k, doc_id, text FROM documents)),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+runs AS (
+  SELECT k, i, n, array_to_string(w[i:i + n - 1], ' ') AS run
+  FROM (SELECT words.*, s.n, unnest(range(1, len(w) - s.n + 2)) AS i
+        FROM words JOIN (SELECT DISTINCT n FROM windows) s ON len(w) >= s.n)),
+hits AS (SELECT k, i, windows.n, item_id FROM runs JOIN windows USING (n, run)),
+hit_words AS (SELECT k, count(DISTINCT j) AS n_hit FROM (SELECT k, unnest(range(i, i + n)) AS j FROM hits) GROUP BY k),
+hit_items AS (SELECT k, count(DISTINCT item_id) AS n_items,
+                     sha256(array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',')) AS items_sha256
+              FROM hits GROUP BY k)
+SELECT id AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM words LEFT JOIN hit_words USING (k) LEFT JOIN hit_items USING (k)
+"""
+
+
+@query("op12_winnowing", OP12_SQL)
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), Scratch(spark, "op12"))[0]
+
+
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_dot_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+ranked AS (
+  SELECT p.*, s.other_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other_id)::INTEGER AS rank
+  FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op13_negatives", OP13_SQL)
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0, Scratch(spark, "op13"))
