@@ -14,19 +14,16 @@ How it runs:
    the 6-place grid); each group carries how many rows each side has. Map-side
    combine collapses duplicates before the one shuffle. Groups whose counts agree are
    settled. In the common case (equal answers) this is the whole cost.
-3. Only if some groups disagree and inexact columns (floats, fine decimals) are involved:
-   the distinct rows of every group of exact column values that holds a disagreement are
-   sorted by the first inexact column, with their counts per side. The sorted sequence
-   falls apart into runs whose neighbours are within tolerance, and each run again by the
-   next inexact column; no match crosses a run.
-   A run that is no wider than the tolerance in any column is settled by its two sums;
-   only wider runs that disagree are matched row by row, exactly. Counts may differ
-   between the sides: the unmatched rows are those no matching can pair. A value that a
-   third of the rows share is one row with a count, and the sort is a range sort, so no
-   group is gathered into a task.
-4. Ordered comparison pairs rows by position. A result under a literal LIMIT is one
-   partition already and is numbered there; any other takes its positions from
-   per-partition counts of a written table.
+3. Each query runs once. Where more than the grid counts may be asked of a result, it is
+   written first and everything reads what was written: the distinct raw rows with their
+   counts per side where columns are inexact (floats, fine decimals), each side with its
+   positions where an order was asked for.
+4. If groups disagree and inexact columns are involved, the rows of every group of exact
+   column values that holds a disagreement are matched within the tolerance
+   (``matching``). Counts may differ between the sides: the unmatched rows are those no
+   matching can pair.
+5. Ordered comparison pairs rows by position: a row's place in its partition plus the rows
+   of the partitions before.
 """
 
 from __future__ import annotations
@@ -44,6 +41,7 @@ GRID = 6
 
 from ..functions.ws import WS_CLASS, strip_ws, strip_ws_sql  # noqa: F401,E402
 from ..session import SharedTables  # noqa: E402
+from .matching import close, inexact, unmatched_within, within  # noqa: E402
 
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -65,11 +63,6 @@ def _digits(t: T.DataType) -> tuple[int, int]:
     return {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}[type(t)], 0
 
 
-def inexact(kind: str) -> bool:
-    """Whether values of this kind match within a tolerance."""
-    return kind == "float" or kind.startswith("decimal:")
-
-
 def pair_kind(a: T.DataType, b: T.DataType) -> str:
     """One comparison type for a column pair.
 
@@ -82,10 +75,11 @@ def pair_kind(a: T.DataType, b: T.DataType) -> str:
     text    both strings: compared after stripping whitespace
     bool    both boolean
     same    any other identical type (dates, arrays...): compared as is
+    void    nothing but NULL on both sides
     incompatible   text against a number, or other mixed types: only NULL = NULL
     """
     if isinstance(a, T.NullType) and isinstance(b, T.NullType):
-        return "same"
+        return "void"
     if isinstance(a, T.NullType):
         a = b
     if isinstance(b, T.NullType):
@@ -125,6 +119,8 @@ def _normalize(c: Column, kind: str, side: str) -> Column:
         return strip_ws(c.cast("string"))
     if kind == "same_ts":
         return c.cast("timestamp")
+    if kind == "void":
+        return c.cast("string")
     if kind == "incompatible":
         # Tag by side: a value only ever meets NULL.
         return F.when(c.isNotNull(), F.concat(F.lit(side + ":"), c.cast("string")))
@@ -205,187 +201,6 @@ def with_position(df: DataFrame, tables: SharedTables, name: str = "_pos", keep_
                     *([F.col("_pid")] if keep_pid else [])))
 
 
-def limit_bound(df: DataFrame) -> int | None:
-    """The literal LIMIT that bounds a result, found under its sorts and projections."""
-    node = df._jdf.queryExecution().analyzed()
-    while True:
-        name = node.nodeName()
-        if name == "GlobalLimit":
-            try:
-                return int(node.limitExpr().eval(None))
-            except Exception:  # noqa: BLE001  not a literal
-                return None
-        if name in ("Sort", "Project", "SubqueryAlias", "Filter", "LocalLimit", "Distinct"):
-            node = node.children().apply(0)
-            continue
-        return None
-
-
-def with_limited_position(df: DataFrame, name: str = "_pos") -> DataFrame:
-    """Positions of a result under a literal LIMIT, which Spark gathers in one partition:
-    row number over the monotonically increasing id, i.e. the result's own order."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    m = df.select(*cols, F.monotonically_increasing_id().alias("_m"))
-    return m.select(*cols, (F.row_number().over(Window.orderBy("_m")) - 1).alias(name))
-
-
-def _positions(df: DataFrame, limited: bool, tables: SharedTables | None) -> DataFrame:
-    return with_limited_position(df) if limited else with_position(df, tables)
-
-
-def _within(a: Column, b: Column, kind: str, tol: float, rel_tol: float = 0.0) -> Column:
-    """Equal, or for inexact kinds within ``tol``, or within ``rel_tol`` of the larger
-    magnitude when a relative tolerance is given (off by default)."""
-    if inexact(kind):
-        return a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= _bound(a, b, kind, tol, rel_tol), F.lit(False))
-    return a.eqNullSafe(b)
-
-
-def _bound(a: Column, b: Column, kind: str, tol: float, rel_tol: float) -> Column:
-    fixed = F.lit(tol) if kind == "float" else F.lit(Decimal(repr(tol)))
-    if not rel_tol:
-        return fixed
-    return F.greatest(fixed.cast("double"), F.lit(rel_tol) * F.greatest(F.abs(a), F.abs(b)).cast("double"))
-
-
-def _close(a, b, tol: float, rel_tol: float = 0.0) -> bool:
-    """``_within`` for two Python numbers."""
-    if a is None or b is None:
-        return a is b
-    if isinstance(a, Decimal):
-        return abs(a - b) <= max(Decimal(repr(tol)), Decimal(repr(rel_tol)) * max(abs(a), abs(b)))
-    return a == b or abs(a - b) <= max(tol, rel_tol * max(abs(a), abs(b)))
-
-
-# --- matching within the tolerance ------------------------------------------------------------
-
-def _class(c: Column, kind: str) -> Column:
-    """What matches only its own kind among inexact values: NULL, NaN, the infinities."""
-    if kind != "float":
-        return F.when(c.isNull(), F.lit("null")).otherwise(F.lit("number"))
-    return (F.when(c.isNull(), F.lit("null")).when(F.isnan(c), F.lit("nan"))
-            .when(c == float("inf"), F.lit("inf")).when(c == float("-inf"), F.lit("-inf")).otherwise(F.lit("number")))
-
-
-def _runs(rows: DataFrame, keys: list[str], value: str, kind: str, tol: float, rel_tol: float,
-          tables: SharedTables) -> DataFrame:
-    """``rows`` with ``_run``: the run of its key group that each row belongs to, sorted by
-    ``value``, neighbours in a run being within tolerance. A range sort and a written table
-    with each row's partition and place; a row is compared with the one before it, in the
-    same partition or at the end of the one before (one row per partition)."""
-    order = [F.col(k).asc_nulls_first() for k in [*keys, value]]
-    fixed = tables.put(rows.orderBy(*order).select(
-        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_at")))
-    here = Window.partitionBy("_pid").orderBy("_at")
-    last = fixed.groupBy("_pid").agg(F.max_by(F.struct(*keys, value), "_at").alias("_last"))
-    earlier = last.select("_pid", F.lag("_last").over(Window.orderBy("_pid")).alias("_carried"))
-    seen = fixed.withColumn("_previous", F.lag(F.struct(*keys, value)).over(here)).join(earlier, "_pid")
-    before = F.coalesce("_previous", "_carried")
-    same_keys = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(before[k]) for k in keys], F.lit(True))
-    joined = before.isNotNull() & same_keys & _within(F.col(value), before[value], kind, tol, rel_tol)
-    flagged = seen.withColumn("_new", F.when(joined, 0).otherwise(1))
-    starts = flagged.groupBy("_pid").agg(F.sum("_new").alias("_n"))
-    offsets = starts.select("_pid", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    inside = F.sum("_new").over(here.rowsBetween(Window.unboundedPreceding, 0))
-    return (flagged.withColumn("_inside", inside).join(offsets, "_pid")
-            .withColumn("_run", F.col("_off") + F.col("_inside")).drop("_previous", "_carried", "_pid", "_at", "_new",
-                                                                       "_inside", "_off"))
-
-
-def match_run(rows: list[tuple], tol: float, rel_tol: float = 0.0) -> int:
-    """Most gold rows that can be paired with candidate rows, given (values, gold count,
-    candidate count) of distinct rows: maximum flow by augmenting paths over the pairs
-    within tolerance. Rows come sorted by their first value, so partners lie close by."""
-    gold = [[v, n] for v, n, _ in rows if n]
-    cand = [[v, n] for v, _, n in rows if n]
-    close = [[j for j, (w, _) in enumerate(cand) if all(_close(x, y, tol, rel_tol) for x, y in zip(v, w))]
-             for v, _ in gold]
-    flow: dict[tuple[int, int], int] = {}
-    left, right = [n for _, n in gold], [n for _, n in cand]
-    total = 0
-    for i in range(len(gold)):
-        while left[i]:
-            # breadth-first search for a candidate row with room
-            came: dict[int, int] = {}
-            reached, queue, end = {i: None}, [i], None
-            while queue and end is None:
-                g = queue.pop(0)
-                for j in close[g]:
-                    if j in came:
-                        continue
-                    came[j] = g
-                    if right[j]:
-                        end = j
-                        break
-                    for h in [h for (h, k), f in flow.items() if k == j and f and h not in reached]:
-                        reached[h] = j
-                        queue.append(h)
-            if end is None:
-                break
-            path, j = [], end
-            while True:
-                g = came[j]
-                path.append((g, j))
-                if reached[g] is None:
-                    break
-                j = reached[g]
-            amount = min([left[i], right[end]] + [flow[(g, reached[g])] for g, _ in path if reached[g] is not None])
-            for g, j in path:
-                flow[(g, j)] = flow.get((g, j), 0) + amount
-                if reached[g] is not None:
-                    flow[(g, reached[g])] -= amount
-            left[i] -= amount
-            right[end] -= amount
-            total += amount
-    return total
-
-
-def unmatched_within(g: DataFrame, c: DataFrame, kinds: list[str], groups: DataFrame, tol: float,
-                     rel_tol: float = 0.0) -> tuple[int, int]:
-    """Rows that no matching within the tolerance can pair, on (gold, candidate) side."""
-    names = [f"c{i}" for i in range(len(kinds))]
-    loose = [n for n, k in zip(names, kinds) if inexact(k)]
-    kind_of = dict(zip(names, kinds))
-    exact = [n for n in names if n not in loose]
-    tagged = g.select(*names, F.lit(1).alias("_g"), F.lit(0).alias("_c")).unionByName(
-        c.select(*names, F.lit(0).alias("_g"), F.lit(1).alias("_c")))
-    if exact:
-        bad = groups.where(F.col("n_gold") != F.col("n_cand")).select(*exact).distinct()
-        tagged = tagged.join(bad, reduce(lambda x, y: x & y, [tagged[k].eqNullSafe(bad[k]) for k in exact]), "left_semi")
-    classes = [f"k{n}" for n in loose]
-    for n, k in zip(loose, classes):
-        tagged = tagged.withColumn(k, _class(F.col(n), kind_of[n]))
-        tagged = tagged.withColumn(n, F.when(F.col(k) == "number", F.col(n)))
-    rows = tagged.groupBy(*exact, *classes, *loose).agg(F.sum("_g").alias("ng"), F.sum("_c").alias("nc"))
-    with SharedTables(g.sparkSession) as tables:
-        runs, within = rows, exact + classes
-        for n in loose:  # runs of one column fall apart further by the next
-            runs = _runs(runs, within, n, kind_of[n], tol, rel_tol, tables).withColumnRenamed("_run", f"_run_{n}")
-            within = [f"_run_{n}"]
-        runs = tables.put(runs.withColumnRenamed(within[0], "_run"))
-        narrow = reduce(lambda x, y: x & y, [
-            F.coalesce(_within(F.min(n), F.max(n), kind_of[n], tol, rel_tol), F.lit(True)) for n in loose])
-        per_run = tables.put(runs.groupBy("_run").agg(
-            F.sum("ng").alias("ng"), F.sum("nc").alias("nc"), narrow.alias("narrow"),
-            F.max((F.col("ng") != F.col("nc")).cast("int")).alias("differs")))
-        settled = per_run.where("narrow and differs = 1").agg(
-            F.coalesce(F.sum(F.greatest(F.col("ng") - F.col("nc"), F.lit(0))), F.lit(0)).alias("ug"),
-            F.coalesce(F.sum(F.greatest(F.col("nc") - F.col("ng"), F.lit(0))), F.lit(0)).alias("uc")).first()
-        wide = runs.join(per_run.where("not narrow and differs = 1").select("_run"), "_run", "left_semi")
-
-        def match(pdf):
-            import pandas as pd
-            pdf = pdf.sort_values(loose, na_position="first")
-            values = [tuple(None if pd.isna(x) else x for x in r) for r in pdf[loose].itertuples(index=False)]
-            paired = match_run(list(zip(values, pdf["ng"].tolist(), pdf["nc"].tolist())), tol, rel_tol)
-            return pd.DataFrame({"ug": [int(pdf["ng"].sum()) - paired], "uc": [int(pdf["nc"].sum()) - paired]})
-
-        matched = wide.select("_run", *loose, "ng", "nc").groupBy("_run").applyInPandas(match, "ug long, uc long").agg(
-            F.coalesce(F.sum("ug"), F.lit(0)).alias("ug"), F.coalesce(F.sum("uc"), F.lit(0)).alias("uc")).first()
-    return int(settled["ug"] + matched["ug"]), int(settled["uc"] + matched["uc"])
-
-
 # --- the comparison ---------------------------------------------------------------------------
 
 @dataclass
@@ -407,30 +222,71 @@ class Diff:
     cand_value: object = None
 
 
-def _summary(key: str, gold: DataFrame, cand: DataFrame, ordered: bool = False) -> tuple[DataFrame, list[str]]:
+@dataclass
+class Prepared:
+    """A comparison whose queries have run as far as they must: ``groups`` (counts per side
+    of each grid row) is a plan over the queries themselves or over what was written."""
+    key: str
+    gold: DataFrame
+    cand: DataFrame
+    ordered: bool
+    kinds: list[str]
+    groups: DataFrame | None = None
+    multiset: DataFrame | None = None                          # distinct raw rows, written
+    positions: tuple[DataFrame, DataFrame] | None = None       # both sides, written
+
+
+def at_most_one_row(df: DataFrame) -> bool:
+    most = df._jdf.queryExecution().analyzed().maxRows()
+    return most.isDefined() and most.get() <= 1
+
+
+def prepare(key: str, gold: DataFrame, cand: DataFrame, ordered: bool, tables: SharedTables) -> Prepared:
+    """Write what will be read more than once."""
+    if len(gold.columns) != len(cand.columns):
+        return Prepared(key, gold, cand, ordered, [])
+    g, c, kinds = align(gold, cand)
+    out = Prepared(key, gold, cand, ordered, kinds)
+    if ordered:
+        out.positions = with_position(g, tables), with_position(c, tables)
+        g, c = (p.drop("_pos") for p in out.positions)
+    single = len(kinds) == 1
+    if any(map(inexact, kinds)) and not (single and at_most_one_row(gold) and at_most_one_row(cand)):
+        names = [F.col(f"c{i}") for i in range(len(kinds))]
+        tagged = g.select(*names, F.lit(1).alias("_g"), F.lit(0).alias("_c")).unionByName(
+            c.select(*names, F.lit(0).alias("_g"), F.lit(1).alias("_c")))
+        out.multiset = tables.put(tagged.groupBy(*names).agg(
+            F.sum("_g").cast("long").alias("n_gold"), F.sum("_c").cast("long").alias("n_cand")))
+        raw = [F.max(F.when(F.col(f"_n{side}") > 0, F.col("_raw"))).alias(name)
+               for side, name in (("g", "raw_gold"), ("c", "raw_cand"))] if single else []
+        out.groups = out.multiset.select(
+            *_grid(out.multiset, kinds), F.col("n_gold").alias("_ng"), F.col("n_cand").alias("_nc"),
+            *([F.col("c0").alias("_raw")] if single else [])).groupBy(*[f"c{i}" for i in range(len(kinds))]).agg(
+            F.sum("_ng").alias("n_gold"), F.sum("_nc").alias("n_cand"), *raw)
+    else:
+        out.groups = signed_groups(g, c, kinds, keep_raw=single)
+    return out
+
+
+def _summary(p: Prepared, tol: float = TOLERANCE, rel_tol: float = 0.0) -> DataFrame:
     """One row of counts for a comparison: rows and unmatched rows per side, and for a
     single-column result its cell per side (as text and as a number).
 
-    For an ordered comparison whose sides are both bounded by a literal LIMIT, a second row (``pid`` + ORDERED_SUFFIX, positional
-    mismatches in ``g``) is unioned in, so the position check runs in the same job
-    and shares its exchanges instead of re-running both queries afterwards."""
-    ga, ca = len(gold.columns), len(cand.columns)
+    For an ordered comparison a second row (key + ORDERED_SUFFIX, positional mismatches in
+    ``g``) is unioned in, so the position check runs in the same job."""
     none_s, none_d = F.lit(None).cast("string"), F.lit(None).cast("double")
-    if ga != ca:
-        both = (gold.select(F.lit(1).alias("_g"), F.lit(0).alias("_c"))
-                .unionByName(cand.select(F.lit(0).alias("_g"), F.lit(1).alias("_c"))))
+    if len(p.gold.columns) != len(p.cand.columns):
+        both = (p.gold.select(F.lit(1).alias("_g"), F.lit(0).alias("_c"))
+                .unionByName(p.cand.select(F.lit(0).alias("_g"), F.lit(1).alias("_c"))))
         g, c = F.coalesce(F.sum("_g"), F.lit(0)).cast("long"), F.coalesce(F.sum("_c"), F.lit(0)).cast("long")
-        return both.agg(F.lit(key).alias("pid"), g.alias("g"), c.alias("c"), g.alias("ug"), c.alias("uc"),
-                        none_s.alias("gv_s"), none_s.alias("cv_s"), none_d.alias("gv_d"),
-                        none_d.alias("cv_d")), []
-    ga_, ca_, kinds = align(gold, cand)
-    single = ga == 1
-    groups = signed_groups(ga_, ca_, kinds, keep_raw=single)
+        return both.agg(F.lit(p.key).alias("pid"), g.alias("g"), c.alias("c"), g.alias("ug"), c.alias("uc"),
+                        none_s.alias("gv_s"), none_s.alias("cv_s"), none_d.alias("gv_d"), none_d.alias("cv_d"))
+    single = len(p.kinds) == 1
     d = F.col("n_gold") - F.col("n_cand")
-    numeric = single and (kinds[0] == "exact" or inexact(kinds[0]) or kinds[0].startswith("fixed:"))
+    numeric = single and (p.kinds[0] == "exact" or inexact(p.kinds[0]) or p.kinds[0].startswith("fixed:"))
     gv, cv = F.max("raw_gold"), F.max("raw_cand")
-    out = groups.agg(
-        F.lit(key).alias("pid"),
+    out = p.groups.agg(
+        F.lit(p.key).alias("pid"),
         F.coalesce(F.sum("n_gold"), F.lit(0)).cast("long").alias("g"),
         F.coalesce(F.sum("n_cand"), F.lit(0)).cast("long").alias("c"),
         F.coalesce(F.sum(F.greatest(d, F.lit(0))), F.lit(0)).cast("long").alias("ug"),
@@ -439,14 +295,14 @@ def _summary(key: str, gold: DataFrame, cand: DataFrame, ordered: bool = False)
         (cv.cast("string") if single else none_s).alias("cv_s"),
         (gv.cast("double") if numeric else none_d).alias("gv_d"),
         (cv.cast("double") if numeric else none_d).alias("cv_d"))
-    if ordered and limit_bound(gold) is not None and limit_bound(cand) is not None:
+    if p.positions:
         none_l = F.lit(None).cast("long")
-        pos = ordered_pairs(ga_, ca_, kinds, TOLERANCE, (True, True)).agg(
-            F.lit(key + ORDERED_SUFFIX).alias("pid"), F.count_if(~F.col("same")).cast("long").alias("g"),
+        pos = positions_paired(*p.positions, p.kinds, tol, rel_tol).agg(
+            F.lit(p.key + ORDERED_SUFFIX).alias("pid"), F.count_if(~F.col("same")).cast("long").alias("g"),
             none_l.alias("c"), none_l.alias("ug"), none_l.alias("uc"), none_s.alias("gv_s"),
             none_s.alias("cv_s"), none_d.alias("gv_d"), none_d.alias("cv_d"))
         out = out.unionByName(pos)
-    return out, kinds
+    return out
 
 
 # Marks the positional-mismatch row of an ordered comparison in a summary.
@@ -465,13 +321,11 @@ def _cell(kind: str, text, number):
     return text
 
 
-def _finish(row, gold: DataFrame, cand: DataFrame, kinds: list[str], ordered: bool, tol: float,
-            positions=None, rel_tol: float = 0.0) -> Diff:
-    """Turn a summary row into a Diff; run the extra jobs only where needed (float
-    re-pairing of a multi-row result, or a position check of an ordered one that the
-    summary job did not already do: ``positions`` is its row, if it did)."""
-    ga, ca = len(gold.columns), len(cand.columns)
-    out = Diff(gold_arity=ga, cand_arity=ca, arity_match=ga == ca, ordered=ordered, kinds=kinds)
+def _finish(rows: dict, p: Prepared, tol: float, rel_tol: float, tables: SharedTables) -> Diff:
+    """Turn summary rows into a Diff; match within the tolerance where the grid disagrees."""
+    row, kinds = rows[p.key], p.kinds
+    ga, ca = len(p.gold.columns), len(p.cand.columns)
+    out = Diff(gold_arity=ga, cand_arity=ca, arity_match=ga == ca, ordered=p.ordered, kinds=kinds)
     out.gold_rows, out.cand_rows = int(row["g"]), int(row["c"])
     out.unmatched_gold, out.unmatched_cand = int(row["ug"]), int(row["uc"])
     if ga != ca:
@@ -482,38 +336,35 @@ def _finish(row, gold: DataFrame, cand: DataFrame, kinds: list[str], ordered: bo
     if one_cell:
         out.gold_value = _cell(kinds[0], row["gv_s"], row["gv_d"])
         out.cand_value = _cell(kinds[0], row["cv_s"], row["cv_d"])
-    if (out.unmatched_gold or out.unmatched_cand) and any(map(inexact, kinds)):
+    off_grid = bool(out.unmatched_gold or out.unmatched_cand)
+    if off_grid and any(map(inexact, kinds)):
         if one_cell:
-            out.unmatched_gold = out.unmatched_cand = int(not _close(out.gold_value, out.cand_value, tol, rel_tol))
-        else:
-            g, c, _ = align(gold, cand)
-            out.unmatched_gold, out.unmatched_cand = unmatched_within(
-                g, c, kinds, signed_groups(g, c, kinds), tol, rel_tol)
+            out.unmatched_gold = out.unmatched_cand = int(not close(out.gold_value, out.cand_value, tol, rel_tol))
+        elif p.multiset is not None:
+            exact = [f"c{i}" for i, k in enumerate(kinds) if not inexact(k)]
+            disagree = p.groups.where("n_gold <> n_cand").select(*exact).distinct()
+            out.unmatched_gold, out.unmatched_cand = unmatched_within(p.multiset, kinds, disagree, tol, rel_tol, tables)
     out.bag_equal = out.unmatched_gold == 0 and out.unmatched_cand == 0
+    out.approximate = out.bag_equal and off_grid
     out.equal = out.bag_equal
-    if ordered and out.bag_equal and out.gold_rows > 1:
-        if positions is not None and tol == TOLERANCE and not rel_tol:
-            out.equal = int(positions["g"]) == 0
-        else:
-            g, c, _ = align(gold, cand)
-            limited = (limit_bound(gold) is not None, limit_bound(cand) is not None)
-            with SharedTables(gold.sparkSession) as tables:
-                out.equal = ordered_mismatches(g, c, kinds, tol, limited, rel_tol, tables) == 0
+    if p.ordered and out.bag_equal and out.gold_rows > 1:
+        out.equal = int(rows[p.key + ORDERED_SUFFIX]["g"]) == 0
     return out
 
 
 def compare(gold: DataFrame, cand: DataFrame, ordered: bool = False, tol: float = TOLERANCE,
             rel_tol: float = 0.0) -> Diff:
     """Compare two results. Eager: one job for the grouped counts, more only when
-    floats need re-pairing or an order must be checked.
+    floats need matching or an order must be checked.
 
     ``tol`` is the absolute float tolerance (the reference's 1e-6). ``rel_tol``, off by
     default, also accepts floats within that fraction of the larger magnitude: the last
     digits of a large distributed float sum depend on the order partitions are added
     in, which an absolute bound cannot absorb."""
-    summary, kinds = _summary("x", gold, cand, ordered)
-    rows = {r["pid"]: r for r in summary.collect()}
-    return _finish(rows["x"], gold, cand, kinds, ordered, tol, rows.get("x" + ORDERED_SUFFIX), rel_tol)
+    with SharedTables(gold.sparkSession) as tables:
+        p = prepare("x", gold, cand, ordered, tables)
+        rows = {r["pid"]: r for r in _summary(p, tol, rel_tol).collect()}
+        return _finish(rows, p, tol, rel_tol, tables)
 
 
 # Pairs per comparison job: enough to share gold queries and fill the cluster, few
@@ -543,38 +394,49 @@ def _compare_chunk(items: list[tuple[str, DataFrame, DataFrame, bool]], tol: flo
                    rel_tol: float = 0.0) -> dict:
     if not items:
         return {}
-    # Building a summary analyses its plan on the driver; do that from threads.
+    # Analysing a plan is driver work and results are written one by one: both from threads.
     from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        summaries = list(pool.map(lambda it: _summary(it[0], it[1], it[2], it[3]), items))
-    parts = [(sm, g, c, o) for sm, (k, g, c, o) in zip(summaries, items)]
+    with SharedTables(items[0][1].sparkSession) as tables:
+        def ready(item) -> Prepared | Exception:
+            try:
+                return prepare(*item, tables)
+            except Exception as exc:  # noqa: BLE001  the pair's own failure
+                return exc
+
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            prepared = list(pool.map(ready, items))
+        out: dict = {item[0]: p for item, p in zip(items, prepared) if isinstance(p, Exception)}
+        out |= _summarized([p for p in prepared if isinstance(p, Prepared)], tol, rel_tol, tables)
+    return out
+
+
+def _summarized(parts: list[Prepared], tol: float, rel_tol: float, tables: SharedTables) -> dict:
+    """Results of prepared comparisons from one job, halved where a query fails at run time."""
+    if not parts:
+        return {}
     try:
-        joint = reduce(DataFrame.unionByName, [p[0][0] for p in parts])
-        rows = {r["pid"]: r for r in joint.collect()}
+        rows = {r["pid"]: r for r in reduce(DataFrame.unionByName, [_summary(p, tol, rel_tol) for p in parts]).collect()}
     except Exception as exc:  # noqa: BLE001  some query fails at run time: halve to find which
-        if len(items) == 1:
-            return {items[0][0]: exc}
-        half = len(items) // 2
-        return _compare_chunk(items[:half], tol, rel_tol) | _compare_chunk(items[half:], tol, rel_tol)
+        if len(parts) == 1:
+            return {parts[0].key: exc}
+        half = len(parts) // 2
+        return _summarized(parts[:half], tol, rel_tol, tables) | _summarized(parts[half:], tol, rel_tol, tables)
     out = {}
-    for (k, g, c, o), ((_, kinds), *_rest) in zip(items, parts):
+    for p in parts:
         try:
-            out[k] = _finish(rows[k], g, c, kinds, o, tol, rows.get(k + ORDERED_SUFFIX), rel_tol)
+            out[p.key] = _finish(rows, p, tol, rel_tol, tables)
         except Exception as exc:  # noqa: BLE001
-            out[k] = exc
+            out[p.key] = exc
     return out
 
 
-def ordered_pairs(g: DataFrame, c: DataFrame, kinds: list[str], tol: float = TOLERANCE,
-                  limited: tuple[bool, bool] = (False, False), rel_tol: float = 0.0,
-                  tables: SharedTables | None = None) -> DataFrame:
-    """Position-by-position pairing of two aligned results (full outer on position).
-    ``limited`` says which sides are under a literal LIMIT; any other is numbered through
-    ``tables``, which must outlive the result."""
-    gp = _positions(g, limited[0], tables).alias("g")
-    cp = _positions(c, limited[1], tables).alias("c")
+def positions_paired(gp: DataFrame, cp: DataFrame, kinds: list[str], tol: float = TOLERANCE,
+                     rel_tol: float = 0.0) -> DataFrame:
+    """Position-by-position pairing of two aligned results with positions (full outer on
+    position)."""
+    gp, cp = gp.alias("g"), cp.alias("c")
     same = reduce(lambda x, y: x & y,
-                  [_within(F.col(f"g.c{i}"), F.col(f"c.c{i}"), k, tol, rel_tol) for i, k in enumerate(kinds)],
+                  [within(F.col(f"g.c{i}"), F.col(f"c.c{i}"), k, tol, rel_tol) for i, k in enumerate(kinds)],
                   F.lit(True))
     return gp.join(cp, F.col("g._pos") == F.col("c._pos"), "full_outer").select(
         F.coalesce(F.col("g._pos"), F.col("c._pos")).alias("position"),
@@ -583,7 +445,7 @@ def ordered_pairs(g: DataFrame, c: DataFrame, kinds: list[str], tol: float = TOL
         (F.col("g._pos").isNotNull() & F.col("c._pos").isNotNull() & same).alias("same"))
 
 
-def ordered_mismatches(g: DataFrame, c: DataFrame, kinds: list[str], tol: float = TOLERANCE,
-                       limited: tuple[bool, bool] = (False, False), rel_tol: float = 0.0,
-                       tables: SharedTables | None = None) -> int:
-    return ordered_pairs(g, c, kinds, tol, limited, rel_tol, tables).where(~F.col("same")).count()
+def ordered_pairs(gold: DataFrame, cand: DataFrame, tables: SharedTables) -> DataFrame:
+    """Two results row by row in their own order. Reads ``tables``, which must outlive it."""
+    g, c, kinds = align(gold, cand)
+    return positions_paired(with_position(g, tables), with_position(c, tables), kinds)

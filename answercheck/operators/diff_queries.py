@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 
 from ..plans.execute import has_global_sort, run_sql
 from ..registry import query
+from ..session import SharedTables
 from ..sources.tables import sql_session
-from .diff import BATCH, align, compare, compare_batch, limit_bound, ordered_pairs, residual_rows, strip_ws_sql
+from .diff import BATCH, compare, compare_batch, ordered_pairs, residual_rows, strip_ws_sql
 from .explain import explain_col, explain_sql
 
 _CENTS = "CAST(ROUND(o_totalprice * 100) AS BIGINT)"
@@ -36,6 +37,7 @@ class Pair:
     gold_order: str = ""            # oracle only: the order each side promises
     cand_order: str = ""
     places: int = 6                 # oracle only: decimals that carry meaning in float columns
+    unmatched: tuple[str, str] | None = None   # oracle only: unmatched rows per side, where rounding cannot tell
 
 
 # The comparison cases.
@@ -95,6 +97,8 @@ PAIRS: tuple[Pair, ...] = (
 # Whole tables against themselves with noise under the tolerance, where the
 # 6-place grid alone would not do. Prices have two decimals, so the oracle compares those.
 _NOISE = "(CASE WHEN l_linenumber % 2 = 0 THEN 4e-7 ELSE -4e-7 END)"
+_DENSE = "(l_orderkey * 6e-7)"
+_DENSE2 = "(l_partkey * 6e-7)"
 LARGE_PAIRS: tuple[Pair, ...] = (
     Pair("noisy_prices", "SELECT l_orderkey, l_extendedprice FROM lineitem",
          f"SELECT l_orderkey, l_extendedprice + {_NOISE} FROM lineitem", ("exact", "float"), places=2),
@@ -104,6 +108,17 @@ LARGE_PAIRS: tuple[Pair, ...] = (
          "SELECT CASE WHEN o_orderkey % 3 = 0 THEN 1.0 ELSE o_totalprice END FROM orders",
          "SELECT (CASE WHEN o_orderkey % 3 = 0 THEN 1.0 ELSE o_totalprice END) + 3e-7 FROM orders WHERE o_orderkey % 1000 <> 6",
          ("float",), places=2),
+    # Dense columns: neighbours lie within the tolerance of each other, so that a whole column
+    # is one run. Every candidate row but the last has its own gold row within the tolerance
+    # and the last is far from all, which is what the oracle counts.
+    Pair("dense_column", f"SELECT {_DENSE} FROM lineitem",
+         f"SELECT {_DENSE} + {_NOISE} FROM lineitem WHERE l_orderkey <> 7 UNION ALL SELECT 7.0e0", ("float",),
+         unmatched=("(SELECT COUNT(*) FROM lineitem WHERE l_orderkey = 7)", "1")),
+    Pair("two_dense_columns", f"SELECT {_DENSE}, {_DENSE2} FROM lineitem",
+         f"SELECT {_DENSE} + {_NOISE}, {_DENSE2} - {_NOISE} FROM lineitem WHERE l_orderkey % 50 <> 7 "
+         f"UNION ALL SELECT {_DENSE}, 7.0e0 FROM lineitem WHERE l_orderkey = 7", ("float", "float"),
+         unmatched=("(SELECT COUNT(*) FROM lineitem WHERE l_orderkey % 50 = 7)",
+                    "(SELECT COUNT(*) FROM lineitem WHERE l_orderkey = 7)")),
     Pair("long_decimals",
          "SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(20, 2)) + CAST('12345678901234567.00' AS DECIMAL(20, 2)) FROM orders",
          "SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(20, 2)) + CAST('12345678901234567.00' AS DECIMAL(20, 2)) "
@@ -314,6 +329,8 @@ def _oracle_pair(p: Pair) -> str:
         om = "0"
     g1 = f"(SELECT MAX({_oracle_norm(0, p.kinds[0])}) FROM ({p.gold}) AS g({cols}))"
     c1 = f"(SELECT MAX({_oracle_norm(0, p.kinds[0])}) FROM ({p.cand}) AS c({cols}))"
+    ug, uc = p.unmatched or (f"(SELECT COUNT(*) FROM ({gn} EXCEPT ALL {cn}) t)",
+                             f"(SELECT COUNT(*) FROM ({cn} EXCEPT ALL {gn}) t)")
     return f"""SELECT '{p.pair_id}' AS pair_id, gr AS gold_rows, cr AS cand_rows, ug AS unmatched_gold,
         uc AS unmatched_cand, (ug = 0 AND uc = 0) AS bag_equal, (ug = 0 AND uc = 0 AND om = 0) AS equal,
         {str(p.ordered).upper()} AS ordered,
@@ -325,9 +342,7 @@ def _oracle_pair(p: Pair) -> str:
         CASE WHEN gr = 1 AND cr = 1 AND {len(p.kinds)} = 1 AND '{p.kinds[0]}' IN ('exact', 'float')
              THEN CAST({c1} AS DOUBLE) END AS cand_number
     FROM (SELECT (SELECT COUNT(*) FROM ({p.gold}) t) AS gr, (SELECT COUNT(*) FROM ({p.cand}) t) AS cr,
-                 (SELECT COUNT(*) FROM ({gn} EXCEPT ALL {cn}) t) AS ug,
-                 (SELECT COUNT(*) FROM ({cn} EXCEPT ALL {gn}) t) AS uc,
-                 {om} AS om) f"""
+                 {ug} AS ug, {uc} AS uc, {om} AS om) f"""
 
 
 def _oracle_facts(pairs=PAIRS) -> str:
@@ -410,10 +425,7 @@ _WRONG_ORDER = next(p for p in PAIRS if p.pair_id == "wrong_order")
 def ordered_diff(spark, sf_dir):
     """Position by position, for a question that asked for an order."""
     s = sql_session(spark, sf_dir, shop=False)
-    gold, cand = s.sql(_WRONG_ORDER.gold), s.sql(_WRONG_ORDER.cand)
-    g, c, kinds = align(gold, cand)
-    limited = (limit_bound(gold) is not None, limit_bound(cand) is not None)
-    return ordered_pairs(g, c, kinds, limited=limited)
+    return ordered_pairs(s.sql(_WRONG_ORDER.gold), s.sql(_WRONG_ORDER.cand), SharedTables(s))
 
 
 @query("normalize_values", oracle=f"""
@@ -425,3 +437,30 @@ def normalize_values(spark, sf_dir):
     from .diff import normalized_values
     s = sql_session(spark, sf_dir, shop=False)
     return normalized_values(s.sql(NORMALIZE_PAIR.gold), s.sql(NORMALIZE_PAIR.cand))
+
+
+# Results of each shape a scalar view may meet.
+SCALAR_CASES = {
+    "one_cell": f"SELECT SUM({_CENTS}) AS x FROM orders WHERE o_orderstatus = 'F'",
+    "one_null_cell": "SELECT MAX(o_orderkey) AS x FROM orders WHERE o_orderkey < 0",
+    "no_rows": "SELECT o_orderkey AS x FROM orders WHERE o_orderkey < 0",
+    "two_rows": "SELECT o_orderkey AS x FROM orders WHERE o_orderkey IN (SELECT MIN(o_orderkey) FROM orders "
+                "UNION ALL SELECT MAX(o_orderkey) FROM orders)",
+    "many_rows": "SELECT o_orderkey AS x FROM orders",
+    "two_columns": "SELECT MIN(o_orderkey) AS x, MAX(o_orderkey) AS y FROM orders",
+}
+
+
+def _scalar_oracle() -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{k}' AS result, " + ("CAST(NULL AS BIGINT)" if k == "two_columns" else
+        f"(SELECT CASE WHEN COUNT(*) = 1 THEN CAST(MAX(x) AS BIGINT) END FROM ({q}) q)") + " AS scalar"
+        for k, q in SCALAR_CASES.items())
+
+
+@query("scalar_view", oracle=_scalar_oracle())
+def scalar_view(spark, sf_dir):
+    """The one cell of a result, for results of every shape."""
+    from ..plans.execute import scalar
+    s = sql_session(spark, sf_dir, shop=False)
+    return spark.createDataFrame([(k, scalar(s.sql(q))) for k, q in SCALAR_CASES.items()], "result string, scalar long")

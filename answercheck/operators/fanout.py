@@ -9,6 +9,7 @@ every figure below is one pass over (order, line count).
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..registry import query
 from ..sources.tables import cents, shop_cte, table
+from .join_sizes import SIZED, decorrelated, plan_rows, projected, sized
 from .relational import completed_orders
 
 _CENTS = "CAST(ROUND(o.o_totalprice * 100) AS BIGINT)"
@@ -192,37 +194,11 @@ def _joins(node, out: list) -> list:
     return out
 
 
-def _key_column(expr, plan):
-    """A join key as a column of ``plan``'s positional rename (``_0``, ``_1``...): a
-    plain column reference, possibly under the cast the analyzer added. None for any
-    other expression."""
-    cast_to = None
-    if expr.nodeName() == "Cast":
-        cast_to, expr = expr.dataType().sql(), expr.child()
-    if expr.nodeName() != "AttributeReference":
-        return None
-    out = plan.output()
-    ids = [out.apply(i).exprId().id() for i in range(out.size())]
-    if expr.exprId().id() not in ids:
-        return None
-    col = F.col(f"_{ids.index(expr.exprId().id())}")
-    return col.cast(cast_to) if cast_to else col
-
-
-# Join types whose output size follows from the per-key row counts of both sides.
-_BY_KEYS = ("Inner", "LeftOuter", "RightOuter", "FullOuter", "LeftSemi", "LeftAnti")
-
-
 def _big(c):
     """Counts are multiplied: DECIMAL(38,0) holds what BIGINT cannot."""
     return F.coalesce(c.cast("decimal(19,0)"), F.lit(0).cast("decimal(19,0)"))
 
 
-def _rows(session, plan) -> DataFrame:
-    from pyspark.sql import DataFrame as DF
-    return DF(session._jvm.org.apache.spark.sql.classic.Dataset.ofRows(session._jsparkSession, plan), session)
-
-
 def _counts_by_keys(session, j):
     """Rows in on each side, rows out, and left rows dropped and repeated by an equi-join,
     without building its output.
@@ -232,9 +208,9 @@ def _counts_by_keys(session, j):
     are full-outer-joined on the key, one row per key and side, and the output size
     is the sum of ``left * right`` over keys (plus unmatched rows for outer joins).
     Exact for equality keys; a many-to-many hot key is never expanded. None if the
-    join has another condition or a key that is not a column."""
+    join has another condition."""
     jt = j.joinType().toString()
-    if jt not in _BY_KEYS:
+    if jt not in SIZED:
         return None
     extracted = session._jvm.org.apache.spark.sql.catalyst.planning.ExtractEquiJoinKeys.unapply(j)
     if not extracted.isDefined():
@@ -245,13 +221,8 @@ def _counts_by_keys(session, j):
         return None
     sides = []
     for plan, keys, tag in ((j.left(), lkeys, "l"), (j.right(), rkeys, "r")):
-        cols = [_key_column(keys.apply(i), plan) for i in range(keys.size())]
-        if any(c is None for c in cols):
-            return None
-        d = _rows(session, plan)
-        d = d.toDF(*[f"_{i}" for i in range(len(d.columns))])
-        sides.append(d.groupBy(*[c.alias(f"{tag}{i}") for i, c in enumerate(cols)])
-                     .agg(F.count(F.lit(1)).alias(f"n{tag}")))
+        names = {f"{tag}{i}": keys.apply(i) for i in range(keys.size())}
+        sides.append(projected(session, plan, names).groupBy(*names).agg(F.count(F.lit(1)).alias(f"n{tag}")))
     lk, rk = sides
     on = reduce(lambda a, b: a & b, [F.col(f"l{i}") == F.col(f"r{i}") for i in range(lkeys.size())])
     nl, nr, one = _big(F.col("nl")), _big(F.col("nr")), F.lit(1).cast("decimal(19,0)")
@@ -270,29 +241,30 @@ def _counts_by_keys(session, j):
 
 def _side_by_side(session, plans: dict) -> DataFrame:
     """The row count of each plan as a column, all in one job."""
-    tagged = reduce(DataFrame.unionByName, [_rows(session, p).select(F.lit(n).alias("_n")) for n, p in plans.items()])
+    tagged = reduce(DataFrame.unionByName, [plan_rows(session, p).select(F.lit(n).alias("_n")) for n, p in plans.items()])
     return tagged.agg(*[F.count_if(F.col("_n") == n).cast("decimal(38,0)").alias(n) for n in plans])
 
 
-def _counts(session, j) -> tuple[DataFrame, bool]:
-    """(one row of counts, keyless): NULL where a count would take running a product."""
+def _counts(session, j) -> tuple[DataFrame, bool | None]:
+    """(one row of counts, keyless): NULL where a count would take running the join."""
     none = F.lit(None).cast("decimal(38,0)")
     if j.nodeName() == "LateralJoin":
-        c = _side_by_side(session, {"left_rows": j.left(), "joined_rows": j})
-        return c.withColumn("right_rows", none).withColumn("dropped_rows", none).withColumn("repeated_rows", none), False
+        j = decorrelated(session, j)
+        if j is None:
+            raise ValueError("a lateral join that no plain join replaces")
     by_keys = _counts_by_keys(session, j)
     if by_keys is not None:
         return by_keys, False
-    extracted = session._jvm.org.apache.spark.sql.catalyst.planning.ExtractEquiJoinKeys.unapply(j)
-    if not extracted.isDefined():
-        # No equality to meet on: every left row meets every right row. Never run it.
-        c = _side_by_side(session, {"left_rows": j.left(), "right_rows": j.right()})
-        product = (F.col("left_rows").cast("decimal(19,0)") * F.col("right_rows").cast("decimal(19,0)")).cast("decimal(38,0)")
-        plain = not j.condition().isDefined()
-        return (c.withColumn("joined_rows", product if plain else none).withColumn("dropped_rows", none)
-                .withColumn("repeated_rows", none)), True
-    c = _side_by_side(session, {"left_rows": j.left(), "right_rows": j.right(), "joined_rows": j})
-    return c.withColumn("dropped_rows", none).withColumn("repeated_rows", none), False
+    keyless = not session._jvm.org.apache.spark.sql.catalyst.planning.ExtractEquiJoinKeys.unapply(j).isDefined()
+    if j.condition().isDefined():
+        counts = sized(session, j)
+        if counts is not None:
+            row = [(tuple(None if v is None else Decimal(v) for v in counts.values()))]
+            return session.createDataFrame(row, ", ".join(f"{n} decimal(38,0)" for n in counts)), keyless
+    c = _side_by_side(session, {"left_rows": j.left(), "right_rows": j.right()})
+    product = (F.col("left_rows").cast("decimal(19,0)") * F.col("right_rows").cast("decimal(19,0)")).cast("decimal(38,0)")
+    return (c.withColumn("joined_rows", none if j.condition().isDefined() else product).withColumn("dropped_rows", none)
+            .withColumn("repeated_rows", none)), keyless
 
 
 def join_audit(df: DataFrame, query_id: str = "q") -> DataFrame | None:
@@ -301,11 +273,11 @@ def join_audit(df: DataFrame, query_id: str = "q") -> DataFrame | None:
     one job (one row per join, unioned). A join that dropped or repeated rows of its left
     (FROM) side has weighted any aggregate of a left-side column, even if both cancel out.
 
-    ``WITH`` bodies are put in place of their references first. Equi-joins are sized from
-    per-key counts; a join without any equality (``keyless``) is sized as the product of its
-    sides and never run; only lateral joins and equi-joins with further conditions run to be
-    counted. A join that cannot be sized apart from its query (a correlated one) has NULL
-    counts. None if there is no join."""
+    ``WITH`` bodies are put in place of their references first, lateral joins are decorrelated.
+    Equi-joins are sized from per-key counts, joins with a range or ``<>`` condition, with or
+    without keys, from sorted ends (``join_sizes``), a product as the product of its sides. No
+    join is run; one that none of this sizes has NULL counts. ``keyless``: no equality at all.
+    None if there is no join."""
     session = df.sparkSession
     plan = df._jdf.queryExecution().analyzed()
     inlined = session._jvm.org.apache.spark.sql.catalyst.optimizer.InlineCTE(True, False).apply(plan)
@@ -349,6 +321,24 @@ AUDIT_CASES = {
 _LATERAL_SQL = ("SELECT SUM(o.total_cents) FROM shop_orders o, "
                 "LATERAL (SELECT i.qty FROM shop_order_items i WHERE i.order_id = o.id) x")
 _CROSS_SQL = "SELECT COUNT(*) FROM shop_orders o CROSS JOIN shop_refunds r"
+# Joins on ranges: with a key, without one, by an open end, and with conditions on
+# one side; each with its join written out for the oracle.
+RANGE_CASES = {
+    "refunded_within_a_quarter": (
+        "SELECT SUM(o.total_cents) FROM shop_orders o JOIN shop_refunds r ON r.order_id = o.id "
+        "AND r.refunded_at BETWEEN o.ordered_at AND date_add(o.ordered_at, 90)", "Inner", False, "shop_orders o", "shop_refunds r",
+        "r.order_id = o.id AND r.refunded_at BETWEEN o.ordered_at AND o.ordered_at + 90"),
+    "items_of_large_orders": (
+        "SELECT SUM(o.total_cents) FROM shop_orders o LEFT JOIN shop_order_items i ON i.order_id = o.id "
+        "AND i.qty > 25 AND o.status = 'completed' AND i.qty * 100 <= o.total_cents", "LeftOuter", False, "shop_orders o",
+        "shop_order_items i", "i.order_id = o.id AND i.qty > 25 AND o.status = 'completed' AND i.qty * 100 <= o.total_cents"),
+    "orders_in_the_day_before": (
+        "SELECT COUNT(*) FROM shop_refunds r JOIN shop_orders o ON o.ordered_at >= date_sub(r.refunded_at, 1) "
+        "AND o.ordered_at < r.refunded_at", "Inner", True, "shop_refunds r", "shop_orders o", "o.ordered_at = r.refunded_at - 1"),
+    "refunded_for_another_day": (
+        "SELECT COUNT(*) FROM shop_orders o JOIN shop_refunds r ON r.order_id = o.id AND r.refunded_at <> o.shipped_at",
+        "Inner", False, "shop_orders o", "shop_refunds r", "r.order_id = o.id AND r.refunded_at <> o.shipped_at"),
+}
 
 
 def _audit_oracle() -> str:
@@ -365,10 +355,22 @@ def _audit_oracle() -> str:
                  CAST(SUM(CASE WHEN nr > 1 THEN nl * (nr - 1) ELSE 0 END) AS {dec}) AS p
           FROM (SELECT {lk} AS k, COUNT(*) AS nl FROM {left} GROUP BY 1) a
           LEFT JOIN (SELECT {rk} AS k, COUNT(*) AS nr FROM {right} GROUP BY 1) b USING (k)) x""")
-    parts.append(f"""
-    SELECT 'lateral', 0, 'Inner', FALSE, l, NULL, j, NULL, NULL, j <> l, ROUND(CAST(j AS DOUBLE) / l, 6)
-    FROM (SELECT (SELECT CAST(COUNT(*) AS {dec}) FROM shop_orders) AS l,
-                 (SELECT CAST(COUNT(*) AS {dec}) FROM shop_orders o JOIN shop_order_items i ON i.order_id = o.id) AS j) x""")
+    ranges = {k: v[1:] for k, v in RANGE_CASES.items()} | {
+        "lateral": ("Inner", False, "shop_orders o", "shop_order_items i", "i.order_id = o.id")}
+    for key, (kind, keyless, left, right, on) in ranges.items():
+        alias = left.split()[1]
+        other = right.split()[1]
+        outer = kind == "LeftOuter"
+        parts.append(f"""
+    SELECT '{key}', 0, '{kind}', {str(keyless).upper()}, CAST(l AS {dec}), CAST(r AS {dec}), CAST(j AS {dec}),
+           CAST(d AS {dec}), CAST(p AS {dec}), (j <> l OR d > 0 OR p > 0), ROUND(CAST(j AS DOUBLE) / l, 6)
+    FROM (SELECT COUNT(*) AS l, (SELECT COUNT(*) FROM {right}) AS r,
+                 SUM({'greatest(m, 1)' if outer else 'm'}) AS j, {'0' if outer else 'COUNT(*) FILTER (WHERE m = 0)'} AS d,
+                 COALESCE(SUM(m - 1) FILTER (WHERE m > 1), 0) AS p
+          FROM (SELECT COUNT({other}.here) AS m
+                FROM (SELECT *, row_number() OVER () AS row_id FROM {left.split()[0]}) {alias}
+                LEFT JOIN (SELECT *, 1 AS here FROM {right.split()[0]}) {other} ON {on}
+                GROUP BY {alias}.row_id) x) y""")
     parts.append(f"""
     SELECT 'cross', 0, 'Cross', TRUE, l, r, CAST(l * r AS {dec}), NULL, NULL, l * r <> l, ROUND(CAST(l * r AS DOUBLE) / l, 6)
     FROM (SELECT (SELECT COUNT(*) FROM shop_orders) AS l, (SELECT COUNT(*) FROM shop_refunds) AS r) x""")
@@ -378,8 +380,9 @@ def _audit_oracle() -> str:
 @query("join_audit", oracle=_audit_oracle())
 def join_audit_q(spark, sf_dir):
     """The join check on one query of each kind: a plain fan-out, one inside a WITH
-    body, one that drops as many rows as it repeats, a lateral one, a product."""
+    body, one that drops as many rows as it repeats, a lateral one, ranges with and without
+    a key, a product. No join is run."""
     from ..sources.tables import sql_session
     s = sql_session(spark, sf_dir)
-    queries = {k: v[0] for k, v in AUDIT_CASES.items()} | {"lateral": _LATERAL_SQL, "cross": _CROSS_SQL}
+    queries = {k: v[0] for k, v in (AUDIT_CASES | RANGE_CASES).items()} | {"lateral": _LATERAL_SQL, "cross": _CROSS_SQL}
     return reduce(DataFrame.unionByName, [join_audit(s.sql(text), key) for key, text in queries.items()])

@@ -7,22 +7,27 @@ one (ERROR); then row equality. A broken gold query with a working candidate is
 flagged ``gold_broken``.
 
 Shape of the job: candidates and suite are tables. Every *distinct* (gold, candidate)
-text pair is analysed on the driver, and up to a batch of pairs is compared in one Spark
-job over the whole tables: their summaries are unioned into one plan, so a gold query
-shared by several candidates is one shared exchange rather than a re-run per candidate.
-The facts come back as one small row per pair and the verdict is a ``when`` chain over
-the facts table.
+text pair is compared once per role and state of the data, whoever asks: the facts of a
+comparison lie in a table keyed by a hash of all that (``FactStore``), a scoring compares
+only the pairs the table lacks, a batch in one Spark job, and the verdict on every
+candidate is a ``when`` chain over a join with it. Scoring a run again replaces its
+outcomes and compares nothing twice.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.governed import GovernedSession
+from ..session import SharedTables, ensure_checkpoint_dir
 from ..sources.suite import ABSTAIN, QUESTIONS, fill_candidates, layered_candidates, suite_df
-from ..sources.tables import sql_session
+from ..sources.tables import TABLE_NAMES, sql_session
 from .diff_queries import FACT_SCHEMA, compare_sql_many
 from .explain import explain_col
 
@@ -42,10 +47,15 @@ def abstained(sql_text: Column) -> Column:
 
 
 def candidate_facts(suite: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Every (run, level, question) with its gold SQL and the static facts."""
-    filled = fill_candidates(suite, candidates)
-    return (filled.join(suite, "question_id")
-            .withColumn("abstained", abstained(F.col("sql_text"))))
+    """Every (run, level, question) with its gold SQL and the static facts. A run's time
+    (``run_at``) is the latest of its candidates', NULL where they carry none."""
+    filled = fill_candidates(suite, candidates).join(suite, "question_id")
+    if "run_at" in candidates.columns:
+        times = candidates.groupBy("run_id").agg(F.max("run_at").cast("timestamp_ntz").alias("run_at"))
+        filled = filled.join(times, "run_id")
+    else:
+        filled = filled.withColumn("run_at", F.lit(None).cast("timestamp_ntz"))
+    return filled.withColumn("abstained", abstained(F.col("sql_text")))
 
 
 def _runner(spark: SparkSession, sf_dir: str, role: str):
@@ -61,6 +71,9 @@ def _runner(spark: SparkSession, sf_dir: str, role: str):
 
 FACTS = T.StructType(FACT_SCHEMA.fields + [T.StructField("gold_sql", T.StringType()),
                                            T.StructField("sql_text", T.StringType())])
+STORED = T.StructType(FACTS.fields + [T.StructField("fact_id", T.StringType()), T.StructField("batch", T.StringType())])
+# Comparisons run and written at a time.
+BATCH = 64
 
 
 def execution_facts(spark: SparkSession, sf_dir: str, pairs: list[tuple[str, str, bool]],
@@ -97,17 +110,93 @@ def detail_col() -> Column:
             .otherwise(explain_col()))
 
 
+def data_version(spark: SparkSession, sf_dir: str) -> str:
+    """Names what the tables hold now: number, bytes and time of each one's files."""
+    if not sf_dir:
+        return ""
+    conf, parts = spark._jsc.hadoopConfiguration(), [sf_dir.rstrip("/")]
+    for name in TABLE_NAMES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            held = fs.getContentSummary(path)
+            parts.append(f"{name}:{held.getFileCount()}:{held.getLength()}:{fs.getFileStatus(path).getModificationTime()}")
+    return "|".join(parts)
+
+
+class FactStore:
+    """Facts about comparisons, written once each under ``path``.
+
+    A fact's key is a hash of role, gold text, candidate text, ordered and the state of the
+    data. ``update`` compares the pairs that have none yet. Each batch is a partition of its
+    own, named by the keys in it: a batch that is written again, say after a failure,
+    replaces itself, so no fact is ever there twice."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    @classmethod
+    def of_application(cls, spark: SparkSession) -> "FactStore":
+        """The store that all scorings of this application share, in the shared folder."""
+        return cls(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/facts-{spark.sparkContext.applicationId}")
+
+    @classmethod
+    def private(cls, spark: SparkSession) -> "FactStore":
+        return cls(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/facts-{uuid.uuid4().hex}")
+
+    def read(self) -> DataFrame:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return self.spark.createDataFrame([], STORED)
+        return self.spark.read.schema(STORED).parquet(self.path)
+
+    @staticmethod
+    def key(role: str, version: str) -> Column:
+        return F.sha2(F.concat_ws("|", F.lit(role), F.sha2(F.lit(version), 256), F.sha2("gold_sql", 256),
+                                  F.sha2("sql_text", 256), F.col("ordered").cast("string")), 256)
+
+    def update(self, sf_dir: str, asked: DataFrame, role: str, runner=None, batch: int = BATCH) -> DataFrame:
+        """Facts for every (gold_sql, sql_text, ordered) of ``asked``; the new ones stream to
+        the driver a batch at a time, those of one gold query together."""
+        version = data_version(self.spark, sf_dir)
+        asked = asked.select("gold_sql", "sql_text", "ordered").distinct().withColumn("fact_id", self.key(role, version))
+        with SharedTables(self.spark) as tables:
+            new = tables.put(asked.join(self.read().select("fact_id"), "fact_id", "left_anti"))
+            rows = new.orderBy("gold_sql", "sql_text").toLocalIterator()
+            for part in _batches(rows, batch):
+                runner = runner or _runner(self.spark, sf_dir, role)
+                self._write(part, execution_facts(self.spark, sf_dir, [(r.gold_sql, r.sql_text, r.ordered) for r in part],
+                                                  role, runner))
+        return self.read().join(asked.select("fact_id"), "fact_id", "left_semi").drop("fact_id", "batch")
+
+    def _write(self, part: list, facts: DataFrame) -> None:
+        names = self.spark.createDataFrame([(str(i), r.fact_id) for i, r in enumerate(part)], "pair_id string, fact_id string")
+        batch = hashlib.sha256("".join(sorted(r.fact_id for r in part)).encode()).hexdigest()[:32]
+        (facts.join(F.broadcast(names), "pair_id").withColumn("batch", F.lit(batch)).select(*STORED.fieldNames())
+         .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self.path))
+
+
+def _batches(rows: Iterator, size: int) -> Iterator[list]:
+    held: list = []
+    for r in rows:
+        held.append(r)
+        if len(held) == size:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def _runnable(facts: DataFrame) -> DataFrame:
-    """The distinct comparisons that have to be run, those of one gold query together."""
-    return (facts.where(F.col("answerable") & ~F.col("abstained")).select("gold_sql", "sql_text", "ordered")
-            .distinct().orderBy("gold_sql", "sql_text"))
+    """The comparisons that have to be run."""
+    return facts.where(F.col("answerable") & ~F.col("abstained")).select("gold_sql", "sql_text", "ordered")
 
 
 def outcomes_of(facts: DataFrame, executed: DataFrame, role: str) -> DataFrame:
     """The verdict on every (run, level, question) from the facts about its comparison."""
     joined = facts.join(executed, ["gold_sql", "sql_text", "ordered"], "left")
     return joined.select(
-        "run_id", "level", "question_id", "ordinal", "category", "answerable", "abstained", "sql_text",
+        "run_id", "run_at", "level", "question_id", "ordinal", "category", "answerable", "abstained", "sql_text",
         verdict_col().alias("verdict"),
         (F.col("answerable") & ~F.col("abstained") & F.coalesce(F.col("cand_ok"), F.lit(False))
          & (F.col("gold_ok") == F.lit(False))).alias("gold_broken"),
@@ -120,39 +209,23 @@ def outcomes_of(facts: DataFrame, executed: DataFrame, role: str) -> DataFrame:
 
 
 def score(spark: SparkSession, sf_dir: str, candidates: DataFrame, role: str = "owner",
-          questions=QUESTIONS, runner=None) -> DataFrame:
-    """Outcomes, one row per (run, level, question), for a suite's worth of candidates: the
-    distinct comparisons are held by the driver. ``score_table`` takes any number."""
+          questions=QUESTIONS, runner=None, store: FactStore | None = None, batch: int = BATCH) -> DataFrame:
+    """Outcomes, one row per (run, level, question), of a candidate table of any size. Facts
+    come from ``store``: by default the application's, or one of its own for a ``runner`` of
+    the caller's, whose tables no key can name."""
+    store = store or (FactStore.private(spark) if runner else FactStore.of_application(spark))
     facts = candidate_facts(suite_df(spark, questions), candidates)
-    pairs = [(r.gold_sql, r.sql_text, r.ordered) for r in _runnable(facts).collect()]
-    return outcomes_of(facts, execution_facts(spark, sf_dir, pairs, role, runner), role)
+    return outcomes_of(facts, store.update(sf_dir, _runnable(facts), role, runner, batch), role)
 
 
 def score_table(spark: SparkSession, sf_dir: str, candidates: DataFrame, path: str, role: str = "owner",
-                questions=QUESTIONS, runner=None, batch: int = 32) -> DataFrame:
-    """Score a candidate table of any size into ``path``: distinct comparisons stream to the
-    driver (``toLocalIterator``) and are run ``batch`` at a time, sorted by gold query so
-    that its plan is shared; each batch's facts are appended to a table before the next
-    begins. Outcomes are one join with that table, appended by run, and returned as
-    written: reports read them and run nothing again."""
-    facts = candidate_facts(suite_df(spark, questions), candidates)
-    runner = runner or _runner(spark, sf_dir, role)
-    held: list = []
-
-    def flush() -> None:
-        execution_facts(spark, sf_dir, held, role, runner).write.mode("append").parquet(f"{path}/facts")
-        held.clear()
-
-    spark.createDataFrame([], FACTS).write.mode("append").parquet(f"{path}/facts")
-    for r in _runnable(facts).toLocalIterator():
-        held.append((r.gold_sql, r.sql_text, r.ordered))
-        if len(held) == batch:
-            flush()
-    if held:
-        flush()
-    executed = spark.read.schema(FACTS).parquet(f"{path}/facts")
-    write_outcomes(outcomes_of(facts, executed, role), f"{path}/outcomes")
-    return spark.read.parquet(f"{path}/outcomes")
+                questions=QUESTIONS, runner=None, batch: int = BATCH) -> DataFrame:
+    """Score candidates into the report under ``path`` (A10): its facts serve every later
+    scoring into it, and the outcomes of the scored runs replace what the report held of
+    them under this role. Returns the whole report as written."""
+    outcomes = score(spark, sf_dir, candidates, role, questions, runner, FactStore(spark, f"{path}/facts"), batch)
+    write_outcomes(outcomes, f"{path}/outcomes")
+    return read_outcomes(spark, f"{path}/outcomes")
 
 
 def layered_outcomes(spark: SparkSession, sf_dir: str, role: str = "owner", questions=QUESTIONS,
@@ -217,8 +290,33 @@ def abstention_balance(outcomes: DataFrame) -> DataFrame:
         F.count_if(v == OVERREACHED).alias("wrongly_answered"))
 
 
+OUTCOMES = T.StructType([T.StructField(n, t) for n, t in [
+    ("run_at", T.TimestampNTZType()), ("level", T.StringType()), ("question_id", T.StringType()), ("ordinal", T.IntegerType()),
+    ("category", T.StringType()), ("answerable", T.BooleanType()), ("abstained", T.BooleanType()), ("sql_text", T.StringType()),
+    ("verdict", T.StringType()), ("gold_broken", T.BooleanType()), ("detail", T.StringType()),
+    ("cand_unsorted", T.BooleanType()), ("fanout_suspected", T.BooleanType()), ("fanout_factor", T.DoubleType()),
+    ("role", T.StringType()), ("run_id", T.StringType())]])
+
+
 def write_outcomes(outcomes: DataFrame, path: str) -> None:
-    """A10: the report as a table. Outcomes are appended under ``path`` partitioned by
-    run; re-scoring a run replaces only that run's partition."""
-    (outcomes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_id").parquet(path))
+    """A10: the report as a table, partitioned by run and role; scoring a run again replaces
+    its partition under that role and no other."""
+    (outcomes.select(*OUTCOMES.fieldNames()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id", "role").parquet(path))
+
+
+def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
+    """The report; filters on role and run_id read only their partitions."""
+    return spark.read.schema(OUTCOMES).parquet(path)
+
+
+def blocked_by_run(outcomes: DataFrame) -> DataFrame:
+    """The BLOCKED count of each level over successive runs, in the order of their times,
+    with its change from the run before."""
+    from pyspark.sql import Window
+    per_run = outcomes.groupBy("run_id", "level").agg(
+        F.max("run_at").alias("run_at"), F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("verdict") == BLOCKED).alias("blocked"))
+    before = Window.partitionBy("level").orderBy("run_at", "run_id")
+    return per_run.select("run_id", "level", "blocked", F.round(F.col("blocked") / F.col("total"), 6).alias("blocked_rate"),
+                          (F.col("blocked") - F.lag("blocked").over(before)).alias("change"))

@@ -10,13 +10,15 @@ protected column; the Spark side finds it by walking the analyzed plan.
 
 from __future__ import annotations
 
+import uuid
 from functools import lru_cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.governed import REFUSED
 from ..registry import query
+from ..session import ensure_checkpoint_dir
 from ..sources.suite import ABSTAIN, CANDIDATE_LAYERS, DEFAULT_ABSTENTION, QUESTIONS, layered_candidates, levels_df
 from ..sources.tables import SHOP_VIEWS_SQL
 from ..functions.text import date_column_used, token_dice_sql
@@ -29,11 +31,13 @@ def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-# A second run of the same questions, where the protected column is no longer
-# asked for from the second level on.
-NEXT_LAYERS = {name: answers | ({"customer_emails": "SELECT id, country FROM shop_customers"} if name == "annotated" else {})
-               for name, answers in CANDIDATE_LAYERS.items()}
-RUNS = {"mock": CANDIDATE_LAYERS, "next": NEXT_LAYERS}
+# Later runs of the same questions, in which the protected column is no longer
+# asked for from the second level on, and then from the first.
+_HARMLESS = {"customer_emails": "SELECT id, country FROM shop_customers"}
+RUNS = {"mock": CANDIDATE_LAYERS,
+        "next": {name: answers | (_HARMLESS if name == "annotated" else {}) for name, answers in CANDIDATE_LAYERS.items()},
+        "last": {name: answers | (_HARMLESS if name == "bare" else {}) for name, answers in CANDIDATE_LAYERS.items()}}
+RUN_TIMES = {"mock": "2025-03-01 08:00:00", "next": "2025-03-08 08:00:00", "last": "2025-03-15 08:00:00"}
 
 
 def _effective_candidates(layer_set: dict) -> dict[tuple[str, str], str]:
@@ -213,14 +217,11 @@ def privilege_gap(spark, sf_dir):
 def question_by_level(spark, sf_dir):
     """One definition question across levels: the date column used, the answer,
     and its ratio to the gold answer."""
-    from .diff_queries import FACT_SCHEMA  # noqa: F401  (facts carry the values)
     from ..sources.suite import suite_df
     suite = suite_df(spark)
     facts = (scoring.candidate_facts(suite, layered_candidates(spark))
              .where(F.col("question_id") == "march_revenue"))
-    pairs = [(r.gold_sql, r.sql_text, r.ordered) for r in facts.select("gold_sql", "sql_text", "ordered")
-             .distinct().collect()]
-    executed = scoring.execution_facts(spark, sf_dir, pairs)
+    executed = scoring.FactStore.of_application(spark).update(sf_dir, facts, "owner")
     j = facts.join(executed, ["gold_sql", "sql_text", "ordered"], "left")
     return j.select("level", scoring.verdict_col().alias("verdict"),
                     date_column_used(F.col("sql_text")).alias("date_column"),
@@ -228,23 +229,51 @@ def question_by_level(spark, sf_dir):
                     F.round(F.col("cand_number") / F.col("gold_number"), 6).alias("ratio_to_gold"))
 
 
+def run_candidates(spark: SparkSession, *run_ids: str) -> DataFrame:
+    """The candidates of some runs, with the time of each."""
+    cands = [layered_candidates(spark, r, RUNS[r]).withColumn("run_at", F.lit(RUN_TIMES[r]).cast("timestamp_ntz"))
+             for r in run_ids]
+    return reduce(DataFrame.unionByName, cands)
+
+
+def run_history(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
+    """A report that grew by three scorings: the first run, that run again with the next, and
+    the last."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/report-{uuid.uuid4().hex}"
+    scoring.score_table(spark, sf_dir, run_candidates(spark, "mock"), path, role)
+    scoring.score_table(spark, sf_dir, run_candidates(spark, "mock", "next"), path, role)
+    return scoring.score_table(spark, sf_dir, run_candidates(spark, "last"), path, role)
+
+
+_RUNS_SQL = " UNION ALL ".join(
+    f"SELECT TIMESTAMP '{RUN_TIMES[r]}' AS run_at, run_id, level, question_id, verdict FROM ({{{r}}}) {r}" for r in RUNS)
+
+
+def _runs_sql(role: str) -> str:
+    return _RUNS_SQL.format(**{r: outcomes_oracle(role, r) for r in RUNS})
+
+
+@query("scored_runs", oracle=f"""
+    SELECT run_id, level, COUNT(*) AS outcomes, COUNT(DISTINCT question_id) AS questions,
+           COUNT(*) FILTER (WHERE verdict = 'CORRECT') AS correct
+    FROM ({_runs_sql('owner')}) o GROUP BY run_id, level""")
+def scored_runs(spark, sf_dir):
+    """K2 + A10: a report over several runs, one of them scored twice: every run holds each
+    question once per level."""
+    return run_history(spark, sf_dir, "owner").groupBy("run_id", "level").agg(
+        F.count(F.lit(1)).alias("outcomes"), F.countDistinct("question_id").alias("questions"),
+        F.count_if(F.col("verdict") == "CORRECT").alias("correct"))
+
+
 @query("blocked_trend", oracle=f"""
-    WITH o AS (SELECT 0 AS run_order, run_id, level, verdict FROM ({outcomes_oracle('analyst', 'mock')}) a
-               UNION ALL SELECT 1, run_id, level, verdict FROM ({outcomes_oracle('analyst', 'next')}) b),
-         s AS (SELECT run_order, run_id, level, COUNT(*) AS total, COUNT(*) FILTER (WHERE verdict = 'BLOCKED') AS blocked
-               FROM o GROUP BY ALL)
+    WITH s AS (SELECT run_at, run_id, level, COUNT(*) AS total, COUNT(*) FILTER (WHERE verdict = 'BLOCKED') AS blocked
+               FROM ({_runs_sql('analyst')}) o GROUP BY ALL)
     SELECT run_id, level, blocked, ROUND(blocked / total, 6) AS blocked_rate,
-           blocked - LAG(blocked) OVER (PARTITION BY level ORDER BY run_order) AS change FROM s""")
+           blocked - LAG(blocked) OVER (PARTITION BY level ORDER BY run_at) AS change FROM s""")
 def blocked_trend(spark, sf_dir):
-    """The BLOCKED count of each level over successive runs, with its change from the
-    run before; both runs are scored together."""
-    cands = [layered_candidates(spark, run_id, layers) for run_id, layers in RUNS.items()]
-    outcomes = scoring.score(spark, sf_dir, reduce(DataFrame.unionByName, cands), "analyst")
-    order = F.create_map(*[F.lit(x) for i, r in enumerate(RUNS) for x in (r, i)])
-    s = scoring.summarize(outcomes).withColumn("run_order", order[F.col("run_id")])
-    w = Window.partitionBy("level").orderBy("run_order")
-    return s.select("run_id", "level", "blocked", F.round(F.col("blocked") / F.col("total"), 6).alias("blocked_rate"),
-                    (F.col("blocked") - F.lag("blocked").over(w)).alias("change"))
+    """The BLOCKED count of each level over the runs of a report, in the order of their
+    times, with its change from the run before."""
+    return scoring.blocked_by_run(run_history(spark, sf_dir, "analyst").where("role = 'analyst'"))
 
 
 # Statements a run may hold besides answers, and how each question then ends.

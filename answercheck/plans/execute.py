@@ -64,7 +64,7 @@ ALLOWED_PARSED = frozenset({
     "UnresolvedRelation", "UnresolvedInlineTable", "LocalRelation", "OneRowRelation",
     "UnresolvedHaving", "Generate", "Sample", "UnresolvedSubqueryColumnAliases", "WithWindowDefinition",
     "UnresolvedTableValuedFunction", "Pivot", "Unpivot", "RepartitionByExpression", "Window",
-    "LateralJoin", "UnresolvedTVFAliases", "Tail", "CTERelationRef", "PipeOperator",
+    "LateralJoin", "UnresolvedTVFAliases", "Tail", "CTERelationRef", "PipeOperator", "UnresolvedHint",
 })
 
 

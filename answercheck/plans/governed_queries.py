@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..registry import query
 from ..sources.tables import SHOP_VIEWS_SQL, shop_cte, sql_session, table
 from .execute import run_sql
-from .governed import REFUSED, GovernedSession, refusal
+from .governed import REFUSED, GovernedSession, Membership, refusal
 
 # Spellings that read the protected column (all must be refused), and
 # permitted reads (all must run).
@@ -38,6 +38,17 @@ EVASIONS = (
     "TABLE shop_customers INTERSECT TABLE shop_customers",
     "WITH x AS (TABLE shop_customers) TABLE x",
     "FROM shop_customers |> WHERE id < 5",
+    "SELECT /*+ BROADCAST(c) */ c.email, o.id FROM shop_orders o JOIN shop_customers c ON c.id = o.customer_id",
+    "SELECT country, email, COUNT(*) FROM shop_customers GROUP BY CUBE(country, email)",
+    "SELECT country, MAX(email) FROM shop_customers GROUP BY ROLLUP(country)",
+    "SELECT COUNT(*) FROM shop_customers GROUP BY GROUPING SETS ((upper(email)), ())",
+    "SELECT country, COUNT(*) FROM shop_customers GROUP BY CUBE(country) HAVING MIN(email) > 'C'",
+    "SELECT country, COUNT(*) FROM (SELECT * FROM shop_customers) x GROUP BY CUBE(country)",
+    "SELECT id, k, spark_grouping_id FROM (TABLE shop_customers) UNPIVOT (spark_grouping_id FOR k IN (email, country))",
+    "WITH RECURSIVE r AS (SELECT id, email FROM shop_customers WHERE id = 1 UNION ALL "
+    "SELECT id + 1, email FROM r WHERE id < 3) SELECT id FROM r",
+    "WITH RECURSIVE r(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM r JOIN shop_customers c ON c.id = r.n "
+    "WHERE n < 3 AND c.email <> '') SELECT n FROM r",
 )
 # Sources the governed session does not know at all (they fail as
 # missing, like a table the role has no usage on).
@@ -55,6 +66,16 @@ ALLOWED = (
     "TABLE shop_refunds",
     "FROM shop_orders |> WHERE status = 'pending' |> SELECT id",
     "SELECT id FROM (TABLE shop_customers)",
+    "SELECT /*+ BROADCAST(c) */ c.country, o.id FROM shop_orders o JOIN shop_customers c ON c.id = o.customer_id",
+    "SELECT /*+ REPARTITION(3) */ country FROM shop_customers",
+    "SELECT country, COUNT(*) FROM shop_customers GROUP BY CUBE(country)",
+    "SELECT country, segment, COUNT(*) FROM shop_customers GROUP BY ROLLUP(country, segment)",
+    "SELECT country, segment, MAX(id) FROM shop_customers GROUP BY GROUPING SETS ((country), (segment), ()) "
+    "HAVING COUNT(*) > 1",
+    "WITH RECURSIVE r(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM r WHERE n < 5) "
+    "SELECT o.id FROM r JOIN shop_orders o ON o.id = r.n",
+    "WITH RECURSIVE r AS (SELECT CAST(MIN(id) AS BIGINT) AS n FROM shop_customers UNION ALL "
+    "SELECT n + 1 FROM r WHERE n < 7) SELECT n FROM r",
 )
 # Writes that must be refused.
 WRITES = (
@@ -162,6 +183,89 @@ def column_denials(spark, sf_dir):
                                        "condition string, result_rows long")
 
 
+# A policy over two columns of two views, and statements with what it refuses.
+POLICY = (("shop_customers", "email"), ("shop_refunds", "amount_cents"))
+POLICY_CASES = (
+    ("SELECT id, country FROM shop_customers", ()),
+    ("SELECT order_id, refunded_at FROM shop_refunds", ()),
+    ("SELECT email FROM shop_customers", POLICY[:1]),
+    ("SELECT SUM(amount_cents) FROM shop_refunds", POLICY[1:]),
+    ("SELECT * FROM shop_refunds", POLICY[1:]),
+    ("SELECT o.id FROM shop_orders o JOIN shop_refunds r ON r.order_id = o.id WHERE r.amount_cents > o.total_cents", POLICY[1:]),
+    ("SELECT c.email, r.amount_cents FROM shop_customers c JOIN shop_orders o ON o.customer_id = c.id "
+     "JOIN shop_refunds r ON r.order_id = o.id", POLICY),
+    ("SELECT r.order_id FROM shop_refunds r WHERE EXISTS (SELECT 1 FROM shop_customers c WHERE c.id = r.order_id)", ()),
+    ("SELECT order_id AS amount_cents FROM shop_refunds", ()),
+)
+
+
+def _column_policy_oracle() -> str:
+    rows = []
+    for text, hit in POLICY_CASES:
+        names = ", ".join(f"{t}.{c}" for t, c in sorted(hit))
+        rows.append(f"SELECT {_text(text)} AS statement, {_text(names)} AS refused_columns, " + (
+            "CAST(NULL AS BIGINT) AS result_rows" if hit else f"(SELECT COUNT(*) FROM ({text}) q) AS result_rows"))
+    return shop_cte() + "\nUNION ALL ".join(rows)
+
+
+@query("column_policy", oracle=_column_policy_oracle())
+def column_policy(spark, sf_dir):
+    """T4: a policy that denies two columns of two views: each statement is refused for the
+    columns it touches, all of them named, or runs over the whole tables."""
+    gov = GovernedSession(spark, sf_dir, denied=POLICY)
+    rows = []
+    for text, _ in POLICY_CASES:
+        out = gov.run(text)
+        named = out.error.split("column ", 1)[1] if out.denied and out.condition == "COLUMN_DENIED" else ""
+        rows.append((text, named if out.ok or out.denied else out.error, out.df.count() if out.ok else None))
+    return spark.createDataFrame(rows, "statement string, refused_columns string, result_rows long")
+
+
+# The views in the order in which a tenant's rows follow from one another, and the
+# measure of each that the key below sums up.
+TENANT_VIEWS = (("shop_customers", "id"), ("shop_orders", "total_cents"), ("shop_order_items", "qty"),
+                ("shop_refunds", "amount_cents"))
+
+
+def tenant_filters(sf_dir: str, tenant: str) -> dict[str, Membership]:
+    """Row filters of one tenant, a region: customers of its nations by the tenant table
+    (nation joined to region), their orders, and those orders' items and refunds."""
+    def nations(session):
+        n, r = table(session, sf_dir, "nation"), table(session, sf_dir, "region")
+        return n.join(r, n["n_regionkey"] == r["r_regionkey"]).where(F.col("r_name") == tenant).select("n_name")
+    return {"shop_customers": Membership("country", nations, "n_name"),
+            "shop_orders": Membership("customer_id", "shop_customers", "id"),
+            "shop_order_items": Membership("order_id", "shop_orders", "id"),
+            "shop_refunds": Membership("order_id", "shop_orders", "id")}
+
+
+def _tenants_oracle() -> str:
+    owner = ("SELECT c.id, r.r_name AS tenant FROM shop_customers c JOIN nation n ON n.n_name = c.country "
+             "JOIN region r ON r.r_regionkey = n.n_regionkey")
+    owned = f"SELECT o.id, o.total_cents, c.tenant FROM shop_orders o JOIN ({owner}) c ON c.id = o.customer_id"
+    bodies = {"shop_customers": f"SELECT tenant, id AS x FROM ({owner}) c",
+              "shop_orders": f"SELECT tenant, total_cents AS x FROM ({owned}) o",
+              "shop_order_items": f"SELECT o.tenant, i.qty AS x FROM shop_order_items i JOIN ({owned}) o ON o.id = i.order_id",
+              "shop_refunds": f"SELECT o.tenant, f.amount_cents AS x FROM shop_refunds f JOIN ({owned}) o ON o.id = f.order_id"}
+    return shop_cte() + " UNION ALL ".join(
+        f"SELECT r.r_name AS tenant, '{v}' AS view_name, COUNT(x) AS visible_rows, CAST(COALESCE(SUM(x), 0) AS BIGINT) AS amount "
+        f"FROM region r LEFT JOIN ({b}) b ON b.tenant = r.r_name GROUP BY r.r_name" for v, b in bodies.items())
+
+
+@query("tenant_rows", oracle=_tenants_oracle())
+def tenant_rows(spark, sf_dir):
+    """T5: what each tenant sees of each view through a governed session of its own, one row
+    per tenant and view."""
+    frames = []
+    # Five regions, as the schema fixes.
+    for r in table(spark, sf_dir, "region").select("r_name").distinct().collect():
+        gov = GovernedSession(spark, sf_dir, row_filters=tenant_filters(sf_dir, r.r_name))
+        for view, amount in TENANT_VIEWS:
+            seen = gov.sql(f"SELECT COUNT({amount}) AS visible_rows, CAST(COALESCE(SUM({amount}), 0) AS BIGINT) AS amount FROM {view}")
+            frames.append(seen.select(F.lit(r.r_name).alias("tenant"), F.lit(view).alias("view_name"), "visible_rows", "amount"))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def _matrix_oracle() -> str:
     def row(label, text):
         reads = text.startswith("SELECT")

@@ -7,6 +7,7 @@ relies on (UTC session time zone so dates agree with DuckDB, AQE on, no UI).
 
 from __future__ import annotations
 
+import itertools
 import os
 import tempfile
 import uuid
@@ -77,11 +78,10 @@ class SharedTables:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables-{uuid.uuid4().hex}"
-        self.count = 0
+        self.numbers = itertools.count(1)   # tables may be put from several threads
 
     def put(self, df: DataFrame) -> DataFrame:
-        self.count += 1
-        path = f"{self.root}/{self.count}"
+        path = f"{self.root}/{next(self.numbers)}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
