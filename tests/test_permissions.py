@@ -63,10 +63,6 @@ def test_the_protected_column_is_refused_in_any_spelling(analyst):
         assert REFUSED in out.error
 
 
-def test_select_star_is_denied_because_it_touches_the_column(analyst):
-    assert analyst.run("SELECT * FROM shop_customers").denied
-
-
 def test_statements_that_are_not_queries_are_refused(analyst):
     for sql in WRITES:
         out = analyst.run(sql)
@@ -81,8 +77,9 @@ def test_ungoverned_sources_are_refused(analyst):
         assert not analyst.run(sql).ok, sql
 
 
-def test_the_data_is_untouched_afterwards(spark, analyst):
+def test_refused_writes_leave_counts_sums_and_fingerprints(spark, analyst):
     """Checked through a handle that existed before the attempts."""
+    assert analyst.run("SELECT * FROM shop_customers").denied
     before = sorted(tuple(r) for r in fingerprint(analyst.session, "shop_orders").collect())
     for sql in WRITES:
         analyst.run(sql)
