@@ -277,29 +277,34 @@ def runs_of(rows: DataFrame, keys: list[str], value: str, kind: str, tol: float,
 
 
 def slabs(c: Column, kind: str, tol: float, rel_tol: float, around: bool) -> Column:
-    """The slab of a value: at least a tolerance wide, so that partners lie in the same or a
-    neighbouring one (``around`` gives all three). A relative tolerance widens slabs with
-    the magnitude."""
-    def place(v) -> int:
-        if isinstance(v, Decimal):
-            with localcontext() as ctx:
-                ctx.prec = 100
-                if not rel_tol:
-                    return int((v / (2 * Decimal(repr(tol)))).to_integral_value("ROUND_FLOOR"))
-                v = float(v)
+    """The slab of a value, four tolerances wide, as an array; ``around`` adds the neighbour on
+    the nearer side (both where values are so large that the place in a slab is inexact), so
+    that all partners lie in one of them. A relative tolerance widens slabs with the magnitude."""
+    if kind == "float":
+        scaled = c / (4 * tol)
         if rel_tol:
-            v = math.copysign(math.log1p(abs(v) * rel_tol / tol) / rel_tol * tol, v) * (1 - rel_tol)
-        return math.floor(v / (2 * tol))
+            scaled = F.signum(c) * F.log1p(F.abs(c) * (rel_tol / tol)) * ((1 - rel_tol) / (4 * rel_tol))
+        # Values beyond 2^62 slabs differ by more than a tolerance unless they are equal.
+        at = F.greatest(F.least(F.floor(scaled), F.lit(1 << 62)), F.lit(-(1 << 62)))
+        at = F.coalesce(at, F.lit(-(1 << 62)))
+        if not around:
+            return F.array(at)
+        nearer = F.when(scaled - F.floor(scaled) < 0.5, at - 1).otherwise(at + 1)
+        return F.when(F.abs(at) < 1 << 48, F.array(at, nearer)).otherwise(F.array(at - 1, at, at + 1))
 
     @F.pandas_udf("array<string>")
-    def slab(v: pd.Series) -> pd.Series:
+    def decimal_slabs(v: pd.Series) -> pd.Series:
         def names(x):
-            if x is None or x != x:
+            if x is None:
                 return ["none"]
-            at = place(x)
+            with localcontext() as ctx:
+                ctx.prec = 100
+                if rel_tol:
+                    x = Decimal(math.copysign(math.log1p(abs(x) * Decimal(rel_tol / tol)) / rel_tol * tol * (1 - rel_tol), x))
+                at = int((x / (4 * Decimal(repr(tol)))).to_integral_value("ROUND_FLOOR"))
             return [str(at + d) for d in ((-1, 0, 1) if around else (0,))]
         return v.map(names, na_action=None)
-    return slab(c)
+    return decimal_slabs(c)
 
 
 def edges_of(rows: DataFrame, loose: list[str], kinds: dict[str, str], tol: float, rel_tol: float) -> DataFrame:
