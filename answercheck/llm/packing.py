@@ -69,10 +69,11 @@ class Encoder:
     the file's added tokens, which get their ids; else they are ordinary text.
 
     A space between two characters that are not white space always starts a token, so a
-    text is cut there and each word is encoded once; words are remembered, up to a fixed
-    number. A text with other white space beside a space is encoded whole."""
+    text is cut there and each word is encoded once; words are remembered, in two generations
+    of a fixed number: a full one becomes the old one, from which words met again come back.
+    A text with other white space beside a space is encoded whole."""
 
-    LIMIT = 600_000
+    LIMIT = 300_000
 
     def __init__(self, path: str, added_tokens: bool = False):
         import re
@@ -94,6 +95,7 @@ class Encoder:
         self.at_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self.added else None
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def raw(self, text: str) -> bytes:
         return np.array(self.bpe.encode_ordinary(text), "<u4").tobytes()
@@ -120,10 +122,12 @@ class Encoder:
             return start + b"".join([later[w] for w in rest])
         except KeyError:
             if len(later) >= self.LIMIT:
-                later.clear()
+                self.old, self.later = later, {}
+                later = self.later
+            old = self.old
             for w in rest:
                 if w not in later:
-                    later[w] = self.raw(" " + w)
+                    later[w] = old[w] if w in old else self.raw(" " + w)
             return start + b"".join([later[w] for w in rest])
 
 
