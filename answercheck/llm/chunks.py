@@ -5,18 +5,21 @@ once by doubling) depends on the last 16 bytes only. A chunk ends after a white-
 byte whose hash is divisible by ``one_in``, about every fifth word; in long
 stretches without white space any character may end one. So the cuts depend on nearby
 content alone and come back in step right after an insertion. A chunk that would exceed
-``max_chunk`` bytes is cut there, at a character.
+``max_chunk`` bytes, as where one word is repeated, is cut after the next word beyond half of
+that: chunks of equal words are then equal wherever the first began.
 
-Chunks are matched by 64-bit digest. A chunk is a repeat if a document with a smaller
-doc_id holds it; runs of consecutive repeats of ``min_run`` bytes or more are removed, so
-that a stray common phrase is left alone (two different chunks of equal digest would
-have to meet several times in a row to do harm). The smallest doc_id keeps the passage.
+Matching is by runs: from each chunk on, the fewest consecutive chunks that span ``min_run``
+bytes, as a 64-bit digest of those bytes. A run is a repeat if a document with a smaller
+doc_id holds it, as one stretch; its bytes are removed, overlapping runs together. Every
+removed byte thus lies in ``min_run`` bytes or more that one earlier document holds, and a
+stray common phrase is left alone (two of 10^12 runs that share a digest by chance: one text
+in 10^8). The smallest doc_id keeps the passage.
 
 Digests are grouped by partial minima, so a passage held by a third of all documents is
 one row per task; the join back is one that AQE splits.
 
-Defined cases: a null text is empty; a null doc_id neither gives nor loses chunks; rows
-repeating a doc_id are one document, none a repeat of the other, and lose the same chunks; a text under ``min_run``
+Defined cases: a null text is empty; a null doc_id neither gives nor loses runs; rows
+repeating a doc_id are one document, none a repeat of the other, and lose the same runs; a text under ``min_run``
 bytes is left whole; repeats within one document stay; an empty table gives an empty
 result; other columns are carried if asked for and not clashing with result columns.
 """
@@ -71,11 +74,15 @@ def cuts(raw: np.ndarray, one_in: int = ONE_IN, max_chunk: int = MAX_CHUNK) -> n
     if sizes.max() <= max_chunk:
         return found
     out, start = [], 0
+    blanks = np.flatnonzero(white)
     for end in found.tolist():
         while end - start > max_chunk:
-            stop = start + max_chunk
-            while not starts_char[stop - 1]:
-                stop += 1
+            after = np.searchsorted(blanks, start + max_chunk // 2)
+            stop = int(blanks[after]) + 1 if after < len(blanks) else n
+            if stop > start + max_chunk:    # no word ends there: at a character
+                stop = start + max_chunk
+                while not starts_char[stop - 1]:
+                    stop += 1
             if stop >= end:
                 break
             out.append(stop)
@@ -85,23 +92,24 @@ def cuts(raw: np.ndarray, one_in: int = ONE_IN, max_chunk: int = MAX_CHUNK) -> n
     return np.array(out, np.int64)
 
 
-def digests(raw: bytes, ends: np.ndarray) -> list[int]:
+def runs(raw: bytes, one_in: int, max_chunk: int, min_run: int) -> tuple[list[tuple[int, int]], list[int], int]:
+    """(start, end) and digest of the run that begins at each chunk, and the number of chunks."""
     import xxhash
-    start, out = 0, []
-    for end in ends.tolist():
-        out.append(xxhash.xxh3_64_intdigest(raw[start:end]) - (1 << 63))
-        start = end
-    return out
+    ends = cuts(np.frombuffer(raw, np.uint8), one_in, max_chunk)
+    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    last = np.searchsorted(ends, starts + min_run)
+    inside = last < len(ends)
+    places = list(zip(starts[inside].tolist(), ends[last[inside]].tolist()))
+    return places, [xxhash.xxh3_64_intdigest(raw[s:e]) - (1 << 63) for s, e in places], len(ends)
 
 
-def chunk_rows(docs: DataFrame, one_in: int, max_chunk: int) -> DataFrame:
-    """(digest, doc_id) of each distinct chunk of each row that has a doc_id."""
+def run_rows(docs: DataFrame, one_in: int, max_chunk: int, min_run: int) -> DataFrame:
+    """(digest, doc_id) of each distinct run of each row that has a doc_id."""
     def run(batches):
         for batch in batches:
             ids, keys, counts = [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text"))):
-                raw = text.encode("utf-8", "replace")
-                own = set(digests(raw, cuts(np.frombuffer(raw, np.uint8), one_in, max_chunk)))
+                own = set(runs(text.encode("utf-8", "replace"), one_in, max_chunk, min_run)[1])
                 ids.append(doc_id)
                 counts.append(len(own))
                 keys.extend(own)
@@ -119,29 +127,28 @@ def _rows(ids: list, keys: list, counts: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(owner)], names=["digest", "doc_id"])
 
 
-def removed_runs(ends: np.ndarray, repeat: list[bool], min_run: int) -> list[tuple[int, int]]:
-    """(start, end) in bytes of the runs of consecutive repeats that are long enough."""
-    out: list[list[int]] = []
-    start = 0
-    for end, again in zip(ends.tolist(), repeat):
-        if again and out and out[-1][1] == start:
-            out[-1][1] = end
-        elif again:
-            out.append([start, end])
-        start = end
-    return [(s, e) for s, e in out if e - s >= min_run]
+def merged(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Stretches covered by (start, end) in order of start, overlapping and touching ones as one."""
+    out: list[tuple[int, int]] = []
+    for s, e in places:
+        if out and s <= out[-1][1]:
+            out[-1] = out[-1][0], max(e, out[-1][1])
+        else:
+            out.append((s, e))
+    return out
 
 
-RESULT = "n_bytes long, n_chunks long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+RESULT = ("n_bytes long, n_chunks long, n_removed long, n_spans long, kept_sha256 string, removed_spans string, "
+          "kept_text string")
 
 
 def deduplicate(docs: DataFrame, carry: list[str], *, one_in: int = ONE_IN, max_chunk: int = MAX_CHUNK,
                 min_run: int = MIN_RUN) -> DataFrame:
-    """``carry`` columns of each row of ``docs`` (doc_id, text), what was removed, and the
-    text that is left (null for a null text)."""
+    """``carry`` columns of each row of ``docs`` (doc_id, text), what was removed (spans as
+    start:end in bytes, comma-joined), and the text that is left (null for a null text)."""
     names = [f.split(" ")[0] for f in RESULT.split(", ")]
     carry = [c for c in carry if c not in names and c not in ("_id", "_text", "_repeats")]
-    rows = chunk_rows(docs, one_in, max_chunk)
+    rows = run_rows(docs, one_in, max_chunk, min_run)
     first = (rows.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
              .where("lo < hi").select("digest", "lo"))
     repeats = (rows.join(first, "digest").where("lo < doc_id").groupBy(F.col("doc_id").alias("_rid"))
@@ -157,19 +164,19 @@ def deduplicate(docs: DataFrame, carry: list[str], *, one_in: int = ONE_IN, max_
             cols: list[list] = [[] for _ in names]
             for text, own in zip(batch.column("_text").to_pylist(), batch.column("_repeats").to_pylist()):
                 raw = (text or "").encode("utf-8", "replace")
-                ends = cuts(np.frombuffer(raw, np.uint8), one_in, max_chunk)
                 again = set(own or ())
-                spans = removed_runs(ends, [d in again for d in digests(raw, ends)], min_run) if again else []
+                places, keys, n = runs(raw, one_in, max_chunk, min_run)
+                spans = merged([p for p, k in zip(places, keys) if k in again]) if again else []
                 left, at = [], 0
                 for s, e in spans:
                     left.append(raw[at:s])
                     at = e
                 rest = b"".join([*left, raw[at:]])
-                values = (len(raw), len(ends), len(raw) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(),
-                          None if text is None else rest.decode("utf-8"))
+                values = (len(raw), n, len(raw) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(),
+                          ",".join([f"{s}:{e}" for s, e in spans]), None if text is None else rest.decode("utf-8"))
                 for col, v in zip(cols, values):
                     col.append(v)
-            types = [pa.int64()] * 4 + [pa.string()] * 2
+            types = [pa.int64()] * 4 + [pa.string()] * 3
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carry), *(pa.array(c, t) for c, t in zip(cols, types))],
                 names=[*carry, *names])
