@@ -29,13 +29,15 @@ directly; there the join tests the multisets itself, so that only links become r
 group of near copies thus costs a few rows per member, never its square, and no plausible
 pair that shares a band goes unexamined unless both are already in one class.
 
-Verification recomputes both multisets and keeps pairs of similarity >= ``threshold``;
-classes are the connected components of those links.
+Verification recomputes both multisets and keeps pairs of similarity >= ``threshold``: a
+node's text travels to each of its candidates' centres, a centre's once per ``SALTS`` part of
+its pairs, so no row carries two texts. Classes are the connected components of those links.
 
 Defined cases: a text without words (null, empty, blank) is in a class of its own and
 kept; a text of one to four words is one shingle; a null doc_id is a class of its own
-with a null class id, kept; rows repeating a doc_id are one node if their texts are
-equal, else linked as one document; an empty table gives an empty result; other columns
+with a null class id, kept; rows repeating a doc_id are one node if their multisets are
+equal, else nodes of their own, each compared by its own text, and linked as one document;
+an empty table gives an empty result; other columns
 are ignored.
 """
 
@@ -57,6 +59,8 @@ ROWS, BANDS = 6, 36
 SMALL_BUCKET = 16
 # How far below its expectation the agreement of a link's sketches may be.
 MARGIN = 0.10
+# Parts that the pairs of one centre are dealt to.
+SALTS = 32
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 # Shingles and points handled at once: bounds the memory of a task whatever its batches hold.
@@ -175,11 +179,11 @@ def plausible(m: int, threshold: float, x: str, y: str) -> Column:
 
 
 def signatures(docs: DataFrame, words: int, rows: int, bands: int) -> DataFrame:
-    """(doc_id, digest, n, keys, sk) of every row; digest, keys and sketch are null without words.
-    Rows with equal shingle multisets have equal digests."""
+    """(doc_id, h, digest, n, keys, sk) of every row, h being its text's hash; digest, keys and
+    sketch are null without words. Rows with equal shingle multisets have equal digests."""
     m = rows * bands
 
-    def block(ids: list, raws: list[bytes]) -> pa.RecordBatch:
+    def block(ids: list, marks: list, raws: list[bytes]) -> pa.RecordBatch:
         owner, shingle, count = bags(raws, words)
         sig = bag_minhash(owner, shingle, count, len(raws), m)
         keys, small = band_keys(sig, rows, bands), sketch(sig)
@@ -189,46 +193,56 @@ def signatures(docs: DataFrame, words: int, rows: int, bands: int) -> DataFrame:
         digests = [hashlib.blake2b(pairs[x:y], digest_size=16).digest() if y > x else None for x, y in itertools.pairwise(cut.tolist())]
         n = np.bincount(owner, weights=count, minlength=len(raws)).astype(np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(n),
+            [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(digests, pa.binary()), pa.array(n),
              *(pa.array([k if f else None for k, f in zip(c, full)], pa.list_(pa.int64())) for c in (keys, small))],
-            names=["doc_id", "digest", "n", "keys", "sk"])
+            names=["doc_id", "h", "digest", "n", "keys", "sk"])
 
     def run(batches):
-        ids, raws, held = [], [], 0
+        ids, marks, raws, held = [], [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text"))):
+            for doc_id, h, text in zip(batch.column("doc_id").to_pylist(), batch.column("h").to_pylist(),
+                                       texts(batch.column("text"))):
                 ids.append(doc_id)
+                marks.append(h)
                 raws.append(text.encode("utf-8", "replace"))
                 held += len(raws[-1]) // 6 + 1
                 if held >= BLOCK:
-                    yield block(ids, raws)
-                    ids, raws, held = [], [], 0
+                    yield block(ids, marks, raws)
+                    ids, marks, raws, held = [], [], [], 0
         if ids:
-            yield block(ids, raws)
+            yield block(ids, marks, raws)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, digest binary, n long, keys array<long>, sk array<long>")
+    return marked(docs).mapInArrow(run, "doc_id long, h long, digest binary, n long, keys array<long>, sk array<long>")
+
+
+def marked(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
 
 
 def verified(pairs: DataFrame, bodies: DataFrame, words: int, threshold: float) -> DataFrame:
-    """Those (a, b) of ``pairs`` whose texts reach ``threshold``. Rows come sorted by a from
-    the join, so the multiset of a repeated centre is computed once per batch."""
-    left = bodies.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    right = bodies.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+    """Those (a, b) of ``pairs`` whose texts reach ``threshold``. The text of a comes once
+    before those of its partners, per part of them."""
+    salt = F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt")
+    dealt = pairs.select("a", "b", salt)
+    members = dealt.join(bodies.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "text")
+    centres = dealt.select("a", "salt").distinct().join(bodies.withColumnRenamed("node", "a"), "a").select(
+        "a", "salt", F.lit(None).cast("long").alias("b"), "text")
 
     def run(batches):
-        last, last_bag = None, None
+        centre = None
         for batch in batches:
             out = []
-            for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ta", "tb"))):
-                if a != last:
-                    last, last_bag = a, bag(ta, words)
-                if weighted_jaccard(last_bag, bag(tb, words)) >= threshold:
+            for a, b, text in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text"))):
+                if b is None:
+                    centre = bag(text, words)
+                elif weighted_jaccard(centre, bag(text, words)) >= threshold:
                     out.append((a, b))
             a, b = zip(*out) if out else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    ordered = centres.unionByName(members).repartition("a", "salt").sortWithinPartitions(
+        "a", "salt", F.col("b").asc_nulls_first())
+    return ordered.select("a", "b", "text").mapInArrow(run, "a long, b long")
 
 
 def multisets(bodies: DataFrame, words: int) -> DataFrame:
@@ -241,10 +255,10 @@ def multisets(bodies: DataFrame, words: int) -> DataFrame:
                 h, c = bag(text, words)
                 copy = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
                 out.append((mix(np.repeat(h, c) + copy.astype(np.uint64) * _GOLDEN)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.list_(pa.int64()))],
-                                             names=["doc", "bag"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.list_(pa.int64()))],
+                                             names=["node", "bag"])
 
-    return bodies.select("doc_id", "text").mapInArrow(run, "doc long, bag array<long>")
+    return bodies.select("node", "text").mapInArrow(run, "node long, bag array<long>")
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, threshold: float = THRESHOLD,
@@ -253,40 +267,45 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, th
     its class), kept (doc_id = component_id)."""
     sig = scratch.put(signatures(docs, words, rows, bands), "signatures")
     named = sig.where("doc_id is not null and digest is not null")
-    nodes = named.groupBy("digest").agg(F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "keys", "sk")])
-    nodes = scratch.put(nodes, "nodes")
-    entries = nodes.select(F.explode("keys").alias("k"), "doc")
+    # A node's text is that of one row: the smallest doc_id, and by hash if that has several.
+    nodes = named.groupBy("digest").agg(F.min(F.struct("doc_id", "h")).alias("of"), *[
+        F.first(c).alias(c) for c in ("n", "keys", "sk")])
+    nodes = scratch.put(nodes.select(F.monotonically_increasing_id().alias("node"), "digest", F.col("of.doc_id").alias("doc"),
+                                     F.col("of.h").alias("h"), "n", "keys", "sk"), "nodes")
+    entries = nodes.select(F.explode("keys").alias("k"), "node")
     shared = entries.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     buckets = entries.join(shared, "k")
     # How often a node meets others: the one nearest to all of a group has the most.
-    degree = buckets.groupBy("doc").agg(F.sum("c").alias("degree"))
-    buckets = buckets.join(degree.join(nodes.select("doc", "n", "sk"), "doc"), "doc")
-    buckets = scratch.put(buckets.withColumn("component", F.col("doc")), "buckets")
-    bodies = scratch.put(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(buckets.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"]), "bodies")
+    degree = buckets.groupBy("node").agg(F.sum("c").alias("degree"))
+    buckets = buckets.join(degree.join(nodes.select("node", "n", "sk"), "node"), "node")
+    buckets = scratch.put(buckets.withColumn("component", F.col("node")), "buckets")
+    met = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select(
+        "node", F.col("doc").alias("doc_id"), "h")
+    bodies = marked(docs).join(met, ["doc_id", "h"]).select("node", "text")
+    if not named.groupBy("doc_id", "h").count().where("count > 1").isEmpty():
+        bodies = bodies.dropDuplicates(["node"])   # rows that are the same twice
+    bodies = scratch.put(bodies, "bodies")
     likely = plausible(rows * bands, threshold, "x", "y")
     apart = F.col("x.component") != F.col("y.component")
 
     def meet(members: DataFrame, condition: Column) -> DataFrame:
         """Pairs of different components within each bucket."""
-        hit = (F.col("x.k") == F.col("y.k")) & (F.col("x.doc") < F.col("y.doc")) & apart & condition
+        hit = (F.col("x.k") == F.col("y.k")) & (F.col("x.node") < F.col("y.node")) & apart & condition
         return members.alias("x").join(members.alias("y"), hit).select(
-            F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
+            F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
     def star(members: DataFrame) -> DataFrame:
         """Plausible pairs of each bucket's centre with members of other components."""
-        order = F.struct((-F.col("degree")).alias("d"), "doc", "n", "sk", "component")
+        order = F.struct((-F.col("degree")).alias("d"), "node", "n", "sk", "component")
         centre = members.groupBy("k").agg(F.min(order).alias("m")).select("k", "m.*")
         hit = (F.col("x.k") == F.col("y.k")) & apart & likely
         return centre.alias("x").join(members.alias("y"), hit).select(
-            F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"))
+            F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
     def still_apart(members: DataFrame) -> DataFrame:
         """Buckets that hold several components, their members under their present ones."""
-        at = members.drop("component").join(comp.select(F.col("node").alias("doc"), "component"), "doc", "left")
-        at = at.withColumn("component", F.coalesce("component", "doc"))
+        at = members.drop("component").join(comp.select("node", "component"), "node", "left")
+        at = at.withColumn("component", F.coalesce("component", "node"))
         several = at.groupBy("k").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1")
         return at.join(several.select("k"), "k", "left_semi")
 
@@ -295,29 +314,30 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, th
     edges = verified(pairs, bodies, words, threshold)
     twice = named.groupBy("doc_id").agg(F.min("digest").alias("d0"), F.max("digest").alias("d1")).where("d0 <> d1")
     if not twice.isEmpty():  # rows of one doc_id with different texts are one document
-        own = named.join(twice.select("doc_id"), "doc_id").select("doc_id", "digest").distinct()
-        edges = edges.union(own.join(nodes.select("digest", "doc"), "digest").select(
-            F.col("doc_id").alias("a"), F.col("doc").alias("b")))
+        own = named.join(twice.select("doc_id"), "doc_id").select("doc_id", "digest").distinct().join(
+            nodes.select("digest", "node"), "digest")
+        first = own.groupBy("doc_id").agg(F.min("node").alias("a"))
+        edges = edges.union(own.join(first, "doc_id").where("a <> node").select("a", F.col("node").alias("b")))
     edges = scratch.put(edges, "edges0")
     comp = components(edges, scratch, "cc0_")
     scratch.release()
     members = scratch.put(still_apart(members), "members")
     if not members.isEmpty():
-        own = bodies.join(members.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        own = bodies.join(members.select("node").distinct(), "node", "left_semi")
         both = F.size(F.array_intersect("x.bag", "y.bag"))  # taken once per pair: |A n B| / |A u B| >= threshold
         close = both * (1 + threshold) >= threshold * (F.size("x.bag") + F.size("y.bag"))
-        found = meet(members.join(multisets(own, words), "doc"), likely & close).distinct()
+        found = meet(members.join(multisets(own, words), "node"), likely & close).distinct()
         linked = scratch.put(found, "edges1")
         if not linked.isEmpty():
             comp = components(edges.union(linked), scratch, "cc1_")
     scratch.clear("signatures", "nodes", *[n for n in scratch.names if n.startswith("cc")])
-
-
-    of_digest = nodes.select("digest", "doc").join(
-        comp.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "digest", F.coalesce("component", "doc").alias("component"))
-    out = sig.join(of_digest, "digest", "left").select(
-        "doc_id", F.coalesce("component", "doc_id").alias("component_id"))
+    # A class is named by its smallest doc_id; nodes without a link are classes of their own.
+    least = nodes.select("node", "doc").join(comp, "node").groupBy("component").agg(F.min("doc").alias("component_id"))
+    of_node = comp.join(least, "component").select("node", "component_id")
+    of_digest = nodes.select("digest", "doc", "node").join(of_node, "node", "left").select(
+        "digest", F.coalesce("component_id", "doc").alias("component_id"))
+    out = sig.select("doc_id", "digest").join(of_digest, "digest", "left").select(
+        "doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
