@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -39,34 +40,50 @@ from .common import Scratch
 # Pairs looked up in the tasks; texts that are joined by broadcast hold over 1 / HOT of all rows.
 FREQUENT, HOT = 1 << 18, 1024
 # Units remembered in each of two generations, the longest such unit, rows and units handled at once.
-LIMIT, LONGEST, ROWS, UNITS = 120_000, 64, 512, 1 << 16
+LIMIT, LONGEST, ROWS, UNITS = 160_000, 64, 512, 1 << 16
 
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 _ALIGNED = ("digest string, copies long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
             "codes array<long>, times array<long>")
 
 
-def walk(a: list[int], b: list[int], size_a: dict[int, int], size_b: dict[int, int]) -> tuple[list, list]:
-    """Links (id of A, id of B) and groups (ids of A, ids of B) of two token sequences over
-    the same bytes, given the number of bytes of each id."""
-    links, groups = [], []
-    i = j = first_a = first_b = 0
-    end_a, end_b = size_a[a[0]], size_b[b[0]]
+def walk(a: list[int], b: list[int], one: "Vocabulary", two: "Vocabulary") -> tuple[list[int], list[str]]:
+    """Links, as pair codes (id of A times the ids of B, plus id of B), and groups, as text, of
+    two token sequences over the same bytes."""
+    size_a, name_a, size_b, name_b, n_b = one.size, one.name, two.size, two.name, len(two.size)
+    codes, groups = [], []
+    i = j = 0
+    x, y = a[0], b[0]
+    left, right, ahead = name_a[x], name_b[y], size_a[x] - size_b[y]
     while True:
-        links.append((a[i], b[j]))
-        if end_a == end_b:
-            groups.append((a[first_a:i + 1], b[first_b:j + 1]))
-            first_a, first_b = i, j = i + 1, j + 1
+        codes.append(x * n_b + y)
+        if ahead == 0:
+            groups.append(f"{left}|{right}")
+            i += 1
+            j += 1
             if i == len(a):
-                return links, groups
-            end_a += size_a[a[i]]
-            end_b += size_b[b[j]]
-        elif end_a < end_b:
+                return codes, groups
+            x, y = a[i], b[j]
+            left, right, ahead = name_a[x], name_b[y], size_a[x] - size_b[y]
+        elif ahead < 0:
             i += 1
-            end_a += size_a[a[i]]
+            x = a[i]
+            left = f"{left},{name_a[x]}"
+            ahead += size_a[x]
         else:
             j += 1
-            end_b += size_b[b[j]]
+            y = b[j]
+            right = f"{right},{name_b[y]}"
+            ahead -= size_b[y]
+
+
+class Vocabulary:
+    """Bytes of each id, their number, and the id in decimal."""
+
+    def __init__(self, spelled: list[bytes]):
+        self.bytes = spelled
+        self.size = [len(x) for x in spelled]
+        self.name = [str(i) for i in range(len(spelled))]
 
 
 class Aligner:
@@ -77,23 +94,27 @@ class Aligner:
         self.a = packing.encoder(path_a).bpe
         self.b = sp = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.n_b = sp.vocab_size()
-        self.bytes_a = {i: self.a.decode_single_token_bytes(i) for i in self.a._mergeable_ranks.values()}
-        self.bytes_b = {}
+        ranks = self.a._mergeable_ranks
+        spelled = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            spelled[i] = token
+        self.one = Vocabulary(spelled)
+        spelled = []
         for i in range(self.n_b):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
-                self.bytes_b[i] = bytes([int(piece[3:5], 16)])
+                spelled.append(bytes([int(piece[3:5], 16)]))
             elif sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i):
-                self.bytes_b[i] = b""
+                spelled.append(b"")
             else:
                 if re.search(f"[^{pieces.BLANK}]{pieces.BLANK}", piece):
                     raise ValueError(f"piece {piece!r} spans a unit's end")
-                self.bytes_b[i] = piece.replace(pieces.BLANK, " ").encode()
-        self.size_a = {i: len(x) for i, x in self.bytes_a.items()}
-        self.size_b = {i: len(x) for i, x in self.bytes_b.items()}
+                spelled.append(piece.replace(pieces.BLANK, " ").encode())
+        self.two = Vocabulary(spelled)
         self.lone_space = sp.encode("a ")[len(sp.encode("a")):]
         self.beside = re.compile(r" \s|\s |^\s|\s$")
         self.cut = re.compile(r"(?<=\S)(?= )")
+        self.sizes: dict[tuple[int, int, int], bytes] = {}   # few: numbers of tokens of a unit
         self.met: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
 
@@ -104,17 +125,18 @@ class Aligner:
         return [u[1:] for u in self.cut.split(" " + text)]
 
     def align(self, unit: str, b: list[int]) -> tuple[bytes, bytes, str] | None:
-        """Links as pair codes, numbers of tokens and groups, and groups as text; None where
-        a vocabulary does not give back the unit's bytes."""
-        raw = (" " + unit).encode()
-        a = self.a.encode_ordinary(" " + unit)
+        """Links as pair codes, numbers of tokens and groups, and groups as text; None where B
+        does not give back the unit's bytes (A, being byte-level, always does)."""
+        text, spelled = " " + unit, self.two.bytes
         b = b or self.lone_space
-        if b"".join([self.bytes_a[i] for i in a]) != raw or b"".join([self.bytes_b[i] for i in b]) != raw:
+        if b"".join([spelled[i] for i in b]) != text.encode():
             return None
-        links, groups = walk(a, b, self.size_a, self.size_b)
-        shown = ";".join([",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups])
-        codes = np.array([x * self.n_b + y for x, y in links], "<i8").tobytes()
-        return codes, np.array([len(a), len(b), len(groups)], "<i8").tobytes(), shown
+        a = self.a.encode_ordinary(text)
+        codes, groups = walk(a, b, self.one, self.two)
+        sizes = len(a), len(b), len(groups)
+        if sizes not in self.sizes:
+            self.sizes[sizes] = array("q", sizes).tobytes()
+        return array("q", codes).tobytes(), self.sizes[sizes], ";".join(groups)
 
     def learn(self, units: set[str]) -> None:
         """Align units not met lately. Long ones are not remembered."""
@@ -138,6 +160,8 @@ class Aligner:
             found = [self.get(u) for u in units[start:start + UNITS]]
             if None in found:
                 return None
+            if len(self.sizes) > LIMIT:
+                self.sizes.clear()
             if start:
                 digest.update(b";")
             digest.update(";".join([f[2] for f in found]).encode())
