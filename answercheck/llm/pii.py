@@ -12,10 +12,11 @@ token) and ``contact`` (an address the base pattern does not cover).
 Training: labels come from rules of high precision, as no labelled spans exist. Positive
 are candidates that coincide with a validated base span, and tokens assigned to a secret's
 name; negative are candidates that fail a checksum or range test and long tokens in plain
-prose. Features leave out the very tests that made the labels. The sample is bounded by
-``sample_rows`` per label, the candidates of smallest hash over all documents; two thirds
-fit the trees (Spark ML), one third calibrates the threshold to ``precision``. Without
-both labels no span is added.
+prose. Features leave out the very tests that made the labels. Every labelled candidate of
+all documents takes part, those of equal surroundings once: two thirds fit the trees (Spark
+ML, distributed), one third calibrates the threshold to ``precision``. They lie in a written
+table; the driver gets the trees and a count per threshold. Without both labels no span is
+added.
 
 Scoring is one pass without a shuffle: the trees (a few hundred numbers) are sent to all
 tasks.
@@ -37,14 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import Scratch, texts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("number", "secret", "contact")
 KINDS = BASE_KINDS + ADDED_KINDS
 
-SAMPLE_ROWS = 10_000
 PRECISION = 0.98
+THRESHOLDS = np.arange(0.5, 1.0, 0.01)
 
 Span = tuple[int, int]
 
@@ -219,8 +220,8 @@ def _flat(node) -> list[tuple]:
     return out
 
 
-def labelled_sample(docs: DataFrame, sample_rows: int):
-    """At most ``sample_rows`` labelled candidates of each label: those of smallest hash."""
+def labelled(docs: DataFrame) -> DataFrame:
+    """All labelled candidates (y, x, h), those of one label and equal surroundings once."""
     def run(batches):
         for batch in batches:
             rows = []
@@ -240,36 +241,54 @@ def labelled_sample(docs: DataFrame, sample_rows: int):
                     names=["y", "x", "h"])
 
     rows = docs.select("text").mapInArrow(run, "y int, x array<double>, h long")
-    # Copies of a passage would fill the sample: a hash counts once.
-    distinct = rows.groupBy("h", "y").agg(F.first("x").alias("x"))
-    top = [distinct.where(F.col("y") == y).orderBy("h").limit(sample_rows) for y in (0, 1)]
-    return top[0].union(top[1]).collect()
+    # Copies of a passage would outweigh the rest: a hash counts once.
+    return rows.groupBy("h", "y").agg(F.max("x").alias("x"))
 
 
-def train(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, precision: float = PRECISION) -> Trees:
-    """Fit on a bounded weakly labelled sample of ``docs`` (text) and calibrate."""
+def train(docs: DataFrame, *, precision: float = PRECISION) -> Trees:
+    """Fit on all weakly labelled candidates of ``docs`` (text) and calibrate."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
-    rows = sorted(labelled_sample(docs, sample_rows), key=lambda r: (r["h"], r["y"]))
-    held = [r for r in rows if r["h"] % 3 == 0]
-    fit = [r for r in rows if r["h"] % 3]
-    if len({r["y"] for r in fit}) < 2 or len({r["y"] for r in held}) < 2:
-        return Trees([], 2.0)
-    spark = docs.sparkSession
-    frame = spark.createDataFrame([(float(r["y"]), r["x"]) for r in fit], "label double, x array<double>").coalesce(1)
-    frame = frame.select("label", array_to_vector("x").alias("features")).cache()
-    model = GBTClassifier(maxIter=15, maxDepth=3, stepSize=0.3, maxBins=32, seed=7, checkpointInterval=-1).fit(frame)
-    frame.unpersist()
-    trees = Trees([(_flat(t._call_java("rootNode")), w) for t, w in zip(model.trees, model.treeWeights)], 2.0)
-    p = trees.probability(np.array([r["x"] for r in held]))
-    y = np.array([r["y"] for r in held])
-    for threshold in np.arange(0.5, 1.0, 0.01):
-        chosen = p >= threshold
-        if chosen.any() and y[chosen].mean() >= precision:
-            trees.threshold = float(threshold)
-            break
-    return trees
+    scratch = Scratch(docs.sparkSession, "pii")
+    try:
+        rows = scratch.put(labelled(docs).orderBy("h", "y"), "labelled").withColumn(
+            "held", F.pmod("h", F.lit(3)) == 0)
+        counts = {(r["held"], r["y"]): r["count"] for r in rows.groupBy("held", "y").count().collect()}
+        if len(counts) < 4:
+            return Trees([], 2.0)
+        n = counts[False, 0] + counts[False, 1]
+        # Spark ML looks for a feature's cuts in max(10,000, bins squared) rows: in all, here.
+        bins = 32 if n <= 10_000 else math.isqrt(n) + 1
+        frame = rows.where("not held").select(F.col("y").cast("double").alias("label"), array_to_vector("x").alias("features"))
+        model = GBTClassifier(maxIter=15, maxDepth=3, stepSize=0.3, maxBins=bins, seed=7, checkpointInterval=-1).fit(frame)
+        trees = Trees([(_flat(t._call_java("rootNode")), w) for t, w in zip(model.trees, model.treeWeights)], 2.0)
+        trees.threshold = calibrated(rows.where("held"), trees, precision)
+        return trees
+    finally:
+        scratch.clear()
+
+
+def calibrated(held: DataFrame, trees: Trees, precision: float) -> float:
+    """The least threshold whose choice of all held-out rows (y, x) has the precision asked
+    for; 2, which nothing reaches, if none has."""
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                passed = np.searchsorted(THRESHOLDS, trees.probability(x), side="right")
+                y = batch.column("y").to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(y, pa.int32()), pa.array(passed, pa.int64())], names=["y", "passed"])
+
+    found = held.select("y", "x").mapInArrow(run, "y int, passed long").groupBy("y", "passed").count().collect()
+    chosen = np.zeros((2, len(THRESHOLDS)), np.int64)
+    for r in found:
+        chosen[r["y"], :r["passed"]] += r["count"]
+    for threshold, wrong, right in zip(THRESHOLDS, *chosen):
+        if right and right / (wrong + right) >= precision:
+            return float(threshold)
+    return 2.0
 
 
 # --- detection -----------------------------------------------------------------------
