@@ -15,14 +15,15 @@ together first, so that each part of the order can be built apart:
    partial aggregation; occurrences in other documents are removed whole. Strings are
    dealt to buckets by anchor: a window's equals are all in its bucket. A string alone at
    its anchor has nothing left to be compared with.
-3. Transforms. A bucket's strings are split into shards of at most ``shard`` bytes. A shard's
-   Burrows-Wheeler transform (to a context of 50 bytes) holds for every suffix the bytes
-   before it, and the step to the suffix that begins there.
-4. Merge. The shards' transforms are interleaved: starting from one after the other, a
-   pass visits the suffixes in the present order, steps back in each one's own shard and
-   distributes them stably by the bytes stepped over. After a pass the interleave is right
-   to two bytes more; 25 passes, or an unchanged interleave, end the merge. No suffix is
-   compared with another or sorted again.
+3. Transforms. A bucket's strings are split into shards of at most ``shard`` bytes, the strings
+   of an anchor in one shard if they fit. A shard's Burrows-Wheeler transform (to a context of
+   50 bytes) holds for every suffix the bytes before it, and the step to the suffix that
+   begins there.
+4. Merge. The transforms of shards that an anchor spans are interleaved (others have no window
+   in common): starting from one after the other, a pass visits the suffixes in the present
+   order, steps back and distributes them stably by the bytes stepped over. After a pass the
+   interleave is right to those bytes more: three or four, as many as 16 bits can number. When it
+   is right to 50, or unchanged, the merge ends. No suffix is compared with another or sorted again.
 5. Repeats. Neighbours of the merged order with a common prefix of 50 bytes or more form
    the repeated intervals; an interval's smallest doc_id decides which windows go.
 6. Removed windows are joined back to their documents, and their union is cut out.
@@ -41,6 +42,7 @@ repeats the other; an empty table gives an empty result; other columns are ignor
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -217,37 +219,58 @@ def strings(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _STRINGS)
 
 
+def grams(text: np.ndarray, depth: int) -> tuple[np.ndarray, int]:
+    """A number of 16 bits for the bytes from every position on (the text is a circle), in
+    their order, and how many bytes: as many as have no more different strings than that and
+    can be counted in a table not much longer than the text."""
+    used = np.zeros(256, bool)
+    used[text] = True
+    code = (np.cumsum(used, dtype=np.int32) - 1)[text]
+    letters = size = int(used.sum())
+    longer, width = code, 1
+    while width < depth and size * letters <= max(1 << 18, 4 * len(text)):
+        seen = np.zeros(size * letters, bool)
+        following = longer * np.int32(letters) + np.roll(code, -width)
+        seen[following] = True
+        size = int(np.count_nonzero(seen))
+        if size > 1 << 16:
+            break
+        longer, width = (np.cumsum(seen, dtype=np.int32) - 1)[following], width + 1
+    return longer.astype(np.uint16), width
+
+
 class Transform:
-    """Burrows-Wheeler transform of one or more shards: ``suffix`` lists the places of the
-    text in order; ``before`` holds for each the two bytes before it and ``step`` the place
-    in the order of the suffix that begins there."""
+    """Burrows-Wheeler transform of a text: ``suffix`` lists the places of the text in order."""
 
     def __init__(self, text: np.ndarray, suffix: np.ndarray):
         self.text, self.suffix = text, suffix
-        n = len(text)
-        rank = np.empty(n, np.intp)  # indices of numpy's own width are not converted on use
-        rank[suffix] = np.arange(n)
-        back1, back2 = suffix - 1, suffix - 2
-        self.step = rank[np.where(back2 < 0, back2 + n, back2)]
-        self.before = (text[back2].astype(np.uint16) << np.uint16(8)) | text[back1]
-
-
-def interleave(order: np.ndarray, before: np.ndarray, step: np.ndarray, depth: int) -> np.ndarray:
-    """Refine an order of suffixes until it is right to ``depth`` bytes: each pass steps two
-    bytes back from every suffix in the present order and distributes stably by them."""
-    for _ in range(-(-depth // 2)):
+
+
+def interleave(text: np.ndarray, suffix: np.ndarray, depth: int) -> np.ndarray:
+    """Refine an order of suffixes until it is right to ``depth`` bytes: each pass steps a few
+    bytes back from every suffix in the present order and distributes stably by them.
+    ``suffix`` is the order to begin with. ``before`` holds for each of its places the bytes
+    before that suffix, and ``step`` the place of the suffix that begins there."""
+    n = len(text)
+    gram, width = grams(text, depth)
+    rank = np.empty(n, np.intp)  # indices of numpy's own width are not converted on use
+    rank[suffix] = np.arange(n)
+    back = suffix - width
+    np.add(back, n, out=back, where=back < 0)
+    before, step = gram[back], rank[back]
+    order = np.arange(n)
+    for _ in range(-(-depth // width)):
         dealt = before.take(order).argsort(kind="stable")
         following = step.take(order.take(dealt))
         if np.array_equal(following, order):
             break
         order = following
-    return order
+    return suffix[order]
 
 
 def transform(text: np.ndarray, depth: int) -> Transform:
     """The transform of one shard, from the order of the text itself."""
-    plain = Transform(text, np.arange(len(text)))
-    return Transform(text, interleave(plain.suffix, plain.before, plain.step, depth))
+    return Transform(text, interleave(text, np.arange(len(text)), depth))
 
 
 def merge(shards: list[Transform], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -255,10 +278,7 @@ def merge(shards: list[Transform], depth: int) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.cumsum([0, *(len(s.text) for s in shards)])[:-1]
     text = np.concatenate([s.text for s in shards])
     suffix = np.concatenate([s.suffix + o for s, o in zip(shards, offsets)])
-    before = np.concatenate([s.before for s in shards])
-    step = np.concatenate([s.step + o for s, o in zip(shards, offsets)])
-    order = np.arange(len(text))
-    return text, suffix[interleave(order, before, step, depth)] if len(shards) > 1 else suffix
+    return text, interleave(text, suffix, depth) if len(shards) > 1 else suffix
 
 
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
@@ -273,19 +293,50 @@ def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -
     return same
 
 
-def repeats(bodies: list[bytes], docs: np.ndarray, shard: int = SHARD, length: int = LENGTH) -> dict[int, list[int]]:
-    """For strings of a bucket with their smallest doc_ids: the windows of each that also
-    start in a string of smaller doc_id, as flat lists of (first, one past last)."""
-    groups, size = [[]], 0
-    for body in bodies:
-        if size + len(body) + 1 > shard and groups[-1]:
-            groups.append([])
-            size = 0
-        groups[-1].append(body)
-        size += len(body) + 1
+def merges(bodies: list[bytes], anchors: list[int], shard: int) -> Iterator[list[list[bytes]]]:
+    """A bucket's strings, those of an anchor side by side, as shards of about ``shard`` bytes, in
+    groups that have to be merged: an anchor is cut only if it does not fit one shard. Shards of
+    different groups share no anchor and so no window."""
+    group, size = [], 0
+    for _, run in itertools.groupby(range(len(bodies)), key=anchors.__getitem__):
+        own = [bodies[i] for i in run]
+        total = sum(map(len, own)) + len(own)
+        if group and (len(group) > 1 or size + total > shard):
+            yield group
+            group = []
+        if group:
+            group[0].extend(own)
+            size += total
+            continue
+        group, size = [[]], 0
+        for body in own:
+            if size + len(body) + 1 > shard and group[-1]:
+                group.append([])
+                size = 0
+            group[-1].append(body)
+            size += len(body) + 1
+    if group:
+        yield group
+
+
+def repeats(bodies: list[bytes], docs: np.ndarray, anchors: list[int], shard: int = SHARD,
+            length: int = LENGTH) -> dict[int, list[int]]:
+    """For strings of a bucket with their smallest doc_ids and anchors: the windows of each that
+    also start in a string of smaller doc_id, as flat lists of (first, one past last)."""
+    out, done = {}, 0
+    for group in merges(bodies, anchors, shard):
+        n = sum(map(len, group))
+        found = merged_repeats(group, docs[done:done + n], length)
+        out.update({done + i: windows for i, windows in found.items()})
+        done += n
+    return out
+
+
+def merged_repeats(shards: list[list[bytes]], docs: np.ndarray, length: int) -> dict[int, list[int]]:
     end = bytes([END])
-    parts = [transform(np.frombuffer(end.join(g) + end, np.uint8), length) for g in groups]
+    parts = [transform(np.frombuffer(end.join(s) + end, np.uint8), length) for s in shards]
     text, suffix = merge(parts, length)
+    bodies = [body for s in shards for body in s]
     sizes = np.array([len(b) for b in bodies], np.int64)
     begin = np.cumsum(sizes + 1) - sizes - 1
     of = np.repeat(np.arange(len(bodies)), sizes + 1)
@@ -315,7 +366,8 @@ def bucket_repeats(distinct: DataFrame, buckets: int, shard: int) -> DataFrame:
         def flush():
             anchors_held = Counter(r[0] for r in held)
             shared = [r for r in held if anchors_held[r[0]] > 1]
-            found = repeats([r[1] for r in shared], np.array([r[3] for r in shared], np.int64), shard) if shared else {}
+            found = repeats([r[1] for r in shared], np.array([r[3] for r in shared], np.int64),
+                            [r[0] for r in shared], shard) if shared else {}
             windows = {(shared[i][0], shared[i][2]): w for i, w in found.items()}
             rows = [(h, x, lo, windows.get((h, x))) for h, _, x, lo, n in held if n > 1 or (h, x) in windows]
             h, x, lo, w = zip(*rows) if rows else ((), (), (), ())
@@ -395,10 +447,14 @@ def deduplicate(docs: DataFrame, scratch: Scratch, *, shard: int = SHARD,
 
     firsts = scratch.put(named.groupBy("dg", "t").agg(F.min("doc_id").alias("first")), "firsts")
     wanted = shared_anchors(named).groupBy("t").agg(F.collect_set("h").alias("shared"))
-    owners = wanted.join(firsts, "t").select(F.col("first").alias("doc_id"), "t", "shared")
+    # Written before the texts are moved, so that the shuffle of all anchors is gone by then.
+    owners = scratch.put(wanted.join(firsts, "t").select(F.col("first").alias("doc_id"), "t", "shared"), "owners")
+    del wanted
+    scratch.release()
     rows = strings(named.join(owners, ["doc_id", "t"]).select("doc_id", "t", "shared", "text"))
     rows = scratch.put(rows.withColumn("x", F.xxhash64("s")).withColumn("size", F.octet_length("s")), "strings")
-    del wanted, owners
+    del owners
+    scratch.drop("owners")
     scratch.release()
 
     def distinct(some: DataFrame) -> DataFrame:
