@@ -16,7 +16,8 @@ stray common phrase is left alone (two of 10^12 runs that share a digest by chan
 in 10^8). The smallest doc_id keeps the passage.
 
 Digests are grouped by partial minima, so a passage held by a third of all documents is
-one row per task; the join back is one that AQE splits.
+one row per task; the join back is one that AQE splits. A filter of fixed size keeps runs
+that do not repeat, and then texts without a repeat, out of the shuffles.
 
 Defined cases: a null text is empty; a null doc_id neither gives nor loses runs; rows
 repeating a doc_id are one document, none a repeat of the other, and lose the same runs; a text under ``min_run``
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, mix, texts
+from .common import WHITE, Scratch, mix, sieve, sifted, texts
 
 ONE_IN, MAX_CHUNK, MIN_RUN = 5, 256, 100
 # Without white space in so many bytes, any character may end a chunk, with this chance.
@@ -140,6 +141,7 @@ def merged(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 RESULT = ("n_bytes long, n_chunks long, n_removed long, n_spans long, kept_sha256 string, removed_spans string, "
           "kept_text string")
+INTERNAL = ("_id", "_text", "_repeats", "_rid", "_place", "_word", "_set", "_likely")
 
 
 def deduplicate(docs: DataFrame, carry: list[str], *, one_in: int = ONE_IN, max_chunk: int = MAX_CHUNK,
@@ -147,15 +149,24 @@ def deduplicate(docs: DataFrame, carry: list[str], *, one_in: int = ONE_IN, max_
     """``carry`` columns of each row of ``docs`` (doc_id, text), what was removed (spans as
     start:end in bytes, comma-joined), and the text that is left (null for a null text)."""
     names = [f.split(" ")[0] for f in RESULT.split(", ")]
-    carry = [c for c in carry if c not in names and c not in ("_id", "_text", "_repeats")]
+    carry = [c for c in carry if c not in names and c not in INTERNAL]
+    scratch = Scratch(docs.sparkSession, "chunks")
     rows = run_rows(docs, one_in, max_chunk, min_run)
-    first = (rows.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-             .where("lo < hi").select("digest", "lo"))
-    repeats = (rows.join(first, "digest").where("lo < doc_id").groupBy(F.col("doc_id").alias("_rid"))
-               .agg(F.collect_set("digest").alias("_repeats")))
+    first = scratch.put(rows.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+                        .where("lo < hi").select("digest", "lo"), "first")
+    scratch.release()
+    likely = sifted(rows, "digest", sieve(first, "digest")).where("_likely")
+    repeats = scratch.put(likely.join(first, "digest").where("lo < doc_id").groupBy(F.col("doc_id").alias("_rid"))
+                          .agg(F.collect_set("digest").alias("_repeats")), "repeats")
+    scratch.clear("repeats")
+    scratch.release()
     kept = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("doc_id").cast("long").alias("_id"),
                        F.col("text").alias("_text"))
-    joined = kept.join(repeats, F.col("_id") == F.col("_rid"), "left").drop("_rid")
+    # Texts that hold no repeat are not moved.
+    dealt = sifted(kept, "_id", sieve(repeats, "_rid"))
+    joined = dealt.where("_likely").drop("_likely").join(repeats, F.col("_id") == F.col("_rid"), "left").drop("_rid")
+    joined = joined.unionByName(dealt.where("not _likely").drop("_likely").withColumn(
+        "_repeats", F.lit(None).cast("array<bigint>")))
     fields = [f for f in kept.schema.fields if f.name in carry]
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), RESULT])
 

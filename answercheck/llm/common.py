@@ -64,6 +64,25 @@ class Scratch:
             self.drop(name)
 
 
+SIEVE_BITS = 1 << 24
+
+
+def sieve(keys: DataFrame, key: str, bits: int = SIEVE_BITS) -> DataFrame:
+    """(_word, _set): a filter of fixed size (4 MB as rows), one bit set for each value of
+    ``key``. With many more keys than bits it lets all through, so it only ever saves rows."""
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
+    return keys.select(place.alias("p")).groupBy(F.expr("shiftright(p, 6)").alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(p % 64))")).alias("_set"))
+
+
+def sifted(rows: DataFrame, key: str, words: DataFrame, bits: int = SIEVE_BITS) -> DataFrame:
+    """``rows`` with ``_likely``: false only where no key of the ``sieve`` is equal."""
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
+    at = rows.withColumn("_place", place).join(F.broadcast(words), F.expr("shiftright(_place, 6) = _word"), "left")
+    return at.withColumn("_likely", F.expr("coalesce(shiftright(_set, int(_place % 64)) & 1L = 1L, false)")).drop(
+        "_place", "_word", "_set")
+
+
 def texts(column: pa.Array) -> list[str]:
     """Texts of an Arrow column, null as empty."""
     return [t or "" for t in column.to_pylist()]

@@ -52,7 +52,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, hashed_words, mix, shingle_hashes, texts
+from .common import Scratch, components, hashed_words, mix, shingle_hashes, sieve, sifted, texts
 
 WORDS, THRESHOLD = 5, 0.8
 ROWS, BANDS = 6, 36
@@ -279,9 +279,11 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, th
     degree = buckets.groupBy("node").agg(F.sum("c").alias("degree"))
     buckets = buckets.join(degree.join(nodes.select("node", "n", "sk"), "node"), "node")
     buckets = scratch.put(buckets.withColumn("component", F.col("node")), "buckets")
-    met = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select(
-        "node", F.col("doc").alias("doc_id"), "h")
-    bodies = marked(docs).join(met, ["doc_id", "h"]).select("node", "text")
+    met = scratch.put(nodes.join(buckets.select("node").distinct(), "node", "left_semi").select(
+        "node", F.col("doc").alias("doc_id"), "h"), "met")
+    # Texts of nodes that meet no other are not moved.
+    likely = sifted(marked(docs), "h", sieve(met, "h")).where("_likely")
+    bodies = likely.join(met, ["doc_id", "h"]).select("node", "text")
     if not named.groupBy("doc_id", "h").count().where("count > 1").isEmpty():
         bodies = bodies.dropDuplicates(["node"])   # rows that are the same twice
     bodies = scratch.put(bodies, "bodies")
@@ -348,6 +350,9 @@ def keep_one(docs: DataFrame, scratch: Scratch, **parameters) -> DataFrame:
     classes = near_duplicates(docs, scratch, **parameters)
     kept = scratch.put(classes.where("kept and doc_id is not null").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("rows")), "kept")
+    del classes
+    scratch.clear("kept")
+    scratch.release()
     ids = kept.select(F.col("doc_id").alias("_id"))
     out = docs.join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
     if not kept.where("rows > 1").isEmpty():
