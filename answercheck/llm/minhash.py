@@ -24,8 +24,9 @@ rule out others. Both tests are part of the joins, so such pairs never become ro
 Candidates. Texts with equal shingle multisets are one node from the start. A bucket of
 up to ``small_bucket`` nodes gives its pairs. From a larger one every node meets the
 bucket's centre, the node that shares most buckets with others and so is nearest to all.
-In buckets that hold several components after that, nodes of different components meet
-directly; there the join tests the multisets itself, so that only links become rows. A
+In buckets that hold several components after that, nodes outside the bucket's largest one
+meet all nodes of other components directly; there the join tests the multisets itself, so
+that only links become rows. A
 group of near copies thus costs a few rows per member, never its square, and no plausible
 pair that shares a band goes unexamined unless both are already in one class.
 
@@ -261,6 +262,26 @@ def multisets(bodies: DataFrame, words: int) -> DataFrame:
     return bodies.select("node", "text").mapInArrow(run, "node long, bag array<long>")
 
 
+def with_main(members: DataFrame) -> DataFrame:
+    """Members (k, node, component) of buckets that hold several components, with the bucket's
+    largest one as ``main``."""
+    held = members.groupBy("k", "component").agg(F.count(F.lit(1)).alias("m"))
+    several = held.groupBy("k").agg(F.max(F.struct("m", "component")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return members.join(several.select("k", F.col("most.component").alias("main")), "k")
+
+
+def meet_main(members: DataFrame, condition: Column) -> DataFrame:
+    """Pairs (a, b) of different components within each bucket. One of a pair is outside the
+    bucket's ``main`` component, so only such members are held against the bucket: the join of
+    a large group that is one component but for a few has few rows on one side, and tasks that
+    Spark cuts a skewed key into."""
+    few = members.where("component <> main")
+    once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
+    hit = (F.col("x.k") == F.col("y.k")) & (F.col("x.component") != F.col("y.component")) & once & condition
+    x, y = F.col("x.node"), F.col("y.node")
+    return few.alias("x").join(members.alias("y"), hit).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+
+
 def near_duplicates(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, threshold: float = THRESHOLD,
                     rows: int = ROWS, bands: int = BANDS, small_bucket: int = SMALL_BUCKET) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, component_id (smallest doc_id of
@@ -306,10 +327,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, th
 
     def still_apart(members: DataFrame) -> DataFrame:
         """Buckets that hold several components, their members under their present ones."""
-        at = members.drop("component").join(comp.select("node", "component"), "node", "left")
-        at = at.withColumn("component", F.coalesce("component", "node"))
-        several = at.groupBy("k").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1")
-        return at.join(several.select("k"), "k", "left_semi")
+        at = members.select("k", "node", "n", "sk").join(comp.select("node", "component"), "node", "left")
+        return with_main(at.withColumn("component", F.coalesce("component", "node")))
 
     members = buckets.where(F.col("c") > small_bucket)
     pairs = star(members).union(meet(buckets.where(F.col("c") <= small_bucket), likely)).distinct()
@@ -328,7 +347,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, th
         own = bodies.join(members.select("node").distinct(), "node", "left_semi")
         both = F.size(F.array_intersect("x.bag", "y.bag"))  # taken once per pair: |A n B| / |A u B| >= threshold
         close = both * (1 + threshold) >= threshold * (F.size("x.bag") + F.size("y.bag"))
-        found = meet(members.join(multisets(own, words), "node"), likely & close).distinct()
+        found = meet_main(members.join(multisets(own, words), "node"), likely & close).distinct()
         linked = scratch.put(found, "edges1")
         if not linked.isEmpty():
             comp = components(edges.union(linked), scratch, "cc1_")
