@@ -43,7 +43,6 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -199,22 +198,24 @@ def strings(docs: DataFrame) -> DataFrame:
     """Runs of windows whose anchor is among the row's ``shared`` ones, as strings."""
     def run(batches):
         for batch in batches:
-            rows = zip(batch.column("doc_id").to_pylist(), batch.column("t").to_pylist(),
-                       batch.column("shared").to_pylist(),
-                       (x.encode("utf-8", "replace") for x in texts(batch.column("text"))))
+            ids, names = batch.column("doc_id").to_numpy(), batch.column("t").to_numpy()
+            anchors, upto = batch.column("shared").values.to_numpy(), batch.column("shared").offsets.to_numpy()
+            rows = ((x.encode("utf-8", "replace"),) for x in texts(batch.column("text")))
+            begin = 0
             for block in _blocks(rows, BUFFER):
-                of, start, count, h = window_runs([r for *_, r in block])
+                raws = [r for r, in block]
+                end = begin + len(raws)
+                of, start, count, h = window_runs(raws)
                 h = h.view(np.int64)
-                keep = np.zeros(len(h), bool)
-                cut = np.searchsorted(of, np.arange(len(block) + 1))
-                for i, (_, _, shared, _) in enumerate(block):
-                    keep[cut[i]:cut[i + 1]] = np.isin(h[cut[i]:cut[i + 1]], np.array(shared, np.int64))
+                # An anchor that one text shares is shared by every text that has it.
+                keep = np.isin(h, anchors[upto[begin]:upto[end]])
                 of, start, count, h = of[keep], start[keep], count[keep], h[keep]
-                body = [block[i][3][s:s + c + LENGTH - 1] for i, s, c in zip(of.tolist(), start.tolist(), count.tolist())]
+                body = [raws[i][s:e] for i, s, e in zip(of.tolist(), start.tolist(), (start + count + LENGTH - 1).tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(body, pa.binary()), pa.array([block[i][0] for i in of], pa.int64()),
-                     pa.array([block[i][1] for i in of], pa.int64()), pa.array(start.astype(np.int32))],
+                    [pa.array(h), pa.array(body, pa.binary()), pa.array(ids[begin:end][of]),
+                     pa.array(names[begin:end][of]), pa.array(start.astype(np.int32))],
                     names=["h", "s", "doc_id", "t", "pos"])
+                begin = end
 
     return docs.mapInArrow(run, _STRINGS)
 
@@ -322,16 +323,42 @@ def merges(bodies: list[bytes], anchors: list[int], shard: int) -> Iterator[list
 def repeats(bodies: list[bytes], docs: np.ndarray, anchors: list[int], shard: int = SHARD,
             length: int = LENGTH) -> dict[int, list[int]]:
     """For strings of a bucket with their smallest doc_ids and anchors: the windows of each that
-    also start in a string of smaller doc_id, as flat lists of (first, one past last)."""
+    also start in a string of smaller doc_id, as flat lists of (first, one past last). Strings
+    without a partner get no place in the order."""
     out, done = {}, 0
-    for group in merges(bodies, anchors, shard):
+    likely = [np.zeros(0, bool)] + [partners(group, length) for group in merges(bodies, anchors, shard)]
+    kept = np.flatnonzero(np.concatenate(likely)).tolist()
+    for group in merges([bodies[i] for i in kept], [anchors[i] for i in kept], shard):
         n = sum(map(len, group))
-        found = merged_repeats(group, docs[done:done + n], length)
-        out.update({done + i: windows for i, windows in found.items()})
+        found = merged_repeats(group, docs[kept[done:done + n]], length)
+        out.update({kept[done + i]: windows for i, windows in found.items()})
         done += n
     return out
 
 
+def partners(shards: list[list[bytes]], length: int) -> np.ndarray:
+    """For each string of a group whether one of its windows may occur elsewhere in the group:
+    false only if the hashes of all its windows are met once."""
+    end = bytes([END])
+    bodies = [body for s in shards for body in s]
+    text = np.frombuffer(end.join(bodies) + end, np.uint8)
+    sizes = np.array([len(b) + 1 for b in bodies], np.int64)
+    gram = 1 << (length.bit_length() - 1)
+    if len(text) < length:
+        return np.zeros(len(bodies), bool)
+    h = gram_hashes(text, gram)
+    # A window starts at most ``length`` bytes before the mark that ends its string.
+    of = np.repeat(np.arange(len(bodies)), sizes)[:len(text) - length + 1]
+    at = np.flatnonzero(np.arange(len(of)) + length < np.cumsum(sizes)[of])
+    window = h[at] * np.uint64(_BASE) + h[at + length - gram]
+    order = window.argsort()
+    same = window[order[1:]] == window[order[:-1]]
+    out = np.zeros(len(bodies), bool)
+    out[of[at[order[1:][same]]]] = True
+    out[of[at[order[:-1][same]]]] = True
+    return out
+
+
 def merged_repeats(shards: list[list[bytes]], docs: np.ndarray, length: int) -> dict[int, list[int]]:
     end = bytes([END])
     parts = [transform(np.frombuffer(end.join(s) + end, np.uint8), length) for s in shards]
@@ -359,31 +386,34 @@ def bucket_repeats(distinct: DataFrame, buckets: int, shard: int) -> DataFrame:
     """(h, x, lo, windows) of the distinct strings (h, s, x, lo, n) that occur more than once
     or hold removed windows. A string that is alone at its anchor has no window in common
     with another and needs no place in the order."""
-    def run(batches):
-        held: list = []
-        present = None
-
-        def flush():
-            anchors_held = Counter(r[0] for r in held)
-            shared = [r for r in held if anchors_held[r[0]] > 1]
-            found = repeats([r[1] for r in shared], np.array([r[3] for r in shared], np.int64),
-                            [r[0] for r in shared], shard) if shared else {}
-            windows = {(shared[i][0], shared[i][2]): w for i, w in found.items()}
-            rows = [(h, x, lo, windows.get((h, x))) for h, _, x, lo, n in held if n > 1 or (h, x) in windows]
-            h, x, lo, w = zip(*rows) if rows else ((), (), (), ())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(h, pa.int64()), pa.array(x, pa.int64()), pa.array(lo, pa.int64()), pa.array(w, pa.list_(pa.int32()))],
-                names=["h", "x", "lo", "windows"])
+    def found_in(held):
+        rows = pa.Table.from_batches(held).combine_chunks()
+        h, lo, n = (rows.column(c).to_numpy() for c in ("h", "lo", "n"))
+        start = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        size = np.diff(np.append(start, len(h)))
+        shared = np.flatnonzero(np.repeat(size, size) > 1)
+        windows = repeats(rows.column("s").take(pa.array(shared)).to_pylist(), lo[shared], h[shared].tolist(), shard)
+        keep = n > 1
+        keep[shared[list(windows)]] = True
+        by_row = {at: windows[i] for i, at in zip(windows, shared[list(windows)].tolist())}
+        at = np.flatnonzero(keep)
+        out = rows.select(["h", "x", "lo"]).take(pa.array(at))
+        out = out.append_column("windows", pa.array([by_row.get(i) for i in at.tolist()], pa.list_(pa.int32())))
+        return out.combine_chunks().to_batches()
 
+    def run(batches):
+        held, present = [], None  # what has come of the present bucket
         for batch in batches:
-            for bucket, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "h", "s", "x", "lo", "n"))):
-                if bucket != present and held:
-                    yield flush()
+            bucket = batch.column("bucket").to_numpy()
+            edges = [*np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])).tolist(), len(bucket)] if len(bucket) else []
+            for a, b in itertools.pairwise(edges):
+                if held and bucket[a] != present:
+                    yield from found_in(held)
                     held = []
-                present = bucket
-                held.append(row)
+                present = bucket[a]
+                held.append(batch.slice(a, b - a))
         if held:
-            yield flush()
+            yield from found_in(held)
 
     # xxhash64 of h is unlike h itself, of which anchors are the smallest values.
     dealt = distinct.withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)))
@@ -420,6 +450,14 @@ def window_repeats(distinct: DataFrame) -> DataFrame:
             .where("n > 1 or windows is not null").select("h", "x", "lo", "windows"))
 
 
+def union(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
+    """Maximal runs of the union of spans [first, last), as many as there are gaps."""
+    order = first.argsort()
+    first, last = first[order], np.maximum.accumulate(last[order])
+    new = np.flatnonzero(np.append(True, first[1:] > last[:-1]))
+    return list(zip(first[new].tolist(), last[np.append(new[1:], len(first)) - 1].tolist()))
+
+
 def remove(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
     """The bytes outside the union of ``spans``, and how many maximal runs that union has."""
     left, at, runs, last = [], 0, 0, None
@@ -475,7 +513,8 @@ def deduplicate(docs: DataFrame, scratch: Scratch, *, shard: int = SHARD,
     whole = F.array(F.lit(0), F.col("size") - F.lit(LENGTH - 1))
     hit = rows.drop("s").join(verdict, ["h", "x"]).withColumn(
         "windows", F.when(F.col("doc_id") > F.col("lo"), whole).otherwise(F.col("windows"))).where("windows is not null")
-    spans = hit.groupBy("doc_id", "t").agg(F.collect_list(F.struct("pos", "windows")).alias("cut"))
+    placed = F.transform("windows", lambda w: w + F.col("pos"))
+    spans = hit.groupBy("doc_id", "t").agg(F.flatten(F.collect_list(placed)).alias("cut"))
     info = scratch.put(
         named.select("doc_id", "dg", "t").distinct().join(firsts.select("dg", "first"), "dg")
         .join(spans, ["doc_id", "t"], "left")
@@ -487,10 +526,11 @@ def deduplicate(docs: DataFrame, scratch: Scratch, *, shard: int = SHARD,
     def run(batches):
         for batch in batches:
             cols: list[list] = [[] for _ in range(6)]
-            for doc_id, body, copy, cut in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "copy", "cut"))):
+            cuts, upto = batch.column("cut").values.to_numpy(), batch.column("cut").offsets.to_pylist()
+            for doc_id, body, copy, (a, b) in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "copy")),
+                                                  itertools.pairwise(upto)):
                 raw = body.encode("utf-8", "replace")
-                ranges = [(c["pos"] + a, c["pos"] + b - 1 + LENGTH) for c in cut or ()
-                          for a, b in zip(c["windows"][0::2], c["windows"][1::2])]
+                ranges = union(cuts[a:b:2], cuts[a + 1:b:2] + (LENGTH - 1)) if b > a else []
                 if copy and len(raw) >= LENGTH:
                     ranges = [(0, len(raw))]
                 rest, runs = remove(raw, ranges)
