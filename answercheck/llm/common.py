@@ -3,6 +3,7 @@ checkpoint folder, and batch-wise mapping over documents."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -88,6 +89,24 @@ def texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows: what a task holds of texts as Python objects, and what
+    it sends back at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Return a worker's free memory to the system: Spark keeps workers for later tasks, beside
+    the memory of the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim:
+        trim(0)
+
+
 def blocks(rows: list[str], size: int) -> Iterator[list[str]]:
     """Runs of texts of about ``size`` characters, which bound a task's memory."""
     start = held = 0

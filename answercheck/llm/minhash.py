@@ -25,8 +25,9 @@ Candidates. Texts with equal shingle multisets are one node from the start. A bu
 up to ``small_bucket`` nodes gives its pairs. From a larger one every node meets the
 bucket's centre, the node that shares most buckets with others and so is nearest to all.
 In buckets that hold several components after that, nodes outside the bucket's largest one
-meet all nodes of other components directly; there the join tests the multisets itself, so
-that only links become rows. A
+meet all nodes of other components directly: by sketches first, which leaves the nodes with
+a plausible partner; of these the join tests the multisets itself, so that only links become
+rows. A
 group of near copies thus costs a few rows per member, never its square, and no plausible
 pair that shares a band goes unexamined unless both are already in one class.
 
@@ -53,7 +54,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, hashed_words, mix, shingle_hashes, sieve, sifted, texts
+from .common import Scratch, components, give_back, hashed_words, mix, shingle_hashes, sieve, sifted, texts
 
 WORDS, THRESHOLD = 5, 0.8
 ROWS, BANDS = 6, 36
@@ -212,6 +213,8 @@ def signatures(docs: DataFrame, words: int, rows: int, bands: int) -> DataFrame:
                     ids, marks, raws, held = [], [], [], 0
         if ids:
             yield block(ids, marks, raws)
+            ids, marks, raws = [], [], []
+        give_back()
 
     return marked(docs).mapInArrow(run, "doc_id long, h long, digest binary, n long, keys array<long>, sk array<long>")
 
@@ -270,16 +273,24 @@ def with_main(members: DataFrame) -> DataFrame:
     return members.join(several.select("k", F.col("most.component").alias("main")), "k")
 
 
-def meet_main(members: DataFrame, condition: Column) -> DataFrame:
+def meet_main(members: DataFrame, condition: Column, *more: str) -> DataFrame:
     """Pairs (a, b) of different components within each bucket. One of a pair is outside the
     bucket's ``main`` component, so only such members are held against the bucket: the join of
-    a large group that is one component but for a few has few rows on one side, and tasks that
-    Spark cuts a skewed key into."""
+    a large group that is one component but for a few has few rows on one side."""
     few = members.where("component <> main")
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
     hit = (F.col("x.k") == F.col("y.k")) & (F.col("x.component") != F.col("y.component")) & once & condition
     x, y = F.col("x.node"), F.col("y.node")
-    return few.alias("x").join(members.alias("y"), hit).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    return few.alias("x").join(members.alias("y"), hit).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), *more)
+
+
+def with_partner(members: DataFrame, condition: Column) -> DataFrame:
+    """Members that ``meet_main`` would pair, told by their small columns alone: no pair becomes
+    a row, and the rows with multisets, of which Spark would cut a skewed key into very many
+    tasks, are only those."""
+    pairs = meet_main(members, condition, "x.k")
+    ends = pairs.select("k", F.explode(F.array("a", "b")).alias("node")).distinct()
+    return members.join(ends, ["k", "node"], "left_semi")
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, threshold: float = THRESHOLD,
@@ -342,7 +353,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, th
     edges = scratch.put(edges, "edges0")
     comp = components(edges, scratch, "cc0_")
     scratch.release()
-    members = scratch.put(still_apart(members), "members")
+    members = with_partner(scratch.put(still_apart(members), "apart"), likely)
+    members = scratch.put(members, "members")
     if not members.isEmpty():
         own = bodies.join(members.select("node").distinct(), "node", "left_semi")
         both = F.size(F.array_intersect("x.bag", "y.bag"))  # taken once per pair: |A n B| / |A u B| >= threshold
