@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, Scratch, mix, sieve, sifted, texts
+from .common import WHITE, Scratch, mix, sieve, sifted, slices, texts
 
 ONE_IN, MAX_CHUNK, MIN_RUN = 5, 256, 100
 # Without white space in so many bytes, any character may end a chunk, with this chance.
@@ -107,7 +107,7 @@ def runs(raw: bytes, one_in: int, max_chunk: int, min_run: int) -> tuple[list[tu
 def run_rows(docs: DataFrame, one_in: int, max_chunk: int, min_run: int) -> DataFrame:
     """(digest, doc_id) of each distinct run of each row that has a doc_id."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, keys, counts = [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text"))):
                 own = set(runs(text.encode("utf-8", "replace"), one_in, max_chunk, min_run)[1])
@@ -171,7 +171,7 @@ def deduplicate(docs: DataFrame, carry: list[str], *, one_in: int = ONE_IN, max_
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), RESULT])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             cols: list[list] = [[] for _ in names]
             for text, own in zip(batch.column("_text").to_pylist(), batch.column("_repeats").to_pylist()):
                 raw = (text or "").encode("utf-8", "replace")

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, texts
+from .common import Scratch, slices, texts
 
 SEQUENCE_LENGTH = 1024
 END_ID = 2
@@ -93,9 +93,11 @@ class Encoder:
             self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in spec["added_tokens"]}
         longest_first = sorted(self.added, key=len, reverse=True)
         self.at_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self.added else None
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop all remembered words."""
+        self.first, self.later, self.old = {}, {}, {}
 
     def raw(self, text: str) -> bytes:
         return np.array(self.bpe.encode_ordinary(text), "<u4").tobytes()
@@ -160,7 +162,7 @@ def tokenised(docs: DataFrame, path: str, size: int, end_id: int, added_tokens:
         part = TaskContext.get().partitionId()
         enc = encoder(path, added_tokens)
         places = [0] * (size + 1)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text"))):
                 ids = memoryview(enc.encode(text) + end)
@@ -172,6 +174,7 @@ def tokenised(docs: DataFrame, path: str, size: int, end_id: int, added_tokens:
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                              names=[f.split(" ")[0] for f in _PIECES.split(", ")])
+        enc.forget()  # a worker may have other tasks from now on
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PIECES)
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, texts
+from .common import Scratch, slices, texts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("number", "secret", "contact")
@@ -348,7 +348,7 @@ def detect(docs: DataFrame, carry: list[str], trees: Trees) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             source = batch.column("_text").to_pylist()
             rows = [(t or "", base_spans(t or "")) for t in source]
             more = added_spans(rows, sent.value)
