@@ -273,7 +273,7 @@ def with_main(members: DataFrame) -> DataFrame:
     return members.join(several.select("k", F.col("most.component").alias("main")), "k")
 
 
-def meet_main(members: DataFrame, condition: Column, *more: str) -> DataFrame:
+def meet_main(members: DataFrame, condition: Column) -> DataFrame:
     """Pairs (a, b) of different components within each bucket. One of a pair is outside the
     bucket's ``main`` component, so only such members are held against the bucket: the join of
     a large group that is one component but for a few has few rows on one side."""
@@ -281,16 +281,17 @@ def meet_main(members: DataFrame, condition: Column, *more: str) -> DataFrame:
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
     hit = (F.col("x.k") == F.col("y.k")) & (F.col("x.component") != F.col("y.component")) & once & condition
     x, y = F.col("x.node"), F.col("y.node")
-    return few.alias("x").join(members.alias("y"), hit).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), *more)
+    return few.alias("x").join(members.alias("y"), hit).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
 
 def with_partner(members: DataFrame, condition: Column) -> DataFrame:
     """Members that ``meet_main`` would pair, told by their small columns alone: no pair becomes
     a row, and the rows with multisets, of which Spark would cut a skewed key into very many
     tasks, are only those."""
-    pairs = meet_main(members, condition, "x.k")
-    ends = pairs.select("k", F.explode(F.array("a", "b")).alias("node")).distinct()
-    return members.join(ends, ["k", "node"], "left_semi")
+    few, most = members.where("component <> main"), members.where("component = main")
+    hit = (F.col("x.k") == F.col("y.k")) & (F.col("x.component") != F.col("y.component")) & condition
+    return few.alias("x").join(members.alias("y"), hit, "left_semi").unionByName(
+        most.alias("x").join(few.alias("y"), hit, "left_semi"))
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, threshold: float = THRESHOLD,
