@@ -26,7 +26,7 @@ up to ``small_bucket`` nodes gives its pairs. From a larger one every node meets
 bucket's centre, the node that shares most buckets with others and so is nearest to all.
 In buckets that hold several components after that, nodes outside the bucket's largest one
 meet all nodes of other components directly; there the join tests the multisets itself, so
-that only links become rows. A
+that only links become rows, and a bucket's pairs are dealt to cells of a few hundred nodes. A
 group of near copies thus costs a few rows per member, never its square, and no plausible
 pair that shares a band goes unexamined unless both are already in one class.
 
@@ -62,6 +62,8 @@ SMALL_BUCKET = 16
 MARGIN = 0.10
 # Parts that the pairs of one centre are dealt to.
 SALTS = 32
+# Members in a block, about: a bucket's pairs are dealt to cells of a block by a block.
+CELL = 256
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 # Shingles and points handled at once: bounds the memory of a task whatever its batches hold.
@@ -266,21 +268,38 @@ def multisets(bodies: DataFrame, words: int) -> DataFrame:
 
 def with_main(members: DataFrame) -> DataFrame:
     """Members (k, node, component) of buckets that hold several components, with the bucket's
-    largest one as ``main``."""
+    largest one as ``main``, and the numbers of blocks that the bucket's members outside it
+    (``blocks_few``) and all of its members (``blocks_all``) are dealt to."""
     held = members.groupBy("k", "component").agg(F.count(F.lit(1)).alias("m"))
-    several = held.groupBy("k").agg(F.max(F.struct("m", "component")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    return members.join(several.select("k", F.col("most.component").alias("main")), "k")
+    several = held.groupBy("k").agg(F.max(F.struct("m", "component")).alias("most"), F.sum("m").alias("c"),
+                                    F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return members.join(several.select(
+        "k", F.col("most.component").alias("main"), F.ceil((F.col("c") - F.col("most.m")) / CELL).alias("blocks_few"),
+        F.ceil(F.col("c") / CELL).alias("blocks_all")), "k")
+
+
+def cells(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members outside their bucket's main component, and all members, each dealt to the
+    cells (k, i, j) where it is held against others: a pair of the two meets in one cell, and no
+    cell has many of either, however large its bucket. Dealt here, for the rows carry multisets
+    and Spark would cut each side of a skewed key into small pieces, a task for every two."""
+    block = lambda blocks: F.pmod(F.xxhash64("node"), F.col(blocks))
+    every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
+    few = members.where("component <> main").withColumn("i", block("blocks_few")).withColumn("j", every("blocks_all"))
+    most = members.withColumn("j", block("blocks_all")).withColumn("i", every("blocks_few"))
+    return few.repartition("k", "i", "j"), most.repartition("k", "i", "j")
 
 
 def meet_main(members: DataFrame, condition: Column) -> DataFrame:
     """Pairs (a, b) of different components within each bucket. One of a pair is outside the
     bucket's ``main`` component, so only such members are held against the bucket: the join of
     a large group that is one component but for a few has few rows on one side."""
-    few = members.where("component <> main")
+    few, most = cells(members)
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
-    hit = (F.col("x.k") == F.col("y.k")) & (F.col("x.component") != F.col("y.component")) & once & condition
+    cell = (F.col("x.k") == F.col("y.k")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+    hit = cell & (F.col("x.component") != F.col("y.component")) & once & condition
     x, y = F.col("x.node"), F.col("y.node")
-    return few.alias("x").join(members.alias("y"), hit).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    return few.alias("x").join(most.alias("y"), hit).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, *, words: int = WORDS, threshold: float = THRESHOLD,
