@@ -11,10 +11,11 @@ together first, so that each part of the order can be built apart:
    share one. A window whose anchor occurs in one text only cannot repeat. Equal texts
    count once here: a copy repeats as a whole.
 2. Strings. A run of windows with the same shared anchor is one string (50 bytes and one
-   more for each further window). Equal strings become one, with the smallest doc_id, by
-   partial aggregation; occurrences in other documents are removed whole. Strings are
-   dealt to buckets by anchor: a window's equals are all in its bucket. A string alone at
-   its anchor has nothing left to be compared with.
+   more for each further window). Equal strings become one, with the smallest doc_id: first
+   those of some megabytes of text, of which one alone carries its bytes on, then those of a
+   bucket; occurrences in other documents are removed whole. Strings are moved once, to
+   buckets by anchor: a window's equals are all in its bucket. A string alone at its anchor
+   has nothing left to be compared with.
 3. Transforms. A bucket's strings are split into shards of at most ``shard`` bytes, the strings
    of an anchor in one shard if they fit. A shard's Burrows-Wheeler transform (to a context of
    50 bytes) holds for every suffix the bytes before it, and the step to the suffix that
@@ -28,8 +29,8 @@ together first, so that each part of the order can be built apart:
    the repeated intervals; an interval's smallest doc_id decides which windows go.
 6. Removed windows are joined back to their documents, and their union is cut out.
 
-Skew: anchors, strings and copies held by a third of the documents are combined map-side
-and the joins back are ones AQE splits. A bucket holds ``strings_per_bucket`` strings on average, and of one
+Skew: anchors, strings and copies held by a third of the documents are combined before they are
+moved and the joins back are ones AQE splits. A bucket holds ``strings_per_bucket`` strings on average, and of one
 anchor at most ``strings_per_anchor``. Where an anchor may have more (a template field or a phrase with ever
 new text around it), its strings are not gathered: each of their windows finds its smallest doc_id by partial
 aggregation on the window itself.
@@ -50,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix, texts
+from .common import Scratch, give_back, mix, packed, slices, texts, unpacked
 
 LENGTH, GRAM = 50, 16
 SHARD, STRINGS_PER_BUCKET, STRINGS_PER_ANCHOR = 1 << 18, 65_536, 16_384
@@ -58,6 +59,8 @@ SHARD, STRINGS_PER_BUCKET, STRINGS_PER_ANCHOR = 1 << 18, 65_536, 16_384
 STRING_BYTES = 100
 # Bytes of text handled at once when looking for anchors.
 BUFFER = 1 << 17
+# Blocks whose equal strings become one before they are moved, and rows of a bucket that wait for it.
+BLOCKS, WAITING = 16, 1 << 17
 # A byte that UTF-8 never uses ends a string.
 END = 0xFF
 
@@ -191,18 +194,37 @@ def shared_anchors(docs: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "t long, h long")
 
 
-_STRINGS = "h long, s binary, doc_id long, t long, pos int"
+_STRINGS = "h long, s binary, doc_id long, t long, pos int, lo long, n long"
+
+
+def first_of_equals(bodies: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the first of equal strings their smallest id and their number, for others 0 as number."""
+    seen: dict[bytes, int] = {}
+    first = np.fromiter((seen.setdefault(body, i) for i, body in enumerate(bodies)), np.int64, len(bodies))
+    lo = ids.copy()
+    np.minimum.at(lo, first, ids)
+    return lo, np.bincount(first, minlength=len(bodies))
 
 
 def strings(docs: DataFrame) -> DataFrame:
-    """Runs of windows whose anchor is among the row's ``shared`` ones, as strings."""
+    """Runs of windows whose anchor is among the row's ``shared`` ones, as strings; texts are
+    ``packed``. Of equal strings of some blocks the first has the smallest doc_id ``lo`` and
+    their number ``n``."""
+    def told(held):
+        h, ids, names, start = (np.concatenate([part[i] for part in held]) for i in (0, 2, 3, 4))
+        body = [b for part in held for b in part[1]]
+        lo, n = first_of_equals(body, ids)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(h), pa.array(body, pa.binary()), pa.array(ids), pa.array(names), pa.array(start.astype(np.int32)),
+             pa.array(lo, mask=n == 0), pa.array(n)], names=["h", "s", "doc_id", "t", "pos", "lo", "n"])
+
     def run(batches):
-        for batch in batches:
+        held = []
+        for batch in slices(batches):
             ids, names = batch.column("doc_id").to_numpy(), batch.column("t").to_numpy()
             anchors, upto = batch.column("shared").values.to_numpy(), batch.column("shared").offsets.to_numpy()
-            rows = ((x.encode("utf-8", "replace"),) for x in texts(batch.column("text")))
             begin = 0
-            for block in _blocks(rows, BUFFER):
+            for block in _blocks(((r,) for r in unpacked(batch)), BUFFER):
                 raws = [r for r, in block]
                 end = begin + len(raws)
                 of, start, count, h = window_runs(raws)
@@ -211,11 +233,14 @@ def strings(docs: DataFrame) -> DataFrame:
                 keep = np.isin(h, anchors[upto[begin]:upto[end]])
                 of, start, count, h = of[keep], start[keep], count[keep], h[keep]
                 body = [raws[i][s:e] for i, s, e in zip(of.tolist(), start.tolist(), (start + count + LENGTH - 1).tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(body, pa.binary()), pa.array(ids[begin:end][of]),
-                     pa.array(names[begin:end][of]), pa.array(start.astype(np.int32))],
-                    names=["h", "s", "doc_id", "t", "pos"])
+                held.append((h, body, ids[begin:end][of], names[begin:end][of], start))
+                if len(held) == BLOCKS:
+                    yield told(held)
+                    held = []
                 begin = end
+        if held:
+            yield told(held)
+            give_back()
 
     return docs.mapInArrow(run, _STRINGS)
 
@@ -382,12 +407,31 @@ def merged_repeats(shards: list[list[bytes]], docs: np.ndarray, length: int) ->
     return out
 
 
-def bucket_repeats(distinct: DataFrame, buckets: int, shard: int) -> DataFrame:
-    """(h, x, lo, windows) of the distinct strings (h, s, x, lo, n) that occur more than once
-    or hold removed windows. A string that is alone at its anchor has no window in common
-    with another and needs no place in the order."""
+_MOVED = ["h", "s", "x", "lo", "n"]
+
+
+def combined(rows: pa.Table) -> pa.Table:
+    """Rows (h, s, x, lo, n) sorted by h, those of equal strings as one."""
+    rows = pa.table({c: rows.column(c) for c in _MOVED}).combine_chunks()
+    x = rows.column("x").to_numpy()
+    order = x.argsort()
+    same = x[order[1:]] == x[order[:-1]]
+    again = np.zeros(len(x), bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    if again.any():
+        one = rows.filter(pa.array(again)).group_by(["h", "s"], use_threads=False).aggregate([("x", "min"), ("lo", "min"), ("n", "sum")])
+        one = one.rename_columns({"x_min": "x", "lo_min": "lo", "n_sum": "n"}).select(rows.column_names)
+        rows = pa.concat_tables([rows.filter(pa.array(~again)), one])
+        rows = rows.take(pa.array(rows.column("h").to_numpy().argsort(kind="stable"))).combine_chunks()
+    return rows
+
+
+def bucket_repeats(some: DataFrame, buckets: int, shard: int) -> DataFrame:
+    """(h, x, lo, windows) of the strings (h, s, x, lo, n), equal ones in one or several rows, that
+    occur more than once or hold removed windows. A string that is alone at its anchor has no
+    window in common with another and needs no place in the order."""
     def found_in(held):
-        rows = pa.Table.from_batches(held).combine_chunks()
+        rows = combined(pa.Table.from_batches(held))
         h, lo, n = (rows.column(c).to_numpy() for c in ("h", "lo", "n"))
         start = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
         size = np.diff(np.append(start, len(h)))
@@ -403,22 +447,31 @@ def bucket_repeats(distinct: DataFrame, buckets: int, shard: int) -> DataFrame:
 
     def run(batches):
         held, present = [], None  # what has come of the present bucket
+        waiting, most = 0, WAITING  # its rows, and how many may wait until equal strings become one
         for batch in batches:
             bucket = batch.column("bucket").to_numpy()
+            batch = pa.RecordBatch.from_arrays([batch.column(c) for c in _MOVED], names=_MOVED)
             edges = [*np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])).tolist(), len(bucket)] if len(bucket) else []
             for a, b in itertools.pairwise(edges):
                 if held and bucket[a] != present:
                     yield from found_in(held)
-                    held = []
+                    held, waiting, most = [], 0, WAITING
                 present = bucket[a]
                 held.append(batch.slice(a, b - a))
+                waiting += b - a
+                if waiting > most:
+                    held = combined(pa.Table.from_batches(held)).to_batches()
+                    waiting = sum(x.num_rows for x in held)
+                    most = 2 * waiting + WAITING
         if held:
             yield from found_in(held)
+        give_back()
 
     # xxhash64 of h is unlike h itself, of which anchors are the smallest values.
-    dealt = distinct.withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)))
-    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket", "h")
-    return dealt.select("bucket", "h", "s", "x", "lo", "n").mapInArrow(run, "h long, x long, lo long, windows array<int>")
+    bucket = F.pmod(F.xxhash64("h"), F.lit(buckets))
+    dealt = some.select("h", "s", "lo", "n").repartition(bucket).select(
+        bucket.alias("bucket"), "h", "s", F.xxhash64("s").alias("x"), "lo", "n").sortWithinPartitions("bucket", "h")
+    return dealt.mapInArrow(run, "h long, x long, lo long, windows array<int>")
 
 
 def crowded_anchors(rows: DataFrame, strings_per_anchor: int) -> DataFrame:
@@ -489,29 +542,31 @@ def deduplicate(docs: DataFrame, scratch: Scratch, *, shard: int = SHARD,
     owners = scratch.put(wanted.join(firsts, "t").select(F.col("first").alias("doc_id"), "t", "shared"), "owners")
     del wanted
     scratch.release()
-    rows = strings(named.join(owners, ["doc_id", "t"]).select("doc_id", "t", "shared", "text"))
-    rows = scratch.put(rows.withColumn("x", F.xxhash64("s")).withColumn("size", F.octet_length("s")), "strings")
-    del owners
+    moved = packed(named.select("doc_id", "t", "text")).join(owners, ["doc_id", "t"])
+    rows = strings(moved.select("doc_id", "t", "shared", "n_bytes", "z"))
+    rows = rows.withColumn("x", F.xxhash64("s")).withColumn("size", F.octet_length("s"))
+    rows = scratch.put(rows.withColumn("s", F.when(F.col("n") > 0, F.col("s"))), "strings", "zstd")
+    del owners, moved
     scratch.drop("owners")
     scratch.release()
 
-    def distinct(some: DataFrame) -> DataFrame:
-        return some.groupBy("h", "s").agg(F.min("doc_id").alias("lo"), F.first("x").alias("x"), F.count(F.lit(1)).alias("n"))
-
     buckets = max(1, rows.count() // strings_per_bucket)
     crowded = scratch.put(crowded_anchors(rows, strings_per_anchor), "anchors")
+    firsts_of = rows.where("n > 0").select("h", "s", "x", "lo", "n")
     if crowded.isEmpty():
-        found = bucket_repeats(distinct(rows), buckets, shard)
+        found = bucket_repeats(firsts_of, buckets, shard)
     else:
-        many = scratch.put(distinct(rows.join(crowded, "h", "left_semi")), "crowded")
-        found = bucket_repeats(distinct(rows.join(crowded, "h", "left_anti")), buckets, shard).union(window_repeats(many))
+        many = firsts_of.join(crowded, "h", "left_semi").groupBy("h", "s").agg(
+            F.min("lo").alias("lo"), F.first("x").alias("x"), F.sum("n").alias("n"))
+        found = bucket_repeats(firsts_of.join(crowded, "h", "left_anti"), buckets, shard).union(
+            window_repeats(scratch.put(many, "crowded")))
     verdict = scratch.put(found, "windows")
     del found
     scratch.release()
 
     # The holder of a string loses the windows found; any larger doc_id loses all of them.
     whole = F.array(F.lit(0), F.col("size") - F.lit(LENGTH - 1))
-    hit = rows.drop("s").join(verdict, ["h", "x"]).withColumn(
+    hit = rows.drop("s", "lo", "n").join(verdict, ["h", "x"]).withColumn(
         "windows", F.when(F.col("doc_id") > F.col("lo"), whole).otherwise(F.col("windows"))).where("windows is not null")
     placed = F.transform("windows", lambda w: w + F.col("pos"))
     spans = hit.groupBy("doc_id", "t").agg(F.flatten(F.collect_list(placed)).alias("cut"))
@@ -524,12 +579,11 @@ def deduplicate(docs: DataFrame, scratch: Scratch, *, shard: int = SHARD,
     scratch.release()
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             cols: list[list] = [[] for _ in range(6)]
             cuts, upto = batch.column("cut").values.to_numpy(), batch.column("cut").offsets.to_pylist()
-            for doc_id, body, copy, (a, b) in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "copy")),
-                                                  itertools.pairwise(upto)):
-                raw = body.encode("utf-8", "replace")
+            for doc_id, copy, raw, (a, b) in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "copy")),
+                                                 unpacked(batch), itertools.pairwise(upto)):
                 ranges = union(cuts[a:b:2], cuts[a + 1:b:2] + (LENGTH - 1)) if b > a else []
                 if copy and len(raw) >= LENGTH:
                     ranges = [(0, len(raw))]
@@ -541,5 +595,5 @@ def deduplicate(docs: DataFrame, scratch: Scratch, *, shard: int = SHARD,
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                              names=[f.split(" ")[0] for f in RESULT.split(", ")])
 
-    joined = keyed.join(info, ["doc_id", "t"], "left").select("doc_id", "text", "copy", "cut")
-    return joined.mapInArrow(run, RESULT)
+    moved = packed(keyed.select("doc_id", "t", "text")).join(info, ["doc_id", "t"], "left")
+    return moved.select("doc_id", "n_bytes", "z", "copy", "cut").mapInArrow(run, RESULT)
