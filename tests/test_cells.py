@@ -118,3 +118,13 @@ def test_stretches_cut_anywhere_sum_up_alike():
         whole = swept([])
         assert swept(sorted(r.sample(range(len(events) + 1), min(len(events), r.randint(1, 6))))) == whole
         assert swept(list(range(1, len(events)))) == whole
+
+
+@pytest.mark.parametrize("size", [1.0, 1e6, 3e9, 6e9, 1e10, 1e13, 1e300])
+def test_partners_of_any_size_are_found(size):
+    r = np.random.default_rng(int(np.log10(size)))
+    gold = [(0, float(v)) for v in size * (1 + r.random(400)) * r.choice([-1, 1], 400)]
+    cand = [(0, float(v + d)) for (_, v), d in zip(gold, r.choice([-1e-6, 4e-7, 0.0, 9e-7], 400))]
+    total, left, _ = settled(gold, cand, 1, 1e-6, 100)
+    rest = by_force(*left, 1e-6) if left[0] or left[1] else (0, 0)
+    assert (total["sg"] + rest[0], total["sc"] + rest[1]) == by_force(gold, cand, 1e-6)
